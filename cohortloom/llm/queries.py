@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 from cohortloom.llm.byte_bpe import bpe_digests
 from cohortloom.llm.common import read
 from cohortloom.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
+from cohortloom.llm.html_extract import extract_pages
+from cohortloom.llm.language_id import language_id
+from cohortloom.llm.license_scan import license_sql, scan_licenses
 from cohortloom.llm.media import media_table
 from cohortloom.llm.packing import pack_documents
+from cohortloom.llm.token_store import stored_digests
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+WORD_VOCABULARY = 49_408
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -28,6 +33,18 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_digests(read(spark, sf_dir, "documents"), WORD_TOKENIZER, WORD_VOCABULARY, end_id=2)
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(read(spark, sf_dir, "documents"))
+
+
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read(spark, sf_dir, "pages"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).drop("row_uid")
 
@@ -36,5 +53,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_media, op2_packing, op6_exact_dedup, op8_byte_bpe)}
-ORACLES: dict[str, str] = {"op6_exact_dedup": EXACT_DEDUP_SQL}
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_media, op2_packing, op3_token_store, op4_language_id, op5_html_extract, op6_exact_dedup, op8_byte_bpe, op9_license_scan)}
+ORACLES: dict[str, str] = {"op6_exact_dedup": EXACT_DEDUP_SQL, "op9_license_scan": license_sql()}
