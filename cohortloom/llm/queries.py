@@ -15,6 +15,7 @@ from cohortloom.llm.html_extract import extract_pages
 from cohortloom.llm.language_id import language_id
 from cohortloom.llm.license_scan import license_sql, scan_licenses
 from cohortloom.llm.media import media_table
+from cohortloom.llm.near_dedup import near_dedup
 from cohortloom.llm.packing import pack_documents
 from cohortloom.llm.token_store import stored_digests
 
@@ -49,6 +50,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).drop("row_uid")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(read(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
@@ -57,5 +62,5 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_media, op2_packing, op3_token_store, op4_language_id, op5_html_extract, op6_exact_dedup, op8_byte_bpe, op9_license_scan)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_media, op2_packing, op3_token_store, op4_language_id, op5_html_extract, op6_exact_dedup, op7_near_dedup, op8_byte_bpe, op9_license_scan)}
 ORACLES: dict[str, str] = {"op6_exact_dedup": EXACT_DEDUP_SQL, "op9_license_scan": license_sql()}
