@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -161,8 +162,9 @@ class ByteTable:
         return self.bytes[at].tobytes()
 
 
+@lru_cache(maxsize=4)
 def tokenizer(path: str, pattern: str) -> Callable[[str], np.ndarray]:
-    """text -> ids, with a memory of pre-tokens."""
+    """text -> ids, with a memory of pre-tokens; one for each worker process."""
     import regex
 
     encoder, find, known = PrefixEncoder(load_ranks(path)), regex.compile(pattern).findall, {}
