@@ -20,17 +20,17 @@ from cohortloom.llm.common import SPACES, shuffle_partitions, text_or_empty, wri
 _DIGEST = ["sha", "xx", "n_bytes"]
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int | None = None, fan_in: int = 4) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int | None = None, fan_in: int = 4, row_col: str | None = None) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, row_uid``.
 
     Texts are equal when identical after each run of ASCII white space is one space; null is the empty text. Of equal
     texts the smallest id stays; null ids come after all others. Of repeated rows with that id just one is ``kept``
-    (the one that Spark reads first). ``row_uid`` numbers the input rows. Empty input gives an empty result. Other
+    (the one that Spark reads first). ``row_uid`` numbers the input rows, or is ``row_col``, a number that no two rows share. Empty input gives an empty result. Other
     columns are ignored. ``runs``: at least 64, and a third of a hot digest's copies per shuffle partition otherwise.
     """
     runs = runs or max(64, shuffle_partitions(docs.sparkSession))
     text = F.regexp_replace(text_or_empty(text_col), SPACES, " ")
-    leaf = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.monotonically_increasing_id().alias("row_uid")).select(
+    leaf = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row_uid")).select(
         "doc_id",
         "row_uid",
         F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"),

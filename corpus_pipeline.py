@@ -5,10 +5,57 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortloom.llm.common import read, written
+from cohortloom.llm.exact_dedup import exact_dedup
+from cohortloom.llm.language_id import UNKNOWN, language_id
+from cohortloom.llm.near_dedup import near_dedup
+from cohortloom.llm.packing import pack_documents
+from cohortloom.llm.queries import WORD_TOKENIZER
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+#: Documents whose best language has a lower calibrated probability are rejected.
+LEAST_SCORE = 0.3
+_ROW = "__pipeline_row"
+
+
+def _numbered(docs: DataFrame, label: str) -> DataFrame:
+    """The documents as a written table with a number for each row, so that a number stays with its row whatever is computed again."""
+    return written(docs.withColumn(_ROW, F.monotonically_increasing_id()), label)
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a recognised language: those without a letter, without text, or of doubtful language go."""
+    predicted = language_id(docs, keep=tuple(docs.columns))
+    return predicted.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts (after white space is normalised) the row with the smallest id."""
+    rows = _numbered(docs, "pipeline-exact")
+    kept = exact_dedup(rows, row_col=_ROW).where("kept").select(F.col("row_uid").alias(_ROW))
+    return rows.join(kept, _ROW, "left_semi").select(*docs.columns)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the row with the smallest id; of repeated ids the first."""
+    rows = _numbered(docs, "pipeline-near")
+    whole_id = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col(_ROW).alias("row"))
+    kept = near_dedup(rows.select(whole_id.alias("doc_id"), "text")).where("kept").select(F.col("doc_id.row").alias(_ROW))
+    return rows.join(kept, _ROW, "left_semi").select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left as pieces of packed sequences of at most 2048 tokens."""
+    return pack_documents(docs, WORD_TOKENIZER)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_stage),
+    ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
+    ("packing", packing_stage),
+]
 
 #: SQL cannot express the classifier of the first stage; tests hold run() against a brute-force version.
 ORACLE_SQL = None
