@@ -21,9 +21,9 @@ TOGETHER = 512
 def id_bytes(path: str) -> Callable[[str], bytes]:
     """text -> its ids as little-endian unsigned 32-bit integers, without special tokens; one for each worker process.
 
-    For tokenizers that never let a token span white space and don't tell upper from lower case, such as those whose
-    pre-tokenizer drops white space after lower-casing: then a text's ids are those of its words in turn. Strings of
-    special tokens in a text are ordinary text.
+    For tokenizers that lower-case, drop white space and split letters, single digits, other characters and English
+    contractions, never merging across these: then a text's ids are those of its words in turn, and a word's without an
+    apostrophe those of its runs. Strings of special tokens in a text are ordinary text.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -37,17 +37,56 @@ def id_bytes(path: str) -> Callable[[str], bytes]:
     # beyond these Python and the library may differ on case, composition or white space; such texts are left as they are
     unusual = re.compile("[\x01\x1c-\x1fİɐ-\U0010ffff]").search
 
+    suffix = getattr(library.model, "end_of_word_suffix", None)
+    last = np.zeros(library.get_vocab_size() + 1, bool)
+    for token, number in library.get_vocab().items():
+        last[number] = bool(suffix) and token.endswith(suffix)
+    letter, digit = "a-zA-Zªµº\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9²³¹¼½¾"
+    parts_of = re.compile(f"[{letter}]+|[{digit}]|[^{letter}{digit}]+").findall
+
+    def cut(words: list[str], data: bytes, begins: list[int], ends: list[int]) -> None:
+        known.update(zip(words, (data[4 * a : 4 * b] for a, b in zip(begins, ends, strict=True)), strict=True))
+
+    def learn_each(new: list[str]) -> None:
+        for word, made in zip(new, library.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            known[word] = np.array(made.ids, "<u4").tobytes()
+
+    def learn_marked(new: list[str]) -> None:
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
+            ids = np.array(library.encode(f" {mark} ".join(some), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(ids == marked[0]).tolist()
+            cut(some, ids.tobytes(), [0, *(c + 1 for c in cuts)], [*cuts, len(ids)])
+
+    def learn_letters(new: list[str]) -> None:
+        """Words of letters alone: each ends with the one of its tokens that has the suffix."""
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
+            ids = np.array(library.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            cuts = (np.flatnonzero(last[ids]) + 1).tolist()
+            if len(cuts) == len(some):
+                cut(some, ids.tobytes(), [0, *cuts[:-1]], cuts)
+            else:
+                learn_each(some)
+
     def learn(new: list[str], plain: bool) -> None:
-        if plain and len(marked) == 1:
-            for at in range(0, len(new), TOGETHER):
-                some = new[at : at + TOGETHER]
-                ids = np.array(library.encode(f" {mark} ".join(some), add_special_tokens=False).ids, "<u4")
-                cuts = (np.flatnonzero(ids == marked[0]) * 4).tolist()
-                data = ids.tobytes()
-                known.update(zip(some, (data[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True)), strict=True))
-        else:
-            for word, made in zip(new, library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[word] = np.array(made.ids, "<u4").tobytes()
+        if not plain or len(marked) != 1:
+            return learn_each(new)
+        letters, others, joined = [], [], []
+        for word in new:
+            if word.isalpha():
+                letters.append(word)
+            elif "'" in word:
+                others.append(word)
+            else:
+                joined.append((word, parts_of(word)))
+        parts = {p for _, ps in joined for p in ps}.difference(known, letters)
+        letters += [p for p in parts if p.isalpha()]
+        learn_letters(letters) if suffix else learn_marked(letters)
+        learn_marked(others + [p for p in parts if not p.isalpha()])
+        for word, ps in joined:
+            known[word] = b"".join([known[p] for p in ps])
+        return None
 
     def encode(text: str) -> bytes:
         plain = not unusual(text)
