@@ -35,6 +35,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables of one operator, all removed together once its result is a written table itself."""
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark, self.label, self.paths = spark, label, []
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        path = f"{shared_folder(self.spark)}/{self.label}-{label}-{uuid.uuid4().hex}"
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, but_last: int = 0) -> None:
+        keep = self.paths[len(self.paths) - but_last :]
+        for path in self.paths[: len(self.paths) - but_last]:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+        self.paths = keep
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

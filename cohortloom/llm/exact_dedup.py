@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import SPACES, shuffle_partitions, text_or_empty, written
+from cohortloom.llm.common import SPACES, Scratch, shuffle_partitions, text_or_empty, written
 
 _DIGEST = ["sha", "xx", "n_bytes"]
 
@@ -29,6 +29,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns are ignored. ``runs``: at least 64, and a third of a hot digest's copies per shuffle partition otherwise.
     """
     runs = runs or max(64, shuffle_partitions(docs.sparkSession))
+    scratch = Scratch(docs.sparkSession, "exact")
     text = F.regexp_replace(text_or_empty(text_col), SPACES, " ")
     leaf = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row_uid")).select(
         "doc_id",
@@ -38,18 +39,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.octet_length("text").alias("n_bytes"),
         F.pmod(F.xxhash64("row_uid"), F.lit(runs)).cast("int").alias("run"),
     )
-    leaf = written(leaf, "exact-leaf")
+    leaf = scratch.written(leaf, "leaf")
     first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row_uid")
-    levels = [written(leaf.groupBy("run", *_DIGEST).agg(F.min(first).alias("first"), F.count("*").alias("size")), "exact-runs")]
+    levels = [scratch.written(leaf.groupBy("run", *_DIGEST).agg(F.min(first).alias("first"), F.count("*").alias("size")), "runs")]
     while runs > 1:
         runs = -(-runs // fan_in)
         merged = levels[-1].withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-        levels.append(written(merged.groupBy("run", *_DIGEST).agg(F.min("first").alias("first"), F.sum("size").alias("size")), "exact-runs"))
+        levels.append(scratch.written(merged.groupBy("run", *_DIGEST).agg(F.min("first").alias("first"), F.sum("size").alias("size")), "runs"))
     answer = levels.pop()
     while levels:
         lower = levels.pop().select("run", *_DIGEST, F.floor(F.col("run") / fan_in).cast("int").alias("up"))
         answer = lower.join(answer.withColumnRenamed("run", "up"), ["up", *_DIGEST]).drop("up")
-    return leaf.join(answer, ["run", *_DIGEST]).select(
+    result = leaf.join(answer, ["run", *_DIGEST]).select(
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),
         F.col("size").alias("group_size"),
@@ -57,6 +58,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.lower(F.hex("sha")).alias("text_sha256"),
         "row_uid",
     )
+    result = written(result, "exact-result")
+    scratch.drop()
+    return result
 
 
 EXACT_DEDUP_SQL = r"""

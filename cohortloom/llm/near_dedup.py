@@ -6,9 +6,10 @@ probability (uniform prior) that its similarity reaches the threshold is below `
 the full sets, and only confirmed links count.
 
 Not all pairs of a bucket are listed. First every member of a bucket is compared with one hub, the member that meets
-most others. Then members of the components found so far are compared across components only, in blocks of at most
-``BLOCK`` x ``BLOCK`` members inside tasks, which put out surviving pairs alone. So no pair within the threshold is lost
-but with the stated probabilities: at the threshold itself 0.7e-5 for sharing no band of 32 bands of 4 hashes (less
+most others. Then members of the components found so far are compared across components only, in blocks of about
+``BLOCK`` x ``BLOCK`` members inside tasks; a block's surviving pairs travel as one packed row and are confirmed in one
+place, most alike first, passing over pairs that are connected already. So no link between components is lost but with
+the stated probabilities: at the threshold itself 0.7e-5 for sharing no band of 32 bands of 4 hashes (less
 above it) and ``miss`` for pruning.
 """
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import map_arrow, text_or_empty, written
+from cohortloom.llm.common import Scratch, map_arrow, text_or_empty, written
 from cohortloom.llm.components import connected_components
 from cohortloom.llm.shingles import shingle_hashes
 
@@ -32,7 +33,9 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 STEP = 16
 #: Most members of a bucket's part; a block compares one part with another.
-BLOCK = 512
+BLOCK = 256
+#: Pairs whose signatures are looked at together.
+CHUNK = 1 << 14
 
 
 @lru_cache(maxsize=1)
@@ -69,25 +72,48 @@ def least_matches(threshold: float, miss: float, hashes: int = HASHES, step: int
     return out
 
 
-def surviving(x: np.ndarray, y: np.ndarray, steps: list[tuple[int, int]]) -> np.ndarray:
-    """Indices of the rows of two equally long lists of signatures that the posterior doesn't rule out at any step."""
-    at, agreed, done = np.arange(len(x)), np.zeros(len(x), np.int64), 0
-    for n, least in steps:
-        agreed = agreed + (x[at, done:n] == y[at, done:n]).sum(axis=1)
-        keep = agreed >= least
-        at, agreed, done = at[keep], agreed[keep], n
-    return at
-
-
-def surviving_block(x: np.ndarray, y: np.ndarray, apart: np.ndarray, steps: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of the pairs of a block that are ``apart`` and not ruled out."""
+def surviving(sig: np.ndarray, i: np.ndarray, j: np.ndarray, steps: list[tuple[int, int]]) -> np.ndarray:
+    """Indices of the pairs (i, j) of signatures that the posterior doesn't rule out at any step."""
+    out = []
+    for begin in range(0, len(i), CHUNK):
+        at, agreed, done = np.arange(begin, min(begin + CHUNK, len(i))), 0, 0
+        for n, least in steps:
+            agreed = agreed + (sig[i[at], done:n] == sig[j[at], done:n]).sum(axis=1)
+            keep = agreed >= least
+            at, agreed, done = at[keep], agreed[keep], n
+        out.append(at)
+    return np.concatenate(out) if out else np.empty(0, np.int64)
+
+
+def _agreement(sig: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each pair the number of agreeing hashes, and the first band that agrees in all of its hashes (or 0)."""
+    total, first = np.empty(len(i), np.int64), np.empty(len(i), np.int64)
+    for begin in range(0, len(i), CHUNK):
+        part = slice(begin, begin + CHUNK)
+        alike = sig[i[part]] == sig[j[part]]
+        total[part] = alike.sum(axis=1)
+        first[part] = alike.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+    return total, first
+
+
+def surviving_block(sig: np.ndarray, left: np.ndarray, right: np.ndarray, apart: np.ndarray, steps: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of ``left`` and ``right`` members that are ``apart`` and not ruled out."""
     n, least = steps[0]
     agreed = np.zeros(apart.shape, np.int16)
     for k in range(n):
-        agreed += x[:, k, None] == y[None, :, k]
+        agreed += sig[left, k][:, None] == sig[right, k][None, :]
     i, j = np.nonzero(apart & (agreed >= least))
-    left = surviving(x[i], y[j], steps)
-    return i[left], j[left]
+    i, j = left[i], right[j]
+    keep = surviving(sig, i, j, steps)
+    return i[keep], j[keep]
+
+
+def linked(p: np.ndarray, q: np.ndarray, threshold: int) -> bool:
+    """Whether 100 * intersection >= threshold * union of two sorted sets."""
+    at = np.searchsorted(q, p)
+    at[at == len(q)] = 0
+    both = int((q[at] == p).sum())
+    return 100 * both >= threshold * (len(p) + len(q) - both)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -150,11 +176,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             keep = []
             for p, q in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                at = np.searchsorted(q, p)
-                at[at == len(q)] = 0
-                both = int((q[at] == p).sum())
-                keep.append(100 * both >= threshold * (len(p) + len(q) - both))
+                keep.append(linked(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), threshold))
             return pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
 
         return step
@@ -175,7 +197,8 @@ def _hub_pairs(members: DataFrame, sigs: DataFrame, threshold: int, steps: list[
     def task():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, HASHES) for c in ("x", "y"))
-            at = pa.array(surviving(x, y, steps))
+            n = np.arange(len(x))
+            at = pa.array(surviving(np.concatenate((x, y)), n, n + len(x), steps))
             return pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in ("a", "b")], names=["a", "b"])
 
         return step
@@ -183,59 +206,91 @@ def _hub_pairs(members: DataFrame, sigs: DataFrame, threshold: int, steps: list[
     return map_arrow(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y"), task, "a binary, b binary")
 
 
-def _block_pairs(members: DataFrame, sigs: DataFrame, labels: DataFrame, threshold: int, steps: list[tuple[int, int]]) -> DataFrame:
-    """Pairs of each bucket across components that neither sizes nor signatures rule out, each from the first band that it shares."""
+def _streamed(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """The rows of one key after the other from batches in its order; those of a key may span batches."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        keys = table.column(key).to_numpy()
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist()]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield table.slice(a, b - a)
+        rest = table.slice(cuts[-1]).combine_chunks()
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _block_candidates(members: DataFrame, sigs: DataFrame, labels: DataFrame, threshold: int, steps: list[tuple[int, int]]) -> DataFrame:
+    """``block, members, pairs``: for each block the members and the pairs across components that neither sizes nor
+    signatures rule out, most alike first, as 16-bit positions; each pair only where its first common band meets."""
     labelled = members.join(labels, F.col("digest") == F.col("vertex"), "left").drop("vertex").withColumn("label", F.coalesce("label", "digest"))
     mixed = labelled.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least != most").select("band")
     parts = F.ceil(F.col("n_members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("digest", F.lit("part")), F.col("parts")).cast("int")
     rows = labelled.join(mixed, "band").withColumn("parts", parts).withColumn("part", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "digest", "label", "n_shingles")
-    rows = rows.join(sigs, "digest").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        """The rows of one block after the other; a block may span batches."""
-        rest: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([rest, table]) if rest is not None else table
-            key = np.stack([table.column(c).to_numpy() for c in ("band", "i", "j")])
-            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist()]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                yield table.slice(a, b - a)
-            rest = table.slice(cuts[-1]).combine_chunks()
-        if rest is not None and rest.num_rows:
-            yield rest
+    block = F.xxhash64("band", F.least("part", "other"), F.greatest("part", "other"))
+    rows = rows.select(block.alias("block"), (F.col("part") != F.col("other")).alias("across"), (F.col("part") > F.col("other")).alias("second"), "digest", "label", "n_shingles")
+    rows = rows.join(sigs, "digest").repartition("block").sortWithinPartitions("block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in _streamed(batches, "block"):
             if block.num_rows < 2:
                 continue
-            digest, label = (np.array(block.column(c).to_pylist(), object) for c in ("digest", "label"))
+            label = np.unique(np.array(block.column("label").to_pylist(), object), return_inverse=True)[1]
             sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), "<u4").reshape(-1, HASHES)
-            size, part = block.column("n_shingles").to_numpy(), block.column("part").to_numpy()
-            if block.column("i")[0].as_py() == block.column("j")[0].as_py():
-                left = right = np.arange(len(part))
-            else:
-                left, right = np.flatnonzero(part == block.column("i")[0].as_py()), np.flatnonzero(part != block.column("i")[0].as_py())
-            number = np.unique(label, return_inverse=True)[1]
+            size, second = block.column("n_shingles").to_numpy(), block.column("second").to_numpy()
+            across = block.column("across")[0].as_py()
+            left = np.flatnonzero(~second) if across else np.arange(len(size))
+            right = np.flatnonzero(second) if across else left
             p, q = size[left][:, None], size[right][None, :]
-            apart = (number[left][:, None] != number[right][None, :]) & (100 * np.minimum(p, q) >= threshold * np.maximum(p, q))
-            if left is right:
-                apart = np.triu(apart, 1)
-            i, j = surviving_block(sig[left], sig[right], apart, steps)
+            apart = (label[left][:, None] != label[right][None, :]) & (100 * np.minimum(p, q) >= threshold * np.maximum(p, q))
+            i, j = surviving_block(sig, left, right, apart if across else np.triu(apart, 1), steps)
             if not len(i):
                 continue
-            i, j = left[i], right[j]
-            alike = (sig[i] == sig[j]).reshape(-1, BANDS, ROWS).all(axis=2)
-            # the band of this bucket is that whose hashes all members share
+            agreed, first = _agreement(sig, i, j)
+            # the band of this block is one whose hashes all members share
             here = (sig == sig[0]).all(axis=0).reshape(BANDS, ROWS).all(axis=1)
-            first = alike.argmax(axis=1)
-            keep = here[first] & ~(here[None, :] & (np.arange(BANDS)[None, :] < first[:, None])).any(axis=1) if here.any() else np.ones(len(i), bool)
-            if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(digest[i[keep]].tolist(), pa.binary()), pa.array(digest[j[keep]].tolist(), pa.binary())], names=["a", "b"])
+            keep = np.flatnonzero(here[first])
+            keep = keep[np.argsort(-agreed[keep], kind="stable")]
+            if not len(keep):
+                continue
+            used, at = np.unique(np.concatenate((i[keep], j[keep])), return_inverse=True)
+            digests = block.column("digest").take(pa.array(used)).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [block.column("block").slice(0, 1).combine_chunks(), pa.array([digests], pa.list_(pa.binary())), pa.array([at.astype("<u2").tobytes()], pa.binary())], names=["block", "members", "pairs"]
+            )
+
+    return rows.mapInArrow(run, "block long, members array<binary>, pairs binary")
+
+
+def _block_links(candidates: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links between the members of each block, confirmed on full sets; pairs that confirmed ones already connect are passed over."""
+    rows = candidates.select("block", F.posexplode("members").alias("at", "digest"), "pairs").withColumn("pairs", F.when(F.col("at") == 0, F.col("pairs")))
+    rows = rows.join(sets, "digest").repartition("block").sortWithinPartitions("block", "at")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _streamed(batches, "block"):
+            digests = block.column("digest").to_pylist()
+            shingles = [np.frombuffer(x, np.uint64) for x in block.column("shingles").to_pylist()]
+            pairs = np.frombuffer(block.column("pairs")[0].as_py(), "<u2").reshape(2, -1)
+            above = list(range(len(digests)))
+
+            def root(x: int, above: list[int] = above) -> int:
+                while above[x] != x:
+                    above[x] = above[above[x]]
+                    x = above[x]
+                return x
+
+            found = []
+            for i, j in pairs.T.tolist():
+                if root(i) != root(j) and linked(shingles[i], shingles[j], threshold):
+                    above[root(i)] = root(j)
+                    found.append((digests[i], digests[j]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found, strict=True)], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a binary, b binary").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return rows.mapInArrow(run, "a binary, b binary")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, threshold: int = 75, miss: float = 1e-6) -> DataFrame:
@@ -246,32 +301,37 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own id. Null ids count as larger than all others; a row without id is kept if its whole component has none.
     Repeated rows give a row each, with ``kept`` where the id is the component's. Other columns are ignored.
     """
+    scratch = Scratch(docs.sparkSession, "near")
     steps = least_matches(threshold / 100, miss)
     rows = _rows(docs, id_col, text_col)
-    leaf = written(_described(rows, shingle_words), "near-leaf")
+    leaf = scratch.written(_described(rows, shingle_words), "leaf")
     order = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col("row_key"))
-    vertices = written(leaf.where("digest is not null").groupBy("digest").agg(F.min(order).alias("first")), "near-vertices")
+    vertices = scratch.written(leaf.where("digest is not null").groupBy("digest").agg(F.min(order).alias("first")), "vertices")
     reps = leaf.join(vertices.select("digest", F.col("first.row_key").alias("row_key")), ["digest", "row_key"]).select("digest", "n_shingles", "sig")
-    reps = written(reps.dropDuplicates(["digest"]), "near-signatures")
+    reps = scratch.written(reps.dropDuplicates(["digest"]), "signatures")
     banded = reps.select("digest", "n_shingles", F.explode(_band_keys()).alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("n_members")).where("n_members > 1")
-    members = written(banded.join(shared, "band"), "near-members")
+    members = scratch.written(banded.join(shared, "band"), "members")
     active = members.select("digest").distinct()
-    sigs = written(reps.join(active, "digest", "left_semi").select("digest", "sig"), "near-active")
+    sigs = scratch.written(reps.join(active, "digest", "left_semi").select("digest", "sig"), "active")
     wanted = vertices.join(active, "digest", "left_semi").select("digest", F.col("first.row_key").alias("row_key"))
-    sets = written(_sets(rows.join(wanted, "row_key"), shingle_words), "near-sets")
+    sets = scratch.written(_sets(rows.join(wanted, "row_key"), shingle_words), "sets")
 
-    hub_links = written(_confirmed(_hub_pairs(members, sigs, threshold, steps), sets, threshold), "near-links")
-    labels = connected_components(hub_links)
-    block_links = written(_confirmed(_block_pairs(members, sigs, labels, threshold, steps), sets, threshold), "near-links")
-    labels = connected_components(hub_links.union(block_links))
+    hub_links = scratch.written(_confirmed(_hub_pairs(members, sigs, threshold, steps), sets, threshold), "links")
+    labels = connected_components(hub_links, scratch)
+    candidates = scratch.written(_block_candidates(members, sigs, labels, threshold, steps), "candidates")
+    block_links = scratch.written(_block_links(candidates, sets, threshold), "links")
+    labels = connected_components(hub_links.union(block_links), scratch)
 
     labelled = vertices.join(labels, F.col("digest") == F.col("vertex"), "left").select("digest", F.coalesce("label", "digest").alias("label"), "first")
     smallest = labelled.groupBy("label").agg(F.min(F.struct("first.missing", "first.id")).alias("smallest"))
     of_digest = labelled.select("digest", "label").join(smallest, "label").select("digest", F.col("smallest.id").alias("component_id"))
     joined = leaf.select("doc_id", "n_shingles", "digest").join(of_digest, "digest", "left")
-    return joined.select(
+    result = joined.select(
         "doc_id",
         "n_shingles",
         F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    result = written(result, "near-result")
+    scratch.drop()
+    return result

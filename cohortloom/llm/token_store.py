@@ -30,7 +30,7 @@ from cohortloom.llm.words import id_bytes
 
 SHARD_IDS, SHARD_DOCS = 1 << 18, 4096
 BUCKET_KEYS = 4096
-GROUP_KEYS = 4
+GROUP_KEYS = 3
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 _ENTRY = "shard_part int, shard_seq int, offset long, length long, start long"
@@ -75,16 +75,16 @@ def build_perfect_hash(keys: np.ndarray) -> np.ndarray:
         if size[g] < 2:
             break
         members = keys[order[first[g] : first[g] + size[g]]]
-        seed = 1
-        while True:  # 16 seeds at a time
-            seeds = np.arange(seed, seed + 16, dtype=np.uint64)
+        seed, tries = 1, 4
+        while True:  # more seeds at a time the longer it takes
+            seeds = np.arange(seed, seed + tries, dtype=np.uint64)
             places = (_mixed(members[None, :], seeds[:, None]) % np.uint64(n)).astype(np.int64)
             ok = ~taken[places].any(axis=1)
             for k in np.flatnonzero(ok).tolist():
                 if len(set(places[k].tolist())) == size[g]:
                     break
             else:
-                seed += 16
+                seed, tries = seed + tries, min(2 * tries, 2048)
                 if seed > 1 << 24:
                     raise ValueError("keys are not distinct")
                 continue

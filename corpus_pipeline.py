@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +20,13 @@ LEAST_SCORE = 0.3
 _ROW = "__pipeline_row"
 
 
-def _numbered(docs: DataFrame, label: str) -> DataFrame:
-    """The documents as a written table with a number for each row, so that a number stays with its row whatever is computed again."""
-    return written(docs.withColumn(_ROW, F.monotonically_increasing_id()), label)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with an identity for each row that stays with it whatever is computed again: file and place of a
+    table that is read as it stands, else a number in a written copy."""
+    try:
+        return docs.select("*", F.concat_ws(":", "_metadata.file_name", "_metadata.row_index").alias(_ROW))
+    except AnalysisException:
+        return written(docs.withColumn(_ROW, F.monotonically_increasing_id()), "pipeline-rows")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,14 +37,14 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (after white space is normalised) the row with the smallest id."""
-    rows = _numbered(docs, "pipeline-exact")
+    rows = _numbered(docs)
     kept = exact_dedup(rows, row_col=_ROW).where("kept").select(F.col("row_uid").alias(_ROW))
     return rows.join(kept, _ROW, "left_semi").select(*docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the row with the smallest id; of repeated ids the first."""
-    rows = _numbered(docs, "pipeline-near")
+    rows = _numbered(docs)
     whole_id = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col(_ROW).alias("row"))
     kept = near_dedup(rows.select(whole_id.alias("doc_id"), "text")).where("kept").select(F.col("doc_id.row").alias(_ROW))
     return rows.join(kept, _ROW, "left_semi").select(*docs.columns)
