@@ -18,8 +18,9 @@ def bounded_sample(df: DataFrame, names: list[str], n: int, seed: int, keys: tup
     total = df.count()
     share = min(1.0, n / max(total, 1))
     drawn = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 30)) < share * (1 << 30)
-    rows = df.where(drawn).select(*keys, *(F.col(f"`{c}`").cast("double").alias(c) for c in names)).toPandas().sort_values(list(keys), kind="stable")
-    return rows[names].to_numpy(np.float64)
+    key_names = [f"__key_{i}" for i in range(len(keys))]
+    rows = df.where(drawn).select(*(F.col(k).alias(n) for k, n in zip(keys, key_names, strict=True)), *(F.col(f"`{c}`").cast("double").alias(c) for c in names)).toPandas()
+    return rows.sort_values(key_names, kind="stable")[names].to_numpy(np.float64)
 
 
 def _average_path(n: np.ndarray | float) -> np.ndarray:

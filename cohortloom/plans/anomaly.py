@@ -24,6 +24,8 @@ from cohortloom.sources.config import Dictionary
 from cohortloom.sources.staging import staged
 
 DIRECT_FEATURES = ("rating_group",)
+#: Columns of a raw panel that stay text.
+TEXT_COLUMNS = (ID, TIME, "musteri_segment", "cst_sector", "cst_nace_code", "cst_nace_code_id", "financial_term_l1y", "financial_term_q", "ref_donem_id", "yukleme_zmn", "data_time", "created_at")
 
 
 @dataclass

@@ -135,7 +135,7 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, count(value) OVER w AS n, median(value) OVER w AS m, median(t) OVER w AS tm FROM long WINDOW w AS (PARTITION BY feature, {keys})) GROUP BY feature, {keys} HAVING max(n) >= 50"""
         for name, keys in _LEVELS.items()
     ),
-    "peer_hierarchy_z": f"WITH {LONG}, {_peers('long')} SELECT mono_id, {DAY}, feature, peer_level, CAST(peer_support AS BIGINT) AS peer_support, round(peer_median, 6) AS peer_median, round(peer_z, 5) AS peer_z, peer_score, peer_quality FROM peers",
+    "peer_hierarchy_z": f"WITH {LONG}, {_peers('long')} SELECT mono_id, {DAY}, feature, peer_level, CAST(peer_support AS BIGINT) AS peer_support, round(peer_median, 6) AS peer_median, round(peer_z, 5) AS peer_z, CAST(peer_score AS DOUBLE) AS peer_score, peer_quality FROM peers",
     "peer_quality": f"WITH {LONG}, {_peers('long')} SELECT 'quality' AS kind, peer_quality AS name, count(*) AS n FROM peers GROUP BY 2 UNION ALL SELECT 'level', peer_level, count(*) FROM peers GROUP BY 2",
     "peer_diagnostics": f"""WITH {LONG}, {_peers('long')},
         d AS (SELECT count(*) AS total, {', '.join(f"round_even(count(*) FILTER (peer_quality = '{q}') / count(*) * 100, 2) AS {n}" for q, n in (('GUCLU', 'strong_pct'), ('KABUL_EDILEBILIR', 'acceptable_pct'), ('ZAYIF', 'weak_pct')))},

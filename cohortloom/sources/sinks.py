@@ -99,7 +99,12 @@ def write_table(df: DataFrame, name: str, spec: TableSpec, mode: str = "replace"
     spark = df.sparkSession
     ensure_table(spark, name, spec)
     out = shaped(df, spec).select(*(F.col(c.name) for c in spark.catalog.listColumns(name)))
-    out.write.mode("overwrite" if write_mode(mode) == "replace" else "append").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        out.write.insertInto(name, overwrite=write_mode(mode) == "replace")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
 def audit(spark: SparkSession, tables: list[str], month: str | None = None, run_id: str | None = None) -> DataFrame:
