@@ -68,6 +68,12 @@ def split_remainder(doc_id: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+def texts_of(batch: pa.RecordBatch, column: str = "text", rows: int = 256) -> Iterator[str]:
+    """The texts of a batch, a few rows of which are Python strings at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield from batch.column(column).slice(at, rows).to_pylist()
+
+
 def map_arrow(df: DataFrame, per_batch: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str) -> DataFrame:
     """``mapInArrow`` with a function made once per task by ``per_batch()``, so that its caches and models live that long."""
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import map_arrow, shuffle_partitions, text_or_empty, written
+from cohortloom.llm.common import map_arrow, shuffle_partitions, text_or_empty, texts_of, written
 from cohortloom.llm.words import id_bytes
 
 
@@ -97,8 +97,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             row, piece, start, length, crc, kept = [], [], [], [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                ids = encode(text) + end
+            for i, ids in enumerate(encode(texts_of(batch))):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     row.append(i)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import map_arrow, shared_folder, shuffle_partitions, text_or_empty
+from cohortloom.llm.common import map_arrow, shared_folder, shuffle_partitions, text_or_empty, texts_of
 from cohortloom.llm.words import id_bytes
 
 SHARD_IDS, SHARD_DOCS = 1 << 18, 4096
@@ -126,24 +126,32 @@ def write_store(docs: DataFrame, tokenizer_path: str, vocabulary: int, end_id: i
     ordered = rows.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "row_uid")
 
     def task():
-        encode, end, part = id_bytes(tokenizer_path), int(end_id), TaskContext.get().partitionId()
+        encode, end, part = id_bytes(tokenizer_path), int(end_id).to_bytes(4, "little"), TaskContext.get().partitionId()
         before: list = [None, -1]
         seq = 0
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             nonlocal seq
             made: dict[str, list] = {k: [] for k in ("ids", "copies", "lengths", "payload")}
-            total = SHARD_IDS
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = np.append(np.frombuffer(encode(text), "<u4"), np.uint32(end)).astype(kind)
+            own: dict[str, list] = {k: [] for k in made}
+            total = 0
+
+            def close() -> None:
+                own["payload"] = np.frombuffer(b"".join(own["payload"]), "<u4").astype(kind).tobytes()
+                for k in made:
+                    made[k].append(own[k])
+                    own[k] = []
+
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch)), strict=True):
+                n = len(ids) // 4 + 1
                 before[:] = [doc_id, before[1] + 1 if before[1] >= 0 and before[0] == doc_id else 0]
-                if total + len(ids) > SHARD_IDS or len(made["ids"][-1]) >= SHARD_DOCS:
-                    for column in made.values():
-                        column.append([])
+                if own["ids"] and (total + n > SHARD_IDS or len(own["ids"]) >= SHARD_DOCS):
+                    close()
                     total = 0
-                total += len(ids)
-                for column, value in zip(made.values(), (doc_id, before[1], len(ids), ids.tobytes()), strict=True):
-                    column[-1].append(value)
+                total += n
+                for column, value in zip(own.values(), (doc_id, before[1], n, ids + end), strict=True):
+                    column.append(value)
+            close()
             n = len(made["ids"])
             seqs, seq = range(seq, seq + n), seq + n
             return pa.RecordBatch.from_arrays(
@@ -154,7 +162,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, vocabulary: int, end_id: i
                     pa.array(made["ids"], pa.list_(batch.schema.field("doc_id").type)),
                     pa.array(made["copies"], pa.list_(pa.int32())),
                     pa.array(made["lengths"], pa.list_(pa.int64())),
-                    pa.array([b"".join(x) for x in made["payload"]], pa.binary()),
+                    pa.array(made["payload"], pa.binary()),
                 ],
                 names=["part", "seq", "n_ids", "ids", "copies", "lengths", "payload"],
             )
@@ -222,8 +230,8 @@ def fetch_digests(store: TokenStore, keys: DataFrame) -> DataFrame:
     def cut(asked: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
         crc = []
         if len(asked):
-            ids = np.frombuffer(shard["payload"].iloc[0], kind)
-            crc = [zlib.crc32(ids[a : a + n].astype("<u4").tobytes()) for a, n in zip(asked["offset"].tolist(), asked["length"].tolist(), strict=True)]
+            ids = memoryview(np.frombuffer(shard["payload"].iloc[0], kind).astype("<u4").tobytes())
+            crc = [zlib.crc32(ids[4 * a : 4 * (a + n)]) for a, n in zip(asked["offset"].tolist(), asked["length"].tolist(), strict=True)]
         return pd.DataFrame({"doc_id": asked["doc_id"], "copy": asked["copy"], "start": asked["start"], "n_tokens": asked["length"], "ids_crc32": pd.Series(crc, asked.index, "int64")})
 
     shards = store.shards.select(F.col("part").alias("shard_part"), F.col("seq").alias("shard_seq"), "payload")

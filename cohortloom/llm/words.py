@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -12,14 +12,16 @@ import numpy as np
 from cohortloom.llm.common import SPACES
 
 #: Words a worker process remembers between documents; a full memory is emptied, results do not depend on it.
-MEMORY_ENTRIES = 1_000_000
+MEMORY_ENTRIES = 800_000
 #: New words that are encoded in one call.
 TOGETHER = 512
+#: Characters of texts whose new words are looked for together.
+CHARS_TOGETHER = 250_000
 
 
 @lru_cache(maxsize=4)
-def id_bytes(path: str) -> Callable[[str], bytes]:
-    """text -> its ids as little-endian unsigned 32-bit integers, without special tokens; one for each worker process.
+def id_bytes(path: str) -> Callable[[Iterable[str]], Iterator[bytes]]:
+    """texts -> the ids of each as little-endian unsigned 32-bit integers, without special tokens; one for each worker process.
 
     For tokenizers that lower-case, drop white space and split letters, single digits, other characters and English
     contractions, never merging across these: then a text's ids are those of its words in turn, and a word's without an
@@ -88,13 +90,26 @@ def id_bytes(path: str) -> Callable[[str], bytes]:
             known[word] = b"".join([known[p] for p in ps])
         return None
 
-    def encode(text: str) -> bytes:
-        plain = not unusual(text)
-        words = text.lower().split() if plain else split(text)
+    def encode_some(texts: list[str]) -> list[bytes]:
+        plain = [not unusual(text) for text in texts]
+        words = [text.lower().split() if p else split(text) for text, p in zip(texts, plain, strict=True)]
         if len(known) > MEMORY_ENTRIES:
             known.clear()
-        if new := list(set(words).difference(known)):
-            learn(new, plain)
-        return b"".join(map(known.__getitem__, words))
+        for kind in (True, False):
+            if new := set().union(*(w for w, p in zip(words, plain, strict=True) if p is kind)).difference(known):
+                learn(list(new), kind)
+        find = known.__getitem__
+        return [b"".join(map(find, w)) for w in words]
+
+    def encode(texts: Iterable[str]) -> Iterator[bytes]:
+        some: list[str] = []
+        size = 0
+        for text in texts:
+            some.append(text)
+            size += len(text)
+            if size >= CHARS_TOGETHER:
+                yield from encode_some(some)
+                some, size = [], 0
+        yield from encode_some(some)
 
     return encode
