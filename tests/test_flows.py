@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.__main__ import arguments, main
-from cohortloom.operators import decisions
+from cohortloom.operators import assessments, decisions
 from cohortloom.plans import anomaly, evidence_flow
 from cohortloom.plans.oracles import ORACLES
 from cohortloom.plans.queries import QUERIES
@@ -280,3 +280,22 @@ def test_queries_agree_with_sql(spark, name):
 def test_library_stands_without_the_training_data_operators():
     code = "import sys; sys.modules['cohortloom.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; assert len(e.queries()) > 40 and not any(n.startswith('op') for n in e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+
+
+def test_assessments(spark, panel, evidence):
+    quality = evidence_flow.entity_quality(anomaly.intake(panel), ["bank_total_risk"])
+    got = {r.mono_id: r for r in assessments.assessments(evidence, quality).collect()}
+    rows = {(r.mono_id, r.feature): r for r in evidence.collect()}
+    a = got["C_000"]
+    top = max((r for k, r in rows.items() if k[0] == "C_000"), key=lambda r: (abs(r.peer_z), [-ord(c) for c in r.feature]))
+    assert a.peer_assessment.startswith(f"Peer: feature={top.feature}; peer_median={top.peer_median:.6g}; peer_z={top.peer_z:.6g}; peer_support=0; peer_quality=ZAYIF; peer_level=GLOBAL_FEATURE")
+    assert a.seasonality_assessment == assessments.NO_SEASON and a.caveat == "Caveat: coverage_ratio=1; missing_feature_count=0; customer_history_periods=2; weak_peer_features=3"
+    assert a.trend_assessment == assessments.NO_TREND
+    digits = spark.createDataFrame([(x,) for x in (0.0, 12.0, 1234567.0, 0.000123456789, -3.14159265, 100.5)], "x double").select(assessments.six_digits(F.col("x"))).collect()
+    assert [r[0] for r in digits] == ["0", "12", "1234567", "0.000123457", "-3.14159", "100.5"]
+
+
+def test_evidence_from_results(run):
+    e = assessments.evidence_from_results(run.results)
+    assert not [c for c in e.columns if decisions.denied(c)] and e.count() == 36
+    assert decisions.prompt_text(e).count() == 12
