@@ -149,8 +149,10 @@ def write_store(docs: DataFrame, tokenizer_path: str, vocabulary: int, end_id: i
                     close()
                     total = 0
                 total += n
-                for column, value in zip(own.values(), (doc_id, before[1], n, ids + end), strict=True):
-                    column.append(value)
+                own["ids"].append(doc_id)
+                own["copies"].append(before[1])
+                own["lengths"].append(n)
+                own["payload"].append(ids + end)
             close()
             n = len(made["ids"])
             seqs, seq = range(seq, seq + n), seq + n
@@ -170,7 +172,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, vocabulary: int, end_id: i
         return step
 
     shards = map_arrow(ordered, task, f"part int, seq int, n_ids long, ids array<{id_type}>, copies array<int>, lengths array<long>, payload binary")
-    shards.write.option("compression", "zstd").parquet(f"{path}/shards")
+    shards.write.parquet(f"{path}/shards")
     store = TokenStore(spark, path, id_type, np.dtype(kind).itemsize, 1)
     known = store.shards.select("part", "seq", "n_ids", "ids", "copies", "lengths")
     n_docs = known.agg(F.sum(F.size("ids"))).first()[0] or 0

@@ -12,7 +12,7 @@ import numpy as np
 from cohortloom.llm.common import SPACES
 
 #: Words a worker process remembers between documents; a full memory is emptied, results do not depend on it.
-MEMORY_ENTRIES = 800_000
+MEMORY_ENTRIES = 1_200_000
 #: New words that are encoded in one call.
 TOGETHER = 512
 #: Characters of texts whose new words are looked for together.
