@@ -128,7 +128,7 @@ def test_decisions_with_rules_and_replays(spark, evidence, run):
 
 
 def test_matching_of_reasons():
-    assert decisions.matched_features(["debt to sales is high", "other", "debt again"], ["net sales", "debt to sales", "equity"]) == ["debt to sales", "debt to sales", "debt to sales"] or True
+    assert decisions.matched_features(["debt to sales is high", "other"], ["net sales", "debt to sales", "equity"]) == ["debt to sales", "debt to sales"]
     assert decisions.match_score("the debt to sales ratio", "debt_to_sales") > decisions.match_score("equity", "debt_to_sales")
     assert decisions.matched_features(["xyz"], ["a1b"]) == ["a1b"] and decisions.matched_features(["xyz", "q"], ["a1b"])[1] is None
 
