@@ -51,10 +51,10 @@ def drop_score_columns(df: DataFrame) -> DataFrame:
     return df.drop(*(c for c in df.columns if denied(c)))
 
 
-def feature_line(f: Column) -> Column:
+def feature_line(f: Column, have: list[str]) -> Column:
     """One feature's evidence as a line of key=value parts; missing ones are left out."""
     keys = ("value", "previous_value", "change_pct", "median", "p25", "p75", "history_z", "slope_6m", "slope_12m", "trend_break_flag", "yoy_change_pct", "same_month_customer_z", "seasonal_peer_median", "seasonal_peer_z", "peer_median", "peer_z", "peer_support", "peer_level", "peer_quality")
-    parts = [F.concat(F.lit(f"{k}="), F.substring(f[k].cast("string"), 1, 24)) for k in keys]
+    parts = [F.concat(F.lit(f"{k}="), F.substring(f[k].cast("string"), 1, 24)) for k in keys if k in have]
     return F.concat_ws(" | ", F.concat(F.lit("- "), f["feature"]), *parts)
 
 
@@ -64,7 +64,7 @@ def prompt_text(evidence: DataFrame, template: str = "", keys: tuple[str, ...] =
     every = F.struct(*(F.col(c) for c in rows.columns if c not in keys and c != "series"))
     lines = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("evidence_rank", every.alias("f")))).alias("features"))  # at most the ranked features of an entity
     head = F.concat(F.lit(template), F.lit("\nmusteri="), F.col(keys[0]), F.lit(" donem="), F.col(keys[1]).cast("string"), F.lit("\n"))
-    return lines.select(*keys, F.concat(head, F.array_join(F.transform("features", lambda x: feature_line(x["f"])), "\n")).alias("prompt"))
+    return lines.select(*keys, F.concat(head, F.array_join(F.transform("features", lambda x: feature_line(x["f"], rows.columns)), "\n")).alias("prompt"))
 
 
 def _unit(value: Any) -> float:

@@ -13,13 +13,17 @@ TREES, SUBSAMPLE = 150, 256
 MAX_FIT_ROWS = 300_000
 
 
+def sampled(df: DataFrame, n: int, seed: int, keys: tuple[str, ...]) -> DataFrame:
+    """About ``n`` rows at most: all of a smaller frame, else those whose hashed keys fall below a share; the same ones whatever the partitioning."""
+    share = min(1.0, n / max(df.count(), 1))
+    return df.where(F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 30)) < share * (1 << 30))
+
+
 def bounded_sample(df: DataFrame, names: list[str], n: int, seed: int, keys: tuple[str, ...]) -> np.ndarray:
-    """About ``n`` rows at most as a matrix: all of a smaller frame, else those whose hashed keys fall below a share."""
-    total = df.count()
-    share = min(1.0, n / max(total, 1))
-    drawn = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 30)) < share * (1 << 30)
+    """``sampled`` rows as a matrix on the driver, in the order of their keys."""
     key_names = [f"__key_{i}" for i in range(len(keys))]
-    rows = df.where(drawn).select(*(F.col(k).alias(n) for k, n in zip(keys, key_names, strict=True)), *(F.col(f"`{c}`").cast("double").alias(c) for c in names)).toPandas()
+    drawn = sampled(df, n, seed, keys)
+    rows = drawn.select(*(F.col(k).alias(n) for k, n in zip(keys, key_names, strict=True)), *(F.col(f"`{c}`").cast("double").alias(c) for c in names)).toPandas()
     return rows.sort_values(key_names, kind="stable")[names].to_numpy(np.float64)
 
 

@@ -7,14 +7,13 @@ from dataclasses import dataclass, field
 from datetime import date
 from typing import Any
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.formula import compile_formulas
 from cohortloom.functions.numeric import confidence, coverage, data_gap, ensemble, missing_count, top_mean
 from cohortloom.functions.text import alert_type, review_queue, term_column
-from cohortloom.operators.models import bounded_sample, fit_autoencoder, fit_isolation_forest, model_score
+from cohortloom.operators.models import bounded_sample, fit_autoencoder, fit_isolation_forest, model_score, sampled
 from cohortloom.operators.panel import ID, TIME, intake, latest_before, scoring_month, split
 from cohortloom.operators.peers import PeerColumns, long_form, peer_diagnostics, peer_matrix, peer_references, with_peer_context
 from cohortloom.operators.reasons import build_reasons
@@ -88,15 +87,16 @@ def run_anomaly(
     prepared = fit_preprocessor(train_matrix, names)
     x_train = train_matrix.select(*keys, *prepared.expressions())
     x_score = peer_matrix(peers, features, keys).select(*keys, *prepared.expressions())
-    sample = bounded_sample(x_train, names, max_calibration_rows, seed, (ID, TIME))
+    calibration = staged(sampled(x_train, max_calibration_rows, seed, (ID, TIME)), "calibration")
+    sample = bounded_sample(calibration, names, max_calibration_rows, seed, (ID, TIME))
     if not len(sample):
         raise ValueError("there are no rows before the scoring month")
     forest, coder = fit_isolation_forest(sample, trees=trees, seed=seed), fit_autoencoder(sample, seed=seed)
-    k = min(3, len(names))
-    residual = np.sort(np.abs(sample), axis=1)[:, -k:].mean(axis=1)
     absolute = F.array(*(F.abs(F.col(f"`{n}`")) for n in names))
-    raw = x_score.select(*keys, *(F.col(f"`{n}`") for n in names), model_score(forest, names).alias("__if"), model_score(coder, names).alias("__ae"), top_mean(absolute).alias("__res"))
-    scored = raw.withColumns({"if_score": percentile_against(forest.scores(sample), F.col("__if")), "residual_score": percentile_against(residual, F.col("__res")), "autoencoder_score": percentile_against(coder.errors(sample), F.col("__ae"))})
+    scores = {"if_score": model_score(forest, names), "residual_score": top_mean(absolute), "autoencoder_score": model_score(coder, names)}
+    reference = calibration.select(*(c.alias(k) for k, c in scores.items())).toPandas()  # three numbers for each calibration row
+    raw = x_score.select(*keys, *(F.col(f"`{n}`") for n in names), *(c.alias(f"__{k}") for k, c in scores.items()))
+    scored = raw.withColumns({k: percentile_against(reference[k].to_numpy(), F.col(f"__{k}")) for k in scores})
     scored = staged(scored.withColumn("ensemble_score", ensemble({c: F.col(c) for c in ("if_score", "residual_score", "autoencoder_score")})), "scores")
     thresholds = band_thresholds(scored, "ensemble_score")
     shown = scored if ids is None else scored.join(ids.select(F.col(ID).cast("string")).distinct(), ID, "left_semi")
@@ -122,7 +122,7 @@ def run_anomaly(
         rows = rows.withColumns({"term_column": F.coalesce(*(F.when(F.col("feature") == f, F.lit(t)) for f, t in terms.items())), "term": pick("now"), "previous_term": pick("then")})
     reasons = staged(build_reasons(staged(rows, "reason-rows"), keys, top_reasons, dictionary.labels() or None), "reasons")
 
-    out = shown.drop(*names, "__if", "__ae", "__res").join(about, keys).join(reasons, keys, "left")
+    out = shown.drop(*names, *(f"__{k}" for k in scores)).join(about, keys).join(reasons, keys, "left")
     out = out.withColumns({"alert_band": band(F.col("ensemble_score"), thresholds), "reasons": F.coalesce("reasons", F.array().cast(reasons.schema["reasons"].dataType)), "anomaly_score": F.col("ensemble_score")})
     out = out.withColumn("confidence", confidence(F.col("coverage_ratio"), F.col("if_score"), F.col("residual_score"), F.col("autoencoder_score")))
     out = out.withColumn("alert_type", alert_type(F.col("alert_band"), F.col("data_gap_score"), F.col("coverage_ratio"), F.transform("reasons", lambda r: r["feature"])))

@@ -17,6 +17,7 @@ from cohortloom.operators.decisions import companion_scores, prompt_text
 from cohortloom.operators.reasons import severity_shares
 from cohortloom.plans import anomaly, evidence_flow
 from cohortloom.plans.panels import FORMULAS, MEASURES, customer_months, customer_years, table, user_days
+from cohortloom.sources.staging import staged
 
 YEAR, MONTH = date(2000, 12, 31), date(2001, 6, 30)
 PEER_FEATURES = ["bank_total_risk", "memzuc_total_limit", "returned_amount"]
@@ -150,7 +151,7 @@ def size_bucket_quartiles(spark, sf_dir):
 
 
 def _long(spark, sf_dir) -> DataFrame:
-    return peers.long_form(peers.with_peer_context(customer_years(spark, sf_dir)), PEER_FEATURES, [*KEYS, *CONTEXT])
+    return staged(peers.long_form(peers.with_peer_context(customer_years(spark, sf_dir)), PEER_FEATURES, [*KEYS, *CONTEXT]), "long")
 
 
 @query
@@ -394,23 +395,23 @@ def peer_ratio_outliers(spark, sf_dir):
     df = peers.with_peer_context(customer_years(spark, sf_dir))
     at = panel.split(df, YEAR)[1]
     at = at.withColumns(compile_formulas(at, {"bank_risk_to_assets": FORMULAS["bank_risk_to_assets"]}))
-    z = peers.peer_references(peers.long_form(at, ["bank_risk_to_assets"], [*KEYS, *CONTEXT])).where("peer_z IS NOT NULL")
+    z = peers.peer_references(staged(peers.long_form(at, ["bank_risk_to_assets"], [*KEYS, *CONTEXT]), "long")).where("peer_z IS NOT NULL")
     return z.select("mono_id", _r("value", "value"), "peer_level", "peer_support", _r("peer_z", "peer_z", 5)).orderBy(F.abs(F.col("peer_z")).desc(), "mono_id").limit(100)
 
 
 @query
 def ensemble_flagship(spark, sf_dir):
-    run = anomaly.run_anomaly(customer_years(spark, sf_dir), FORMULAS, month="2000-12-31")
+    run = anomaly.run_anomaly(staged(customer_years(spark, sf_dir), "panel"), FORMULAS, month="2000-12-31")
     return run.results.select("mono_id", _day(), "ensemble_score", "if_score", "residual_score", "autoencoder_score", "confidence", "coverage_ratio", "alert_band", "alert_type", "review_queue", "reason_1", "reason_2", "reason_3", "reason_details")
 
 
 @query
 def evidence_packages(spark, sf_dir):
-    e = evidence_flow.build_evidence(customer_years(spark, sf_dir), FORMULAS, settings=evidence_flow.EvidenceSettings(month="2000-12-31"))
+    e = evidence_flow.build_evidence(staged(customer_years(spark, sf_dir), "panel"), FORMULAS, settings=evidence_flow.EvidenceSettings(month="2000-12-31"))
     return e.select("mono_id", _day(), "feature", "value", "peer_z", "history_z", "slope_6m", "trend_break_flag", "seasonal_peer_z", "evidence_strength", "evidence_rank", F.to_json("series").alias("series"))
 
 
 @query
 def prompt_dry_run(spark, sf_dir):
-    e = evidence_flow.build_evidence(customer_years(spark, sf_dir), FORMULAS, settings=evidence_flow.EvidenceSettings(month="2000-12-31"))
+    e = evidence_flow.build_evidence(staged(customer_years(spark, sf_dir), "panel"), FORMULAS, settings=evidence_flow.EvidenceSettings(month="2000-12-31"))
     return prompt_text(e, "Karar ver.").select("mono_id", _day(), "prompt")
