@@ -15,8 +15,6 @@ from cohortloom.llm.near_dedup import near_dedup
 from cohortloom.llm.packing import pack_documents
 from cohortloom.llm.queries import WORD_TOKENIZER
 
-#: Documents whose best language has a lower calibrated probability are rejected.
-LEAST_SCORE = 0.3
 _ROW = "__pipeline_row"
 
 
@@ -30,9 +28,9 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a recognised language: those without a letter, without text, or of doubtful language go."""
+    """Documents in a recognised language: those that the classifier rejects, without text or without a letter, go."""
     predicted = language_id(docs, keep=tuple(docs.columns))
-    return predicted.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    return predicted.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
