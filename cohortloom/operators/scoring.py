@@ -6,10 +6,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import clip, signed_log1p
+from cohortloom.sources.staging import staged
 
 # Fixed values of the band policy.
 BANDS = (("sari", 0.95, 90.0), ("turuncu", 0.98, 95.0), ("kirmizi", 0.99, 97.5))
@@ -71,6 +72,26 @@ def percentile_against(reference: np.ndarray, values: Column) -> Column:
     return ranked(values)
 
 
+def percentiles(scored: DataFrame, reference: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``scored`` with the share, in percent, of all reference rows that are not greater: ``columns`` are value columns of both frames and what to call their percentiles.
+
+    Rows are counted per distinct value, values are range-partitioned, and running sums within partitions are moved up by
+    the sums of those before; only a row a partition is in one place. Missing values are above all others; without a
+    reference all percentiles are 0. ``scored`` should be cheap to read twice.
+    """
+    for column, name in columns.items():
+        value = F.coalesce(F.col(column).cast("double"), F.lit(float("nan")))
+        counts = reference.select(value.alias("value"), F.lit(1).alias("n")).unionByName(scored.select(value.alias("value"), F.lit(0).alias("n"))).groupBy("value").agg(F.sum("n").alias("n"))
+        counts = staged(counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "counts")
+        sums = counts.groupBy("part").agg(F.sum("n").alias("sum"))
+        before = sums.select("part", (F.sum("sum").over(Window.orderBy("part")) - F.col("sum")).alias("before"), F.sum("sum").over(Window.partitionBy()).alias("total"))  # a row a partition
+        running = counts.withColumn("n", F.sum("n").over(Window.partitionBy("part").orderBy("value"))).join(F.broadcast(before), "part")
+        share = F.coalesce(F.try_divide((F.col("before") + F.col("n")).cast("double"), F.col("total")) * 100.0, F.lit(0.0))
+        ranks = running.select(F.col("value").alias("__value"), share.alias(name))
+        scored = scored.withColumn("__value", value).join(ranks, "__value").drop("__value")
+    return scored
+
+
 def band_thresholds(scores: DataFrame, score: str) -> dict[str, float]:
     """Quantiles of the scores, each at least its floor and the band below."""
     row = scores.agg(F.percentile(F.col(score), F.array(*(F.lit(q) for _, q, _ in BANDS)))).first()[0] or [0.0] * len(BANDS)

@@ -217,8 +217,8 @@ def row_top3_mean(spark, sf_dir):
 
 def _scores(spark, sf_dir) -> DataFrame:
     before, at = panel.split(customer_years(spark, sf_dir), YEAR)
-    reference = panel.hash_sample(before.where("bank_total_risk IS NOT NULL"), scoring.MAX_CALIBRATION_ROWS).select("bank_total_risk").toPandas()["bank_total_risk"].to_numpy()
-    return at.select(*KEYS, "musteri_segment", scoring.percentile_against(reference, F.col("bank_total_risk")).alias("ensemble_score"))
+    at = staged(at.select(*KEYS, "musteri_segment", "bank_total_risk"), "scored")
+    return scoring.percentiles(at, before.where("bank_total_risk IS NOT NULL"), {"bank_total_risk": "ensemble_score"}).drop("bank_total_risk")
 
 
 @query

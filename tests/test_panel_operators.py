@@ -189,3 +189,14 @@ def test_series_keeps_the_last_months(spark):
     now = spark.createDataFrame([("e", "f", 8.0)], "mono_id string, feature string, value double")
     s = evidence.snapshot_series(h, now, d("2025-01-31"), 3).first().series
     assert [tuple(x) for x in s] == [("2024-11-28", 10.0, False), ("2024-12-28", 11.0, False), ("2025-01-31", 8.0, True)]
+
+
+def test_percentiles_count_all_rows(spark):
+    rnd = np.random.default_rng(4)
+    reference, x = np.round(rnd.normal(size=3000), 2), np.round(rnd.normal(size=200), 2)
+    x[:3] = (-9.0, 9.0, 0.0)
+    frame = lambda values: spark.createDataFrame([(float(v),) for v in values], "v double")
+    got = {(r.v, r.p) for r in scoring.percentiles(frame(x), frame(reference), {"v": "p"}).collect()}
+    assert got == {(v, np.searchsorted(np.sort(reference), v, side="right") / 3000 * 100.0) for v in x}
+    assert {r.p for r in scoring.percentiles(frame(x), frame([]), {"v": "p"}).collect()} == {0.0}
+    assert scoring.percentiles(spark.createDataFrame([(None,)], "v double"), frame(reference), {"v": "p"}).first().p == 100.0
