@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from cohortloom.functions.formula import compile_formulas
 from cohortloom.functions.numeric import confidence, coverage, data_gap, ensemble, missing_count, top_mean
 from cohortloom.functions.text import alert_type, review_queue, term_column
-from cohortloom.operators.models import bounded_sample, fit_autoencoder, fit_isolation_forest, model_score, sampled
+from cohortloom.operators.models import bounded_sample, fit_autoencoder, fit_isolation_forest, model_score
 from cohortloom.operators.panel import ID, TIME, intake, latest_before, scoring_month, split
 from cohortloom.operators.peers import PeerColumns, long_form, peer_diagnostics, peer_matrix, peer_references, with_peer_context
 from cohortloom.operators.reasons import build_reasons
-from cohortloom.operators.scoring import MAX_CALIBRATION_ROWS, band, band_thresholds, fit_preprocessor, percentile_against
+from cohortloom.operators.scoring import MAX_CALIBRATION_ROWS, band, band_thresholds, fit_preprocessor, percentiles
 from cohortloom.operators.selection import DERIVED_PREFIXES, model_features
 from cohortloom.sources.config import Dictionary
 from cohortloom.sources.staging import staged
@@ -65,7 +65,7 @@ def run_anomaly(
 ) -> AnomalyRun:
     """Score the rows of ``month`` (default: the latest) against all earlier rows.
 
-    Models are fitted on a hash sample of at most ``max_calibration_rows`` earlier rows, everything else on all rows. ``ids``
+    Models are fitted on a hash sample of about ``max_calibration_rows`` earlier rows at most, everything else on all rows. ``ids``
     limits the result, not what it is measured against. The panel should be a table that is cheap to read several times.
     """
     formulas = dictionary.formulas() if formulas is None else formulas
@@ -87,16 +87,15 @@ def run_anomaly(
     prepared = fit_preprocessor(train_matrix, names)
     x_train = train_matrix.select(*keys, *prepared.expressions())
     x_score = peer_matrix(peers, features, keys).select(*keys, *prepared.expressions())
-    calibration = staged(sampled(x_train, max_calibration_rows, seed, (ID, TIME)), "calibration")
-    sample = bounded_sample(calibration, names, max_calibration_rows, seed, (ID, TIME))
+    sample = bounded_sample(x_train, names, max_calibration_rows, seed, (ID, TIME))
     if not len(sample):
         raise ValueError("there are no rows before the scoring month")
     forest, coder = fit_isolation_forest(sample, trees=trees, seed=seed), fit_autoencoder(sample, seed=seed)
     absolute = F.array(*(F.abs(F.col(f"`{n}`")) for n in names))
     scores = {"if_score": model_score(forest, names), "residual_score": top_mean(absolute), "autoencoder_score": model_score(coder, names)}
-    reference = calibration.select(*(c.alias(k) for k, c in scores.items())).toPandas()  # three numbers for each calibration row
+    reference = staged(x_train.select(*(c.alias(f"__{k}") for k, c in scores.items())), "reference")
     raw = x_score.select(*keys, *(F.col(f"`{n}`") for n in names), *(c.alias(f"__{k}") for k, c in scores.items()))
-    scored = raw.withColumns({k: percentile_against(reference[k].to_numpy(), F.col(f"__{k}")) for k in scores})
+    scored = percentiles(staged(raw, "raw"), reference, {f"__{k}": k for k in scores})
     scored = staged(scored.withColumn("ensemble_score", ensemble({c: F.col(c) for c in ("if_score", "residual_score", "autoencoder_score")})), "scores")
     thresholds = band_thresholds(scored, "ensemble_score")
     shown = scored if ids is None else scored.join(ids.select(F.col(ID).cast("string")).distinct(), ID, "left_semi")

@@ -299,3 +299,12 @@ def test_evidence_from_results(run):
     e = assessments.evidence_from_results(run.results)
     assert not [c for c in e.columns if decisions.denied(c)] and e.count() == 36
     assert decisions.prompt_text(e).count() == 12
+
+
+def test_scores_do_not_depend_on_the_calibration_limit(spark, panel, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    want = sorted(map(tuple, QUERIES["empirical_percentile"](spark, folder).collect()))
+    monkeypatch.setattr("cohortloom.operators.scoring.MAX_CALIBRATION_ROWS", 5)
+    assert sorted(map(tuple, QUERIES["empirical_percentile"](spark, folder).collect())) == want
+    scores = [r.residual_score for r in anomaly.run_anomaly(panel, FORMULAS, max_calibration_rows=10, trees=5).results.collect()]
+    assert len(scores) == 12 and all(abs(s - round(s * 24 / 100) * 100 / 24) < 0.051 for s in scores)  # shares of all 24 earlier rows
