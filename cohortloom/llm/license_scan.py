@@ -4,6 +4,10 @@ A text is cut into statements at line ends and after sentence marks; each statem
 (lower case, everything but a-z and 0-9 is a space) and its set of word bigrams compared with those of the templates.
 With a set of ``a`` bigrams only templates of ``a*t/(2-t)`` to ``a*(2-t)/t`` bigrams can reach a coefficient of ``t``, so
 the number of words rules out most statements before any bigram is made and most templates before any comparison.
+
+Whole licences and standard headers (``license_texts``), and notices that lines wrap, are found as passages: windows over
+the words of the whole text, lines joined. A passage reaches ``t`` only if the text has ``t/(2-t)`` of a template's bigrams,
+so that this share rules out most texts, and loses none, before any window is made.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from __future__ import annotations
 import math
 import re
 from fractions import Fraction
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +38,17 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 ]
 _SCALE, _SLOTS = 1_000_000_000, 128
+#: Lengths of a passage as parts of a template's: texts leave words out and put some in.
+_LENGTHS = (0.8, 1.0, 1.25)
+#: Windows start at every place for templates of up to so many words, else at as many places a template's length.
+_STARTS = 400
+
+
+def texts() -> list[tuple[str, str, str]]:
+    """``(SPDX identifier, what it is, text)`` of the whole licences and standard headers that come with the library."""
+    files = sorted((f for f in resources.files("cohortloom.llm").joinpath("license_texts").iterdir() if f.name.endswith(".txt")), key=lambda f: f.name)
+    kind = lambda name: (name.removesuffix(".header"), f"{name.removesuffix('.header')}, {'standard header' if name.endswith('.header') else 'whole text'}")
+    return [(*kind(f.name.removesuffix(".txt")), f.read_text("utf-8")) for f in files]
 
 
 def _bigrams(text: str) -> list[str]:
@@ -45,54 +61,103 @@ def _bounds(size: int, threshold: Fraction) -> tuple[int, int]:
     return math.ceil(size * threshold / (2 - threshold)), math.floor(size * (2 - threshold) / threshold)
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: str = "0.8", templates: list[tuple[str, str]] | None = None) -> DataFrame:
+def _windows(known: Column, words: int, low: int, k: int, t: Fraction) -> Column:
+    """``(weight, code, first, last)`` of the windows of ``bigrams`` that reach the threshold with template ``k``; null where the text can't."""
+    step = max(1, words // _STARTS)
+    bigrams = F.col("bigrams")
+    places = F.filter(F.sequence(F.lit(1), F.greatest(F.size(bigrams), F.lit(1)), F.lit(step)), lambda i: F.array_contains(known, F.element_at(bigrams, i))) if step == 1 else F.sequence(F.lit(1), F.greatest(F.size(bigrams), F.lit(1)), F.lit(step))
+
+    def scored(i: Column, n: int) -> Column:
+        window = F.slice(bigrams, i, F.lit(n))
+        both = F.struct(F.size(F.array_distinct(window)).alias("a"), F.size(F.array_intersect(window, known)).alias("c"))
+        return F.element_at(F.transform(F.array(both), lambda x: _coded(x["c"], x["a"] + F.size(known), k, t, i, n)), 1)
+
+    found = F.flatten(F.transform(places, lambda i: F.array(*(scored(i, max(1, round((words - 1) * part))) for part in _LENGTHS))))
+    possible = (F.size("hit") >= low) & (F.size(F.array_intersect("hit", known)) >= low)
+    return F.when(possible, F.filter(found, lambda x: x.isNotNull()))
+
+
+def _coded(common: Column, total: Column, k: int, t: Fraction, first: Column, n: int) -> Column:
+    code = F.floor(2 * common * F.lit(_SCALE).cast("long") / total).cast("long") * _SLOTS + (_SLOTS - 1 - k)
+    return F.when(2 * common * t.denominator >= t.numerator * total, F.struct((common * code).alias("weight"), code.alias("code"), (-first).alias("first"), (first + F.lit(n)).alias("last")))
+
+
+def scan_licenses(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: str = "0.8", templates: list[tuple[str, str]] | None = None, long_texts: list[tuple[str, str, str]] | None = None
+) -> DataFrame:
     """One row per input row: ``doc_id, n_notices, license, dice, template``.
 
-    ``n_notices`` counts statements that reach the threshold with any template; the other three tell of the best match
-    (ties: the template that comes first), null without one. Null and empty texts have no notices; repeated rows give a
-    row each; null ids are kept; other columns are ignored. At most 128 templates.
+    ``n_notices`` counts statements that reach the threshold with any template, or, where these are more, passages that do
+    and don't overlap (by common bigrams times coefficient, the greatest first). The other three tell of the first passage
+    where that is one of ``long_texts`` (default: ``texts()``; ``template`` then says which), else of the best statement
+    (ties: the template that comes first), else of the first passage; null without one. ``long_texts`` are compared with
+    passages only. Null and empty texts have no notices; repeated rows give a row each; null ids are kept; other columns
+    are ignored. At most 128 templates and texts together.
     """
     templates = TEMPLATES if templates is None else templates
+    long_texts = texts() if long_texts is None else long_texts
     t = Fraction(threshold)
     sets = [_bigrams(text) for _, text in templates]
-    if not 0 < len(sets) <= _SLOTS or not all(sets):
+    long_sets = [_bigrams(text) for _, _, text in long_texts]
+    if not sets or len(sets) + len(long_sets) > _SLOTS or not all(sets + long_sets):
         raise ValueError("between 1 and 128 templates of two words or more")
     bounds = [_bounds(len(s), t) for s in sets]
     low, high = min(b[0] for b in bounds), max(b[1] for b in bounds)
+    array = lambda s: F.split(F.lit("\n".join(s)), "\n")
 
     def normal(text: Column) -> Column:
         return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
 
+    def bigrams(words: Column) -> Column:
+        return F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda x, y: F.concat(x, F.lit(" "), y))
+
     text = F.col("text")
     statements = F.split(F.regexp_replace(text, r"([.!?])[\x20\x09-\x0D]+", "$1\n"), "\n")
-    units = F.when(F.size(statements) > 1, F.concat(F.array(text), statements)).otherwise(statements)
     rows = docs.select(docs[id_col].alias("doc_id"), F.monotonically_increasing_id().alias("row_uid"), text_or_empty(text_col).alias("text"))
-    rows = rows.select("doc_id", "row_uid", F.explode(units).alias("unit")).select("doc_id", "row_uid", normal(F.col("unit")).alias("unit"))
-    words = F.split("unit", " ")
+    rows = rows.select("doc_id", "row_uid", statements.alias("statements"), F.split(normal(text), " ").alias("words"))
+    rows = rows.select("doc_id", "row_uid", "statements", F.when(F.size("words") > low, bigrams(F.col("words"))).alias("bigrams"))
+    union = ", ".join(f"'{b}'" for b in sorted({b for s in sets + long_sets for b in s}))
+    rows = rows.select("*", F.expr(f"array_distinct(filter(bigrams, x -> x IN ({union})))").alias("hit"))  # as SQL text: thousands of literals
+    lengths = [len(re.sub("[^a-z0-9]+", " ", text.lower()).split()) for text in [x for _, x in templates] + [x for _, _, x in long_texts]]
+    each = [_windows(array(s), n, _bounds(len(s), t)[0], k, t) for k, (s, n) in enumerate(zip(sets + long_sets, lengths, strict=True))]
+    possible = F.when(F.size("hit") >= low, F.sort_array(F.flatten(F.filter(F.array(*each), lambda x: x.isNotNull())), asc=False))
+    apart = F.aggregate(
+        F.coalesce(possible, F.array().cast("array<struct<weight:bigint,code:bigint,first:int,last:int>>")),
+        F.array().cast("array<struct<weight:bigint,code:bigint,first:int,last:int>>"),
+        lambda done, x: F.when(F.exists(done, lambda y: (-x["first"] < y["last"]) & (-y["first"] < x["last"])), done).otherwise(F.concat(done, F.array(x))),
+    )
+    rows = rows.select("doc_id", "row_uid", "statements", "bigrams", apart.alias("passages"))
+    unit = lambda words, pairs, passages: F.struct(words.alias("words"), pairs.alias("pairs"), passages.alias("passages"))
+    none, no_passages = F.lit(None).cast("array<string>"), F.lit(None).cast("array<struct<weight:bigint,code:bigint,first:int,last:int>>")
+    whole = F.when((F.size("statements") > 1), F.array_distinct("bigrams"))
+    units = F.concat(F.array(unit(F.lit(None).cast("string"), whole, F.col("passages"))), F.transform("statements", lambda s: unit(s, none, no_passages)))
+    rows = rows.select("doc_id", "row_uid", F.explode(units).alias("unit")).select("doc_id", "row_uid", normal(F.col("unit.words")).alias("unit"), F.col("unit.pairs").alias("whole"), F.col("unit.passages").alias("passages"))
     enough = F.length("unit") - F.length(F.replace(F.col("unit"), F.lit(" "), F.lit(""))) >= low
-    rows = rows.select("doc_id", "row_uid", F.when(enough, words).alias("words"))
-    pairs = F.array_distinct(F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words") - 1), lambda x, y: F.concat(x, F.lit(" "), y)))
-    rows = rows.select("doc_id", "row_uid", F.when(F.col("words").isNotNull(), pairs).alias("pairs"))
+    rows = rows.select("doc_id", "row_uid", "whole", "passages", F.when(enough, F.split("unit", " ")).alias("words"))
+    rows = rows.select("doc_id", "row_uid", "passages", F.when(F.col("words").isNotNull(), F.array_distinct(bigrams(F.col("words")))).otherwise(F.col("whole")).alias("pairs"))
     size = F.size("pairs")
-    rows = rows.select("doc_id", "row_uid", F.when(size.between(low, high) & F.arrays_overlap("pairs", F.array(*map(F.lit, sorted({b for s in sets for b in s})))), F.col("pairs")).alias("pairs"))
+    rows = rows.select("doc_id", "row_uid", "passages", F.when(size.between(low, high) & F.arrays_overlap("pairs", array(sorted({b for s in sets for b in s}))), F.col("pairs")).alias("pairs"))
 
     def code(k: int) -> Column:
-        common = F.size(F.array_intersect("pairs", F.array(*map(F.lit, sets[k]))))
+        common = F.size(F.array_intersect("pairs", array(sets[k])))
         reached = 2 * common * t.denominator >= t.numerator * (size + len(sets[k]))
         scaled = F.floor(2 * common * F.lit(_SCALE).cast("long") / (size + len(sets[k]))).cast("long")
         return F.when(size.between(*bounds[k]) & reached, scaled * _SLOTS + (_SLOTS - 1 - k))
 
     codes = [code(k) for k in range(len(sets))]
     best = F.when(F.col("pairs").isNotNull(), F.greatest(*codes) if len(codes) > 1 else codes[0])
-    found = rows.select("doc_id", "row_uid", best.alias("code")).groupBy("row_uid", "doc_id").agg(F.count("code").alias("n_notices"), F.max("code").alias("code"))
+    found = rows.select("doc_id", "row_uid", best.alias("code"), F.greatest(F.size("passages"), F.lit(0)).cast("long").alias("n"), F.get("passages", F.lit(0))["code"].alias("passage"))
+    found = found.groupBy("row_uid", "doc_id").agg(F.greatest(F.count("code"), F.max("n")).alias("n_notices"), F.max("code").alias("code"), F.max("passage").alias("passage"))
+    is_long = F.pmod("passage", F.lit(_SLOTS)) < _SLOTS - len(sets)
+    found = found.select("doc_id", "n_notices", F.when(is_long, F.col("passage")).otherwise(F.coalesce("code", "passage")).alias("code"))
     k = (_SLOTS - 1 - F.pmod("code", F.lit(_SLOTS))).cast("int")
     named = lambda values: F.element_at(F.array(*map(F.lit, values)), k + 1)
     return found.select(
         "doc_id",
         "n_notices",
-        F.when(F.col("code").isNotNull(), named([name for name, _ in templates])).alias("license"),
+        F.when(F.col("code").isNotNull(), named([x[0] for x in [*templates, *long_texts]])).alias("license"),
         (F.floor(F.col("code") / _SLOTS) / _SCALE).alias("dice"),
-        F.when(F.col("code").isNotNull(), named([text for _, text in templates])).alias("template"),
+        F.when(F.col("code").isNotNull(), named([x[1] for x in [*templates, *long_texts]])).alias("template"),
     )
 
 

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -401,6 +402,23 @@ def test_license_scan(spark, hard):
     assert license_scan.scan_licenses(table(spark, [])).count() == 0
 
 
+def test_license_passages(spark):
+    whole = {(name, kind): text for name, kind, text in license_scan.texts()}
+    get = lambda name, kind="whole text": whole[name, f"{name}, {kind}"]
+    wrap = lambda text, width=60, mark="": "\n".join(mark + line for part in text.split("\n\n") for line in [*textwrap.wrap(part, width), ""])
+    other = words_of(random.Random(3), 300)
+    apache = wrap(get("Apache-2.0", "standard header"), 50, "# ")
+    rows = [
+        (1, wrap(get("MIT"))), (2, "MIT License Copyright (c) 2020 A. Author " + " ".join(get("MIT").split()) + " " + other), (3, other + "\n" + wrap(get("BSD-2-Clause"), mark=" * ")), (4, wrap(get("BSD-3-Clause"), 70, "// ")),
+        (5, apache + "\nimport x\n" + other), (6, other + "\nReleased under\nthe MIT License\n" + other), (7, other + "\n" + get("GPL-3.0") + "\n" + other), (8, wrap(get("ISC")) + "\n\n" + other + "\n\n" + wrap(get("AGPL-3.0", "standard header"))),
+        (9, other), (10, " ".join(get("MIT").split()[:60]) + " " + other), (11, None),
+    ]
+    got = {r.doc_id: r for r in license_scan.scan_licenses(table(spark, rows)).collect()}
+    assert {i: r.license for i, r in got.items() if i not in (8,)} == {1: "MIT", 2: "MIT", 3: "BSD-2-Clause", 4: "BSD-3-Clause", 5: "Apache-2.0", 6: "MIT", 7: "GPL-3.0", 9: None, 10: "MIT", 11: None}
+    assert got[8].license in ("ISC", "AGPL-3.0") and got[8].n_notices == 2
+    assert [got[i].n_notices for i in (5, 6, 9, 11)] == [1, 1, 0, 0] and got[1].dice == got[3].dice == 1.0 and got[7].dice > 0.99
+
+
 def brute_kneser_ney(rows):
     lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     tokens = {i: [x for x in re.split(SPACES, (t or "").translate(lower)) if x] + ["</s>"] for i, t in rows}
