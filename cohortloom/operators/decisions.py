@@ -58,9 +58,9 @@ def feature_line(f: Column, have: list[str]) -> Column:
     return F.concat_ws(" | ", F.concat(F.lit("- "), f["feature"]), *parts)
 
 
-def prompt_text(evidence: DataFrame, template: str = "", keys: tuple[str, ...] = ("mono_id", "cohort_dt")) -> DataFrame:
-    """``keys, prompt``: one prompt per entity from its ranked evidence rows; scores never get into it."""
-    rows = drop_score_columns(evidence)
+def prompt_text(evidence: DataFrame, template: str = "", keys: tuple[str, ...] = ("mono_id", "cohort_dt"), top_features: int | None = 12) -> DataFrame:
+    """``keys, prompt``: one prompt per entity from its ``top_features`` first ranked evidence rows (None: all); scores never get into it."""
+    rows = drop_score_columns(evidence if top_features is None else evidence.where(F.col("evidence_rank") <= top_features))
     every = F.struct(*(F.col(c) for c in rows.columns if c not in keys and c != "series"))
     lines = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("evidence_rank", every.alias("f")))).alias("features"))  # at most the ranked features of an entity
     head = F.concat(F.lit(template), F.lit("\nmusteri="), F.col(keys[0]), F.lit(" donem="), F.col(keys[1]).cast("string"), F.lit("\n"))

@@ -26,13 +26,13 @@ _CONTEXT = ["peer_segment", "peer_sector", "peer_size"]
 @dataclass(frozen=True)
 class EvidenceSettings:
     month: str | None = None
-    top_features: int | None = 12
+    top_features: int | None = 12  # of an entity in its prompt
     min_history_periods: int = 3
     series_periods: int = 6
 
 
 def build_evidence(panel: DataFrame, formulas: dict[str, str], ids: DataFrame | None = None, settings: EvidenceSettings = EvidenceSettings(), dictionary: Dictionary = Dictionary(), peer_columns: PeerColumns = PeerColumns()) -> DataFrame:
-    """Ranked evidence rows, one per entity and feature of the month. Peers are those of the full month; ``ids`` limits what is shown."""
+    """Ranked evidence rows, one per entity and feature of the month, none left out. Peers are those of the full month; ``ids`` limits what is shown."""
     panel = intake(panel)
     at = scoring_month(panel, settings.month)
     train, score = (staged(with_features(df, formulas), "features") for df in split(panel, at))
@@ -49,7 +49,7 @@ def build_evidence(panel: DataFrame, formulas: dict[str, str], ids: DataFrame |
     else:
         history = past.join(now.select(ID).distinct(), ID, "left_semi")
     history = staged(history, "history")
-    return ranked_evidence(evidence_rows(now, history, past, at, settings.series_periods), settings.top_features).withColumn("cohort_dt", F.lit(at))
+    return ranked_evidence(evidence_rows(now, history, past, at, settings.series_periods), None).withColumn("cohort_dt", F.lit(at))
 
 
 def entity_quality(panel: DataFrame, features: list[str], settings: EvidenceSettings = EvidenceSettings()) -> DataFrame:
@@ -64,9 +64,9 @@ def entity_quality(panel: DataFrame, features: list[str], settings: EvidenceSett
     return out.withColumn("customer_history_periods", n).withColumn("insufficient_history_flag", n < settings.min_history_periods)
 
 
-def run_decisions(evidence: DataFrame, decider: Callable[[], Decider], template: str = "", scores: DataFrame | None = None) -> DataFrame:
+def run_decisions(evidence: DataFrame, decider: Callable[[], Decider], template: str = "", scores: DataFrame | None = None, top_features: int | None = EvidenceSettings.top_features) -> DataFrame:
     """Prompts without scores, one answer per entity, reasons with numbers, and the model's scores beside them if given."""
-    prompts = prompt_text(evidence, template)
+    prompts = prompt_text(evidence, template, top_features=top_features)
     decisions = enrich_reasons(decide(prompts, decider), evidence)
     return companion_scores(decisions, scores) if scores is not None else decisions
 

@@ -308,3 +308,11 @@ def test_scores_do_not_depend_on_the_calibration_limit(spark, panel, monkeypatch
     assert sorted(map(tuple, QUERIES["empirical_percentile"](spark, folder).collect())) == want
     scores = [r.residual_score for r in anomaly.run_anomaly(panel, FORMULAS, max_calibration_rows=10, trees=5).results.collect()]
     assert len(scores) == 12 and all(abs(s - round(s * 24 / 100) * 100 / 24) < 0.051 for s in scores)  # shares of all 24 earlier rows
+
+
+def test_evidence_keeps_features_beyond_the_prompt(spark, panel):
+    ids = spark.createDataFrame([("C_000",)], "mono_id string")
+    many = {f"bank_risk_{i}": f"bank_total_risk / (toplam_varlik_ttr + {i})" for i in range(14)}
+    e = evidence_flow.build_evidence(panel, many, ids).persist()
+    assert sorted(r.evidence_rank for r in e.collect()) == list(range(1, e.count() + 1)) and e.count() >= 14
+    assert decisions.prompt_text(e).first().prompt.count("bank_risk_") == 12
