@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import coverage
 from cohortloom.operators.decisions import Decider, companion_scores, decide, enrich_reasons, prompt_text
-from cohortloom.operators.evidence import evidence_rows, ranked_evidence
-from cohortloom.operators.panel import CONTEXT, ID, TIME, intake, scoring_month, split
+from cohortloom.operators.evidence import evidence_rows, last_values, ranked_evidence
+from cohortloom.operators.panel import CONTEXT, ID, TIME, intake, latest_by_key, scoring_month, split
 from cohortloom.operators.peers import PeerColumns, long_form, peer_references, with_peer_context
 from cohortloom.operators.selection import allowed_features, model_features
 from cohortloom.plans.anomaly import candidate_features, with_features
@@ -49,7 +49,19 @@ def build_evidence(panel: DataFrame, formulas: dict[str, str], ids: DataFrame |
     else:
         history = past.join(now.select(ID).distinct(), ID, "left_semi")
     history = staged(history, "history")
-    return ranked_evidence(evidence_rows(now, history, past, at, settings.series_periods), None).withColumn("cohort_dt", F.lit(at))
+    series_peers = staged(_series_peers(now, history, past, settings.series_periods), "series-peers")
+    return ranked_evidence(evidence_rows(now, history, past, at, settings.series_periods, series_peers), None).withColumn("cohort_dt", F.lit(at))
+
+
+def _series_peers(now: DataFrame, history: DataFrame, past: DataFrame, periods: int) -> DataFrame:
+    """Peers of the months in the series of ``history``'s entities, each month's among all its entities and by itself."""
+    fields = ["peer_median", "peer_z", "peer_support", "peer_quality", "peer_level"]
+    keys = [ID, "feature", TIME]
+    months = last_values(latest_by_key(history.where("value IS NOT NULL"), keys, [F.col("value")]), max(1, periods)).select(TIME).distinct()
+    rows = past.join(F.broadcast(months), TIME, "left_semi").withColumns({"__feature": F.col("feature"), "feature": F.concat_ws("@", F.col("feature"), F.col(TIME).cast("string"))})
+    found = peer_references(staged(rows, "series-long")).drop("feature").withColumnRenamed("__feature", "feature")
+    found = found.join(history.select(ID, "feature").distinct(), [ID, "feature"], "left_semi")
+    return latest_by_key(found.select(*keys, "value", *fields).unionByName(now.select(*keys, "value", *fields)), keys, [F.col("value")]).drop("value")
 
 
 def entity_quality(panel: DataFrame, features: list[str], settings: EvidenceSettings = EvidenceSettings()) -> DataFrame:

@@ -316,3 +316,13 @@ def test_evidence_keeps_features_beyond_the_prompt(spark, panel):
     e = evidence_flow.build_evidence(panel, many, ids).persist()
     assert sorted(r.evidence_rank for r in e.collect()) == list(range(1, e.count() + 1)) and e.count() >= 14
     assert decisions.prompt_text(e).first().prompt.count("bank_risk_") == 12
+
+
+def test_series_has_the_peers_of_each_month(evidence):
+    series = next(r.series for r in evidence.where("mono_id = 'C_001' AND feature = 'bank_risk_to_assets'").collect())
+    assert len(series) == 3 and all(x.peer_available for x in series)
+    row = evidence.where("mono_id = 'C_001' AND feature = 'bank_risk_to_assets'").first()
+    assert (series[-1].peer_median, series[-1].peer_z, series[-1].peer_level) == (row.peer_median, row.peer_z, row.peer_level)
+    for x in series[:2]:
+        values = sorted((100.0 + i) / (10000.0 - 11 * i) for i in range(12))
+        assert x.peer_median == pytest.approx((values[5] + values[6]) / 2) and x.peer_support == 0
