@@ -1,13 +1,14 @@
 """Licence notices found by the Dice coefficient over word bigrams, in DataFrame functions only.
 
-A text is cut into statements at line ends and after sentence marks; each statement, and the whole text, is normalised
-(lower case, everything but a-z and 0-9 is a space) and its set of word bigrams compared with those of the templates.
-With a set of ``a`` bigrams only templates of ``a*t/(2-t)`` to ``a*(2-t)/t`` bigrams can reach a coefficient of ``t``, so
-the number of words rules out most statements before any bigram is made and most templates before any comparison.
-
-Whole licences and standard headers (``license_texts``), and notices that lines wrap, are found as passages: windows over
-the words of the whole text, lines joined. A passage reaches ``t`` only if the text has ``t/(2-t)`` of a template's bigrams,
-so that this share rules out most texts, and loses none, before any window is made.
+A text is normalised (lower case, everything but a-z and 0-9 is a space), so that line breaks and comment marks don't
+matter, and becomes one sequence of words. A template, a one-line notice, a standard header, a whole licence or an SPDX
+line, is compared with windows of 0.8, 1 and 1.25 times its own number of bigrams: at every place that has one of its
+bigrams for templates of up to ``FINE_WORDS`` words, else at as many places over its length. Numbers of a notice or header
+(``version 2.1``) must all stand in the window, so that versions of one licence are told apart.
+
+A window with ``c`` of the ``b`` bigrams of a template reaches a coefficient of ``t`` only if ``c >= b*t/(2-t)``. The
+number of a text's bigrams that occur in any template, then in the template itself, therefore rules out most templates
+of most texts before any window is made, and loses none.
 """
 
 from __future__ import annotations
@@ -16,13 +17,14 @@ import math
 import re
 from fractions import Fraction
 from importlib import resources
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.common import text_or_empty
 
-#: The notices that are looked for, by SPDX identifier.
+#: One-line notices that are looked for, by SPDX identifier.
 TEMPLATES: list[tuple[str, str]] = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -31,155 +33,181 @@ TEMPLATES: list[tuple[str, str]] = [
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 ]
-_SCALE, _SLOTS = 1_000_000_000, 128
-#: Lengths of a passage as parts of a template's: texts leave words out and put some in.
-_LENGTHS = (0.8, 1.0, 1.25)
-#: Windows start at every place for templates of up to so many words, else at as many places a template's length.
-_STARTS = 400
+_SCALE = 1_000_000_000
+#: Templates of up to so many words are looked for at every place, longer ones at so many places a length.
+FINE_WORDS = 64
+#: Numbers of templates of up to so many words must occur; longer ones number their sections.
+VERSIONED_WORDS = 150
+_PARTS = (Fraction(4, 5), Fraction(1), Fraction(5, 4))
 
 
-def texts() -> list[tuple[str, str, str]]:
-    """``(SPDX identifier, what it is, text)`` of the whole licences and standard headers that come with the library."""
-    files = sorted((f for f in resources.files("cohortloom.llm").joinpath("license_texts").iterdir() if f.name.endswith(".txt")), key=lambda f: f.name)
-    kind = lambda name: (name.removesuffix(".header"), f"{name.removesuffix('.header')}, {'standard header' if name.endswith('.header') else 'whole text'}")
-    return [(*kind(f.name.removesuffix(".txt")), f.read_text("utf-8")) for f in files]
-
-
-def _bigrams(text: str) -> list[str]:
-    words = re.sub("[^a-z0-9]+", " ", text.lower()).split()
-    return sorted({f"{x} {y}" for x, y in zip(words, words[1:], strict=False)})
-
+class Template(NamedTuple):
+    license: str
+    title: str
+    text: str
+    words: list[str]
+    pairs: list[str]  # distinct, in order of the alphabet
+    required: list[str]  # words that a window must have
+    lengths: list[int]  # of windows, in bigrams
+    step: int
 
-def _bounds(size: int, threshold: Fraction) -> tuple[int, int]:
-    """Least and greatest number of bigrams that can reach the threshold with a template of so many."""
-    return math.ceil(size * threshold / (2 - threshold)), math.floor(size * (2 - threshold) / threshold)
 
+def _words(text: str) -> list[str]:
+    return re.sub("[^a-z0-9]+", " ", text.lower()).split()
 
-def _windows(known: Column, words: int, low: int, k: int, t: Fraction) -> Column:
-    """``(weight, code, first, last)`` of the windows of ``bigrams`` that reach the threshold with template ``k``; null where the text can't."""
-    step = max(1, words // _STARTS)
-    bigrams = F.col("bigrams")
-    places = F.filter(F.sequence(F.lit(1), F.greatest(F.size(bigrams), F.lit(1)), F.lit(step)), lambda i: F.array_contains(known, F.element_at(bigrams, i))) if step == 1 else F.sequence(F.lit(1), F.greatest(F.size(bigrams), F.lit(1)), F.lit(step))
 
-    def scored(i: Column, n: int) -> Column:
-        window = F.slice(bigrams, i, F.lit(n))
-        both = F.struct(F.size(F.array_distinct(window)).alias("a"), F.size(F.array_intersect(window, known)).alias("c"))
-        return F.element_at(F.transform(F.array(both), lambda x: _coded(x["c"], x["a"] + F.size(known), k, t, i, n)), 1)
+def template(license: str, title: str, text: str, whole_title: bool = False) -> Template:
+    words = _words(text)
+    pairs = sorted({f"{x} {y}" for x, y in zip(words, words[1:], strict=False)})
+    if not pairs:
+        raise ValueError("a template has two words or more")
+    needed = words if whole_title else [w for w in words if w.isdigit() and len(words) <= VERSIONED_WORDS]
+    lengths = sorted({max(1, round((len(words) - 1) * part)) for part in _PARTS})
+    return Template(license, title, text, words, pairs, sorted(set(needed)), lengths, -(-len(words) // FINE_WORDS))
 
-    found = F.flatten(F.transform(places, lambda i: F.array(*(scored(i, max(1, round((words - 1) * part))) for part in _LENGTHS))))
-    possible = (F.size("hit") >= low) & (F.size(F.array_intersect("hit", known)) >= low)
-    return F.when(possible, F.filter(found, lambda x: x.isNotNull()))
 
-
-def _coded(common: Column, total: Column, k: int, t: Fraction, first: Column, n: int) -> Column:
-    code = F.floor(2 * common * F.lit(_SCALE).cast("long") / total).cast("long") * _SLOTS + (_SLOTS - 1 - k)
-    return F.when(2 * common * t.denominator >= t.numerator * total, F.struct((common * code).alias("weight"), code.alias("code"), (-first).alias("first"), (first + F.lit(n)).alias("last")))
+def license_texts() -> list[tuple[str, str, str]]:
+    """``(SPDX identifier, what it is, text)`` of the whole licences and standard headers that come with the library."""
+    out = []
+    for file in sorted((f for f in resources.files("cohortloom.llm").joinpath("license_texts").iterdir() if f.name.endswith(".txt")), key=lambda f: f.name):
+        name, header = file.name.removesuffix(".txt"), ".header" in file.name
+        name = name.removesuffix(".header")
+        out.append((name, f"{name}, {'standard header' if header else 'whole text'}", file.read_text("utf-8")))
+    return out
+
+
+def default_templates() -> list[Template]:
+    """One-line notices, the licence texts and headers, and an SPDX line for every licence among them."""
+    out = [template(name, text, text) for name, text in TEMPLATES] + [template(*x) for x in license_texts()]
+    for name in sorted({t.license for t in out}):
+        line = f"SPDX-License-Identifier: {name}"
+        out.append(template(name, line, line, whole_title=True))
+    return out
+
+
+def _need(size: int, t: Fraction) -> int:
+    """Least number of common bigrams with which any window can reach the threshold."""
+    return math.ceil(size * t / (2 - t))
+
+
+def _strings(values: list[str]) -> str:
+    """A constant array of words or bigrams (a-z, 0-9 and single spaces) as SQL text."""
+    joined = "\\n".join(values)
+    return f"split('{joined}', '\\n')" if values else "cast(array() AS array<string>)"
+
+
+def _best_window(k: int, x: Template, t: Fraction, pool: str) -> str:
+    """The heaviest window of the text that reaches the threshold with template ``k``, as SQL text; NULL where there is none."""
+    known, need = _strings(x.pairs), _need(len(x.pairs), t)
+    if x.step == 1:
+        inside = ", ".join(f"'{p}'" for p in x.pairs)
+        starts = f"filter(sequence(1, size(pairs)), i -> pairs[i - 1] IN ({inside}))"
+    else:
+        starts = f"sequence(1, size(pairs), {x.step})"
+    windows = f"flatten(transform({starts}, i -> transform(array({', '.join(map(str, x.lengths))}), n -> named_struct('i', i, 'n', n))))"
+    allowed = f" AND size(array_except({_strings(x.required)}, slice(words, w.i, w.n + 1))) = 0" if x.required else ""
+    counted = (
+        f"transform({windows}, w -> named_struct('i', w.i, 'n', w.n, 'c', cast(size(array_intersect(slice(pairs, w.i, w.n), {known})) AS long), "
+        f"'total', size(array_distinct(slice(pairs, w.i, w.n))) + {len(x.pairs)}L, 'ok', true{allowed}))"
+    )
+    reached = f"filter({counted}, w -> w.ok AND {2 * t.denominator}L * w.c >= {t.numerator}L * w.total)"
+    code = f"(2L * w.c * {_SCALE}L) div w.total"
+    made = f"transform({reached}, w -> named_struct('weight', w.c * ({code}), 'place', -w.i, 'shorter', -w.n, 'last', w.i + w.n + 1, 'code', {code}, 'k', -{k}))"
+    return f"CASE WHEN size({pool}) >= {need} AND size(array_intersect({pool}, {known})) >= {need} THEN array_max({made}) END"
 
 
-def scan_licenses(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: str = "0.8", templates: list[tuple[str, str]] | None = None, long_texts: list[tuple[str, str, str]] | None = None
-) -> DataFrame:
-    """One row per input row: ``doc_id, n_notices, license, dice, template``.
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: str = "0.8", templates: list[Template] | None = None) -> DataFrame:
+    """One row per input row: ``doc_id, n_notices, licenses, license, dice, template``.
 
-    ``n_notices`` counts statements that reach the threshold with any template, or, where these are more, passages that do
-    and don't overlap (by common bigrams times coefficient, the greatest first). The other three tell of the first passage
-    where that is one of ``long_texts`` (default: ``texts()``; ``template`` then says which), else of the best statement
-    (ties: the template that comes first), else of the first passage; null without one. ``long_texts`` are compared with
-    passages only. Null and empty texts have no notices; repeated rows give a row each; null ids are kept; other columns
-    are ignored. At most 128 templates and texts together.
+    Of each template the heaviest window that reaches the threshold counts (common bigrams times coefficient; ties: the
+    first, then the shortest), and it stands if no overlapping one of another template is heavier (ties: the template
+    that comes first). ``n_notices`` is the number of windows that stand, ``licenses`` their distinct licences in order of
+    the alphabet, joined by commas, and the other columns tell of the heaviest; null without one. Null and empty texts
+    have no notices; repeated rows give a row each; null ids are kept; other columns are ignored. Rows are independent
+    and nothing is shuffled.
     """
-    templates = TEMPLATES if templates is None else templates
-    long_texts = texts() if long_texts is None else long_texts
+    templates = default_templates() if templates is None else templates
     t = Fraction(threshold)
-    sets = [_bigrams(text) for _, text in templates]
-    long_sets = [_bigrams(text) for _, _, text in long_texts]
-    if not sets or len(sets) + len(long_sets) > _SLOTS or not all(sets + long_sets):
-        raise ValueError("between 1 and 128 templates of two words or more")
-    bounds = [_bounds(len(s), t) for s in sets]
-    low, high = min(b[0] for b in bounds), max(b[1] for b in bounds)
-    array = lambda s: F.split(F.lit("\n".join(s)), "\n")
-
-    def normal(text: Column) -> Column:
-        return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
-
-    def bigrams(words: Column) -> Column:
-        return F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda x, y: F.concat(x, F.lit(" "), y))
-
-    text = F.col("text")
-    statements = F.split(F.regexp_replace(text, r"([.!?])[\x20\x09-\x0D]+", "$1\n"), "\n")
-    rows = docs.select(docs[id_col].alias("doc_id"), F.monotonically_increasing_id().alias("row_uid"), text_or_empty(text_col).alias("text"))
-    rows = rows.select("doc_id", "row_uid", statements.alias("statements"), F.split(normal(text), " ").alias("words"))
-    rows = rows.select("doc_id", "row_uid", "statements", F.when(F.size("words") > low, bigrams(F.col("words"))).alias("bigrams"))
-    union = ", ".join(f"'{b}'" for b in sorted({b for s in sets + long_sets for b in s}))
-    rows = rows.select("*", F.expr(f"array_distinct(filter(bigrams, x -> x IN ({union})))").alias("hit"))  # as SQL text: thousands of literals
-    lengths = [len(re.sub("[^a-z0-9]+", " ", text.lower()).split()) for text in [x for _, x in templates] + [x for _, _, x in long_texts]]
-    each = [_windows(array(s), n, _bounds(len(s), t)[0], k, t) for k, (s, n) in enumerate(zip(sets + long_sets, lengths, strict=True))]
-    possible = F.when(F.size("hit") >= low, F.sort_array(F.flatten(F.filter(F.array(*each), lambda x: x.isNotNull())), asc=False))
-    apart = F.aggregate(
-        F.coalesce(possible, F.array().cast("array<struct<weight:bigint,code:bigint,first:int,last:int>>")),
-        F.array().cast("array<struct<weight:bigint,code:bigint,first:int,last:int>>"),
-        lambda done, x: F.when(F.exists(done, lambda y: (-x["first"] < y["last"]) & (-y["first"] < x["last"])), done).otherwise(F.concat(done, F.array(x))),
-    )
-    rows = rows.select("doc_id", "row_uid", "statements", "bigrams", apart.alias("passages"))
-    unit = lambda words, pairs, passages: F.struct(words.alias("words"), pairs.alias("pairs"), passages.alias("passages"))
-    none, no_passages = F.lit(None).cast("array<string>"), F.lit(None).cast("array<struct<weight:bigint,code:bigint,first:int,last:int>>")
-    whole = F.when((F.size("statements") > 1), F.array_distinct("bigrams"))
-    units = F.concat(F.array(unit(F.lit(None).cast("string"), whole, F.col("passages"))), F.transform("statements", lambda s: unit(s, none, no_passages)))
-    rows = rows.select("doc_id", "row_uid", F.explode(units).alias("unit")).select("doc_id", "row_uid", normal(F.col("unit.words")).alias("unit"), F.col("unit.pairs").alias("whole"), F.col("unit.passages").alias("passages"))
-    enough = F.length("unit") - F.length(F.replace(F.col("unit"), F.lit(" "), F.lit(""))) >= low
-    rows = rows.select("doc_id", "row_uid", "whole", "passages", F.when(enough, F.split("unit", " ")).alias("words"))
-    rows = rows.select("doc_id", "row_uid", "passages", F.when(F.col("words").isNotNull(), F.array_distinct(bigrams(F.col("words")))).otherwise(F.col("whole")).alias("pairs"))
-    size = F.size("pairs")
-    rows = rows.select("doc_id", "row_uid", "passages", F.when(size.between(low, high) & F.arrays_overlap("pairs", array(sorted({b for s in sets for b in s}))), F.col("pairs")).alias("pairs"))
-
-    def code(k: int) -> Column:
-        common = F.size(F.array_intersect("pairs", array(sets[k])))
-        reached = 2 * common * t.denominator >= t.numerator * (size + len(sets[k]))
-        scaled = F.floor(2 * common * F.lit(_SCALE).cast("long") / (size + len(sets[k]))).cast("long")
-        return F.when(size.between(*bounds[k]) & reached, scaled * _SLOTS + (_SLOTS - 1 - k))
-
-    codes = [code(k) for k in range(len(sets))]
-    best = F.when(F.col("pairs").isNotNull(), F.greatest(*codes) if len(codes) > 1 else codes[0])
-    found = rows.select("doc_id", "row_uid", best.alias("code"), F.greatest(F.size("passages"), F.lit(0)).cast("long").alias("n"), F.get("passages", F.lit(0))["code"].alias("passage"))
-    found = found.groupBy("row_uid", "doc_id").agg(F.greatest(F.count("code"), F.max("n")).alias("n_notices"), F.max("code").alias("code"), F.max("passage").alias("passage"))
-    is_long = F.pmod("passage", F.lit(_SLOTS)) < _SLOTS - len(sets)
-    found = found.select("doc_id", "n_notices", F.when(is_long, F.col("passage")).otherwise(F.coalesce("code", "passage")).alias("code"))
-    k = (_SLOTS - 1 - F.pmod("code", F.lit(_SLOTS))).cast("int")
-    named = lambda values: F.element_at(F.array(*map(F.lit, values)), k + 1)
+    if not templates:
+        raise ValueError("no templates")
+    fine = [x for x in templates if x.step == 1]
+    rows = docs.select(docs[id_col].alias("doc_id"), F.split(F.trim(F.regexp_replace(F.lower(text_or_empty(text_col)), "[^a-z0-9]+", " ")), " ").alias("words"))
+    least = min(_need(len(x.pairs), t) for x in templates)
+    rows = rows.select("doc_id", "words", F.when(F.size("words") > least, F.expr("zip_with(slice(words, 1, size(words) - 1), slice(words, 2, size(words) - 1), (x, y) -> concat(x, ' ', y))")).alias("pairs"))
+
+    def pool(some: list[Template]) -> str:
+        union = sorted({p for x in some for p in x.pairs})
+        return f"array_distinct(filter(pairs, x -> x IN ({', '.join(map(repr, union))})))" if union else "cast(array() AS array<string>)"
+
+    rows = rows.select("doc_id", "words", "pairs", F.expr(pool(fine)).alias("hit"), F.expr(pool([x for x in templates if x.step > 1])).alias("far_hit"))
+    best = ", ".join(_best_window(k, x, t, "hit" if x.step == 1 else "far_hit") for k, x in enumerate(templates))
+    found = rows.select("doc_id", F.expr(f"CASE WHEN greatest(size(hit), size(far_hit)) >= {least} THEN filter(array({best}), x -> x IS NOT NULL) END").alias("best"))
+    heavier = "(y.weight > x.weight OR y.weight = x.weight AND y.k > x.k) AND -y.place < x.last AND -x.place < y.last"
+    found = found.select("doc_id", F.expr(f"filter(best, x -> NOT exists(best, y -> {heavier}))").alias("best"))
+    found = found.select("doc_id", "best", F.expr("array_max(transform(best, x -> named_struct('weight', x.weight, 'k', x.k, 'code', x.code)))").alias("top"))
+    names = F.array(*(F.lit(x.license) for x in templates))
     return found.select(
         "doc_id",
-        "n_notices",
-        F.when(F.col("code").isNotNull(), named([x[0] for x in [*templates, *long_texts]])).alias("license"),
-        (F.floor(F.col("code") / _SLOTS) / _SCALE).alias("dice"),
-        F.when(F.col("code").isNotNull(), named([x[1] for x in [*templates, *long_texts]])).alias("template"),
+        F.greatest(F.size("best"), F.lit(0)).cast("long").alias("n_notices"),
+        F.when(F.size("best") > 0, F.array_join(F.array_sort(F.array_distinct(F.transform("best", lambda x: F.element_at(names, 1 - x["k"])))), ",")).alias("licenses"),
+        F.when(F.size("best") > 0, F.element_at(names, 1 - F.col("top.k"))).alias("license"),
+        F.when(F.size("best") > 0, F.col("top.code") / _SCALE).alias("dice"),
+        F.when(F.size("best") > 0, F.element_at(F.array(*(F.lit(x.title) for x in templates)), 1 - F.col("top.k"))).alias("template"),
     )
 
 
-def license_sql(threshold: str = "0.8", templates: list[tuple[str, str]] | None = None) -> str:
-    """The same scan in DuckDB SQL: every statement against every template, without bounds."""
-    templates = TEMPLATES if templates is None else templates
+def license_sql(threshold: str = "0.8", templates: list[Template] | None = None) -> str:
+    """The same scan in DuckDB SQL by joins of words: windows of every text that has enough bigrams of a template at all."""
+    templates = default_templates() if templates is None else templates
     t = Fraction(threshold)
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    rows = ", ".join(f"({k}, {quoted(name)}, {quoted(text)}, [{', '.join(map(quoted, _bigrams(text)))}])" for k, (name, text) in enumerate(templates))
+    rows = ",\n".join(f"({k}, {quoted(x.license)}, {quoted(x.title)}, {quoted(x.text)}, {quoted(' '.join(x.required))}, {x.step}, {x.lengths!r})" for k, x in enumerate(templates))
+    normal = lambda c: f"string_split(trim(regexp_replace(lower({c}), '[^a-z0-9]+', ' ', 'g')), ' ')"
     return rf"""
-WITH templates(k, license, template, known) AS (VALUES {rows}),
-rows AS (SELECT row_number() OVER () AS row_uid, doc_id, coalesce(text, '') AS text FROM documents),
-statements AS (SELECT row_uid, text, string_split(regexp_replace(text, '([.!?])[\x20\x09-\x0D]+', '\1' || chr(10), 'g'), chr(10)) AS s FROM rows),
-units AS (SELECT row_uid, unnest(CASE WHEN len(s) > 1 THEN list_concat([text], s) ELSE s END) AS unit FROM statements),
-numbered AS (SELECT row_number() OVER () AS unit_id, row_uid, string_split(trim(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM units),
-pairs AS (SELECT unit_id, row_uid, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS p FROM numbered WHERE len(w) > 1),
-scored AS (
-    SELECT unit_id, row_uid, k, license, template, floor(2 * len(list_intersect(p, known)) * {_SCALE}::BIGINT / (len(p) + len(known))) / {_SCALE} AS dice
-    FROM pairs, templates
-    WHERE 2 * len(list_intersect(p, known)) * {t.denominator} >= {t.numerator} * (len(p) + len(known))),
-best AS (
-    SELECT row_uid, count(DISTINCT unit_id) AS n_notices, max(dice) AS dice, arg_max(license, dice * 1000000 - k / 1000.0) AS license, arg_max(template, dice * 1000000 - k / 1000.0) AS template
-    FROM scored GROUP BY row_uid)
-SELECT doc_id, coalesce(n_notices, 0) AS n_notices, license, dice, template FROM rows LEFT JOIN best USING (row_uid)
+WITH templates(k, license, template, body, required, step, lengths) AS (VALUES {rows}),
+known AS MATERIALIZED (SELECT DISTINCT k, w[i] || ' ' || w[i + 1] AS pair FROM (SELECT k, w, unnest(range(1, len(w))) AS i FROM (SELECT k, {normal("body")} AS w FROM templates))),
+sizes AS MATERIALIZED (SELECT k, count(*) AS b FROM known GROUP BY k),
+rows AS MATERIALIZED (SELECT row_number() OVER () AS row_uid, doc_id, {normal("coalesce(text, '')")} AS w FROM documents),
+words AS MATERIALIZED (SELECT row_uid, i AS pos, w[i] AS word, CASE WHEN i < len(w) THEN w[i] || ' ' || w[i + 1] END AS pair FROM (SELECT row_uid, w, unnest(range(1, len(w) + 1)) AS i FROM rows)),
+likely AS MATERIALIZED (
+    SELECT row_uid, k FROM words JOIN known USING (pair) JOIN sizes USING (k)
+    GROUP BY row_uid, k, b HAVING count(DISTINCT pair) * {2 * t.denominator - t.numerator} >= {t.numerator} * b),
+starts AS (
+    SELECT row_uid, k, pos AS first FROM likely JOIN templates USING (k) JOIN known USING (k) JOIN words USING (row_uid, pair) WHERE step = 1
+    UNION
+    SELECT row_uid, k, pos FROM likely JOIN templates USING (k) JOIN words USING (row_uid) WHERE step > 1 AND pair IS NOT NULL AND (pos - 1) % step = 0),
+windows AS MATERIALIZED (SELECT row_uid, k, first, unnest(lengths) AS n FROM starts JOIN templates USING (k)),
+counted AS (
+    SELECT v.row_uid, v.k, first, n, count(DISTINCT w.pair) AS a, count(DISTINCT p.pair) AS c
+    FROM windows v JOIN words w ON w.row_uid = v.row_uid AND w.pos BETWEEN first AND first + n - 1 LEFT JOIN known p ON p.k = v.k AND p.pair = w.pair
+    GROUP BY v.row_uid, v.k, first, n),
+asked AS (SELECT k, unnest(string_split(required, ' ')) AS word FROM templates WHERE required <> ''),
+present AS (
+    SELECT v.row_uid, v.k, first, n, count(DISTINCT w.word) AS present
+    FROM windows v JOIN asked USING (k) JOIN words w ON w.row_uid = v.row_uid AND w.word = asked.word AND w.pos BETWEEN first AND first + n
+    GROUP BY v.row_uid, v.k, first, n),
+reached AS (
+    SELECT row_uid, k, first, first + n + 1 AS last, n, 2 * c * {_SCALE} // (a + b) AS code, c * (2 * c * {_SCALE} // (a + b)) AS weight
+    FROM counted JOIN sizes USING (k) LEFT JOIN (SELECT k, count(*) AS wanted FROM asked GROUP BY k) USING (k) LEFT JOIN present USING (row_uid, k, first, n)
+    WHERE 2 * c * {t.denominator} >= {t.numerator} * (a + b) AND coalesce(wanted, 0) = coalesce(present, 0)),
+best AS MATERIALIZED (SELECT * FROM reached QUALIFY row_number() OVER (PARTITION BY row_uid, k ORDER BY weight DESC, first, n) = 1),
+standing AS (
+    SELECT * FROM best x WHERE NOT EXISTS (
+        FROM best y WHERE y.row_uid = x.row_uid AND (y.weight > x.weight OR y.weight = x.weight AND y.k < x.k) AND y.first < x.last AND x.first < y.last)),
+told AS (
+    SELECT row_uid, count(*) AS n_notices, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+        min_by(struct_pack(license := license, template := template, dice := code / {float(_SCALE)}), -weight::HUGEINT * 1000 + k) AS top
+    FROM standing JOIN templates USING (k) GROUP BY row_uid)
+SELECT doc_id, coalesce(n_notices, 0) AS n_notices, licenses, top.license AS license, top.dice AS dice, top.template AS template
+FROM rows LEFT JOIN told USING (row_uid)
 """

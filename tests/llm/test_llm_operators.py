@@ -374,36 +374,56 @@ def test_html_tree_fits_its_table():
 
 
 def brute_licenses(text):
-    def bigrams(s):
-        w = re.sub("[^a-z0-9]+", " ", s.lower()).split()
-        return set(zip(w, w[1:]))
-
-    statements = re.sub(r"([.!?])[\x20\x09-\x0D]+", r"\1\n", text or "").split("\n")
-    units = [text or "", *statements] if len(statements) > 1 else statements
-    best, n = None, 0
-    for unit in units:
-        scores = []
-        for k, (name, template) in enumerate(license_scan.TEMPLATES):
-            a, b = bigrams(unit), bigrams(template)
-            if a and 10 * 2 * len(a & b) >= 8 * (len(a) + len(b)):
-                scores.append((2 * len(a & b) / (len(a) + len(b)), -k, name))
-        n += bool(scores)
-        best = max([*scores, *([best] if best else [])], default=None)
-    return n, best[2] if best else None
+    """(number of standing notices, licence and coefficient of the heaviest), window by window."""
+    w = re.sub("[^a-z0-9]+", " ", (text or "").lower()).split()
+    pairs, best = list(zip(w, w[1:])), []
+    for k, x in enumerate(license_scan.default_templates()):
+        body = re.sub("[^a-z0-9]+", " ", x.text.lower()).split()
+        known, found = set(zip(body, body[1:])), []
+        for i in range(0, len(pairs), x.step):
+            if x.step == 1 and pairs[i] not in known:
+                continue
+            for part in (0.8, 1, 1.25):
+                n = max(1, round((len(body) - 1) * part))
+                window = set(pairs[i : i + n])
+                c, total = len(window & known), len(window) + len(known)
+                if 10 * c >= 4 * total and set(x.required) <= set(w[i : i + n + 1]):
+                    found.append((c * (2 * c * 10**9 // total), -k, -i, -n, i + n + 1, 2 * c * 10**9 // total / 1e9, x.license))
+        best += [max(found)] if found else []
+    standing = [x for x in best if not any(y > x and y[:2] != x[:2] and -y[2] < x[4] and -x[2] < y[4] for y in best)]
+    top = max(standing, default=None)
+    return len(standing), top and top[6], top and top[5]
 
 
 def test_license_scan(spark, hard):
     rows = hard + [
         (30, "Licensed under CC BY 4.0."), (31, "Licensed under CC-BY-NC 4.0"), (32, "foo. licensed UNDER the apache license version 2.0! bar"), (33, "This work is licensed under the GNU General Public Licence, version 3."),
-        (34, "Licensed under CC BY-NC 4.0.\nReleased under the MIT License."), (35, "released under"), (35, "released under"),
+        (34, "Licensed under CC BY-NC 4.0.\nReleased under the MIT License."), (35, "released under"), (35, "released under"), (36, "// SPDX-License-Identifier: MIT\nint x;"), (37, "SPDX-License-Identifier: Zlib"),
+        (38, "This library is licensed under the GNU Lesser General Public License, version 2.1 or later."), (39, "Licensed under the Apache License, Version 1.1."), (40, "# SPDX-License-Identifier: GPL-2.0-only"),
+        (41, " ".join(license_scan.license_texts()[5][2].split()[10:-5]) + " " + hard[0][1]), (42, "Released under the MIT License. " * 300),
     ]
-    got = Counter((r.doc_id, r.n_notices, r.license) for r in license_scan.scan_licenses(table(spark, rows)).collect())
+    got = Counter((r.doc_id, r.n_notices, r.license, r.dice) for r in license_scan.scan_licenses(table(spark, rows)).collect())
     assert got == Counter((i, *brute_licenses(t)) for i, t in rows)
+    told = {i: license for i, _, license, _ in got}
+    assert [told[i] for i in (30, 31, 32, 33, 36, 37, 38, 39, 40)] == ["CC-BY-4.0", "CC-BY-NC-4.0", "Apache-2.0", "GPL-3.0", "MIT", None, "LGPL-2.1", None, "GPL-2.0"]
     assert license_scan.scan_licenses(table(spark, [])).count() == 0
 
 
+def test_license_sql_agrees(spark, hard):
+    import duckdb
+
+    texts = [*(t for _, _, t in license_scan.license_texts()), "Licensed under CC BY 4.0. " + hard[0][1], "a\nReleased under\nthe MIT\nLicense b"]
+    rows = hard + [(100 + i, hard[i % 3][1] + "\n" + "\n".join(textwrap.wrap(t, 60))) for i, t in enumerate(texts)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    columns = ["doc_id", "n_notices", "licenses", "license", "dice", "template"]
+    want = Counter(con.execute(f"SELECT {', '.join(columns)} FROM ({license_scan.license_sql()})").fetchall())
+    assert Counter(tuple(r) for r in license_scan.scan_licenses(table(spark, rows)).select(*columns).collect()) == want
+
+
 def test_license_passages(spark):
-    whole = {(name, kind): text for name, kind, text in license_scan.texts()}
+    whole = {(name, kind): text for name, kind, text in license_scan.license_texts()}
     get = lambda name, kind="whole text": whole[name, f"{name}, {kind}"]
     wrap = lambda text, width=60, mark="": "\n".join(mark + line for part in text.split("\n\n") for line in [*textwrap.wrap(part, width), ""])
     other = words_of(random.Random(3), 300)
