@@ -25,13 +25,15 @@ def id_bytes(path: str) -> Callable[[Iterable[str]], Iterator[bytes]]:
 
     For tokenizers that lower-case, drop white space and split letters, single digits, other characters and English
     contractions, never merging across these: then a text's ids are those of its words in turn, and a word's without an
-    apostrophe those of its runs. Strings of special tokens in a text are ordinary text.
+    apostrophe those of its runs. Texts that hold the string of an added token, such as ``<|endoftext|>``, in any case,
+    go to the library whole, which takes it for that token.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
+    added = sorted(t.content.lower() for t in library.get_added_tokens_decoder().values())
+    has_added = re.compile("|".join(map(re.escape, added))).search if added else lambda _: None
     mark = "\x01"
     marked = library.encode(mark, add_special_tokens=False).ids
     known: dict[str, bytes] = {}
@@ -91,6 +93,8 @@ def id_bytes(path: str) -> Callable[[Iterable[str]], Iterator[bytes]]:
         return None
 
     def encode_some(texts: list[str]) -> list[bytes]:
+        whole = {i: np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for i, t in enumerate(texts) if has_added(t.lower())}
+        texts = ["" if i in whole else t for i, t in enumerate(texts)] if whole else texts
         plain = [not unusual(text) for text in texts]
         words = [text.lower().split() if p else split(text) for text, p in zip(texts, plain, strict=True)]
         if len(known) > MEMORY_ENTRIES:
@@ -99,7 +103,7 @@ def id_bytes(path: str) -> Callable[[Iterable[str]], Iterator[bytes]]:
             if new := set().union(*(w for w, p in zip(words, plain, strict=True) if p is kind)).difference(known):
                 learn(list(new), kind)
         find = known.__getitem__
-        return [b"".join(map(find, w)) for w in words]
+        return [whole[i] if i in whole else b"".join(map(find, w)) for i, w in enumerate(words)]
 
     def encode(texts: Iterable[str]) -> Iterator[bytes]:
         some: list[str] = []
