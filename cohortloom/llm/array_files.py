@@ -14,6 +14,10 @@ import pyarrow.fs as pafs
 _local: dict[str, str] = {}
 
 
+def as_uri(folder: str) -> str:
+    return folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+
+
 def store_arrays(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
     """One file with all arrays. It takes its name when complete, so a task that is run again does no harm."""
     files, path = pafs.FileSystem.from_uri(folder)

@@ -1,31 +1,37 @@
 """Token ids as raw binary shards, and a minimal perfect hash index from document keys to places in them.
 
-The store is two Parquet tables in a folder of any file system that Spark writes to:
+The store is a folder that driver and executors share:
 
-* ``shards``: raw little-endian ids (16-bit if the vocabulary allows, else 32-bit) of documents in ascending key order,
-  one row per shard of at most ``SHARD_IDS`` ids (or one longer document); shards are numbered by (part, seq).
+* ``ids``: raw little-endian ids (16-bit if the vocabulary allows, else 32-bit) of documents in ascending key order, one
+  file for each range partition, named by partition and task attempt;
+* ``shards``: a Parquet table with the documents of each stretch of at most ``SHARD_IDS`` ids (or one longer document).
+  Spark commits one attempt of a task, so that files of other attempts are never referred to;
 * ``index``: one row per bucket of keys. A bucket holds a minimal perfect hash function of its keys (displacements per
-  group of keys) and, by its value, a fingerprint of the key and the shard, the offset, the length and the number of ids
-  before it in the whole store. A lookup is one hash, one displacement, one compared fingerprint and one slice.
+  group of keys) and, by its value, a fingerprint of the key and the file, the offset, the length and the number of ids
+  before it in the whole store. A lookup is one hash, one displacement, one compared fingerprint and one read of a range
+  of a file: payloads are never shuffled.
 
 A key is a document id and a number that tells repeated rows of one id apart (0, 1, ... in the order that Spark reads
-them). Rows without id come first and are told apart likewise. All rows of one id go to one range partition.
+them). Rows without id come first and are told apart likewise. Rows of one id may span range partitions.
 """
 
 from __future__ import annotations
 
 import uuid
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import map_arrow, shared_folder, shuffle_partitions, text_or_empty, texts_of
+from cohortloom.llm.array_files import as_uri
+from cohortloom.llm.common import shared_folder, shuffle_partitions, text_or_empty, texts_of
 from cohortloom.llm.words import id_bytes
 
 SHARD_IDS, SHARD_DOCS = 1 << 18, 4096
@@ -33,7 +39,9 @@ BUCKET_KEYS = 4096
 GROUP_KEYS = 3
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
-_ENTRY = "shard_part int, shard_seq int, offset long, length long, start long"
+#: Ids of a file that are read at once.
+READ_IDS = 1 << 21
+_PLACE = ("part", "attempt", "offset", "length", "start")
 
 
 @dataclass(frozen=True)
@@ -46,7 +54,7 @@ class TokenStore:
 
     @property
     def shards(self) -> DataFrame:
-        return self.spark.read.schema(f"part int, seq int, n_ids long, ids array<{self.id_type}>, copies array<int>, lengths array<long>, payload binary").parquet(f"{self.path}/shards")
+        return self.spark.read.schema(f"part int, attempt long, seq int, first long, n_ids long, ids array<{self.id_type}>, copies array<int>, lengths array<long>").parquet(f"{self.path}/shards")
 
     @property
     def index(self) -> DataFrame:
@@ -116,85 +124,98 @@ def _mph_keys(key: np.ndarray, fingerprint: np.ndarray) -> np.ndarray:
     return key.astype(np.int64).view(np.uint64) ^ (fingerprint.astype(np.int64).view(np.uint64) << np.uint64(17))
 
 
+def _file(path: str, part: int, attempt: int) -> str:
+    return f"{path}/ids/{part}-{attempt}.ids"
+
+
 def write_store(docs: DataFrame, tokenizer_path: str, vocabulary: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> TokenStore:
     """Encode whole texts (null: empty), append ``end_id``, write shards in ascending id order and their index."""
     spark = docs.sparkSession
-    path = path or f"{shared_folder(spark)}/token-store-{uuid.uuid4().hex}"
+    path = as_uri(path or f"{shared_folder(spark)}/token-store-{uuid.uuid4().hex}")
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
     rows = docs.select(docs[id_col].alias("doc_id"), text_or_empty(text_col).alias("text"), F.monotonically_increasing_id().alias("row_uid"))
     id_type = dict(rows.dtypes)["doc_id"]
-    ordered = rows.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "row_uid")
-
-    def task():
-        encode, end, part = id_bytes(tokenizer_path), int(end_id).to_bytes(4, "little"), TaskContext.get().partitionId()
-        before: list = [None, -1]
-        seq = 0
-
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            nonlocal seq
-            made: dict[str, list] = {k: [] for k in ("ids", "copies", "lengths", "payload")}
-            own: dict[str, list] = {k: [] for k in made}
-            total = 0
-
-            def close() -> None:
-                own["payload"] = np.frombuffer(b"".join(own["payload"]), "<u4").astype(kind).tobytes()
-                for k in made:
-                    made[k].append(own[k])
-                    own[k] = []
-
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts_of(batch)), strict=True):
-                n = len(ids) // 4 + 1
-                before[:] = [doc_id, before[1] + 1 if before[1] >= 0 and before[0] == doc_id else 0]
-                if own["ids"] and (total + n > SHARD_IDS or len(own["ids"]) >= SHARD_DOCS):
-                    close()
-                    total = 0
-                total += n
-                own["ids"].append(doc_id)
-                own["copies"].append(before[1])
-                own["lengths"].append(n)
-                own["payload"].append(ids + end)
-            close()
-            n = len(made["ids"])
-            seqs, seq = range(seq, seq + n), seq + n
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part] * n, pa.int32()),
-                    pa.array(seqs, pa.int32()),
-                    pa.array([sum(x) for x in made["lengths"]], pa.int64()),
-                    pa.array(made["ids"], pa.list_(batch.schema.field("doc_id").type)),
-                    pa.array(made["copies"], pa.list_(pa.int32())),
-                    pa.array(made["lengths"], pa.list_(pa.int64())),
-                    pa.array(made["payload"], pa.binary()),
-                ],
-                names=["part", "seq", "n_ids", "ids", "copies", "lengths", "payload"],
-            )
-
-        return step
-
-    shards = map_arrow(ordered, task, f"part int, seq int, n_ids long, ids array<{id_type}>, copies array<int>, lengths array<long>, payload binary")
-    shards.write.parquet(f"{path}/shards")
+    ordered = rows.repartitionByRange(shuffle_partitions(spark), "doc_id", "row_uid").sortWithinPartitions("doc_id", "row_uid")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, end = id_bytes(tokenizer_path), int(end_id).to_bytes(4, "little")
+        context = TaskContext.get()
+        part, attempt = context.partitionId(), context.taskAttemptId()
+        last, copy, seq, at, out = None, -1, 0, 0, None
+        try:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                if out is None:
+                    files, place = pafs.FileSystem.from_uri(_file(path, part, attempt))
+                    files.create_dir(place.rpartition("/")[0], recursive=True)
+                    out = files.open_output_stream(place)
+                shards: list[tuple[int, list[int], list[int]]] = []  # first id, copies, lengths
+                keys = batch.column("doc_id").to_pylist()
+                for doc_id, ids in zip(keys, encode(texts_of(batch)), strict=True):
+                    ids += end
+                    copy = copy + 1 if copy >= 0 and last == doc_id else 0
+                    last, n = doc_id, len(ids) // 4
+                    if not shards or sum_of_last + n > SHARD_IDS or len(shards[-1][1]) >= SHARD_DOCS:
+                        shards.append((at, [], []))
+                        sum_of_last = 0
+                    shards[-1][1].append(copy)
+                    shards[-1][2].append(n)
+                    out.write(ids if kind == "<u4" else np.frombuffer(ids, "<u4").astype(kind).tobytes())
+                    sum_of_last, at = sum_of_last + n, at + n
+                size = [len(x[1]) for x in shards]
+                begin = np.cumsum([0, *size])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([part] * len(size), pa.int32()),
+                        pa.array([attempt] * len(size), pa.int64()),
+                        pa.array(range(seq, seq + len(size)), pa.int32()),
+                        pa.array([x[0] for x in shards], pa.int64()),
+                        pa.array([sum(x[2]) for x in shards], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(begin, pa.int32()), batch.column("doc_id")),
+                        pa.array([x[1] for x in shards], pa.list_(pa.int32())),
+                        pa.array([x[2] for x in shards], pa.list_(pa.int64())),
+                    ],
+                    names=["part", "attempt", "seq", "first", "n_ids", "ids", "copies", "lengths"],
+                )
+                seq += len(size)
+        finally:
+            if out is not None:
+                out.close()
+
+    schema = f"part int, attempt long, seq int, first long, n_ids long, ids array<{id_type}>, copies array<int>, lengths array<long>"
+    ordered.select("doc_id", "text").mapInArrow(write, schema).write.parquet(f"{path}/shards")
     store = TokenStore(spark, path, id_type, np.dtype(kind).itemsize, 1)
-    known = store.shards.select("part", "seq", "n_ids", "ids", "copies", "lengths")
+    known = store.shards
     n_docs = known.agg(F.sum(F.size("ids"))).first()[0] or 0
     store = TokenStore(spark, path, id_type, store.width, max(1, -(-n_docs // BUCKET_KEYS)))
-    # a running sum over parts of running sums within a part: the only single-task step sees one row per part
-    parts = known.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    parts = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
-    starts = known.select("part", "seq", (F.sum("n_ids").over(Window.partitionBy("part").orderBy("seq")) - F.col("n_ids")).alias("seq_start"))
-    starts = starts.join(parts, "part").select("part", "seq", (F.col("part_start") + F.col("seq_start")).alias("shard_start"))
-    entries = known.select("part", "seq", F.explode(F.arrays_zip("ids", "copies", "lengths", _running("lengths"))).alias("doc")).join(starts, ["part", "seq"])
+    # of each part the ids before it, and the copies of its first id in the parts before it; single tasks see one row a part
+    parts = known.groupBy("part").agg(
+        F.sum("n_ids").alias("n"), F.min_by(F.get("ids", F.lit(0)), "seq").alias("first_id"), F.max_by(F.element_at("ids", -1), "seq").alias("last_id"), F.max_by(F.element_at("copies", -1) + 1, "seq").alias("last_copies")
+    )
+    in_turn = Window.orderBy("part")
+    parts = parts.select("part", "first_id", "last_id", (F.sum("n").over(in_turn) - F.col("n")).alias("part_start"), F.sum("last_copies").over(Window.partitionBy("last_id").orderBy("part")).alias("so_far"))
+    goes_on = F.lag("last_id").over(in_turn).eqNullSafe(F.col("first_id")) & F.lag("part").over(in_turn).isNotNull()
+    parts = parts.select("part", "first_id", "part_start", F.when(goes_on, F.lag("so_far").over(in_turn)).otherwise(0).cast("int").alias("copies_before"))
+    entries = known.select("part", "attempt", "first", F.explode(F.arrays_zip("ids", "copies", "lengths", _running("lengths"))).alias("doc")).join(parts, "part")
     entries = entries.select(
-        F.col("doc.ids").alias("doc_id"), F.col("doc.copies").alias("copy"), "part", "seq", F.col("doc.offsets").alias("offset"), F.col("doc.lengths").alias("length"), (F.col("shard_start") + F.col("doc.offsets")).alias("start")
+        F.col("doc.ids").alias("doc_id"),
+        (F.col("doc.copies") + F.when(F.col("doc.ids").eqNullSafe(F.col("first_id")), F.col("copies_before")).otherwise(0)).cast("int").alias("copy"),
+        F.col("part").cast("long").alias("part"),
+        "attempt",
+        (F.col("first") + F.col("doc.offsets")).alias("offset"),
+        F.col("doc.lengths").alias("length"),
+        (F.col("part_start") + F.col("first") + F.col("doc.offsets")).alias("start"),
     )
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         keys = _mph_keys(group["key"].to_numpy(), group["fingerprint"].to_numpy())
         d = build_perfect_hash(keys)
         order = np.argsort(perfect_hash(keys, d, len(keys)))
-        places = group[["part", "seq", "offset", "length", "start"]].to_numpy(np.int64)[order]
+        places = group[list(_PLACE)].to_numpy(np.int64)[order]
         return pd.DataFrame({"bucket": [int(group["bucket"].iloc[0])], "n": [len(keys)], "displacements": [d.astype("<i4").tobytes()], "fingerprints": [group["fingerprint"].to_numpy()[order].astype("<i4").tobytes()], "places": [places.astype("<i8").tobytes()]})
 
-    index = _keyed(entries, store.buckets).select("bucket", "key", "fingerprint", "part", "seq", "offset", "length", "start").groupBy("bucket").applyInPandas(build, "bucket int, n int, displacements binary, fingerprints binary, places binary")
+    index = _keyed(entries, store.buckets).select("bucket", "key", "fingerprint", *_PLACE).groupBy("bucket").applyInPandas(build, "bucket int, n int, displacements binary, fingerprints binary, places binary")
     index.write.parquet(f"{path}/index")
     return store
 
@@ -208,37 +229,58 @@ def _running(lengths: str):
 def find(store: TokenStore, keys: DataFrame) -> DataFrame:
     """``doc_id, copy`` of ``keys`` with the place of each in the store; keys that it doesn't have are left out."""
 
-    def look(asked: pd.DataFrame, bucket: pd.DataFrame) -> pd.DataFrame:
-        out = asked[["doc_id", "copy"]]
-        if not len(bucket) or not len(asked):
-            places, found = np.zeros((len(asked), 5), np.int64), np.zeros(len(asked), bool)
-        else:
-            b = bucket.iloc[0]
-            own = asked["fingerprint"].to_numpy()
-            at = perfect_hash(_mph_keys(asked["key"].to_numpy(), own), np.frombuffer(b["displacements"], "<i4").astype(np.int64), int(b["n"]))
+    def look(asked: pa.Table, bucket: pa.Table) -> pa.Table:
+        n = asked.num_rows
+        places, found = np.zeros((n, len(_PLACE)), np.int64), np.zeros(n, bool)
+        if n and bucket.num_rows:
+            b = bucket.to_pylist()[0]
+            own = asked.column("fingerprint").to_numpy()
+            at = perfect_hash(_mph_keys(asked.column("key").to_numpy(), own), np.frombuffer(b["displacements"], "<i4").astype(np.int64), b["n"])
             found = np.frombuffer(b["fingerprints"], "<i4")[at] == own
-            places = np.frombuffer(b["places"], "<i8").reshape(-1, 5)[at]
-        out = out.assign(**{k: places[:, i] for i, k in enumerate(("shard_part", "shard_seq", "offset", "length", "start"))})
-        return out[found]
+            places = np.frombuffer(b["places"], "<i8").reshape(-1, len(_PLACE))[at]
+        out = pa.table([asked.column("doc_id"), asked.column("copy"), *(pa.array(places[:, i]) for i in range(len(_PLACE)))], names=["doc_id", "copy", *_PLACE])
+        return out.filter(pa.array(found))
 
     asked = _keyed(keys.select("doc_id", "copy"), store.buckets)
-    return asked.groupBy("bucket").cogroup(store.index.groupBy("bucket")).applyInPandas(look, f"doc_id {store.id_type}, copy int, {_ENTRY}")
+    return asked.groupBy("bucket").cogroup(store.index.groupBy("bucket")).applyInArrow(look, f"doc_id {store.id_type}, copy int, " + ", ".join(f"{c} long" for c in _PLACE))
+
+
+def _read_places(store: TokenStore, keys: DataFrame, column: str, schema: str, made: Callable[[memoryview], int | bytes], kind: pa.DataType) -> DataFrame:
+    """The places of ``keys`` in order of the files, and in ``column`` what ``made`` gives for the ids of each as little-endian 32-bit integers."""
+    path, width = store.path, store.width
+    stretch = F.floor(F.col("offset") / READ_IDS)
+    places = find(store, keys).repartition(shuffle_partitions(store.spark), "part", stretch).sortWithinPartitions("part", "offset")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_file, source = None, None
+        for batch in batches:
+            part, attempt, offset, length = (batch.column(c).to_numpy() for c in _PLACE[:4])
+            out, i = [], 0
+            while i < len(part):
+                j = i + 1  # places that follow one another in one file, and are not too many ids together, are one read
+                while j < len(part) and part[j] == part[i] and offset[j] + length[j] - offset[i] <= READ_IDS and offset[j] <= offset[j - 1] + length[j - 1] + SHARD_DOCS:
+                    j += 1
+                name = _file(path, int(part[i]), int(attempt[i]))
+                if name != open_file:
+                    files, place = pafs.FileSystem.from_uri(name)
+                    open_file, source = name, files.open_input_file(place)
+                begin, end = int(offset[i]), int((offset[i:j] + length[i:j]).max())
+                ids = memoryview(np.frombuffer(source.read_at((end - begin) * width, begin * width), f"<u{width}").astype("<u4").tobytes())
+                out += [made(ids[4 * (a - begin) : 4 * (a - begin + n)]) for a, n in zip(offset[i:j].tolist(), length[i:j].tolist(), strict=True)]
+                i = j
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("copy"), batch.column("start"), batch.column("length"), pa.array(out, kind)], names=["doc_id", "copy", "start", "n_tokens", column])
+
+    return places.mapInArrow(read, f"doc_id {store.id_type}, copy int, start long, n_tokens long, {column} {schema}")
+
+
+def fetch_ids(store: TokenStore, keys: DataFrame) -> DataFrame:
+    """``doc_id, copy, start, n_tokens, ids`` of ``keys`` (little-endian unsigned 32-bit ids), read by ranges of the files."""
+    return _read_places(store, keys, "ids", "binary", bytes, pa.binary())
 
 
 def fetch_digests(store: TokenStore, keys: DataFrame) -> DataFrame:
-    """``doc_id, copy, start, n_tokens, ids_crc32`` of the stored ids of ``keys``, each cut out of its shard's payload."""
-    kind = "<u2" if store.width == 2 else "<u4"
-
-    def cut(asked: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-        crc = []
-        if len(asked):
-            ids = memoryview(np.frombuffer(shard["payload"].iloc[0], kind).astype("<u4").tobytes())
-            crc = [zlib.crc32(ids[4 * a : 4 * (a + n)]) for a, n in zip(asked["offset"].tolist(), asked["length"].tolist(), strict=True)]
-        return pd.DataFrame({"doc_id": asked["doc_id"], "copy": asked["copy"], "start": asked["start"], "n_tokens": asked["length"], "ids_crc32": pd.Series(crc, asked.index, "int64")})
-
-    shards = store.shards.select(F.col("part").alias("shard_part"), F.col("seq").alias("shard_seq"), "payload")
-    by = ["shard_part", "shard_seq"]
-    return find(store, keys).groupBy(*by).cogroup(shards.groupBy(*by)).applyInPandas(cut, f"doc_id {store.id_type}, copy int, start long, n_tokens long, ids_crc32 long")
+    """``doc_id, copy, start, n_tokens, ids_crc32`` of the stored ids of ``keys``, read by ranges of the files."""
+    return _read_places(store, keys, "ids_crc32", "long", zlib.crc32, pa.int64())
 
 
 def document_keys(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -47,7 +47,7 @@ def hard():
     return [
         (1, base), (2, base), (2, base), (3, " ".join(near)), (4, " ".join(far)), (5, None), (6, ""), (7, " \t\n "), (8, "one two"), (9, "one  two"), (10, "ONE two"),
         (11, long), (12, long + " tail"), (None, base), (None, "lonely row without an id and with words"), (13, "Ünïcode ß 中文 🙂 é İ ς Σ"), (14, "!!! ... 123"), (15, "x" * 5000),
-        (16, "a<|endoftext|>b \x01 \x1c c"), (17, base.replace(" ", "\n")), (18, "Released under the MIT License.\nOther things follow here. And more."),
+        (16, "a<|endoftext|>b \x01 \x1c c"), (19, "x <|ENDOFTEXT|> Y <|startoftext|>"), (20, "<|endoftext|>"), (17, base.replace(" ", "\n")), (18, "Released under the MIT License.\nOther things follow here. And more."),
     ]
 
 
@@ -143,7 +143,6 @@ def expected_ids(text, end):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(TOKENIZER)
-    library.encode_special_tokens = True
     return library.encode(text or "", add_special_tokens=False).ids + [end]
 
 
@@ -167,6 +166,26 @@ def test_packing(spark, hard):
     assert packing.pack_documents(table(spark, []), TOKENIZER).count() == 0
 
 
+def test_token_ids_of_odd_texts_are_those_of_the_library():
+    from tokenizers import Tokenizer
+
+    from cohortloom.llm.words import id_bytes
+
+    library, rnd = Tokenizer.from_file(TOKENIZER), random.Random(1)
+    pieces = [" ", "\n", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", "it's", "don't", "abc", "ÀÉ", "straße", "12", "½", "...", "中文", "🙂", "\x1c", "\u00a0", "İ", "e\u0301"]
+    texts = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 9))) for _ in range(3000)]
+    for text, ids in zip(texts, id_bytes(TOKENIZER)(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_token_store_keeps_ids_exactly(spark):
+    """Ids beyond 2**53 beside a null one, and more copies of an id than a part holds."""
+    rows = [(2**53 + 1, "one"), (2**53 + 2, "two words"), (None, "none"), (7, None)] + [(2**60 + 1, f"copy {i}") for i in range(40)]
+    got = token_store.stored_digests(table(spark, rows), TOKENIZER, 49408, 2).collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == Counter((i, len(expected_ids(t, 2)), crc(expected_ids(t, 2))) for i, t in rows)
+    assert sorted(r.start for r in got) == np.cumsum([0] + [r.n_tokens for r in sorted(got, key=lambda r: r.start)])[:-1].tolist()
+
+
 def test_token_store(spark, hard):
     docs = table(spark, hard)
     got = token_store.stored_digests(docs, TOKENIZER, 49408, 2).collect()
@@ -181,6 +200,8 @@ def test_token_store(spark, hard):
     store = token_store.write_store(docs, TOKENIZER, 49408, 2)
     asked = spark.createDataFrame([(1, 0), (2, 1), (2, 2), (999, 0), (12, 0)], "doc_id long, copy int")
     assert sorted((r.doc_id, r.copy) for r in token_store.find(store, asked).collect()) == [(1, 0), (2, 1), (12, 0)]
+    fetched = {(r.doc_id, r.copy): np.frombuffer(bytes(r.ids), "<u4").tolist() for r in token_store.fetch_ids(store, asked).collect()}
+    assert fetched == {(i, k): expected_ids(dict(hard)[i], 2) for i, k in [(1, 0), (2, 1), (12, 0)]}
     assert token_store.stored_digests(table(spark, []), TOKENIZER, 49408, 2).count() == 0
 
 
