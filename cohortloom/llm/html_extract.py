@@ -1,8 +1,9 @@
 """Main text of web pages: flat text blocks, described by themselves and their neighbours, and a decision tree.
 
-A page is read once from left to right into blocks of text between block-level tags. Each block has its words, its link
-density and what encloses it; with the words and link densities of the blocks before and after, a decision tree says
-which blocks are content. The tree is grown from the small labelled table below.
+A page is read once from left to right, by the rules of HTML for tags and attributes, into blocks of text between
+block-level tags. Each block has its words, its link density and what its surroundings are named: with the words and link
+densities of the blocks before and after, a decision tree says which blocks are content. The tree is grown from the small
+labelled table below.
 """
 
 from __future__ import annotations
@@ -18,131 +19,272 @@ from pyspark.sql import DataFrame
 
 from cohortloom.llm.common import map_arrow, text_or_empty
 
-# Names of HTML elements, and words of class, id and role attributes that mark what is not content.
+# Names of HTML elements, and words of class, id and role attributes that hint at what is not content.
 _BLOCK = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead title tr ul head caption".split()
 )
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
-_RAW = set("script style noscript template svg math iframe object canvas textarea select button title head audio video map".split())
-_OUTSIDE = set("nav header footer aside form dialog menu search".split())
-_INSIDE = set("article main".split())
+_RAW = set("script style textarea title xmp noembed noframes iframe".split())  # text up to their end tag, or to the end of the page
+_SKIPPED = set("head noscript template svg math object canvas select button audio video map".split())  # left out if they end
+_OUTSIDE = set("nav footer aside dialog menu search header".split())
+_HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+_ENDS_BEFORE = {"li": "li", "dd": "dd dt", "dt": "dd dt", "td": "td th", "th": "td th", "tr": "td th tr", "option": "option"}
 _MARKS = set(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert "
     "warning sidebar aside menu nav navbar navigation navi breadcrumb breadcrumbs footer foot header masthead topbar comment comments commentlist reply replies "
     "respond discussion disqus share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay copyright disclaimer "
     "widget toolbar pagination pager hidden search form complementary contentinfo skip".split()
 )
+_AD_MARKS = set("ad ads adv advert adverts advertisement advertising adsense".split())
+_COMMENT_MARKS = set("comment comments commentlist reply replies respond discussion disqus".split())
+_HEADER_MARKS = set("header banner masthead".split())
 _CONTENT_MARKS = set("article post entry story content main body text".split())
-_PIECES = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
-_ATTRIBUTES = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+#: Words that leave a name's meaning as it is (``post-comments``), and words of names that speak of a page's layout.
+_NEUTRAL = _CONTENT_MARKS | set(
+    "posts page site blog global local primary secondary wrapper wrap container box block area bar list item items section inner outer top bottom left right center "
+    "col column module region panel slot unit zone title link links policy button buttons icon icons group row the and id".split()
+)
+_LAYOUT = set("no with without has layout template theme enabled disabled open closed grid".split())
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|=?+[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>]*+))?+|=)*+)(?:>|\Z)")
+_ATTRIBUTES = re.compile(r"(=?+[^\s/>=]++)(?:\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>]*+)))?+")
+_COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))", re.DOTALL)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
+WEAK, STRONG = 1, 2
 
 
 class Block(NamedTuple):
     text: str
     words: int
     link_density: float
-    marked: bool  # within what is not content
+    mark: int  # how much its surroundings are named as what isn't content: 0, WEAK or STRONG
     enclosed: bool  # within an article or the main element
     heading: bool
 
 
-def _attributes(source: str) -> dict[str, str]:
-    return {name.lower(): html.unescape(a or b or c) for name, a, b, c in _ATTRIBUTES.findall(source)}
+class _Mark(NamedTuple):
+    level: int
+    firm: bool  # whatever share of the page it holds
 
 
-def _is_marked(tag: str, source: str, enclosed: bool) -> bool:
-    """Whether an element's name or attributes say that it isn't content; an article may have a header of its own."""
+def _attributes(source: str) -> dict[str, str]:
+    """By the rules of HTML; of repeated names the first counts."""
+    given: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTES.findall(source) if source.strip() else ():
+        given.setdefault(name.lower(), html.unescape(a or b or c))
+    return given
+
+
+@lru_cache(maxsize=1 << 14)
+def _name_mark(name: str, enclosed: bool) -> _Mark | None:
+    """What one class, id or role says. Names of marks and neutral words alone are strong, others that have a mark weak."""
+    parts = [w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if w]
+    found = _MARKS.intersection(parts)
+    if not found or _LAYOUT.intersection(parts) or (found <= _HEADER_MARKS and (enclosed or _CONTENT_MARKS.intersection(parts))):
+        return None
+    if found & _AD_MARKS or all(w in _MARKS or w in _NEUTRAL for w in parts):
+        return _Mark(STRONG, bool(found & _COMMENT_MARKS))
+    return None if enclosed else _Mark(WEAK, False)
+
+
+def _mark_of(tag: str, given: dict[str, str], enclosed: bool) -> _Mark | None:
+    """What an element's name and attributes say against it."""
+    if "hidden" in given or given.get("aria-hidden") == "true" or _UNSEEN.search(given.get("style", "")):
+        return _Mark(STRONG, True)
     if tag in _OUTSIDE and not (tag == "header" and enclosed):
-        return True
-    if "=" not in source:
-        return bool(re.search(r"\bhidden\b", source))
-    given = _attributes(source)
-    if given.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", "")):
-        return True
-    words = {w for name in ("class", "id", "role") for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", given.get(name, "")).lower())}
-    found = words & _MARKS
-    return bool(found) and tag not in ("body", "html") and not (found <= {"header", "banner"} and (enclosed or words & _CONTENT_MARKS))
-
-
-def blocks(page: str) -> list[Block]:
-    """The text blocks of a page in order. Unclosed elements end with what encloses them, and an article ends all marks."""
-    out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # of open elements that matter: name, marked, enclosed
-    texts: list[str] = []
-    link_words = heading = links = 0
-    marked = enclosed = False
-
-    def close_block() -> None:
-        nonlocal link_words, heading
-        text = " ".join(html.unescape("".join(texts)).split())
-        texts.clear()
+        return _Mark(STRONG, True)
+    found = [_Mark(STRONG, False)] if tag == "form" else []
+    if given and tag not in ("main", "body", "html") and tag not in _HEADINGS:
+        names = [*given.get("class", "").split(), given.get("id", ""), given.get("role", "")]
+        if tag not in _BLOCK:  # parts of a sentence
+            names = [n for n in names if n.lower() in _AD_MARKS]
+        found += [m for n in names if n and (m := _name_mark(n, enclosed or tag == "article"))]
+    return max(found, default=None)
+
+
+class _Reader:
+    """One pass over a page, in time proportional to its length."""
+
+    def __init__(self) -> None:
+        self.found: list[tuple[str, int, float, int, bool, bool]] = []  # text, words, link density, number of the innermost mark, enclosed, heading
+        self.marks: list[_Mark] = []
+        self.above: list[int] = []  # of each mark the next one outside it, or -1
+        self.words: list[int] = []  # within each mark
+        self.total = 0
+        self.stack: list[tuple[str, int, bool, bool]] = []  # name, innermost mark, enclosed, whether it is a block
+        self.places: dict[str, list[int]] = {}  # of each name in the stack
+        self.blocks: list[int] = []  # places of blocks in the stack
+        self.texts: list[str] = []
+        self.link_words = 0
+        self.link_depth = -1  # of the stack where the open link began
+        self.silent = 0  # open inline elements that are left out
+
+    def top(self) -> tuple[int, bool]:
+        return (self.stack[-1][1], self.stack[-1][2]) if self.stack else (-1, False)
+
+    def close_block(self) -> None:
+        text = " ".join(html.unescape("".join(self.texts)).split())
+        self.texts.clear()
         if text:
             words = text.count(" ") + 1
-            out.append(Block(text, words, min(1.0, link_words / words), marked, enclosed, bool(heading)))
-        link_words = 0
-
-    def add(text: str) -> None:
-        nonlocal link_words
-        texts.append(text)
-        if links:
-            link_words += len(html.unescape(text).split())
+            heading = bool(self.stack) and self.stack[-1][0] in _HEADINGS
+            self.found.append((text, words, min(1.0, self.link_words / words), *self.top(), heading))
+            self.total += words
+        self.link_words = 0
+
+    def add(self, text: str) -> None:
+        if self.silent:
+            return
+        self.texts.append(text)
+        if self.link_depth >= 0:
+            self.link_words += len(html.unescape(text).split())
+
+    def push(self, tag: str, mark: _Mark | None, enclosed: bool) -> None:
+        number, inside = self.top()
+        if mark:
+            self.marks.append(mark)
+            self.above.append(number)
+            self.words.append(-self.total)
+            number = len(self.marks) - 1
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in _BLOCK:
+            self.blocks.append(len(self.stack))
+        else:
+            self.silent += 1
+        self.stack.append((tag, number, inside or enclosed, tag in _BLOCK))
+
+    def pop(self) -> str:
+        tag, number, _, block = self.stack.pop()
+        self.places[tag].pop()
+        if block:
+            self.blocks.pop()
+        else:
+            self.silent -= 1
+        if number != self.top()[0]:
+            self.words[number] += self.total
+        if len(self.stack) < self.link_depth:
+            self.link_depth = -1
+        return tag
+
+    def start(self, tag: str, source: str) -> None:
+        given = _attributes(source)
+        if tag == "a":
+            self.link_depth = len(self.stack) if "href" in given else -1
+        if tag not in _BLOCK:
+            if tag == "br":
+                self.add(" ")
+            elif given and tag not in _VOID and not source.endswith("/") and not self.places.get("pre") and _mark_of(tag, given, False):
+                self.push(tag, None, False)
+            return
+        self.close_block()
+        while self.stack and self.stack[-1][0] == "p":
+            self.pop()
+        ends = _ENDS_BEFORE.get(tag, "").split()
+        while self.stack and self.stack[-1][0] in ends:
+            self.pop()
+        if tag not in _VOID and not source.endswith("/"):
+            mark = _mark_of(tag, given, self.top()[1])
+            self.push(tag, mark, tag in ("article", "main") or given.get("role") in ("main", "article"))
+
+    def end(self, tag: str) -> None:
+        if tag == "a":
+            self.link_depth = -1
+        open_at = self.places.get(tag)
+        if tag in _BLOCK:
+            self.close_block()
+            while open_at:
+                if self.pop() == tag:
+                    break
+        elif open_at and open_at[-1] > (self.blocks[-1] if self.blocks else -1):
+            while self.pop() != tag:
+                pass
+
+
+def _read(page: str) -> _Reader:
+    r, at = _Reader(), 0
+    lower = page.lower() if len(page.lower()) == len(page) else re.sub("[A-Z]", lambda m: m[0].lower(), page)
+    ended: dict[str, bool] = {}  # elements of which no further end tag is on the page
+
+    def past_end(tag: str, at: int) -> int | None:
+        while not ended.get(tag):
+            at = lower.find(f"</{tag}", at)
+            if at < 0:
+                ended[tag] = True
+                break
+            after = at + len(tag) + 2
+            if after >= len(page) or page[after] in "> /\t\n\r\f":
+                close = page.find(">", after)
+                return len(page) if close < 0 else close + 1
+            at = after
+        return None
 
-    at = 0
     while at < len(page):
-        found = _PIECES.search(page, at)
-        add(page[at : found.start() if found else len(page)])
-        if not found:
+        begin = page.find("<", at)
+        if begin < 0:
+            begin = len(page)
+        if begin > at:
+            r.add(page[at:begin])
+        if begin == len(page):
             break
-        at = found.end()
-        closing, tag, source = found.groups()
-        if not tag:
-            continue
-        tag = tag.lower()
-        if tag in _RAW:
-            if not closing and not source.endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
-                if end:
-                    at = end.end()
-                elif tag in ("script", "style", "textarea", "title"):
-                    at = len(page)
-            texts.append(" ")
-            continue
-        if tag == "a":
-            links = 0 if closing else 1
-        elif tag == "br":
-            texts.append(" ")
-        if tag not in _BLOCK and (closing or tag in _VOID or not _is_marked(tag, source, enclosed)):
-            if closing and any(name == tag for name, *_ in stack):
-                close_block()
-                while stack.pop()[0] != tag:
-                    pass
-                marked, enclosed = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            continue
-        close_block()
-        links = 0 if tag in _BLOCK else links
-        if closing:
-            if re.fullmatch("h[1-6]", tag):
-                heading = 0
-            if any(name == tag for name, *_ in stack):
-                while stack.pop()[0] != tag:
-                    pass
-        elif tag not in _VOID and not source.endswith("/"):
-            while stack and stack[-1][0] == "p":
-                stack.pop()
-            before = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            heading = int(bool(re.fullmatch("h[1-6]", tag)))
-            if tag in _INSIDE and not _is_marked("div", source, True):
-                stack.append((tag, False, True))
+        if found := _TAG.match(page, begin):
+            closing, tag, source = found.groups()
+            at, tag = found.end(), tag.lower()
+            if tag in _RAW or tag in _SKIPPED:
+                if not closing and not (source.endswith("/") and tag in ("svg", "math")):
+                    past = past_end(tag, at)
+                    at = past if past is not None else len(page) if tag in ("script", "style", "textarea", "title") else at
+                r.add(" ")
+            elif closing:
+                r.end(tag)
             else:
-                stack.append((tag, before[0] or _is_marked(tag, source, before[1]), before[1]))
-        marked, enclosed = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-    close_block()
+                r.start(tag, source)
+        elif found := _COMMENT.match(page, begin):
+            at = found.end()
+        elif page[begin + 1 : begin + 2] in ("!", "?", "/") and len(page) > begin + 1:
+            close = page.find(">", begin)
+            at = len(page) if close < 0 else close + 1
+        else:
+            r.add("<")
+            at = begin + 1
+    r.close_block()
+    while r.stack:
+        r.pop()
+    return r
+
+
+def _standing(r: _Reader) -> list[int]:
+    """The level of each mark with those outside it. A strong mark that isn't firm falls if all that is outside marks, or
+    only in marks around it that have fallen, is less than a tenth of its words and in no article: then its name speaks of the page."""
+    own = np.zeros((len(r.marks) + 1, 2))  # words by their innermost strong mark, the last of those in none: out of links, and in an article
+    strong = [0] * len(r.marks)
+    for i, mark in enumerate(r.marks):
+        strong[i] = i if mark.level == STRONG else strong[r.above[i]] if r.above[i] >= 0 else -1
+    for _, words, density, number, enclosed, _ in r.found:
+        at = strong[number] if number >= 0 else -1
+        own[at] += words * (1 - density), words * enclosed
+    out, base = [0] * len(r.marks), [own[-1]] * len(r.marks)
+    for i, mark in enumerate(r.marks):
+        up = r.above[i]
+        around = out[up] if up >= 0 else 0
+        base[i] = base[up] if up >= 0 else own[-1]
+        if around == STRONG or mark.level == WEAK:
+            out[i] = max(around, mark.level)
+        elif not mark.firm and base[i][1] == 0 and 10 * base[i][0] < r.words[i]:
+            out[i], base[i] = around, base[i] + own[i]
+        else:
+            out[i] = STRONG
     return out
 
 
+def blocks(page: str) -> list[Block]:
+    """The text blocks of a page in order. Unclosed elements end with what encloses them; an article within a mark stays marked."""
+    r = _read(page)
+    levels = _standing(r)
+    return [Block(text, words, density, levels[number] if number >= 0 else 0, enclosed, heading) for text, words, density, number, enclosed, heading in r.found]
+
+
 #: Features of a block in the order of the labelled table. place: 2 within an article or the main element, 0 outside it on a page that has one, 1 on a page without.
-FEATURES = ("marked", "place", "heading", "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after")
+FEATURES = ("mark", "place", "heading", "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after")
 
 #: Blocks labelled by hand (features as above; the last column tells whether the block is content).
 LABELLED = [
@@ -160,11 +302,11 @@ LABELLED = [
     (0, 2, 0, 25, 0.0, 9, 0.0, 9, 0.4, 1),
     (0, 2, 0, 1, 0.0, 1, 0.0, 1, 1.0, 1),
     (0, 2, 0, 310, 0.0, 2, 1.0, 0, 0.0, 1),
-    (1, 2, 0, 15, 0.0, 80, 0.0, 22, 0.0, 0),
-    (1, 2, 0, 160, 0.0, 34, 0.0, 41, 0.0, 0),
-    (1, 2, 1, 2, 0.0, 170, 0.0, 18, 0.0, 0),
-    (1, 2, 0, 4, 1.0, 51, 0.0, 3, 1.0, 0),
-    (1, 2, 0, 33, 0.1, 3, 0.0, 130, 0.0, 0),
+    (2, 2, 0, 15, 0.0, 80, 0.0, 22, 0.0, 0),
+    (2, 2, 0, 160, 0.0, 34, 0.0, 41, 0.0, 0),
+    (2, 2, 1, 2, 0.0, 170, 0.0, 18, 0.0, 0),
+    (2, 2, 0, 4, 1.0, 51, 0.0, 3, 1.0, 0),
+    (2, 2, 0, 33, 0.1, 3, 0.0, 130, 0.0, 0),
     # outside it
     (0, 0, 0, 1, 1.0, 1, 1.0, 1, 1.0, 0),
     (0, 0, 0, 12, 0.0, 1, 1.0, 7, 0.0, 0),
@@ -174,10 +316,10 @@ LABELLED = [
     (0, 0, 0, 9, 0.0, 210, 0.0, 0, 0.0, 0),
     (0, 0, 1, 6, 0.0, 0, 0.0, 48, 0.0, 0),
     (0, 0, 0, 41, 0.0, 6, 0.0, 33, 0.0, 0),
-    (1, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0),
-    (1, 0, 0, 9, 0.1, 110, 0.0, 0, 0.0, 0),
-    (1, 0, 0, 42, 0.0, 1, 1.0, 7, 0.0, 0),
-    (1, 0, 1, 3, 0.0, 2, 1.0, 11, 0.0, 0),
+    (2, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0),
+    (2, 0, 0, 9, 0.1, 110, 0.0, 0, 0.0, 0),
+    (2, 0, 0, 42, 0.0, 1, 1.0, 7, 0.0, 0),
+    (2, 0, 1, 3, 0.0, 2, 1.0, 11, 0.0, 0),
     # pages without an article
     (0, 1, 1, 8, 0.0, 1, 1.0, 66, 0.0, 1),
     (0, 1, 1, 4, 0.0, 13, 0.0, 47, 0.0, 1),
@@ -209,11 +351,25 @@ LABELLED = [
     (0, 1, 1, 2, 0.0, 4, 1.0, 2, 1.0, 0),
     (0, 1, 0, 1, 0.0, 1, 1.0, 1, 1.0, 0),
     (0, 1, 0, 4, 0.0, 6, 1.0, 3, 0.9, 0),
-    (1, 1, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0),
-    (1, 1, 0, 21, 0.0, 70, 0.0, 15, 0.0, 0),
-    (1, 1, 0, 158, 0.0, 25, 0.0, 30, 0.0, 0),
-    (1, 1, 1, 4, 0.0, 1, 1.0, 31, 0.0, 0),
-    (1, 1, 0, 8, 0.1, 95, 0.0, 0, 0.0, 0),
+    (2, 1, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0),
+    (2, 1, 0, 21, 0.0, 70, 0.0, 15, 0.0, 0),
+    (2, 1, 0, 158, 0.0, 25, 0.0, 30, 0.0, 0),
+    (2, 1, 1, 4, 0.0, 1, 1.0, 31, 0.0, 0),
+    (2, 1, 0, 8, 0.1, 95, 0.0, 0, 0.0, 0),
+    # within names that have other words too
+    (1, 1, 0, 64, 0.0, 9, 0.0, 80, 0.0, 1),
+    (1, 1, 0, 130, 0.05, 64, 0.0, 22, 0.0, 1),
+    (1, 1, 0, 24, 0.0, 3, 1.0, 15, 0.0, 1),
+    (1, 1, 0, 12, 0.0, 70, 0.0, 55, 0.0, 1),
+    (1, 1, 1, 5, 0.0, 20, 0.0, 48, 0.0, 1),
+    (1, 1, 0, 2, 1.0, 1, 1.0, 2, 1.0, 0),
+    (1, 1, 0, 5, 0.8, 60, 0.0, 4, 1.0, 0),
+    (1, 1, 0, 28, 0.75, 40, 0.0, 3, 1.0, 0),
+    (1, 1, 0, 4, 0.0, 1, 1.0, 2, 1.0, 0),
+    (1, 1, 1, 2, 0.0, 30, 0.0, 2, 1.0, 0),
+    (1, 0, 0, 40, 0.0, 9, 0.0, 12, 0.0, 0),
+    (1, 0, 0, 3, 1.0, 70, 0.0, 2, 1.0, 0),
+    (1, 0, 1, 4, 0.0, 90, 0.0, 30, 0.0, 0),
 ]
 
 
@@ -260,11 +416,14 @@ def is_content(tree: Tree, features: tuple[float, ...]) -> bool:
 
 
 def features_of(found: list[Block]) -> list[tuple[float, ...]]:
-    edge = Block("", 0, 0.0, False, False, False)
+    """An article counts as the page's place of content if it has a tenth of the unmarked words out of links."""
+    edge = Block("", 0, 0.0, 0, False, False)
     around = [edge, *found, edge]
-    article = any(b.enclosed and not b.marked for b in found)
+    plain = [b for b in found if b.mark < STRONG]
+    enclosed = sum(b.words for b in plain if b.enclosed)
+    article = enclosed > 0 and 10 * enclosed >= sum(b.words * (1 - b.link_density) for b in plain)
     return [
-        (b.marked, (2 if b.enclosed else 0) if article else 1, b.heading, b.words, b.link_density, before.words, before.link_density, after.words, after.link_density)
+        (b.mark, (2 if b.enclosed else 0) if article else 1, b.heading, b.words, b.link_density, before.words, before.link_density, after.words, after.link_density)
         for before, b, after in zip(around, around[1:], around[2:], strict=False)
     ]
 
