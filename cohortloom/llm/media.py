@@ -43,18 +43,24 @@ def encode_png(samples: np.ndarray, level: int = 1) -> bytes:
 
 
 def _unfilter(kinds: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Undo the five PNG filters for one byte a sample; average and Paeth depend on the sample before and go one by one."""
+    """Undo the five PNG filters for one byte a sample: runs of rows of none, sub and up together; average and Paeth depend
+    on the sample before and go one by one."""
     out = np.empty_like(rows)
     above = np.zeros(rows.shape[1], np.uint8)
-    for i, kind in enumerate(kinds.tolist()):
-        row = rows[i]
+    cuts = np.flatnonzero(np.concatenate(([True], kinds[1:] != kinds[:-1], [True]))) if len(kinds) else np.zeros(1, np.int64)
+    for i, end in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
+        kind = int(kinds[i])
         if kind == 0:
-            out[i] = row
+            out[i:end] = rows[i:end]
         elif kind == 1:
-            np.add.accumulate(row, dtype=np.uint8, out=out[i])
+            np.add.accumulate(rows[i:end], axis=1, dtype=np.uint8, out=out[i:end])
         elif kind == 2:
-            np.add(row, above, out=out[i])
-        elif kind in (3, 4):
+            np.add.accumulate(rows[i:end], axis=0, dtype=np.uint8, out=out[i:end])
+            out[i:end] += above
+        elif kind not in (3, 4):
+            raise ValueError(f"filter {kind} does not exist")
+        for at in range(i, end) if kind in (3, 4) else ():
+            row = rows[at]
             left = corner = 0
             for j, (value, up) in enumerate(zip(row.tolist(), above.tolist(), strict=True)):
                 if kind == 3:
@@ -63,10 +69,9 @@ def _unfilter(kinds: np.ndarray, rows: np.ndarray) -> np.ndarray:
                     by_left, by_up, by_corner = abs(up - corner), abs(left - corner), abs(left + up - 2 * corner)
                     guess = left if by_left <= by_up and by_left <= by_corner else up if by_up <= by_corner else corner
                 left, corner = (value + guess) & 255, up
-                out[i, j] = left
-        else:
-            raise ValueError(f"filter {kind} does not exist")
-        above = out[i]
+                out[at, j] = left
+            above = out[at]
+        above = out[end - 1]
     return out
 
 
