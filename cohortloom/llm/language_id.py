@@ -9,7 +9,7 @@ calibrate the probabilities with one temperature. Prediction runs over whole tex
 from __future__ import annotations
 
 import sys
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -29,10 +29,18 @@ UNKNOWN = "und"
 class LanguageModel:
     labels: list[str]
     idf: np.ndarray  # (BUCKETS,)
-    weights: np.ndarray  # (BUCKETS, labels)
+    active: np.ndarray  # buckets in order that have a weight other than 0
+    weights: np.ndarray  # (active, labels)
     bias: np.ndarray
     temperature: float
 
+    def logits(self, buckets: np.ndarray, values: np.ndarray) -> np.ndarray:
+        if not len(self.active):
+            return self.bias
+        at = np.minimum(np.searchsorted(self.active, buckets), len(self.active) - 1)
+        known = self.active[at] == buckets
+        return values[known] @ self.weights[at[known]] + self.bias
+
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
@@ -55,7 +63,10 @@ def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     for order in ORDERS[1:]:
         hashed = (hashed[:-1] * np.uint32(0x85EBCA6B) + line[order - 1 :]) * np.uint32(0xC2B2AE35) + np.uint32(order)
         found.append((hashed >> np.uint32(32 - BITS)).astype(np.int64))
-    counts = np.bincount(np.concatenate(found), minlength=BUCKETS)
+    every = np.concatenate(found)
+    if len(every) < BUCKETS // 16:  # of short texts sorting takes less time
+        return np.unique(every, return_counts=True)
+    counts = np.bincount(every, minlength=BUCKETS)
     buckets = np.flatnonzero(counts)
     return buckets, counts[buckets]
 
@@ -126,9 +137,13 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def fit_language_model(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_label: int = 1000, max_labels: int = 200) -> LanguageModel:
-    """Fit on the rows that meet ``training`` and have a language. Without any, the model has no labels."""
+    """Fit on the rows that meet ``training`` and have a language. Without any, the model has no labels.
+
+    The draw is a hash of id and text, so that the model is the same however the table is split into files; rows that
+    repeat id, text and language are drawn once. Null and empty texts have no n-grams and teach only the bias.
+    """
     rows = docs.where(training & F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), text_or_empty(text_col).alias("text"), F.xxhash64(F.col(id_col), F.monotonically_increasing_id()).alias("draw")
+        F.col(lang_col).alias("lang"), text_or_empty(text_col).alias("text"), F.xxhash64(F.col(id_col), text_or_empty(text_col)).alias("draw")
     )
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(max_labels + 1).collect()}
     if len(sizes) > max_labels:
@@ -137,9 +152,9 @@ def fit_language_model(docs: DataFrame, training: Column, id_col: str = "doc_id"
     df, n = document_frequencies(rows)
     idf = np.log((1 + n) / (1 + df)) + 1
     if not labels:
-        return LanguageModel([], idf, np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
+        return LanguageModel([], idf, np.empty(0, np.int64), np.zeros((0, 0)), np.zeros(0), 1.0)
     share = F.element_at(F.create_map(*(F.lit(x) for k in labels for x in (k, min(1.0, per_label / sizes[k])))), F.col("lang"))
-    sample = rows.where(F.pmod("draw", F.lit(1 << 30)) < share * (1 << 30))
+    sample = rows.where(F.pmod("draw", F.lit(1 << 30)) < share * (1 << 30)).dropDuplicates(["draw", "lang"])
 
     def task():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -157,44 +172,52 @@ def fit_language_model(docs: DataFrame, training: Column, id_col: str = "doc_id"
         row = (number[r["lang"]], buckets, _tf_idf(buckets, np.frombuffer(bytes(r["counts"]), "<u4"), idf))
         (held if i % 5 == 4 else fitted).append(row)
     weights, bias = fit_ftrl(fitted, len(labels))
-    logits = np.array([x @ weights[b] + bias for _, b, x in held]).reshape(-1, len(labels))
-    return LanguageModel(labels, idf, weights, bias, fit_temperature(logits, np.array([k for k, _, _ in held], np.int64)))
+    active = np.flatnonzero(weights.any(axis=1))
+    model = LanguageModel(labels, idf, active, weights[active], bias, 1.0)
+    logits = np.array([model.logits(b, x) for _, b, x in held]).reshape(-1, len(labels))
+    return replace(model, temperature=fit_temperature(logits, np.array([k for k, _, _ in held], np.int64)))
 
 
 def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The ``keep`` columns, or else the id alone, with ``lang_pred`` and ``score``, the calibrated probability.
+    """The ``keep`` columns, or else the id alone, with ``lang_pred``, ``score``, the calibrated probability, and ``has_letters``.
 
-    Null texts, texts without a letter, and all texts under a model without labels are ``und`` with score 0. Rows are
-    independent; repeated rows and null ids give a row each.
+    Null texts, texts without a letter, and all texts under a model without labels are ``und`` with score 0; of equal
+    scores the language that comes first in the alphabet is given. Rows are independent; repeated rows and null ids give a
+    row each.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * labels numbers, at most max_labels
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most BUCKETS * max_labels numbers
 
     def task():
         m = shared.value
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            langs, scores = [], []
+            langs, scores, letters = [], [], []
             for text in batch.column("__text").to_pylist():
                 buckets, counts = gram_counts(text)
+                letters.append(len(buckets) > 0)
                 if not len(buckets) or not m.labels:
                     langs.append(UNKNOWN)
                     scores.append(0.0)
                     continue
-                p = _softmax((_tf_idf(buckets, counts, m.idf) @ m.weights[buckets] + m.bias) / m.temperature)
+                p = _softmax(m.logits(buckets, _tf_idf(buckets, counts, m.idf)) / m.temperature)
                 k = int(p.argmax())
                 langs.append(m.labels[k])
                 scores.append(float(p[k]))
-            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
+            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(letters, pa.bool_())], names=[*names, "lang_pred", "score", "has_letters"])
 
         return step
 
     names = list(keep or (id_col,))
     rows = docs.select(*(docs[c] for c in names), text_or_empty(text_col).alias("__text"))
-    return map_arrow(rows, task, ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes[:-1]) + ", lang_pred string, score double")
+    return map_arrow(rows, task, ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes[:-1]) + ", lang_pred string, score double, has_letters boolean")
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = (), per_label: int = 1000) -> DataFrame:
-    """Fit on the rows whose crc32(id) modulo 3 is not 1 and predict all; ``held_out`` tells the others."""
+    """Fit on the rows whose crc32(id) modulo 3 is not 1 and predict all; ``held_out`` tells the others.
+
+    Null ids count as the empty text (remainder 0, so they are learned from); null languages are not learned from; what
+    becomes of null and letterless texts, ties and repeated rows ``predict_language`` says. Empty input gives an empty result.
+    """
     held_out = split_remainder(id_col, 3) == 1
     model = fit_language_model(docs, ~held_out, id_col, text_col, lang_col, per_label)
     return predict_language(docs, model, id_col, text_col, keep).withColumn("held_out", held_out)

@@ -40,7 +40,7 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_id(read(spark, sf_dir, "documents"))
+    return language_id(read(spark, sf_dir, "documents")).drop("has_letters")
 
 
 def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,6 +69,48 @@ def test_media_round_trip_and_digests(spark, hard):
     assert media.media_table(table(spark, [])).count() == 0
 
 
+def naive_png(data):
+    """Rows of samples of a PNG file, chunk by chunk and sample by sample."""
+    assert data[:8] == b"\x89PNG\r\n\x1a\n"
+    at, body = 8, b""
+    while at < len(data):
+        size, kind = int.from_bytes(data[at : at + 4], "big"), data[at + 4 : at + 8]
+        assert int.from_bytes(data[at + 8 + size : at + 12 + size], "big") == zlib.crc32(data[at + 4 : at + 8 + size])
+        if kind == b"IHDR":
+            width, height = (int.from_bytes(data[at + 8 + 4 * k : at + 12 + 4 * k], "big") for k in (0, 1))
+        body += data[at + 8 : at + 8 + size] if kind == b"IDAT" else b""
+        at += 12 + size
+    raw, above, out = zlib.decompress(body), [0] * width, []
+    for y in range(height):
+        kind, *row = raw[y * (width + 1) : (y + 1) * (width + 1)]
+        for x in range(width):
+            a, b, c = row[x - 1] if x else 0, above[x], above[x - 1] if x else 0
+            paeth = min((abs(a + b - c - v), k, v) for k, v in enumerate((a, b, c)))[2]
+            row[x] = (row[x] + (0, a, b, (a + b) // 2, paeth)[kind]) % 256
+        out.append(row)
+        above = row
+    return out
+
+
+def direct_hash(image):
+    height, width = image.shape
+    share = lambda k, n, x: max(0.0, min((k + 1) * n / 32, x + 1) - max(k * n / 32, x)) * 32 / n
+    rows = [[share(k, height, y) for y in range(height)] for k in range(32)]
+    columns = [[share(k, width, x) for x in range(width)] for k in range(32)]
+    pooled = np.array(rows) @ image.astype(float) @ np.array(columns).T
+    low = [sum(pooled[y, x] * math.cos(math.pi * u * (y + 0.5) / 32) * math.cos(math.pi * v * (x + 0.5) / 32) for y in range(32) for x in range(32)) for u in range(8) for v in range(8)]
+    middle = sorted(round(c, 4) for c in low[1:])[31]
+    return int("".join("1" if round(c, 4) > middle else "0" for c in low), 2).to_bytes(8, "big")
+
+
+def test_stored_images_open_in_another_reader():
+    rnd = np.random.default_rng(3)
+    for height in (1, 2, 9):
+        smooth = np.cumsum(rnd.integers(-2, 3, (height, 64)), axis=1).astype(np.uint8)
+        for image in (rnd.integers(0, 256, (height, 64), np.uint8), smooth, np.repeat(smooth[:1], height, axis=0)):
+            assert naive_png(media.encode_png(image)) == image.tolist() == media.decode_png(media.encode_png(image)).tolist()
+
+
 def test_png_filters_and_damage(spark):
     rnd = np.random.default_rng(1)
     image = rnd.integers(0, 256, (5, 9), np.uint8)
@@ -84,6 +126,13 @@ def test_png_filters_and_damage(spark):
     kinds = np.arange(5, dtype=np.uint8)
     rows = np.array([[(int(image[y, x]) - predicted(k, y, x)) % 256 for x in range(9)] for y, k in enumerate(kinds)], np.uint8)
     assert (media._unfilter(kinds, rows) == image).all()
+    for _ in range(30):  # runs of rows of one filter
+        kinds = np.sort(rnd.integers(0, 5, 8)).astype(np.uint8)[rnd.permutation(8) if rnd.random() < 0.5 else slice(None)]
+        rows = rnd.integers(0, 256, (8, 12), np.uint8)
+        raw = b"".join(bytes([k]) + row.tobytes() for k, row in zip(kinds.tolist(), rows, strict=True))
+        header = (12).to_bytes(4, "big") + (8).to_bytes(4, "big") + bytes([8, 0, 0, 0, 0])
+        png = media._SIGNATURE + media._chunk(b"IHDR", header) + media._chunk(b"IDAT", zlib.compress(raw)) + media._chunk(b"IEND", b"")
+        assert naive_png(png) == media.decode_png(png).tolist()
     good = media.encode_png(image)
     assert (media.decode_png(good) == image).all()
     for at in range(len(good)):
@@ -95,6 +144,14 @@ def test_png_filters_and_damage(spark):
     assert [r.problem for r in got] == [None, "null", "not a PNG file"] and got[1].media_bytes is None and got[2].media_bytes == 2
 
 
+def test_frequency_hash_is_its_direct_transform():
+    """The lowest cosine coefficients summed term by term."""
+    rnd = np.random.default_rng(4)
+    for shape in ((1, 576), (7, 576), (40, 576)):
+        image = rnd.integers(0, 256, shape, np.uint8)
+        assert media.frequency_hash(image) == direct_hash(image)
+
+
 def test_frequency_hash_is_near_for_near_images():
     rnd = np.random.default_rng(2)
     image = np.cumsum(rnd.integers(-3, 4, (96, 576)), axis=1).astype(np.float64)
@@ -361,6 +418,53 @@ def test_language_id(spark, hard):
     assert {(r.lang_pred, r.score) for r in language_id.language_id(table(spark, [(1, "some text")])).collect()} == {("und", 0.0)}
 
 
+def test_ftrl_is_its_coordinate_wise_version():
+    """Every weight by itself, as the method is written down, against the vectorised fit; and the lasso leaves weights out."""
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(60):
+        buckets = sorted(rnd.sample(range(40), rnd.randint(1, 8)))
+        rows.append((buckets[0] % 3, np.array(buckets), np.array([rnd.random() for _ in buckets])))
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.05, 0.01
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(j, k):
+        lasso = 0.0 if j == "bias" else l1
+        if abs(z[j, k]) <= lasso:
+            return 0.0
+        return -(z[j, k] - math.copysign(lasso, z[j, k])) / ((beta + math.sqrt(n[j, k])) / alpha + l2)
+
+    for _ in range(2):
+        for label, buckets, values in rows:
+            x = [*zip(buckets.tolist(), values.tolist()), ("bias", 1.0)]
+            w = {(j, k): weight(j, k) for j, _ in x for k in range(3)}
+            e = [math.exp(sum(w[j, k] * v for j, v in x)) for k in range(3)]
+            for j, v in x:
+                for k in range(3):
+                    g = v * (e[k] / sum(e) - (k == label))
+                    sigma = (math.sqrt(n[j, k] + g * g) - math.sqrt(n[j, k])) / alpha
+                    z[j, k] += g - sigma * w[j, k]
+                    n[j, k] += g * g
+    weights, bias = language_id.fit_ftrl(rows, 3, epochs=2, alpha=alpha, beta=beta, l1=l1, l2=l2)
+    want = np.array([[weight(j, k) for k in range(3)] for j in range(40)])
+    assert np.allclose(weights[:40], want, atol=1e-12) and np.allclose(bias, [weight("bias", k) for k in range(3)], atol=1e-12)
+    assert not weights[40:].any() and (want == 0).sum() > (np.array([[z[j, k] for k in range(3)] for j in range(40)]) == 0).sum()
+
+
+def test_language_model_is_the_same_however_the_table_is_split(spark):
+    rows = language_rows()
+    one, two = (language_id.fit_language_model(table(spark, part).repartition(n), F.lit(True), per_label=20) for n, part in ((1, rows), (7, rows[::-1])))
+    assert one.labels == two.labels and (one.active == two.active).all() and (one.weights == two.weights).all() and one.temperature == two.temperature
+    assert len(one.active) < language_id.BUCKETS
+
+
+def test_language_ties_and_sparse_weights():
+    buckets, values = np.array([3, 9]), np.array([0.6, 0.8])
+    model = language_id.LanguageModel(["aa", "bb"], np.ones(language_id.BUCKETS), np.array([9]), np.array([[1.0, -1.0]]), np.array([0.5, 0.5]), 1.0)
+    assert model.logits(buckets, values).tolist() == [1.3, -0.30000000000000004]
+    assert model.logits(np.array([3]), np.array([1.0])).argmax() == 0  # a tie
+
+
 def test_language_counts_cover_all_training_rows(spark):
     rows = language_rows(30)
     df, n = language_id.document_frequencies(table(spark, rows))
@@ -394,6 +498,109 @@ def test_html_tree_fits_its_table():
     assert all(html_extract.is_content(tree, row[:-1]) == bool(row[-1]) for row in html_extract.LABELLED)
 
 
+ARTICLE = "<h1>Title here</h1><p>" + "some words of an article that goes on " * 20 + "</p><p>Second paragraph it is.</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<nav><a href=/>Home</a></nav><main class='with-sidebar'>{ARTICLE}</main><footer>x</footer>",
+        f"<div class='content no-sidebar'>{ARTICLE}</div><div class=footer>foot text</div>",
+        f"<article class='post category-social'>{ARTICLE}</article>",
+        f"<article>{ARTICLE}</article><section id='comments'><article><p>Nice post I think so</p></article></section>",
+        f"<article>{ARTICLE}</article><aside><article><p>Teaser text to read more</p></article></aside>",
+        f"<form id=aspnetForm><div class=menu><a href=x>m</a></div><div>{ARTICLE}</div><div class=sidebar>Side things are here to see</div></form>",
+        f"<div class='sidebar-right'><div class=breadcrumb>You are here</div>{ARTICLE}<div class='comment-list'><p>{'reader words ' * 200}</p></div></div>",
+    ],
+)
+def test_html_names_of_layout_and_nested_articles(page):
+    want = "Title here\n\n" + ("some words of an article that goes on " * 20).strip() + "\n\nSecond paragraph it is."
+    assert html_extract.main_text(page) == want
+
+
+def test_html_attributes_and_names_inside_an_article():
+    assert html_extract.main_text("<p title='Bob's dog'>Hello it's fine and this is a paragraph that has words</p>") == "Hello it's fine and this is a paragraph that has words"
+    page = "<article><p>Long enough to be an article.</p><section id='related-work'><h2 id='social-history'>Social history</h2><p>short.</p></section><p id='search-results'>A result.</p></article>"
+    assert html_extract.main_text(page).split("\n\n")[1:] == ["Social history", "short.", "A result."]
+    page = "<article><p>Text <span class=ad>buy</span> more <span class='comment'>kept</span> text</p><pre><span class='token comment'># c</span></pre></article>"
+    assert html_extract.main_text(page) == "Text more kept text\n\n# c"
+    assert html_extract.main_text("<section id='comments'><article><p>Nice post I think so</p></article></section>") == ""
+    assert html_extract.main_text("<") == "<" and html_extract.main_text("") == html_extract.main_text("<p title='") == html_extract.main_text("<!-- x") == ""
+
+
+def test_html_takes_time_in_proportion_to_the_page():
+    import time
+
+    n = 50_000
+    for page in ("<div>" * n + "</span>" * n, "<b hidden>" * n + "</i>" * n, "<div class=widget>" * n + "x", "<svg>" * n, "<a href=x" * n, "<p title='" * n, "<!--" * n, "<li class=ad>" * n + "</ul>" * n, "<script>" * n, "</svg" * n):
+        began = time.perf_counter()
+        html_extract.main_text(page)
+        assert time.perf_counter() - began < 10, page[:20]  # quadratic time is minutes
+
+
+def flat_blocks(page):
+    """The texts between block-level tags, by the standard library's reader, on pages without raw or left-out elements."""
+    from html.parser import HTMLParser
+
+    out, now = [], []
+
+    class Reader(HTMLParser):
+        def cut(self):
+            if text := " ".join("".join(now).split()):
+                out.append(text)
+            now.clear()
+
+        def handle_starttag(self, tag, attrs):
+            if tag in html_extract._BLOCK:
+                self.cut()
+            elif tag == "br":
+                now.append(" ")
+
+        def handle_endtag(self, tag):
+            if tag in html_extract._BLOCK:
+                self.cut()
+
+        def handle_data(self, data):
+            now.append(data)
+
+    reader = Reader(convert_charrefs=True)
+    reader.feed(page)
+    reader.close()
+    reader.cut()
+    return out
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_html_blocks_and_articles_of_generated_pages(seed):
+    """The flat blocks are those of another reader, and the text is what the page was made around."""
+    rnd = random.Random(seed)
+    quote = lambda v: rnd.choice([f'"{v}"', f"'{v}'"])
+
+    def sentence(n):
+        return " ".join(rnd.choice(["word", "caf\u00e9", "a &amp; b", "&lt;i&gt;", "it's", "x=1", "long\n  er", "<b>bold</b>", f"<a href={quote('/l')}>link</a>", "end<br>line", "<i title='a > b'>em</i>"]) for _ in range(n))
+
+    def element(tag, body, names=""):
+        return f"<{tag}{names}>{body}" + ("" if tag == "p" and rnd.random() < 0.3 else f"</{tag}>")
+
+    parts = [element(rnd.choice(["p", "h2", "li", "blockquote", "div"]), sentence(rnd.randint(12, 60))) for _ in range(rnd.randint(3, 9))]
+    junk = [
+        element("nav", "".join(element("li", f"<a href={quote('/' + str(i))}>Item {i}</a>") for i in range(4))),
+        element("footer", sentence(6)),
+        element("div", sentence(9), f" class={quote(rnd.choice(['ad-slot', 'cookieNotice', 'sidebar left', 'newsletter-signup', 'x widget']))}"),
+        element("section", "".join(element("article", element("p", sentence(8))) for _ in range(3)), f" id={quote('comments')}"),
+        element("aside", element("article", sentence(12))),
+    ]
+    rnd.shuffle(junk)
+    k = rnd.randint(0, len(junk))
+    wrapped = rnd.random() < 0.5
+    inside = "<section>" + "".join(parts) + "</section>"
+    body = element("article", inside, f" class={quote('post has-sidebar tag-social')}") if wrapped else element("div", inside, f" class={quote('page no-sidebar')}")
+    page = "<html><body>" + "".join(junk[:k]) + body + "".join(junk[k:]) + "</body></html>"
+    assert [b.text for b in html_extract.blocks(page)] == flat_blocks(page)
+    if wrapped:
+        assert html_extract.main_text(page).split("\n\n") == flat_blocks(inside)
+
+
 def brute_licenses(text):
     """(number of standing notices, licence and coefficient of the heaviest), window by window."""
     w = re.sub("[^a-z0-9]+", " ", (text or "").lower()).split()
