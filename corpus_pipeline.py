@@ -16,21 +16,27 @@ from cohortloom.llm.packing import pack_documents
 from cohortloom.llm.queries import WORD_TOKENIZER
 
 _ROW = "__pipeline_row"
+#: Languages of the corpus that is made. Documents of any other language that the model has learned go.
+LANGUAGES: tuple[str, ...] = ("en", "de", "fr", "es")
+#: Least calibrated probability of another language at which a document goes; short clean texts may be hard to tell.
+REJECT_AT = 0.5
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """The documents with an identity for each row that stays with it whatever is computed again: file and place of a
-    table that is read as it stands, else a number in a written copy."""
+    """The documents with an identity for each row that stays with it whatever is computed again: whole path of the file
+    and place in it of a table that is read as it stands, else a number in a written copy."""
     try:
-        return docs.select("*", F.concat_ws(":", "_metadata.file_name", "_metadata.row_index").alias(_ROW))
+        return docs.select("*", F.concat_ws(":", "_metadata.file_path", "_metadata.row_index").alias(_ROW))
     except AnalysisException:
         return written(docs.withColumn(_ROW, F.monotonically_increasing_id()), "pipeline-rows")
 
 
-def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a recognised language: those that the classifier rejects, without text or without a letter, go."""
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, languages: tuple[str, ...] = LANGUAGES, reject_at: float = REJECT_AT) -> DataFrame:
+    """Documents with a letter, but those that the classifier gives another language than ``languages`` with a probability
+    of ``reject_at`` or more. Where no row has a language to learn from, all texts with a letter stay."""
     predicted = language_id(docs, keep=tuple(docs.columns))
-    return predicted.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    rejected = ~F.col("lang_pred").isin(UNKNOWN, *languages) & (F.col("score") >= reject_at)
+    return predicted.where(F.col("has_letters") & ~rejected).select(*docs.columns)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
