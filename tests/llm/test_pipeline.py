@@ -32,6 +32,7 @@ def rows_of(n=60):
 
 
 def brute(rows):
+    """Only languages of the corpus occur, so that the first stage drops texts without a letter alone."""
     docs = [(i, t) for i, t, _ in rows if any(c.isalpha() for c in t or "")]
     order = lambda r: (r[0] is None, r[0] or 0)
     seen: dict[str, tuple] = {}
@@ -55,6 +56,30 @@ def test_pipeline_is_its_brute_force_version(spark, tmp_path):
     assert len({r.sequence_id for r in got}) == naive_best_fit([r.length for r in got], 2048)
 
 
+def test_equal_file_names_in_two_folders(spark, tmp_path):
+    """Rows at the same place of files of the same name are different rows."""
+    for part in ("a", "b"):
+        rows = [(1 if part == "a" else 2, "hello world one", "en"), (3 if part == "a" else 4, f"other text of part {part} here", "en")]
+        documents(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/source/{part}")
+        (file,) = (tmp_path / "source" / part).glob("*.parquet")
+        folder = tmp_path / "documents.parquet" / f"part={part}"
+        folder.mkdir(parents=True)
+        file.rename(folder / "same-name.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for stage in (corpus_pipeline.exact_stage, corpus_pipeline.near_stage):
+        assert sorted(r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()) == [1, 3, 4]
+
+
+def test_documents_in_another_language_go(spark, tmp_path):
+    rows = [(i, text, "nl" if lang == "fr" else lang) for i, text, lang in rows_of(90) if i is not None and i < 90]
+    short = [(500 + k, text, None) for k, text in enumerate(("the people of that", "der die das", "Der"))]
+    out = corpus_pipeline.language_stage(spark, documents(spark, rows + short), str(tmp_path))
+    kept = {r.doc_id for r in out.collect()}
+    assert kept == {i for i, _, lang in rows if lang != "nl"} | {500, 501, 502}
+    unlabelled = [(1, "some text", None), (2, "12 34", None), (3, None, None)]
+    assert [r.doc_id for r in corpus_pipeline.language_stage(spark, documents(spark, unlabelled), str(tmp_path)).collect()] == [1]
+
+
 def test_stages_keep_the_columns_and_stand_empty_tables(spark, tmp_path):
     docs = documents(spark, [])
     for name, stage in corpus_pipeline.STAGES[:-1]:
