@@ -10,7 +10,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_powers = np.ones(1, np.uint64)
+_EIGHT = np.uint64(8)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -20,15 +20,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers_to(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        _powers = np.concatenate(([np.uint64(1)], np.cumprod(np.full(max(n, 64), _P))))
-    return _powers
-
-
 def word_hashes(text: str) -> np.ndarray:
-    """A 64-bit hash of each word: runs of other than ASCII white space, A-Z in lower case."""
+    """A 64-bit hash of each word: runs of other than ASCII white space, A-Z in lower case. Every eight bytes of a word are
+    scrambled with their place before they are summed."""
     data = _LOWER[np.frombuffer(text.encode("utf-8", "replace"), np.uint8)]
     if not len(data):
         return np.empty(0, np.uint64)
@@ -42,8 +36,11 @@ def word_hashes(text: str) -> np.ndarray:
     lengths = ends - starts
     begin = np.cumsum(lengths) - lengths
     at = np.arange(int(lengths.sum())) - np.repeat(begin, lengths)
-    values = (data[word].astype(np.uint64) + np.uint64(1)) * _powers_to(int(lengths.max()) + 1)[at]
-    return mixed(np.add.reduceat(values, begin) + lengths.astype(np.uint64))
+    lane_starts = np.flatnonzero(at % 8 == 0)
+    lanes = np.bitwise_or.reduceat(data[word].astype(np.uint64) << ((at % 8).astype(np.uint64) * _EIGHT), lane_starts)
+    lanes = mixed(lanes ^ mixed((at[lane_starts] // 8 + 1).astype(np.uint64) * _P))
+    first_lane = np.cumsum((lengths + 7) // 8) - (lengths + 7) // 8
+    return mixed(np.add.reduceat(lanes, first_lane) + lengths.astype(np.uint64))
 
 
 def shingle_hashes(text: str, size: int = 5) -> np.ndarray:
