@@ -6,17 +6,24 @@ probability (uniform prior) that its similarity reaches the threshold is below `
 the full sets, and only confirmed links count.
 
 Not all pairs of a bucket are listed. First every member of a bucket is compared with one hub, the member that meets
-most others. Then members of the components found so far are compared across components only, in blocks of about
-``BLOCK`` x ``BLOCK`` members inside tasks; a block's surviving pairs travel as one packed row and are confirmed in one
-place, most alike first, passing over pairs that are connected already. So no link between components is lost but with
-the stated probabilities: at the threshold itself 0.7e-5 for sharing no band of 32 bands of 4 hashes (less
-above it) and ``miss`` for pruning.
+most others; a hub's set travels once to every ``TOGETHER`` members or so. Then members of the components found so far
+are compared across components only, in blocks of about ``BLOCK`` x ``BLOCK`` members inside tasks: those of a bucket's
+largest component against the rest, and the rest among themselves, so that a member is copied no more than twice
+``rest / BLOCK`` times. Where more than ``REST`` members are outside the largest component, all members of such buckets are
+joined exactly instead, by prefix filtering: of a set of n shingles the n/4 that fewest of them have must hold one that a
+set linked with it has too, and what only one set has meets nothing. Boilerplate that millions share so costs rows in
+proportion to its documents. A block's surviving pairs travel as one packed row and are confirmed in one place, most
+alike first, passing over pairs that are connected already.
+
+At a similarity of exactly 0.75 a link is lost with a probability of 5.2e-6 for sharing no band and of 6.3e-6 for being
+pruned in one of the eight looks (``miss`` bounds the posterior at each look); above it with less.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import comb
 
@@ -34,6 +41,12 @@ HASHES = BANDS * ROWS
 STEP = 16
 #: Most members of a bucket's part; a block compares one part with another.
 BLOCK = 256
+#: Members outside the largest component of a bucket from which on it is joined by prefix filtering.
+REST = 4096
+#: Members of a bucket that take one copy of what they are joined with.
+TOGETHER = 512
+#: Shingles that are counted as frequent are those in more sets than this, or than a millionth of all occurrences.
+FREQUENT, MOST_FREQUENT = 1000, 1_000_000
 #: Pairs whose signatures are looked at together.
 CHUNK = 1 << 14
 
@@ -167,43 +180,68 @@ def _sized(a: str, b: str, threshold: int) -> Column:
     return 100 * F.least(a, b) >= threshold * F.greatest(a, b)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The ``pairs(a, b)`` with 100 * intersection >= threshold * union of their full sets."""
-    x = sets.select(F.col("digest").alias("a"), F.col("shingles").alias("x"))
-    y = sets.select(F.col("digest").alias("b"), F.col("shingles").alias("y"))
+def _salts(n: Column | str) -> Column:
+    return F.ceil((F.col(n) if isinstance(n, str) else n) / TOGETHER).cast("int")
 
-    def task():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            keep = []
-            for p, q in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                keep.append(linked(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), threshold))
-            return pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
 
-        return step
+def _on_bucket(rows: DataFrame, about: DataFrame) -> DataFrame:
+    """``rows(band, digest, n_members, ...)`` joined with what ``about(band, n_members, ...)`` says of buckets: a large bucket in as many places as it has ``TOGETHER`` members."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("digest", F.lit("salt")), _salts("n_members")).cast("int"))
+    return salted.join(about.withColumn("salt", F.explode(F.sequence(F.lit(0), _salts("n_members") - 1))).drop("n_members"), ["band", "salt"]).drop("salt")
 
-    return map_arrow(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y"), task, "a binary, b binary")
 
+def _checked(pairs: DataFrame, of: DataFrame, check: Callable[[bytes, list[bytes]], list[bool] | np.ndarray]) -> DataFrame:
+    """The ``a, b, n_members`` of ``pairs`` for which ``check`` of what ``of(digest, payload)`` has of ``a`` and of several ``b`` is true.
 
-def _hub_pairs(members: DataFrame, sigs: DataFrame, threshold: int, steps: list[tuple[int, int]]) -> DataFrame:
-    """Pairs of each bucket's hub and its other members, but those ruled out by their sizes or signatures."""
+    The rows of one ``a`` are dealt to a place for every ``TOGETHER`` of them, and its payload goes to each of those once.
+    """
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("b", F.lit("pair")), _salts("n_members")).cast("int"))
+    hubs = pairs.select("a", "salt").distinct().join(of.select(F.col("digest").alias("a"), "payload"), "a").select("a", "salt", F.lit(None).cast("binary").alias("b"), F.lit(0).cast("long").alias("n_members"), "payload")
+    members = pairs.join(of.select(F.col("digest").alias("b"), "payload"), "b").select("a", "salt", "b", "n_members", "payload")
+    dealt = hubs.union(members).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, payload = None, b""
+        for batch in batches:
+            a, b, p = (batch.column(c).to_pylist() for c in ("a", "b", "payload"))
+            at, keep = 0, []
+            while at < len(a):
+                if b[at] is None:
+                    hub, payload = a[at], p[at]
+                    at += 1
+                    continue
+                end = at
+                while end < len(a) and b[end] is not None and a[end] == hub:
+                    end += 1
+                if end == at:
+                    raise ValueError("pairs without what they are held against")
+                keep += [at + k for k, ok in enumerate(check(payload, p[at:end])) if ok]
+                at = end
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b", "n_members")], names=["a", "b", "n_members"])
+
+    return dealt.select("a", "b", "n_members", "payload").mapInArrow(run, "a binary, b binary, n_members long")
+
+
+def _hub_links(members: DataFrame, sigs: DataFrame, sets: DataFrame, threshold: int, steps: list[tuple[int, int]]) -> DataFrame:
+    """Links of each bucket's hub and its other members: those that sizes and signatures don't rule out, confirmed on full sets."""
     degrees = members.groupBy("digest").agg(F.sum("n_members").alias("degree"))
     ranked = members.join(degrees, "digest")
-    hubs = ranked.groupBy("band").agg(F.max(F.struct("degree", "digest", "n_shingles")).alias("hub"))
-    pairs = members.join(hubs, "band").where((F.col("digest") != F.col("hub.digest")) & _sized("n_shingles", "hub.n_shingles", threshold))
-    pairs = pairs.select(F.col("hub.digest").alias("a"), F.col("digest").alias("b")).distinct()
-    x = sigs.select(F.col("digest").alias("a"), F.col("sig").alias("x"))
-    y = sigs.select(F.col("digest").alias("b"), F.col("sig").alias("y"))
+    hubs = ranked.groupBy("band").agg(F.max(F.struct("degree", "digest", "n_shingles")).alias("hub"), F.max("n_members").alias("n_members"))
+    pairs = _on_bucket(members, hubs).where((F.col("digest") != F.col("hub.digest")) & _sized("n_shingles", "hub.n_shingles", threshold))
+    pairs = pairs.groupBy(F.col("hub.digest").alias("a"), F.col("digest").alias("b")).agg(F.max("n_members").alias("n_members"))
 
-    def task():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, HASHES) for c in ("x", "y"))
-            n = np.arange(len(x))
-            at = pa.array(surviving(np.concatenate((x, y)), n, n + len(x), steps))
-            return pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in ("a", "b")], names=["a", "b"])
+    def alike(x: bytes, ys: list[bytes]) -> np.ndarray:
+        sig = np.frombuffer(x + b"".join(ys), "<u4").reshape(-1, HASHES)
+        out = np.zeros(len(ys), bool)
+        out[surviving(sig, np.zeros(len(ys), np.int64), np.arange(1, len(sig)), steps)] = True
+        return out
 
-        return step
+    def confirmed(x: bytes, ys: list[bytes]) -> list[bool]:
+        own = np.frombuffer(x, np.uint64)
+        return [linked(np.frombuffer(y, np.uint64), own, threshold) for y in ys]
 
-    return map_arrow(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y"), task, "a binary, b binary")
+    likely = _checked(pairs, sigs.withColumnRenamed("sig", "payload"), alike)
+    return _checked(likely, sets.withColumnRenamed("shingles", "payload"), confirmed).select("a", "b")
 
 
 def _streamed(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -221,16 +259,60 @@ def _streamed(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]
         yield rest
 
 
-def _block_candidates(members: DataFrame, sigs: DataFrame, labels: DataFrame, threshold: int, steps: list[tuple[int, int]]) -> DataFrame:
-    """``block, members, pairs``: for each block the members and the pairs across components that neither sizes nor
-    signatures rule out, most alike first, as 16-bit positions; each pair only where its first common band meets."""
-    labelled = members.join(labels, F.col("digest") == F.col("vertex"), "left").drop("vertex").withColumn("label", F.coalesce("label", "digest"))
-    mixed = labelled.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least != most").select("band")
-    parts = F.ceil(F.col("n_members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("digest", F.lit("part")), F.col("parts")).cast("int")
-    rows = labelled.join(mixed, "band").withColumn("parts", parts).withColumn("part", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    block = F.xxhash64("band", F.least("part", "other"), F.greatest("part", "other"))
-    rows = rows.select(block.alias("block"), (F.col("part") != F.col("other")).alias("across"), (F.col("part") > F.col("other")).alias("second"), "digest", "label", "n_shingles")
+def _mixed(labelled: DataFrame) -> DataFrame:
+    """``band, n_members, top, n_top, rest`` of the buckets with members of several components: the largest of these, its members, and all others."""
+    counts = labelled.groupBy("band", "label").agg(F.count("*").alias("n"), F.max("n_members").alias("n_members"))
+    buckets = counts.groupBy("band").agg(F.sum("n").alias("n"), F.max("n_members").alias("n_members"), F.max(F.struct("n", "label")).alias("top"))
+    return buckets.where("n > top.n").select("band", "n_members", F.col("top.label").alias("top"), F.col("top.n").alias("n_top"), (F.col("n") - F.col("top.n")).alias("rest"))
+
+
+def _block_rows(labelled: DataFrame, mixed: DataFrame) -> DataFrame:
+    """``block, across, second, digest, label, n_shingles``: members of the ``mixed`` buckets in every block they are compared in."""
+    rows = _on_bucket(labelled, mixed)
+    in_top = F.col("label") == F.col("top")
+    parts = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    rows = rows.withColumns({"in_top": in_top, "top_parts": parts("n_top"), "parts": parts("rest")})
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("digest", F.lit("part")), F.when(F.col("in_top"), F.col("top_parts")).otherwise(F.col("parts"))).cast("int"))
+    place = lambda kind, p, q, across, second: F.struct(F.xxhash64("band", F.lit(kind), p, q).alias("block"), across.alias("across"), second.alias("second"))
+    own, yes, no = F.col("part"), F.lit(True), F.lit(False)
+    against_rest = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: place(0, own, q, yes, no))
+    against_top = F.transform(F.sequence(F.lit(0), F.col("top_parts") - 1), lambda q: place(0, q, own, yes, yes))
+    among_rest = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: place(1, F.least(own, q), F.greatest(own, q), own != q, own > q))
+    places = F.when(F.col("in_top"), against_rest).otherwise(F.concat(against_top, among_rest))
+    return rows.select("digest", "label", "n_shingles", F.inline(places))
+
+
+def _rare_members(hot: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Prefix filtering of the ``hot(digest, label)`` sets: ``digest, label, n_shingles, band, n_members`` with a band for each
+    shingle that a set must share one of to be linked, the rarest of it, where another set has it."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shingles = [np.frombuffer(x, np.int64) for x in batch.column("shingles").to_pylist()]
+            size = np.array([len(x) for x in shingles], np.int64)
+            for at in range(0, len(size), 64):
+                n = size[at : at + 64]
+                row = pa.array(np.repeat(np.arange(at, at + len(n)), n))
+                yield pa.RecordBatch.from_arrays([batch.column("digest").take(row), batch.column("label").take(row), pa.array(np.repeat(n, n)), pa.array(np.concatenate(shingles[at : at + 64]))], names=["digest", "label", "n_shingles", "band"])
+
+    hot_sets = hot.join(sets, "digest")
+    tokens = hot_sets.select("digest", "label", "shingles").mapInArrow(spread, "digest binary, label binary, n_shingles long, band long")
+    counts = tokens.groupBy("band").agg(F.count("*").alias("n_members")).where("n_members > 1")
+    occurrences = hot_sets.agg(F.sum(F.octet_length("shingles")) / 8).first()[0] or 0
+    least = max(FREQUENT, math.ceil(occurrences / MOST_FREQUENT))
+    frequent = counts.where(F.col("n_members") > least)  # at most MOST_FREQUENT rows
+    marked = tokens.join(F.broadcast(frequent), "band", "left")
+    rare = marked.where("n_members IS NULL").drop("n_members").join(counts.where(F.col("n_members") <= least), "band")
+    every = marked.where("n_members IS NOT NULL").unionByName(rare)
+    sorted_sets = every.groupBy("digest", "label", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("n_members", "band"))).alias("shared"))
+    wanted = F.col("n_shingles") - F.ceil(F.col("n_shingles") * threshold / 100) + 1 - (F.col("n_shingles") - F.size("shared"))
+    kept = sorted_sets.where(wanted > 0).select("digest", "label", "n_shingles", F.inline(F.slice("shared", F.lit(1), wanted.cast("int"))))
+    return kept.select("digest", "label", "n_shingles", "band", "n_members")
+
+
+def _block_candidates(rows: DataFrame, sigs: DataFrame, threshold: int, steps: list[tuple[int, int]], banded: bool) -> DataFrame:
+    """``block, members, pairs``: for each block of ``rows`` the members and the pairs across components that neither sizes nor
+    signatures rule out, most alike first, as 16-bit positions; if ``banded`` each pair only where its first common band meets."""
     rows = rows.join(sigs, "digest").repartition("block").sortWithinPartitions("block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +333,7 @@ def _block_candidates(members: DataFrame, sigs: DataFrame, labels: DataFrame, th
             agreed, first = _agreement(sig, i, j)
             # the band of this block is one whose hashes all members share
             here = (sig == sig[0]).all(axis=0).reshape(BANDS, ROWS).all(axis=1)
-            keep = np.flatnonzero(here[first])
+            keep = np.flatnonzero(here[first]) if banded else np.arange(len(i))
             keep = keep[np.argsort(-agreed[keep], kind="stable")]
             if not len(keep):
                 continue
@@ -317,11 +399,19 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     wanted = vertices.join(active, "digest", "left_semi").select("digest", F.col("first.row_key").alias("row_key"))
     sets = scratch.written(_sets(rows.join(wanted, "row_key"), shingle_words), "sets")
 
-    hub_links = scratch.written(_confirmed(_hub_pairs(members, sigs, threshold, steps), sets, threshold), "links")
-    labels = connected_components(hub_links, scratch)
-    candidates = scratch.written(_block_candidates(members, sigs, labels, threshold, steps), "candidates")
-    block_links = scratch.written(_block_links(candidates, sets, threshold), "links")
-    labels = connected_components(hub_links.union(block_links), scratch)
+    links = scratch.written(_hub_links(members, sigs, sets, threshold, steps), "links")
+    labels = connected_components(links, scratch)
+    labelled = members.join(labels, F.col("digest") == F.col("vertex"), "left").drop("vertex").withColumn("label", F.coalesce("label", "digest"))
+    labelled = scratch.written(labelled, "labelled")
+    mixed = scratch.written(_mixed(labelled), "mixed")
+    candidates = [_block_candidates(_block_rows(labelled, mixed.where(F.col("rest") <= REST)), sigs, threshold, steps, True)]
+    if mixed.where(F.col("rest") > REST).limit(1).count():
+        hot = _on_bucket(labelled, mixed.where(F.col("rest") > REST).select("band", "n_members")).select("digest", "label").distinct()
+        rare = scratch.written(_rare_members(hot, sets, threshold), "rare")
+        candidates.append(_block_candidates(_block_rows(rare, _mixed(rare)), sigs, threshold, steps, False))
+    for some in candidates:
+        links = links.union(scratch.written(_block_links(scratch.written(some, "candidates"), sets, threshold), "links"))
+    labels = connected_components(links, scratch)
 
     labelled = vertices.join(labels, F.col("digest") == F.col("vertex"), "left").select("digest", F.coalesce("label", "digest").alias("label"), "first")
     smallest = labelled.groupBy("label").agg(F.min(F.struct("first.missing", "first.id")).alias("smallest"))

@@ -328,6 +328,49 @@ def test_near_dedup_on_a_large_group(spark, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows)
 
 
+def test_near_dedup_on_shared_boilerplate(spark, monkeypatch):
+    """Many documents of several components share bands: joined by prefixes, in blocks and by hubs in several places."""
+    rnd = random.Random(10)
+    boiler = words_of(rnd, 60)
+    rows = []
+    for i in range(120):
+        own = [f"u{rnd.randint(0, 10**9)}" for _ in range(30)]
+        rows.append((3 * i, boiler + " " + " ".join(own)))
+        if i % 3 == 0:
+            rows.append((3 * i + 1, boiler + " " + " ".join(own[:-1])))
+        if i % 6 == 0:
+            rows.append((3 * i + 2, " ".join([*own[:2], boiler, *own[2:-4]])))
+    rows += [(1000 + i, " ".join(boiler.split()[: 20 + i])) for i in range(40)]
+    want = brute_components(rows)
+    for block, rest, together, frequent in ((8, 4, 16, 10), (8, 10**6, 16, 1000), (256, 4, 512, 1000)):
+        for name, value in (("BLOCK", block), ("REST", rest), ("TOGETHER", together), ("FREQUENT", frequent)):
+            monkeypatch.setattr(near_dedup, name, value)
+        got = near_dedup.near_dedup(table(spark, rows)).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+
+
+def test_rows_of_a_large_bucket_grow_with_its_members(spark):
+    """One band of 20 000 members: blocks for a component and a few others, prefixes for members all apart."""
+    n = 20_000
+    of = lambda k, labels: spark.range(k).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("digest"), (F.col("id") % labels).cast("string").cast("binary").alias("label"), F.lit(100).alias("n_shingles"), F.lit(1).cast("long").alias("band"), F.lit(k).alias("n_members"))
+    few = of(n, 1).where("rand(1) < 2").withColumn("label", F.when(F.rand(2) < 0.002, F.col("digest")).otherwise(F.col("label"))).persist()
+    mixed = near_dedup._mixed(few)
+    assert mixed.first()["rest"] < 100 and near_dedup._block_rows(few, mixed).count() < 1.7 * n
+    apart = of(n, n)
+    assert near_dedup._mixed(apart).first()["rest"] == n - 1 > near_dedup.REST
+    common, rnd = np.arange(40, dtype=np.int64), np.random.default_rng(0)
+    sets = spark.createDataFrame([(bytes(r.digest), bytearray(np.sort(np.concatenate((common, rnd.integers(1 << 20, 1 << 62, 60)))).tobytes())) for r in apart.limit(2000).collect()], "digest binary, shingles binary")
+    assert near_dedup._rare_members(apart.select("digest", "label"), sets, 75).count() == 0
+
+
+def test_words_of_other_bytes_hash_apart():
+    word = lambda flip: "".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(1024))
+    made = [word(0), word(1), "a" * 1024, "a" * 1023, "abcdefgh" + "ijklmnop", "ijklmnop" + "abcdefgh", "a", "aa", "\x00a", "a\x00", "a\x00\x00"]
+    hashes = [int(shingles.word_hashes(w)[0]) for w in made]
+    assert len(set(hashes)) == len(made)
+    assert shingles.word_hashes(" ".join(made)).tolist() == hashes
+
+
 def test_bayesian_bounds():
     for n, least in near_dedup.least_matches(0.75, 1e-6):
         grid = np.linspace(0, 1, 200_001)
