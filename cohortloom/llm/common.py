@@ -21,10 +21,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. On one machine (a local master) a temporary one where that is unset, on a cluster an error."""
     if folder := spark.conf.get("spark.checkpoint.dir", None):
         return folder.rstrip("/")
-    return _own_folder.setdefault("path", tempfile.mkdtemp(prefix="cohortloom-"))
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if "path" not in _own_folder:
+        _own_folder["path"] = tempfile.mkdtemp(prefix="cohortloom-")
+    return _own_folder["path"]
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
