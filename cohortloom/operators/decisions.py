@@ -199,10 +199,13 @@ def matched_features(reasons: list[str], names: list[str]) -> list[str | None]:
 def enrich_reasons(decisions: DataFrame, evidence: DataFrame) -> DataFrame:
     """Decisions whose reasons name fewer than three numbers get those of the feature they speak of appended.
 
-    ``evidence``: ``mono_id, feature`` and numeric evidence columns. Work is per decision row, over its own few features.
+    ``evidence``: ``mono_id, feature``, numeric evidence columns and, where it has more than one month, ``cohort_dt``. Work is per decision row, over its own few features.
     """
     names = [c for c in ("value", "previous_value", "change_pct", "history_z", "peer_z", "seasonal_peer_z", "slope_6m") if c in evidence.columns]
-    listed = evidence.groupBy("mono_id").agg(F.sort_array(F.collect_list(F.struct("evidence_rank", "feature", *names))).alias("__features"))
+    month = F.col("cohort_dt").cast("string").alias("cohort_dt")
+    keys = ["mono_id", "cohort_dt"] if "cohort_dt" in evidence.columns else ["mono_id"]
+    listed = evidence.withColumn("cohort_dt", month) if "cohort_dt" in keys else evidence
+    listed = listed.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("evidence_rank", "feature", *names))).alias("__features"))
 
     @F.pandas_udf(StringType())
     def enriched(reasons: pd.Series, features: pd.Series) -> pd.Series:
@@ -219,8 +222,8 @@ def enrich_reasons(decisions: DataFrame, evidence: DataFrame) -> DataFrame:
             out.append(json.dumps(rs, ensure_ascii=False))
         return pd.Series(out, dtype=object)
 
-    joined = decisions.join(listed, "mono_id", "left")
-    return joined.withColumn("main_reasons", F.from_json(enriched(F.to_json("main_reasons"), F.to_json("__features")), REASONS_TYPE)).drop("__features")
+    joined = decisions.join(listed, keys, "left")
+    return joined.withColumn("main_reasons", F.from_json(enriched(F.to_json("main_reasons"), F.to_json("__features")), REASONS_TYPE)).select(*decisions.columns)
 
 
 def selected_flag(column: Column) -> Column:

@@ -51,24 +51,24 @@ def candidate_features(df: DataFrame, formulas: dict[str, str], exclude: tuple[s
     return made + named + [c for c in direct if c in df.columns and c not in exclude]
 
 
-def run_anomaly(
-    panel: DataFrame,
-    formulas: dict[str, str] | None = None,
-    month: str | None = None,
-    dictionary: Dictionary = Dictionary(),
-    ids: DataFrame | None = None,
-    peer_columns: PeerColumns = PeerColumns(),
-    top_reasons: int = 3,
-    seed: int = 42,
-    max_calibration_rows: int = MAX_CALIBRATION_ROWS,
-    trees: int = 150,
-) -> AnomalyRun:
-    """Score the rows of ``month`` (default: the latest) against all earlier rows.
+@dataclass
+class ModelInputs:
+    """A panel's split with its features, the peers of the scored month, and both parts as the models take them."""
 
-    Models are fitted on a hash sample of about ``max_calibration_rows`` earlier rows at most, everything else on all rows. ``ids``
-    limits the result, not what it is measured against. The panel should be a table that is cheap to read several times.
-    """
-    formulas = dictionary.formulas() if formulas is None else formulas
+    month: date
+    panel: DataFrame
+    formulas: dict[str, str]
+    train: DataFrame
+    score: DataFrame
+    features: list[str]
+    peers: DataFrame
+    names: list[str]  # columns of x_train and x_score
+    x_train: DataFrame
+    x_score: DataFrame
+
+
+def model_inputs(panel: DataFrame, formulas: dict[str, str], month: str | None = None, dictionary: Dictionary = Dictionary(), peer_columns: PeerColumns = PeerColumns()) -> ModelInputs:
+    """Features of all rows, deviations of each month from its peers, bounded and scaled by those of the earlier months."""
     panel = intake(panel)
     at = scoring_month(panel, month)
     train, score = (staged(with_features(df, formulas), "features") for df in split(panel, at))
@@ -87,6 +87,36 @@ def run_anomaly(
     prepared = fit_preprocessor(train_matrix, names)
     x_train = train_matrix.select(*keys, *prepared.expressions())
     x_score = peer_matrix(peers, features, keys).select(*keys, *prepared.expressions())
+    return ModelInputs(at, panel, formulas, train, score, features, peers, names, x_train, x_score)
+
+
+def residual_scores(inputs: ModelInputs) -> DataFrame:
+    """``mono_id, cohort_dt, residual, residual_score``: mean of the three largest deviations, and its percentile among all earlier rows."""
+    residual = top_mean(F.array(*(F.abs(F.col(f"`{n}`")) for n in inputs.names))).alias("residual")
+    keys = [ID, TIME]
+    return percentiles(staged(inputs.x_score.select(*keys, residual), "residual"), inputs.x_train.select(residual), {"residual": "residual_score"})
+
+
+def run_anomaly(
+    panel: DataFrame,
+    formulas: dict[str, str] | None = None,
+    month: str | None = None,
+    dictionary: Dictionary = Dictionary(),
+    ids: DataFrame | None = None,
+    peer_columns: PeerColumns = PeerColumns(),
+    top_reasons: int = 3,
+    seed: int = 42,
+    max_calibration_rows: int = MAX_CALIBRATION_ROWS,
+    trees: int = 150,
+) -> AnomalyRun:
+    """Score the rows of ``month`` (default: the latest) against all earlier rows.
+
+    Models are fitted on a hash sample of about ``max_calibration_rows`` earlier rows at most, everything else on all rows. ``ids``
+    limits the result, not what it is measured against. The panel should be a table that is cheap to read several times.
+    """
+    inputs = model_inputs(panel, dictionary.formulas() if formulas is None else formulas, month, dictionary, peer_columns)
+    at, panel, train, score, features, peers, names = inputs.month, inputs.panel, inputs.train, inputs.score, inputs.features, inputs.peers, inputs.names
+    formulas, x_train, x_score, keys = inputs.formulas, inputs.x_train, inputs.x_score, [ID, TIME]
     sample = bounded_sample(x_train, names, max_calibration_rows, seed, (ID, TIME))
     if not len(sample):
         raise ValueError("there are no rows before the scoring month")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 MEASURES = ("bank_total_risk", "toplam_varlik_ttr", "fs_net_sales_cumulative_l1y", "memzuc_total_limit", "memzuc_total_risk", "returned_amount", "quantity", "n_orders", "rating_group")
 
 
@@ -103,7 +105,124 @@ _scale = lambda fallback: f"CASE WHEN mad > 1e-9 THEN greatest(mad * 1.4826, 1e-
 _features = "['', " + ", ".join(f"'{c}'" for c in MEASURES) + "]"
 _union_features = lambda condition: " UNION ALL ".join(f"SELECT '{c}' AS feature FROM panel HAVING {condition.format(c=c)}" for c in MEASURES)
 
+FACTS = f"""{YEARS}, earlier AS (SELECT mono_id, arg_max(bank_total_risk, cohort_dt) AS previous FROM panel WHERE cohort_dt < {AT} GROUP BY 1),
+facts AS (SELECT mono_id, CASE WHEN k % 7 <> 0 THEN bank_total_risk END AS actual, previous, CASE WHEN k % 5 <> 0 THEN memzuc_total_limit END AS peer, CASE WHEN k % 3 <> 0 THEN 150000.0::DOUBLE END AS train,
+    CASE WHEN k % 4 <> 0 THEN (k % 9 - 4)::DOUBLE END AS peer_z, (k % 100)::DOUBLE AS peer_pct, ['HIGHER_IS_RISKY', 'LOWER_IS_RISKY', 'UNKNOWN'][k % 3 + 1] AS direction,
+    CASE WHEN k % 6 < 4 THEN 'financial_term_q' END AS term_column, CASE WHEN k % 6 < 3 THEN '30.09.2024' END AS term, CASE WHEN k % 2 = 0 THEN '30.09.2024' WHEN k % 3 = 0 THEN '30.06.2024' END AS previous_term
+    FROM (SELECT *, mono_id::BIGINT AS k FROM panel WHERE cohort_dt = {AT}) LEFT JOIN earlier USING (mono_id))"""
+
+
+def _comment(direction: str, x: str, label: str, reference: str) -> str:
+    effect = f"CASE {direction} WHEN 'HIGHER_IS_RISKY' THEN CASE WHEN {x} > {reference} THEN 'risk artisi' ELSE 'risk azalisi' END WHEN 'LOWER_IS_RISKY' THEN CASE WHEN {x} < {reference} THEN 'risk artisi' ELSE 'risk azalisi' END ELSE 'yon etkisi tanimsiz' END"
+    return f"""CASE WHEN {x} IS NULL THEN 'deger missing oldugu icin yon yorumu yok' WHEN {reference} IS NULL OR {label} IS NULL THEN 'referans olmadigi icin yon yorumu yok'
+        WHEN abs({x} - {reference}) <= 1e-9 THEN {label} || ' ile ayni seviyede' ELSE {label} || ' gore ' || CASE WHEN {x} > {reference} THEN 'artmis' ELSE 'azalmis' END || '; ' || {effect} END"""
+
+
+def _reference(part: str, x: str, previous: str, peer: str, train: str, z: str, peer_pct: str, raw_pct: str) -> str:
+    """What a value is compared with: its label or its value."""
+    label = part == "label"
+    a, b, c = ("'peer medyan'", "'train medyan'", "'musteri onceki ay'") if label else (peer, train, previous)
+    return f"""CASE WHEN {x} IS NULL THEN CASE WHEN {peer} IS NOT NULL THEN {a} WHEN {train} IS NOT NULL THEN {b} END
+        WHEN {peer} IS NOT NULL AND (coalesce(abs({z}) >= 2, FALSE) OR {peer_pct} >= {raw_pct} * 0.75) THEN {a} WHEN {previous} IS NOT NULL THEN {c} WHEN {peer} IS NOT NULL THEN {a} WHEN {train} IS NOT NULL THEN {b} END"""
+
+
+_riskier = lambda direction, x, y: f"coalesce(CASE {direction} WHEN 'HIGHER_IS_RISKY' THEN {x} > {y} WHEN 'LOWER_IS_RISKY' THEN {x} < {y} END, FALSE)"
+_bucket = lambda missing, comment: f"CASE WHEN {missing} OR contains({comment}, 'risk artisi') THEN 0 WHEN contains({comment}, 'risk azalisi') THEN 2 ELSE 1 END"
+
+
+def _said(x: str, previous: str, peer: str, direction: str, same_term: str) -> str:
+    return f"""CASE WHEN {x} IS NULL OR {previous} IS NULL THEN NULL WHEN {same_term} THEN 'onceki ay ayni finansal term oldugu icin trend kaniti zayif'
+        WHEN NOT {_riskier(direction, x, previous)} AND {_riskier(direction, x, peer)} THEN 'onceki finansal veriye gore iyilesme var ama peer''e gore halen riskli'
+        WHEN {_riskier(direction, x, peer)} THEN 'peer''e gore risk sinyali onceki ay bilgisinden daha belirgin' END"""
+
+
+_long = lambda source, names: " UNION ALL ".join(f"SELECT mono_id, cohort_dt, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM {source}" for c in names)
+REASONS = f"""{PREPARED},
+sev AS (SELECT mono_id, cohort_dt, feature, round(abs(value), 5) AS severity FROM ({_long('z', _PREP)}) WHERE cohort_dt = {AT}),
+val AS ({_long(f"(SELECT * FROM panel WHERE cohort_dt = {AT})", _PREP)}),
+prev AS (SELECT mono_id, feature, value AS previous FROM (SELECT *, row_number() OVER (PARTITION BY mono_id, feature ORDER BY cohort_dt DESC) AS ago FROM ({_long(_train, _PREP)})) WHERE ago = 1),
+trn AS (SELECT feature, median(value) AS train FROM ({_long(_train, _PREP)}) GROUP BY 1),
+cand AS (SELECT mono_id, cohort_dt, feature, severity, value, previous, train, severity / total * 100 AS share, rank, CASE WHEN mono_id::BIGINT % 4 <> 0 THEN round(value / 2, 4) END AS peer,
+    CASE feature WHEN 'bank_total_risk' THEN 'HIGHER_IS_RISKY' ELSE 'UNKNOWN' END AS direction
+    FROM (SELECT *, sum(severity) OVER (PARTITION BY mono_id) AS total, row_number() OVER (PARTITION BY mono_id ORDER BY severity DESC, feature) AS rank FROM sev) JOIN val USING (mono_id, cohort_dt, feature) LEFT JOIN prev USING (mono_id, feature) JOIN trn USING (feature)
+    WHERE rank <= 2 AND severity > 0),
+ref AS (SELECT *, {_reference('label', 'value', 'previous', 'peer', 'train', 'severity', 'share', '0.0')} AS label, {_reference('value', 'value', 'previous', 'peer', 'train', 'severity', 'share', '0.0')} AS reference FROM cand),
+com AS (SELECT *, {_comment('direction', 'value', 'label', 'reference')} AS comment FROM ref),
+first AS (SELECT *, row_number() OVER (PARTITION BY mono_id ORDER BY {_bucket('value IS NULL', 'comment')}, share DESC, rank) AS place FROM com)"""
+
+# the ratios of FORMULAS, with denominator floors of each side of the split
+RATIOS = {
+    "bank_risk_to_assets": ("bank_total_risk", "toplam_varlik_ttr"),
+    "memzuc_limit_utilization": ("memzuc_total_risk", "memzuc_total_limit"),
+    "l1y_debt_to_sales": ("bank_total_risk", "fs_net_sales_cumulative_l1y"),
+    "internal_returns_to_sales": ("returned_amount", "fs_net_sales_cumulative_l1y"),
+    "memzuc_to_bank_risk_ratio": ("memzuc_total_risk", "bank_total_risk"),
+}
+_sides = lambda source: " UNION ALL ".join(
+    f"SELECT {_keep}, '{f}' AS feature, {_ratio(n, d, source)} AS value FROM {source}" for f, (n, d) in RATIOS.items()
+) + f" UNION ALL SELECT {_keep}, 'rating_group' AS feature, rating_group AS value FROM {source}"
+
+
+def _renamed(sql: str, names: str, suffix: str) -> str:
+    for name in names.split():
+        sql = re.sub(rf"\b{name}\b", f"{name}{suffix}", sql)
+    return sql
+
+
+SPLIT = f"""{YEARS}, {_sized('panel', 'toplam_varlik_ttr', 'ctx')}, yr AS (SELECT * FROM ctx WHERE cohort_dt = {AT}), tr AS (SELECT * FROM ctx WHERE cohort_dt < {AT}),
+now_long AS MATERIALIZED (SELECT *, {LOG.format('value')} AS t FROM ({_sides('yr')})), past_long AS MATERIALIZED (SELECT *, {LOG.format('value')} AS t FROM ({_sides('tr')})), {_peers('now_long')}"""
+_FEATURES = (*RATIOS, "rating_group")
+_levels4 = [keys.removeprefix("cohort_dt").removeprefix(", ") for keys in _LEVELS.values()]
+EVIDENCE = f"""{SPLIT},
+h AS (SELECT mono_id, feature, cohort_dt, value FROM past_long WHERE value IS NOT NULL),
+m1 AS (SELECT mono_id, feature, median(value) AS median, stddev_samp(value) AS sd, count(*) AS n, arg_max(value, cohort_dt) AS previous FROM h GROUP BY ALL),
+m AS (SELECT mono_id, feature, any_value(m1.median) AS median, any_value(sd) AS sd, any_value(n) AS n, any_value(previous) AS previous, median(abs(value - m1.median)) AS mad FROM h JOIN m1 USING (mono_id, feature) GROUP BY ALL),
+tail AS (SELECT *, row_number() OVER (PARTITION BY mono_id, feature ORDER BY cohort_dt DESC) AS ago FROM h),
+pts AS (SELECT mono_id, feature, value, ago FROM tail WHERE ago < 6 UNION ALL SELECT mono_id, feature, value, 0 FROM now_long WHERE value IS NOT NULL),
+sl AS (SELECT mono_id, feature, regr_slope(value, -ago) AS slope FROM pts GROUP BY ALL),
+rs1 AS (SELECT feature, median(value) AS m, stddev_samp(value) AS sd, count(*) AS n FROM h GROUP BY 1),
+rs2 AS (SELECT feature, any_value(sd) AS sd, any_value(n) AS n, median(abs(value - m)) AS mad FROM h JOIN rs1 USING (feature) GROUP BY 1),
+rs AS (SELECT feature, CASE WHEN n < 2 THEN 1.0 ELSE {_scale('1.0')} END AS rscale FROM rs2),
+{', '.join(f"l{i} AS (SELECT feature, {keys + ', ' if keys else ''}median(value) AS v{i} FROM past_long WHERE value IS NOT NULL GROUP BY ALL HAVING {'count(*) >= 50' if keys else 'TRUE'})" for i, keys in enumerate(_levels4))},
+e1 AS (SELECT p.mono_id, p.feature, p.value, p.peer_z, p.peer_level, p.peer_support, m.previous, m.median, m.sd, m.mad, m.n, slope, rscale, coalesce({', '.join(f'v{i}' for i in range(5))}) AS season
+    FROM peers p LEFT JOIN m USING (mono_id, feature) LEFT JOIN sl USING (mono_id, feature) LEFT JOIN rs USING (feature) {' '.join(f"LEFT JOIN l{i} USING (feature{', ' + keys if keys else ''})" for i, keys in enumerate(_levels4))}),
+e2 AS (SELECT *, CASE WHEN ({_scale('0.0')}) <> 0 THEN (value - median) / ({_scale('0.0')}) END AS history_z, CASE WHEN n >= 2 THEN (value - median) / ({_scale('1.0')}) END AS month_z,
+    CASE WHEN rscale IS NOT NULL THEN (value - season) / greatest(rscale, 1e-6) END AS season_z, value IS NOT NULL AND coalesce(n, 0) >= 3 AS enough FROM e1),
+e3 AS (SELECT *, CASE WHEN enough THEN slope END AS slope_6m, coalesce(enough AND abs(value - median) / ({_scale('1.0')}) >= 3, FALSE) AS broken FROM e2),
+e AS (SELECT *, greatest(coalesce(abs(peer_z), 0), coalesce(abs(history_z), 0), coalesce(abs(month_z), 0)) + CASE WHEN broken THEN 1.5 ELSE 0 END + CASE WHEN value IS NULL THEN 0.5 ELSE 0 END AS strength FROM e3),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY mono_id ORDER BY strength DESC, feature) AS rank FROM e)"""
+
+_PEER_CTES = "g1 g2 overall p1 p2 p3 p4 peers"
+_wide = lambda source, out: f"{out} AS (SELECT mono_id, cohort_dt, {', '.join(f"max(CASE WHEN feature = '{f}' THEN peer_z END) AS {f}" for f in _FEATURES)} FROM {source} GROUP BY ALL)"
+RESIDUAL = f"""{SPLIT}, {_renamed(_peers('past_long'), _PEER_CTES, '_past')}, {_wide('peers', 'wn')}, {_wide('peers_past', 'wp')},
+f AS (SELECT {', '.join(f'coalesce(median({c}), 0) AS {c}' for c in _FEATURES)} FROM wp),
+b AS (SELECT {', '.join(f'quantile_cont(coalesce(w.{c}, f.{c}), 0.01) AS {c}_low, quantile_cont(coalesce(w.{c}, f.{c}), 0.99) AS {c}_high' for c in _FEATURES)} FROM wp w, f),
+x AS (SELECT w.mono_id, w.cohort_dt, {', '.join(_bounded.format(f'greatest({c}_low, least({c}_high, coalesce(w.{c}, f.{c})))') + f' AS {c}' for c in _FEATURES)} FROM (SELECT * FROM wn UNION ALL SELECT * FROM wp) w, f, b),
+s AS (SELECT {', '.join(f'median({c}) AS {c}_c, CASE WHEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) > 1e-9 THEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) WHEN stddev_pop({c}) > 1e-9 THEN stddev_pop({c}) ELSE 1.0 END AS {c}_s' for c in _FEATURES)} FROM x WHERE cohort_dt < {AT}),
+r AS (SELECT mono_id, cohort_dt, round(list_sum(list_reverse_sort([{', '.join(f'abs(({c} - {c}_c) / {c}_s)' for c in _FEATURES)}])[1:3]) / 3, 12) AS residual FROM x, s),
+rp AS (SELECT residual FROM r WHERE cohort_dt < {AT})"""
+
 ORACLES: dict[str, str] = {
+    "reason_references": f"""WITH {FACTS} SELECT mono_id, {_reference('label', 'actual', 'previous', 'peer', 'train', 'peer_z', 'peer_pct', '50.0')} AS label,
+        round({_reference('value', 'actual', 'previous', 'peer', 'train', 'peer_z', 'peer_pct', '50.0')}, 4) AS value FROM facts""",
+    "reason_comments": f"""WITH {FACTS}, c AS (SELECT *, {_comment('direction', 'actual', "'peer medyan'", 'peer')} AS comment FROM facts)
+        SELECT mono_id, CASE WHEN term_column IS NULL OR term IS NULL THEN NULL WHEN term = previous_term THEN term_column || '=' || term || '; onceki ayla ayni finansal term tasiniyor'
+            WHEN previous_term IS NOT NULL THEN term_column || '=' || term || '; onceki term=' || previous_term ELSE term_column || '=' || term END AS term_detail, comment,
+        {_said('actual', 'previous', 'peer', 'direction', 'coalesce(term_column IS NOT NULL AND term = previous_term, FALSE)')} AS previous_comment, {_bucket('actual IS NULL', 'comment')}::BIGINT AS review_bucket FROM c""",
+    "reason_rows": f"""WITH {REASONS} SELECT mono_id, {DAY}, feature, value IS NULL AS is_missing_reason, round(value, 4) AS actual, round(round(share, 2), 1) AS contribution_pct, label AS reference_used, comment AS direction_comment,
+        {_said('value', 'previous', 'peer', 'direction', 'FALSE')} AS previous_comment FROM first WHERE place = 1""",
+    "reason_detail_rows": """WITH r AS (SELECT c_custkey AS k, c_acctbal, unnest(CASE c_custkey % 4 WHEN 0 THEN [1, 2] WHEN 1 THEN [3] ELSE [] END) AS rank FROM customer)
+        SELECT CAST(k AS VARCHAR) AS mono_id, '2000-12-31' AS cohort_dt, CASE WHEN rank = 2 THEN 2 ELSE 1 END::BIGINT AS feature_rank, 'f' || (k % 5 + rank) AS feature, round(c_acctbal * rank, 4) AS actual, k * rank AS peer_support,
+        (k % 50)::DOUBLE AS peer_pct, CAST(NULL AS VARCHAR) AS label FROM r""",
+    "shaped_results": """SELECT CAST(c_custkey AS VARCHAR) AS mono_id, '2000-12-31' AS cohort_dt, CASE WHEN c_custkey % 5 > 1 THEN c_custkey % 100 + 0.25::DOUBLE END AS anomaly_score, CAST(NULL AS DOUBLE) AS ensemble_score,
+        substring(repeat(c_mktsegment, 20), 1, 32) AS alert_band, CASE WHEN c_custkey % 3 <> 0 THEN c_name END AS reason_1, c_custkey % 7 AS rank_in_run FROM customer""",
+    "decision_reason_rows": """WITH r AS (SELECT c_custkey AS k, c_mktsegment, unnest(range(1, CAST(c_custkey % 4 + 1 AS BIGINT))) AS i FROM customer)
+        SELECT 'run-1' AS run_id, CAST(k AS VARCHAR) AS mono_id, '2000-12-31' AS cohort_dt, i AS reason_rank, ['a', 'b', 'c'][i] AS feature, 'z=' || (k % 10) AS evidence, least(2000, 300 * length(c_mktsegment)) AS n_interpretation FROM r""",
+    "evidence_ranked": f"""WITH {EVIDENCE} SELECT mono_id, feature, round(value, 4) + 0.0 AS value, round(previous, 4) + 0.0 AS previous_value, round(peer_z, 4) + 0.0 AS peer_z, round(history_z, 4) + 0.0 AS history_z, round(slope_6m, 4) + 0.0 AS slope_6m,
+        round(month_z, 4) + 0.0 AS same_month_customer_z, round(season_z, 4) + 0.0 AS seasonal_peer_z, round(strength, 4) AS evidence_strength, broken AS trend_break_flag, rank AS evidence_rank FROM ranked""",
+    "decision_feature_rows": f"""WITH {EVIDENCE} SELECT 'run-1' AS run_id, mono_id, '2000-12-31' AS cohort_dt, feature, rank AS feature_rank, round(value, 4) AS value, coalesce(n, 0) AS period_count, peer_level,
+        CAST(peer_support AS BIGINT) AS peer_support, CAST(broken AS INT) AS trend_break, CAST(value IS NULL AS INT) AS missing_flag FROM ranked""",
+    "residual_scores": f"""WITH {RESIDUAL} SELECT mono_id, round(residual, 5) AS residual, round((SELECT count(*) FROM rp WHERE rp.residual <= r.residual) / (SELECT CAST(count(*) AS DOUBLE) FROM rp) * 100, 2) AS residual_score FROM r WHERE cohort_dt = {AT}""",
     "month_profile": f"WITH {MONTHS} SELECT strftime(cohort_dt, '%Y-%m-%d') AS month, count(*) AS n_rows FROM panel GROUP BY 1",
     "month_tail": f"WITH {MONTHS} SELECT strftime(cohort_dt, '%Y-%m-%d') AS month, count(*) AS n_rows FROM panel GROUP BY 1 ORDER BY 1 DESC LIMIT 6",
     "numeric_coverage": f"WITH {YEARS} "

@@ -12,11 +12,12 @@ from cohortloom.functions import numeric as num
 from cohortloom.functions import text as txt
 from cohortloom.functions.formula import compile_formulas
 from cohortloom.functions.jsontext import repair_json
-from cohortloom.operators import evidence, panel, peers, scoring, selection
+from cohortloom.operators import evidence, panel, peers, reasons, scoring, selection
 from cohortloom.operators.decisions import companion_scores, prompt_text
 from cohortloom.operators.reasons import severity_shares
 from cohortloom.plans import anomaly, evidence_flow
 from cohortloom.plans.panels import FORMULAS, MEASURES, customer_months, customer_years, table, user_days
+from cohortloom.sources import sinks
 from cohortloom.sources.staging import staged
 
 YEAR, MONTH = date(2000, 12, 31), date(2001, 6, 30)
@@ -399,6 +400,121 @@ def peer_ratio_outliers(spark, sf_dir):
     return z.select("mono_id", _r("value", "value"), "peer_level", "peer_support", _r("peer_z", "peer_z", 5)).orderBy(F.abs(F.col("peer_z")).desc(), "mono_id").limit(100)
 
 
+def _reason_facts(spark, sf_dir) -> DataFrame:
+    """Scored rows with values, references and terms, some of each missing."""
+    df = customer_years(spark, sf_dir)
+    before = panel.latest_before(df, YEAR).select("mono_id", F.col("bank_total_risk").alias("previous"))
+    k = F.col("mono_id").cast("long")
+    rows = panel.split(df, YEAR)[1].join(before, "mono_id", "left")
+    return rows.select(
+        "mono_id",
+        F.when(k % 7 != 0, F.col("bank_total_risk")).alias("actual"),
+        "previous",
+        F.when(k % 5 != 0, F.col("memzuc_total_limit")).alias("peer"),
+        F.when(k % 3 != 0, F.lit(150000.0)).alias("train"),
+        F.when(k % 4 != 0, (k % 9 - 4).cast("double")).alias("peer_z"),
+        (k % 100).cast("double").alias("peer_pct"),
+        F.element_at(F.array(F.lit("HIGHER_IS_RISKY"), F.lit("LOWER_IS_RISKY"), F.lit("UNKNOWN")), (k % 3 + 1).cast("int")).alias("direction"),
+        F.when(k % 6 < 4, "financial_term_q").alias("term_column"),
+        F.when(k % 6 < 3, "30.09.2024").alias("term"),
+        F.when(k % 2 == 0, "30.09.2024").when(k % 3 == 0, "30.06.2024").alias("previous_term"),
+    )
+
+
+@query
+def reason_references(spark, sf_dir):
+    ref = reasons.choose_reference(F.col("actual"), F.col("previous"), F.col("peer"), F.col("train"), F.col("peer_z"), F.col("peer_pct"), F.lit(50.0))
+    return _reason_facts(spark, sf_dir).select("mono_id", ref.alias("ref")).select("mono_id", "ref.label", _r("ref.value", "value", 4))
+
+
+@query
+def reason_comments(spark, sf_dir):
+    rows = _reason_facts(spark, sf_dir).withColumn("term_detail", reasons.term_detail(F.col("term_column"), F.col("term"), F.col("previous_term")))
+    rows = rows.withColumn("comment", txt.direction_comment(F.col("direction"), F.col("actual"), F.lit("peer medyan"), F.col("peer")))
+    said = reasons.previous_comment(F.col("actual"), F.col("previous"), F.col("peer"), F.col("direction"), F.col("term_detail"))
+    bucket = reasons.review_bucket(F.col("actual").isNull(), F.col("comment")).cast("long")
+    return rows.select("mono_id", "term_detail", "comment", said.alias("previous_comment"), bucket.alias("review_bucket"))
+
+
+def _reasons(spark, sf_dir) -> DataFrame:
+    """Reasons of the scored year's rows from the bounded and scaled measures."""
+    df, p, names = _prepared(spark, sf_dir)
+    before, at = panel.split(df, YEAR)
+    z = peers.long_form(at.select(*KEYS, *p.expressions()), names, KEYS).withColumn("severity", F.round(F.abs("value"), 5)).drop("value")
+    value = peers.long_form(at, names, KEYS)
+    previous = peers.long_form(panel.latest_before(df, YEAR), names, ["mono_id"]).withColumnRenamed("value", "previous")
+    train = peers.long_form(before.agg(*(F.median(c).alias(c) for c in names)), names, []).withColumnRenamed("value", "train_reference")
+    rows = z.join(value, [*KEYS, "feature"]).join(previous, ["mono_id", "feature"], "left").join(F.broadcast(train), "feature")  # the latter a row a feature
+    half = F.round(F.col("value") / 2, 4)
+    rows = rows.withColumns({"peer_median": F.when(F.col("mono_id").cast("long") % 4 != 0, half), "peer_z": F.col("severity"), "peer_support": F.lit(120), "peer_level": F.lit("AY_SEGMENT"), "peer_score": F.lit(70.0), "peer_quality": F.lit("KABUL_EDILEBILIR")})
+    return reasons.build_reasons(staged(rows, "reason-rows"), KEYS, 1)
+
+
+@query
+def reason_rows(spark, sf_dir):
+    """Of each row's two most severe features the one that a review reads first."""
+    out = _reasons(spark, sf_dir).select("mono_id", _day(), F.explode("reasons").alias("r"))
+    return out.select("mono_id", "cohort_dt", "r.feature", "r.is_missing_reason", _r("r.actual", "actual", 4), _r("r.contribution_pct", "contribution_pct", 1), "r.reference_used", "r.direction_comment", "r.previous_comment")
+
+
+@query
+def reason_detail_rows(spark, sf_dir):
+    """Reason JSON of result rows, one row per reason again; what isn't a list of objects has none."""
+    k = F.col("c_custkey")
+    one = lambda rank: F.struct(F.concat(F.lit("f"), (k % 5 + rank).cast("string")).alias("feature"), (F.col("c_acctbal") * rank).alias("actual"), (k * rank).alias("peer_support"), F.struct((k % 50 * 1.0).alias("peer_pct")).alias("component_contributions"))
+    text = F.when(k % 4 == 0, F.to_json(F.array(one(1), one(2)))).when(k % 4 == 1, F.to_json(F.array(one(3)))).when(k % 4 == 2, "not json")
+    rows = sinks.exploded_reasons(table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("mono_id"), F.lit("2000-12-31").alias("cohort_dt"), text.alias("reason_details")))
+    return rows.select("mono_id", "cohort_dt", "feature_rank", "feature", _r("actual", "actual", 4), "peer_support", "peer_pct", "label")
+
+
+@query
+def shaped_results(spark, sf_dir):
+    """Rows in the form of the results table: numbers read from text, texts cut to their widths, missing columns NULL."""
+    k = F.col("c_custkey")
+    score = F.when(k % 5 == 0, "nan").when(k % 5 == 1, "unknown").otherwise(F.concat((k % 100).cast("string"), F.lit(".25")))
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("MONO_ID"), F.lit("2000-12-31").alias("cohort_dt"), score.alias("anomaly_score"), F.repeat("c_mktsegment", 20).alias("alert_band"),
+        F.when(k % 3 == 0, " None ").otherwise(F.concat(F.lit("  "), F.col("c_name"), F.lit(" "))).alias("reason_1"), (k % 7).cast("string").alias("rank_in_run"),
+    )
+    return sinks.shaped(rows, sinks.RESULTS).select("mono_id", _day(), "anomaly_score", "ensemble_score", "alert_band", "reason_1", "rank_in_run")
+
+
+@query
+def decision_reason_rows(spark, sf_dir):
+    """Reasons of decisions, numbered, in the form of their table."""
+    k = F.col("c_custkey")
+    one = lambda name: F.struct(F.lit(name).alias("feature"), F.concat(F.lit("z="), (k % 10).cast("string")).alias("evidence"), F.repeat("c_mktsegment", 300).alias("interpretation"))
+    given = F.slice(F.array(one("a"), one("b"), one("c")), 1, (k % 4).cast("int"))
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("mono_id"), F.lit("2000-12-31").alias("cohort_dt"), given.alias("main_reasons"))
+    out = sinks.shaped(sinks.decision_reason_rows(rows, "run-1"), sinks.DECISION_REASONS)
+    return out.select("run_id", "mono_id", _day(), "reason_rank", "feature", "evidence", F.length("interpretation").cast("long").alias("n_interpretation"))
+
+
+def _evidence(spark, sf_dir) -> DataFrame:
+    return evidence_flow.build_evidence(staged(customer_years(spark, sf_dir), "panel"), FORMULAS, settings=evidence_flow.EvidenceSettings(month="2000-12-31"))
+
+
+@query
+def evidence_ranked(spark, sf_dir):
+    """All evidence of the scored year but the series, ranked within each customer."""
+    e = staged(_evidence(spark, sf_dir), "evidence")
+    return e.select("mono_id", "feature", *((_r(c, digits=4) + 0.0).alias(c) for c in ("value", "previous_value", "peer_z", "history_z", "slope_6m", "same_month_customer_z", "seasonal_peer_z", "evidence_strength")), "trend_break_flag", F.col("evidence_rank").cast("long").alias("evidence_rank"))
+
+
+@query
+def decision_feature_rows(spark, sf_dir):
+    """Evidence in the form of the features table."""
+    out = sinks.shaped(sinks.decision_feature_rows(staged(_evidence(spark, sf_dir), "evidence"), "run-1"), sinks.DECISION_FEATURES)
+    return out.select("run_id", "mono_id", _day(), "feature", "feature_rank", _r("value", "value", 4), "period_count", "peer_level", "peer_support", "trend_break", "missing_flag")
+
+
+@query
+def residual_scores(spark, sf_dir):
+    """The part of the ensemble that needs no fitted model: deviations from peers, and their percentile among all earlier rows."""
+    out = anomaly.residual_scores(anomaly.model_inputs(staged(customer_years(spark, sf_dir), "panel"), FORMULAS, "2000-12-31"))
+    return out.select("mono_id", _r("residual", "residual", 5), _r("residual_score", "residual_score", 2))
+
+
 @query
 def ensemble_flagship(spark, sf_dir):
     run = anomaly.run_anomaly(staged(customer_years(spark, sf_dir), "panel"), FORMULAS, month="2000-12-31")

@@ -11,10 +11,14 @@ _own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a temporary folder where that is unset (tests, one machine)."""
+    """spark.checkpoint.dir; on one machine (a local master) a temporary folder where that is unset, on a cluster an error."""
     if folder := spark.conf.get("spark.checkpoint.dir", None):
         return folder.rstrip("/")
-    return _own.setdefault("path", tempfile.mkdtemp(prefix="cohortloom-stage-"))
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if "path" not in _own:
+        _own["path"] = tempfile.mkdtemp(prefix="cohortloom-stage-")
+    return _own["path"]
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
