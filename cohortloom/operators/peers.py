@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from cohortloom.functions.numeric import LEVEL_SCORES, PEER_MIN_SUPPORT, peer_z, representativeness, scale_ladder, signed_log1p
 from cohortloom.functions.text import assessment, category, quality_label
 from cohortloom.operators.panel import ID, TIME
+from cohortloom.operators.quantiles import grouped_quantiles, interpolated
+from cohortloom.sources.staging import staged
 
 #: Levels from fine to coarse with their keys.
 LEVELS: dict[str, tuple[str, ...]] = {
@@ -58,7 +60,8 @@ def size_buckets(df: DataFrame, base: Column | None, time: str = TIME, out: str
     if base is None:
         return df.withColumn(out, F.lit("SIZE_NA"))
     x = F.log1p(F.when(base.isNotNull(), F.greatest(base, F.lit(0.0))))
-    edges = df.groupBy(F.col(time).alias("__month")).agg(F.percentile(x, F.array(*map(F.lit, (0.0, 0.25, 0.5, 0.75, 1.0)))).alias("__edges"), F.count(x).alias("__n"))
+    found = grouped_quantiles(df.select(F.col(time).alias("__month"), x.alias("__x")), ["__month"], F.col("__x"), {f"q{i}": i / 4 for i in range(5)})
+    edges = found.select("__month", F.array(*(interpolated(F.col(f"q{i}")) for i in range(5))).alias("__edges"), F.col("n").alias("__n"))
     e = lambda i: F.col("__edges")[i]
     usable = (F.col("__n") >= 4) & (e(0) < e(1)) & (e(1) < e(2)) & (e(2) < e(3)) & (e(3) < e(4))
     bucket = F.when(~F.coalesce(usable, F.lit(False)) | x.isNull(), "SIZE_NA").when(x <= e(1), "S1").when(x <= e(2), "S2").when(x <= e(3), "S3").otherwise("S4")
@@ -88,25 +91,33 @@ def _group_key(level: str, keys: tuple[str, ...]) -> Column:
     return F.concat_ws("\x1f", F.lit(level), *(F.coalesce(F.col(k).cast("string"), F.lit("\x1e")) for k in keys))
 
 
+def _group_statistics(long: DataFrame, levels: dict[str, tuple[str, ...]], min_support: int) -> DataFrame:
+    """``feature, level, group_key, support, median, t_median, t_low, t_high, mad`` of the groups with enough values, and of all values of a feature."""
+    groups = F.array(*(F.struct(F.lit(level).alias("level"), _group_key(level, keys).alias("group_key")) for level, keys in levels.items()))
+    keys = ["feature", "level", "group_key"]
+    rows = long.where("value IS NOT NULL").select("feature", "value", F.inline(groups))
+    found = grouped_quantiles(rows, keys, F.col("value"), {"a": 0.25, "b": 0.5, "c": 0.75}).where((F.col("n") >= min_support) | (F.col("level") == GLOBAL))
+    t = {"t_low": "a", "t_median": "b", "t_high": "c"}
+    first = staged(found.select(*keys, F.col("n").alias("support"), interpolated(F.col("b")).alias("median"), *(interpolated(F.col(q), signed_log1p).alias(name) for name, q in t.items())), "medians")
+    apart = rows.join(first.select(*keys, "t_median"), keys)
+    spread = grouped_quantiles(apart, keys, F.abs(signed_log1p(F.col("value")) - F.col("t_median")), {"q": 0.5})
+    return first.join(spread.select(*keys, interpolated(F.col("q")).alias("mad")), keys)
+
+
 def level_statistics(long: DataFrame, levels: dict[str, tuple[str, ...]] = LEVELS, min_support: int = PEER_MIN_SUPPORT) -> DataFrame:
     """``feature, level, group_key, support, median, t_median, mad`` of all groups with enough values."""
-    groups = F.array(*(F.struct(F.lit(level).alias("level"), _group_key(level, keys).alias("group_key")) for level, keys in levels.items()))
-    rows = long.where("value IS NOT NULL").select("feature", "value", signed_log1p(F.col("value")).alias("t"), F.inline(groups))
-    first = rows.groupBy("feature", "level", "group_key").agg(F.count("*").alias("support"), F.median("value").alias("median"), F.median("t").alias("t_median")).where(F.col("support") >= min_support)
-    spread = rows.join(first.select("feature", "group_key", "t_median"), ["feature", "group_key"]).groupBy("feature", "group_key").agg(F.median(F.abs(F.col("t") - F.col("t_median"))).alias("mad"))
-    return first.join(spread, ["feature", "group_key"])
+    return _group_statistics(long, levels, min_support).drop("t_low", "t_high")
 
 
-def global_statistics(long: DataFrame) -> DataFrame:
+def _global_statistics(long: DataFrame, stats: DataFrame) -> DataFrame:
     """``feature, g_median, g_t_median, g_scale`` over all values of each feature."""
-    t = signed_log1p(F.col("value"))
-    rows = long.withColumn("t", t)
-    one = rows.groupBy("feature").agg(
-        F.median("value").alias("g_median"), F.median("t").alias("g_t_median"), F.percentile("t", F.array(F.lit(0.25), F.lit(0.75))).alias("q"), F.stddev_samp("t").alias("std"), F.count("value").alias("n")
-    )
-    mad = rows.join(F.broadcast(one.select("feature", "g_t_median")), "feature").groupBy("feature").agg(F.median(F.abs(F.col("t") - F.col("g_t_median"))).alias("mad"))  # a row a feature
-    return one.join(mad, "feature").select(
-        "feature", F.coalesce("g_median", F.lit(0.0)).alias("g_median"), F.coalesce("g_t_median", F.lit(0.0)).alias("g_t_median"), scale_ladder(F.col("mad"), F.col("q")[1] - F.col("q")[0], F.col("std"), F.col("n")).alias("g_scale")
+    every = long.groupBy("feature").agg(F.stddev_samp(signed_log1p(F.col("value"))).alias("std"), F.count("value").alias("n"))
+    one = every.join(stats.where(F.col("level") == GLOBAL), "feature", "left")
+    return one.select(
+        "feature",
+        F.coalesce("median", F.lit(0.0)).alias("g_median"),
+        F.coalesce("t_median", F.lit(0.0)).alias("g_t_median"),
+        scale_ladder(F.col("mad"), F.col("t_high") - F.col("t_low"), F.col("std"), F.col("n")).alias("g_scale"),
     )
 
 
@@ -117,7 +128,8 @@ def peer_references(long: DataFrame, levels: dict[str, tuple[str, ...]] = LEVELS
     support 0.
     """
     order = list(levels)
-    stats = level_statistics(long, levels, min_support)
+    every = staged(_group_statistics(long, {**levels, GLOBAL: ()}, min_support), "peer-statistics")
+    stats = every.where(F.col("level") != GLOBAL).drop("t_low", "t_high")
     finest = _group_key(order[0], levels[order[0]])
     cells = long.select("feature", *dict.fromkeys(k for keys in levels.values() for k in keys)).distinct()
     keys = F.array(*(F.struct(F.lit(i).alias("rank"), _group_key(level, ks).alias("group_key")) for i, (level, ks) in enumerate(levels.items())))
@@ -127,7 +139,7 @@ def peer_references(long: DataFrame, levels: dict[str, tuple[str, ...]] = LEVELS
         .groupBy("feature", "cell")
         .agg(F.min_by(F.struct("level", "support", "median", "t_median", "mad"), "rank").alias("peer"))
     )
-    rows = long.withColumn("cell", finest).join(chosen, ["feature", "cell"], "left").join(F.broadcast(global_statistics(long)), "feature", "left")  # the latter a row a feature
+    rows = long.withColumn("cell", finest).join(chosen, ["feature", "cell"], "left").join(F.broadcast(_global_statistics(long, every)), "feature", "left")  # the latter a row a feature
     own = F.col("peer.mad") * 1.4826
     rows = rows.select(
         *long.columns,

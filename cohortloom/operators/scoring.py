@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import clip, signed_log1p
+from cohortloom.operators.quantiles import grouped_quantiles, interpolated
 from cohortloom.sources.staging import staged
 
 # Fixed values of the band policy.
@@ -38,20 +39,24 @@ class Preprocessor:
 
 
 def fit_preprocessor(train: DataFrame, names: list[str]) -> Preprocessor:
-    """Two aggregations: medians and 1 % tails of each column with its gaps filled, then center and quartiles of what they bound."""
-    first = train.agg(*(F.median(f"`{c}`").alias(f"m{i}") for i, c in enumerate(names))).first()
-    fill = {c: first[i] if first[i] is not None else 0.0 for i, c in enumerate(names)}
-    filled = [F.coalesce(F.col(f"`{c}`"), F.lit(fill[c])) for c in names]
-    tails = train.agg(*(F.percentile(x, F.array(F.lit(0.01), F.lit(0.99))).alias(f"t{i}") for i, x in enumerate(filled))).first()
-    low, high = ({c: (tails[i] or [0.0, 0.0])[k] for i, c in enumerate(names)} for k in (0, 1))
+    """Medians and 1 % tails of each column with its gaps filled, then center and quartiles of what they bound; exact, by ranks of all rows."""
+    number = {str(i): c for i, c in enumerate(names)}
+
+    def of(values: list[Column], quantiles: dict[str, float]) -> dict[str, dict[str, float]]:
+        rows = train.select(F.explode(F.array(*(F.struct(F.lit(i).alias("column"), v.alias("value")) for i, v in zip(number, values, strict=True)))).alias("x")).select("x.*")
+        found = grouped_quantiles(rows, ["column"], F.col("value"), quantiles)
+        return {number[r["column"]]: r.asDict() for r in found.select("column", *(interpolated(F.col(q)).alias(q) for q in quantiles)).collect()}  # a row a column
+
+    medians = of([F.col(f"`{c}`").cast("double") for c in names], {"m": 0.5})
+    fill = {c: medians.get(c, {}).get("m", 0.0) for c in names}
+    tails = of([F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(fill[c])) for c in names], {"low": 0.01, "high": 0.99})
+    low, high = ({c: tails.get(c, {}).get(k, 0.0) for c in names} for k in ("low", "high"))
     draft = Preprocessor(fill, low, high, dict.fromkeys(names, 0.0), dict.fromkeys(names, 1.0))
-    stats = train.agg(
-        *(F.percentile(draft.bounded(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}") for i, c in enumerate(names)),
-        *(F.stddev_pop(draft.bounded(c)).alias(f"s{i}") for i, c in enumerate(names)),
-    ).first()
+    bounded = of([draft.bounded(c) for c in names], {"a": 0.25, "b": 0.5, "c": 0.75})
+    deviations = train.agg(*(F.stddev_pop(draft.bounded(c)).alias(f"s{i}") for i, c in enumerate(names))).first()
     center, scale = {}, {}
     for i, c in enumerate(names):
-        q, std = stats[f"q{i}"] or [0.0, 0.0, 0.0], stats[f"s{i}"] or 0.0
+        q, std = [bounded.get(c, {}).get(k, 0.0) for k in "abc"], deviations[i] or 0.0
         center[c] = q[1]
         scale[c] = q[2] - q[0] if q[2] - q[0] > 1e-9 else std if std > 1e-9 else 1.0
     return Preprocessor(fill, low, high, center, scale)
@@ -94,7 +99,8 @@ def percentiles(scored: DataFrame, reference: DataFrame, columns: dict[str, str]
 
 def band_thresholds(scores: DataFrame, score: str) -> dict[str, float]:
     """Quantiles of the scores, each at least its floor and the band below."""
-    row = scores.agg(F.percentile(F.col(score), F.array(*(F.lit(q) for _, q, _ in BANDS)))).first()[0] or [0.0] * len(BANDS)
+    found = grouped_quantiles(scores, [], F.col(score), {name: q for name, q, _ in BANDS}).select(*(interpolated(F.col(name)) for name, _, _ in BANDS)).first()
+    row = found or [0.0] * len(BANDS)
     out, least = {}, 0.0
     for (name, _, floor), value in zip(BANDS, row, strict=True):
         least = out[name] = max(value, floor, least)
