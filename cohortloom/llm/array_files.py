@@ -29,7 +29,12 @@ def store_arrays(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
         for a in arrays.values():
             out.write(np.ascontiguousarray(a).tobytes())
             out.write(bytes(-a.nbytes % 8))
-    files.move(draft, f"{path}/{name}")
+    try:
+        files.move(draft, f"{path}/{name}")
+    except OSError:  # stores that refuse to move onto a file: the one of an earlier attempt is the same
+        if files.get_file_info(f"{path}/{name}").type != pafs.FileType.File:
+            raise
+        files.delete_file(draft)
 
 
 def map_arrays(folder: str, name: str) -> dict[str, np.ndarray]:

@@ -16,7 +16,7 @@ from cohortloom.llm.language_id import language_id
 from cohortloom.llm.license_scan import license_sql, scan_licenses
 from cohortloom.llm.media import media_table
 from cohortloom.llm.near_dedup import near_dedup
-from cohortloom.llm.ngram_lm import bigram_scores
+from cohortloom.llm.ngram_lm import ngram_scores
 from cohortloom.llm.packing import pack_documents
 from cohortloom.llm.token_store import stored_digests
 
@@ -64,7 +64,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bigram_scores(read(spark, sf_dir, "documents"))
+    return ngram_scores(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_media, op2_packing, op3_token_store, op4_language_id, op5_html_extract, op6_exact_dedup, op7_near_dedup, op8_byte_bpe, op9_license_scan, op10_ngram_lm)}

@@ -710,54 +710,65 @@ def test_license_passages(spark):
     assert [got[i].n_notices for i in (5, 6, 9, 11)] == [1, 1, 0, 0] and got[1].dice == got[3].dice == 1.0 and got[7].dice > 0.99
 
 
-def brute_kneser_ney(rows):
+def brute_kneser_ney(rows, order):
+    """By definition: counts of the highest order, numbers of different words before lower ones; the first word follows the start alone, by plain counts."""
     lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     tokens = {i: [x for x in re.split(SPACES, (t or "").translate(lower)) if x] + ["</s>"] for i, t in rows}
     train = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 7 != 2]
-    one, two = Counter(), Counter()
+    one, plain, three = Counter(), Counter(), Counter()
     for i in train:
         one.update(tokens[i])
-        two.update(zip(["<s>", *tokens[i]], tokens[i]))
+        plain.update(zip(["<s>", *tokens[i]], tokens[i]))
+        three.update(zip(["<s>", *tokens[i]], tokens[i], tokens[i][1:]))
+    two = plain if order == 2 else Counter({k: n for k, n in plain.items() if k[0] == "<s>"}) + Counter((v, w) for _, v, w in three)
     before = Counter(w for _, w in two)
     followers = defaultdict(list)
-    for (v, _), n in two.items():
-        followers[v].append(n)
+    for c in (two, three):
+        for k, n in c.items():
+            followers[k[:-1]].append(n)
     nn = lambda c: [sum(x == k for x in c) for k in (1, 2, 3, 4)]
-    d2, d1 = ngram_lm.discounts(*nn(two.values())), ngram_lm.discounts(*nn(before.values()))
+    d3, d2, d1 = (ngram_lm.discounts(*nn(c.values())) for c in (three, two, before))
     n_all, v_all = sum(one.values()), len(one)
 
     def unigram(w):
         spread = sum(d1[min(n, 3) - 1] for n in before.values()) / len(two) if two else 1.0
         return (before[w] - (d1[min(before[w], 3) - 1] if before[w] else 0)) / max(1, len(two)) + spread / (v_all + 1)
 
-    def p(v, w):
-        total = sum(followers[v])
+    def step(counts, d, context, w, less):
+        total = sum(followers[context])
         if not total:
-            return unigram(w)
-        n = two[v, w]
-        return (n - (d2[min(n, 3) - 1] if n else 0)) / total + sum(d2[min(x, 3) - 1] for x in followers[v]) / total * unigram(w)
+            return less
+        n = counts[*context, w]
+        return (n - (d[min(n, 3) - 1] if n else 0)) / total + sum(d[min(x, 3) - 1] for x in followers[context]) / total * less
+
+    def p(context, w):
+        after_one = step(two, d2, context[-1:], w, unigram(w))
+        return step(three, d3, context, w, after_one) if order == 3 and len(context) == 2 else after_one
 
     vocabulary = [*one, "never seen"]
-    for v in ["<s>", *list(one)[:5], "unknown"]:
-        assert math.isclose(sum(p(v, w) for w in vocabulary), 1, rel_tol=1e-9)
+    for context in [("<s>",), *((v,) for v in list(one)[:5]), ("unknown",), *(k[:-1] for k in list(three)[:5]), ("the", "the"), ("unknown", "the"), ("</s>", "unknown")]:
+        assert math.isclose(sum(p(context, w) for w in vocabulary), 1, rel_tol=1e-9)
     out = {}
     for i, _ in rows:
         t = tokens[i]
         base = sum(math.log10((one[w] + 1) / (n_all + v_all + 1)) for w in t)
-        out[i] = (i not in train, len(t), sum(one[w] > 0 for w in t), n_all, base, sum(math.log10(p(v, w)) for v, w in zip(["<s>", *t], t)))
+        score = sum(math.log10(p(tuple(["<s>", *t][max(0, at - 1) : at + 1]), w)) for at, w in enumerate(t))
+        out[i] = (i not in train, len(t), sum(one[w] > 0 for w in t), n_all, base, score)
     return out
 
 
-def test_bigram_model(spark, hard, monkeypatch):
+@pytest.mark.parametrize("order", [2, 3])
+def test_ngram_model(spark, hard, monkeypatch, order):
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", 400)  # more shards than shuffle partitions
     rnd = random.Random(6)
     rows = [(i, t) for i, t in {i: t for i, t in hard if i is not None}.items()] + [(100 + i, words_of(rnd, rnd.randint(0, 60)) + " the" * 300 * (i % 3)) for i in range(60)]
-    want = brute_kneser_ney(rows)
-    got = ngram_lm.bigram_scores(table(spark, rows)).collect()
+    want = brute_kneser_ney(rows, order)
+    got = ngram_lm.ngram_scores(table(spark, rows), order=order).collect()
     assert len(got) == len(want)
     for r in got:
         held, n, known, total, base, score = want[r.doc_id]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held, n, known, total)
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and math.isclose(r.score, score, rel_tol=1e-9)
-    assert ngram_lm.bigram_scores(table(spark, [])).count() == 0
-    assert [r.score for r in ngram_lm.bigram_scores(table(spark, [(2, "a b")]).where(F.crc32(F.lit("2").cast("binary")) % 7 == 2)).collect()] in ([], [0.0])
-    assert len(ngram_lm.bigram_scores(table(spark, [(None, "a b"), (None, "a b"), (1, None)])).collect()) == 3
+    assert ngram_lm.ngram_scores(table(spark, []), order=order).count() == 0
+    assert [r.score for r in ngram_lm.ngram_scores(table(spark, [(2, "a b")]).where(F.crc32(F.lit("2").cast("binary")) % 7 == 2)).collect()] in ([], [0.0])
+    assert len(ngram_lm.ngram_scores(table(spark, [(None, "a b"), (None, "a b"), (1, None)])).collect()) == 3
