@@ -6,8 +6,8 @@ a shard together:
 1. words: 64-bit hashes and counts of all training tokens; the sorted hashes of a shard are one stretch of the
    vocabulary, and a word's id is its rank in it;
 2. n-grams of the highest order as ids, and their counts. Trigrams are dealt by their first two words. A shard stores its
-   trigrams as sorted hashes (the leading bits are a place in a table, the next 32 are kept; about one in 10**9 unseen
-   trigrams is taken for a seen one) and what follows each context. From its distinct trigrams come the numbers of
+   trigrams as sorted hashes (the leading bits are a place in a table, the next 32 are kept; about two in 10**9 unseen
+   n-grams are taken for seen ones) and what follows each context; pairs are stored alike. From its distinct trigrams come the numbers of
    different words before each pair, which a second shuffle sums: the bigrams' counts. A shard of bigrams takes all pairs
    of a left word, but the pairs of a word that makes up more than an eighth of a shard are spread over all shards. From
    the distinct pairs come the statistics of the left words (how many followers once, twice, more often) and of the right
@@ -346,7 +346,9 @@ def _count_triples(texts: DataFrame, folder: str, shards: int, first_id: tuple[i
         of, total, *seen = _summed(pair[inner], n[inner], n[inner] == 1, n[inner] == 2, n[inner] >= 3)
         stored = {"total": total, **dict(zip(("n1", "n2", "n3"), seen, strict=True))}
         few, many = (total > 1) & (total < 255), total >= 255  # a context that occurs once has one follower, once
-        small = {"key": of[few], **{k: x[few].astype(np.uint8) for k, x in stored.items()}}
+        hashes_of = mixed(of[few])
+        order = np.argsort(hashes_of)
+        small = _hash_table(hashes_of[order]) | {k: x[few][order].astype(np.uint8) for k, x in stored.items()}
         store_arrays(f"{folder}/contexts", str(s), small | {"large_key": of[many], **{f"large_{k}": x[many].astype(np.int64) for k, x in stored.items()}})
         store_arrays(f"{folder}/triples", str(s), _hash_table(hashes[inner]) | _few_bytes(n[inner]))
         pairs, different = _summed(_key(left, word), np.where(inner, 1, n))
@@ -391,7 +393,9 @@ def _merge_pairs(blobs: DataFrame, folder: str, first_id: tuple[int, ...]) -> tu
         keys = np.concatenate([np.cumsum(left.astype(np.uint64)) << np.uint64(32) | right for left, right, _ in parts])
         keys, n = _summed(keys, np.concatenate([p[2] for p in parts]))
         s = int(group["shard"].iloc[0])
-        store_arrays(f"{folder}/pairs", str(s), {"key": keys, **_few_bytes(n)})
+        hashes = mixed(keys)
+        order = np.argsort(hashes)
+        store_arrays(f"{folder}/pairs", str(s), _hash_table(hashes[order]) | _few_bytes(n[order]))
         left, right = _halves(keys)
         ids, n1, n2, n3, total = _summed(left, n == 1, n == 2, n >= 3, n)
         after, before = _summed(right, np.ones(len(right), np.int64))
@@ -472,9 +476,7 @@ class Scorer:
         shard = _shard_of_pair(left[known], right[known], left_count[known], self.m.train_tokens, self.m.shards)
         for s, rows in _by_shard(shard, self.m.shards):
             if (f := self.pairs[s]) is not None:
-                keys, key = f["key"], _key(left[known[rows]], right[known[rows]])
-                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                out[known[rows]] = _count_at(f, at, keys[at] == key)
+                out[known[rows]] = _count_at(f, *_find(f, mixed(_key(left[known[rows]], right[known[rows]]))))
         return out
 
     def _of_contexts(self, pair: np.ndarray, shard: np.ndarray) -> dict[str, np.ndarray]:
@@ -483,12 +485,15 @@ class Scorer:
         for s, rows in _by_shard(shard, self.m.shards):
             if (f := self.contexts[s]) is None:
                 continue
-            for kind in ("", "large_"):
-                if len(keys := f[f"{kind}key"]):
-                    at = np.minimum(np.searchsorted(keys, pair[rows]), len(keys) - 1)
-                    found = keys[at] == pair[rows]
-                    for k, x in out.items():
-                        x[rows[found]] = f[f"{kind}{k}"][at[found]]
+            if len(f["rest"]):
+                at, found = _find(f, mixed(pair[rows]))
+                for k, x in out.items():
+                    x[rows[found]] = f[k][at[found]]
+            if len(keys := f["large_key"]):
+                at = np.minimum(np.searchsorted(keys, pair[rows]), len(keys) - 1)
+                found = keys[at] == pair[rows]
+                for k, x in out.items():
+                    x[rows[found]] = f[f"large_{k}"][at[found]]
         return out
 
     def _triple_counts(self, pair: np.ndarray, word: np.ndarray, shard: np.ndarray) -> np.ndarray:
