@@ -8,7 +8,6 @@ import logging
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from cohortloom.operators.decisions import prompt_text, rule_decider
 from cohortloom.operators.selection import balanced_selection
@@ -65,9 +64,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.verb == "run-anomaly":
         print(json.dumps(anomaly.summarize(run), ensure_ascii=False, indent=2, default=str))
         if args.out:
-            ranked = run.results.withColumn("rank_in_run", F.lit(None).cast("long"))
             sinks.write_table(sinks.exploded_reasons(run.results), tables["details"], sinks.REASON_DETAILS, args.mode)
-            sinks.write_table(ranked, args.out, sinks.RESULTS, args.mode)
+            sinks.write_table(anomaly.with_rank(run.results), args.out, sinks.RESULTS, args.mode)
         return 0
     ids = balanced_selection(run.results, args.entities).select("mono_id") if args.entities else None
     evidence = evidence_flow.build_evidence(panel, dictionary.formulas(), ids, evidence_flow.EvidenceSettings(month=args.month), dictionary)

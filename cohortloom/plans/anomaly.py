@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import date
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.formula import compile_formulas
@@ -168,9 +168,19 @@ def ranked(results: DataFrame, n: int | None = None) -> DataFrame:
     return ordered.limit(n).withColumn("rank_in_run", F.row_number().over(_by_score())) if n else ordered
 
 
-def _by_score():
-    from pyspark.sql import Window
+def with_rank(results: DataFrame) -> DataFrame:
+    """All results with ``rank_in_run`` from 1 by falling score, ties by id, missing scores last.
+
+    Rows are dealt by ranges of score and id and numbered within a range, on from the rows of the ranges before (a row a range).
+    """
+    dealt = staged(results.repartitionByRange(F.col("ensemble_score").desc(), ID).withColumn("__range", F.spark_partition_id()), "ranks")
+    sizes = dealt.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = sizes.select("__range", (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(F.col("ensemble_score").desc(), ID))
+    return dealt.withColumn("__at", place).join(before, "__range").select(*results.columns, (F.col("__before") + F.col("__at")).alias("rank_in_run"))
 
+
+def _by_score():
     return Window.orderBy(F.col("ensemble_score").desc(), ID)  # after a limit: a few rows
 
 

@@ -321,6 +321,7 @@ ORACLES: dict[str, str] = {
     "event_daily_counts": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "user_day_panel": "SELECT CAST(user_id AS VARCHAR) AS mono_id, strftime(ts, '%Y-%m-%d') AS cohort_dt, count(*) AS n_events, round(round(sum(value), 4), 3) AS total_value, round(avg(CAST(json_extract(props, '$.k') AS DOUBLE)), 4) AS mean_k FROM events GROUP BY 1, 2",
     "customer_year_panel": f"WITH {YEARS} SELECT mono_id, {DAY}, musteri_segment, cst_nace_code_id, {', '.join(f'round({c}, 4) AS {c}' for c in MEASURES)} FROM panel",
+    "rank_in_run": f"WITH {SCORES} SELECT mono_id, round(ensemble_score, 6) AS ensemble_score, row_number() OVER (ORDER BY scores.ensemble_score DESC NULLS LAST, mono_id NULLS FIRST) AS rank_in_run FROM scores",
     "top_scores": f"WITH {SCORES} SELECT mono_id, round(ensemble_score, 6) AS ensemble_score FROM scores ORDER BY scores.ensemble_score DESC, mono_id LIMIT 500",
     "peer_ratio_outliers": f"""WITH {YEARS}, {_sized('panel', 'toplam_varlik_ttr', 'ctx')}, yr AS (SELECT * FROM ctx WHERE cohort_dt = {AT}),
         long AS (SELECT *, {LOG.format('value')} AS t FROM (SELECT {_keep}, 'bank_risk_to_assets' AS feature, {_ratio('bank_total_risk', 'toplam_varlik_ttr', 'yr')} AS value FROM yr)), {_peers('long')},

@@ -385,6 +385,11 @@ def customer_year_panel(spark, sf_dir):
     return customer_years(spark, sf_dir).select("mono_id", _day(), "musteri_segment", "cst_nace_code_id", *(_r(c, c, 4) for c in MEASURES))
 
 
+@query
+def rank_in_run(spark, sf_dir):
+    return anomaly.with_rank(_scores(spark, sf_dir)).select("mono_id", _r("ensemble_score", "ensemble_score"), "rank_in_run")
+
+
 @query
 def top_scores(spark, sf_dir):
     return _scores(spark, sf_dir).orderBy(F.col("ensemble_score").desc(), "mono_id").limit(500).select("mono_id", _r("ensemble_score", "ensemble_score"))

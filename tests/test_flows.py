@@ -238,6 +238,14 @@ def test_command_line(spark, panel, tmp_path, capsys):
         arguments(["nothing"])
 
 
+def test_ranks_over_ranges(spark):
+    rows = [(f"c{i:03d}", None if i % 50 == 0 else float(i % 7)) for i in range(300)] + [("c001", 1.0), ("c001", 1.0)]
+    got = anomaly.with_rank(spark.createDataFrame(rows, "mono_id string, ensemble_score double").repartition(5)).orderBy("rank_in_run").collect()
+    assert [r.rank_in_run for r in got] == list(range(1, len(rows) + 1))
+    assert [(r.mono_id, r.ensemble_score) for r in got] == sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert anomaly.with_rank(spark.createDataFrame([], "mono_id string, ensemble_score double")).count() == 0
+
+
 def test_streams(spark, tmp_path):
     source = str(tmp_path / "in")
     rows = [(f"u{i % 3}", dt.datetime(2024, 1, 1 + i % 5, 12), float(i), "click") for i in range(30)]
