@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, Window
@@ -14,11 +14,12 @@ from cohortloom.functions.formula import compile_formulas
 from cohortloom.functions.numeric import confidence, coverage, data_gap, ensemble, missing_count, top_mean
 from cohortloom.functions.text import alert_type, review_queue, term_column
 from cohortloom.operators.models import bounded_sample, fit_autoencoder, fit_isolation_forest, model_score
-from cohortloom.operators.panel import ID, TIME, intake, latest_before, scoring_month, split
+from cohortloom.operators.panel import ID, TIME, intake, latest_before, month_profile, scoring_month, split
 from cohortloom.operators.peers import PeerColumns, long_form, peer_diagnostics, peer_matrix, peer_references, with_peer_context
 from cohortloom.operators.reasons import build_reasons
 from cohortloom.operators.scoring import MAX_CALIBRATION_ROWS, band, band_thresholds, fit_preprocessor, percentiles
 from cohortloom.operators.selection import DERIVED_PREFIXES, model_features
+from cohortloom.sources import sinks
 from cohortloom.sources.config import Dictionary
 from cohortloom.sources.staging import staged
 
@@ -194,3 +195,24 @@ def summarize(run: AnomalyRun) -> dict[str, Any]:
     out["peer_diagnostics"] = peer_diagnostics(run.peers).first().asDict()
     out["rows"] = sum(out.get("alert_band_counts", {}).values())
     return {k: (None if isinstance(v, float) and math.isnan(v) else v) for k, v in out.items()}
+
+
+def write_run(run: AnomalyRun, panel: DataFrame, folder: str, dictionary: Dictionary = Dictionary(), top: int = 500) -> str:
+    """Scores and top rows as CSV, summary and profile as JSON, in a new folder named by month and time, which is returned."""
+    spark = run.results.sparkSession
+    summary = summarize(run)
+    months = {r["month"].isoformat(): r["n_rows"] for r in month_profile(intake(panel)).orderBy("month").collect()}  # a row a month
+    labels = dictionary.labels()
+    profile = {
+        "scoring_month": str(run.month), "month_counts": months, "total_rows": sum(months.values()),
+        "train_rows": sum(n for month, n in months.items() if month < str(run.month)), "selected_features": run.features,
+        "selected_feature_labels": {f: labels.get(f, f) for f in run.features}, "excluded_feature_columns": sorted(dictionary.exclude),
+        "operational_band_thresholds": summary["thresholds"], "peer_representativeness_diagnostics": summary["peer_diagnostics"],
+    }
+    out = f"{folder.rstrip('/')}/{run.month:%Y%m%d}_{datetime.now():%Y%m%d_%H%M%S}"
+    results = with_rank(run.results)
+    sinks.write_csv(results, f"{out}/scores")
+    sinks.write_csv(results.where(F.col("rank_in_run") <= top).coalesce(1).sortWithinPartitions("rank_in_run"), f"{out}/top")
+    sinks.write_json(spark, f"{out}/summary", summary)
+    sinks.write_json(spark, f"{out}/profile", profile)
+    return out

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
+from pathlib import Path
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -107,6 +110,23 @@ def write_table(df: DataFrame, name: str, spec: TableSpec, mode: str = "replace"
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
+def load_table(df: DataFrame, name: str, replace: bool = True, partition: str = "cohort_dt", source: str | Path | None = None, delete_source: bool = False) -> dict[str, Any]:
+    """Write a table by month and count it afterwards; returns ``table, inserted_rows, table_rows, deleted_source``.
+
+    ``source``, one local file, is deleted on request only, and only if the table has gained every row written, and at least one.
+    """
+    spark = df.sparkSession
+    before = 0 if replace or not spark.catalog.tableExists(name) else spark.table(name).count()
+    rows = Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite" if replace else "append").partitionBy(partition).format("parquet").saveAsTable(name)
+    inserted, total = int(rows.get["n"]), spark.table(name).count()
+    local = Path(str(source).removeprefix("file://").removeprefix("file:")) if source else None
+    deleted = bool(delete_source and local and local.is_file() and 0 < inserted <= total - before)
+    if deleted:
+        local.unlink()
+    return {"table": name, "inserted_rows": inserted, "table_rows": total, "deleted_source": deleted}
+
+
 def audit(spark: SparkSession, tables: list[str], month: str | None = None, run_id: str | None = None) -> DataFrame:
     """``table_name, total_rows, month_rows, run_rows`` in one pass over each table."""
     out = None
@@ -156,6 +176,17 @@ def write_csv(df: DataFrame, path: str) -> None:
     flat.write.mode("overwrite").csv(path, header=True)
 
 
+def write_json(spark: SparkSession, path: str, value: Any) -> None:
+    """One JSON object, in one line of a text folder."""
+    spark.createDataFrame([(json.dumps(value, ensure_ascii=False, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def append_answers(decisions: DataFrame, run_id: str, path: str) -> None:
+    """A line per request is added to the answer log: what came back as it came, and why it couldn't be used if so."""
+    line = F.struct(F.lit(run_id).alias("run_id"), "mono_id", "cohort_dt", F.col("error").alias("parsing_error"), "raw_response")
+    decisions.select(F.to_json(line, {"ignoreNullFields": "false"}).alias("value")).write.mode("append").text(path)
+
+
 def top_rows(results: DataFrame, n: int = 500) -> DataFrame:
     return results.orderBy(F.col("ensemble_score").desc(), "mono_id").limit(n)
 

@@ -238,6 +238,44 @@ def test_command_line(spark, panel, tmp_path, capsys):
         arguments(["nothing"])
 
 
+def test_run_files(spark, panel, run, tmp_path):
+    out = anomaly.write_run(run, panel, str(tmp_path), top=5)
+    assert Path(out).name.startswith("20250331_")
+    scores = spark.read.csv(f"{out}/scores", header=True)
+    assert scores.count() == 12 and "reasons" in scores.columns
+    assert [r.rank_in_run for r in spark.read.csv(f"{out}/top", header=True).collect()] == list("12345")
+    profile, summary = (json.loads(spark.read.text(f"{out}/{name}").first()[0]) for name in ("profile", "summary"))
+    assert profile["month_counts"] == {"2025-01-31": 12, "2025-02-28": 12, "2025-03-31": 12} and (profile["total_rows"], profile["train_rows"]) == (36, 24)
+    assert profile["selected_features"] == run.features and summary["rows"] == 12 and profile["operational_band_thresholds"] == summary["thresholds"]
+
+
+def test_load_counts_before_it_deletes(spark, panel, tmp_path):
+    fresh(spark, "loaded")
+    source = tmp_path / "panel.csv"
+    panel.toPandas().to_csv(source, index=False)
+    df = anomaly.intake(readers.read_input(spark, str(source)))
+    assert sinks.load_table(df, "loaded", source=source) == {"table": "loaded", "inserted_rows": 36, "table_rows": 36, "deleted_source": False}
+    none = sinks.load_table(df.where("false"), "loaded", replace=False, source=source, delete_source=True)
+    assert none == {"table": "loaded", "inserted_rows": 0, "table_rows": 36, "deleted_source": False} and source.exists()
+    assert main(["load-panel", str(source), "--out", "loaded", "--mode", "append", "--delete-source"], spark) == 0
+    assert not source.exists() and spark.table("loaded").count() == 72
+    assert not sinks.load_table(spark.table("loaded").limit(3), "loaded_too", source=tmp_path, delete_source=True)["deleted_source"]
+    fresh(spark, "loaded", "loaded_too")
+
+
+def test_answer_log_and_selection(spark, evidence, run, tmp_path):
+    answers = decisions.decide(decisions.prompt_text(evidence), lambda: lambda prompt: "no JSON" if "C_001" in prompt else {"is_anomaly": False})
+    for run_id in ("r1", "r2"):
+        sinks.append_answers(answers, run_id, str(tmp_path / "answers"))
+    log = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "answers")).collect()]
+    assert len(log) == 2 * evidence.select("mono_id").distinct().count() and {r["run_id"] for r in log} == {"r1", "r2"}
+    failed = [r for r in log if r["parsing_error"]]
+    assert {r["mono_id"] for r in failed} == {"C_001"} and {r["raw_response"] for r in failed} == {"no JSON"}
+    sinks.write_csv(run.results.limit(2).withColumn("_internal", F.lit(1)), str(tmp_path / "selection"))
+    kept = spark.read.csv(str(tmp_path / "selection"), header=True)
+    assert kept.count() == 2 and "_internal" not in kept.columns
+
+
 def test_ranks_over_ranges(spark):
     rows = [(f"c{i:03d}", None if i % 50 == 0 else float(i % 7)) for i in range(300)] + [("c001", 1.0), ("c001", 1.0)]
     got = anomaly.with_rank(spark.createDataFrame(rows, "mono_id string, ensemble_score double").repartition(5)).orderBy("rank_in_run").collect()
