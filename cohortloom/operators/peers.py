@@ -68,11 +68,11 @@ def size_buckets(df: DataFrame, base: Column | None, time: str = TIME, out: str
     return df.join(edges, F.col(time).eqNullSafe(F.col("__month")), "left").withColumn(out, bucket).drop("__month", "__edges", "__n")
 
 
-def with_peer_context(df: DataFrame, columns: PeerColumns = PeerColumns(), time: str = TIME) -> DataFrame:
-    """With ``peer_segment, peer_sector, peer_size, peer_key``."""
+def with_peer_context(df: DataFrame, columns: PeerColumns = PeerColumns(), time: str = TIME, base: Column | None = None) -> DataFrame:
+    """With ``peer_segment, peer_sector, peer_size, peer_key``; sizes are of ``base`` where it is given."""
     names = set(df.columns)
     sector = next((c for c in columns.sectors if c in names), None)
-    out = size_buckets(df, size_base(df, columns), time)
+    out = size_buckets(df, size_base(df, columns) if base is None else base, time)
     out = out.withColumns(
         {
             "peer_segment": category(F.col(columns.segment), "SEG_NA") if columns.segment in names else F.lit("SEG_NA"),
@@ -109,26 +109,27 @@ def level_statistics(long: DataFrame, levels: dict[str, tuple[str, ...]] = LEVEL
     return _group_statistics(long, levels, min_support).drop("t_low", "t_high")
 
 
-def _global_statistics(long: DataFrame, stats: DataFrame) -> DataFrame:
-    """``feature, g_median, g_t_median, g_scale`` over all values of each feature."""
-    every = long.groupBy("feature").agg(F.stddev_samp(signed_log1p(F.col("value"))).alias("std"), F.count("value").alias("n"))
-    one = every.join(stats.where(F.col("level") == GLOBAL), "feature", "left")
+def _global_statistics(long: DataFrame, stats: DataFrame, parts: tuple[str, ...]) -> DataFrame:
+    """``feature, g_median, g_t_median, g_scale`` over all values of each feature, in each part."""
+    every = long.groupBy("feature", *parts).agg(F.stddev_samp(signed_log1p(F.col("value"))).alias("std"), F.count("value").alias("n")).withColumn("group_key", _group_key(GLOBAL, parts))
+    one = every.join(stats.where(F.col("level") == GLOBAL), ["feature", "group_key"], "left")
     return one.select(
         "feature",
+        *parts,
         F.coalesce("median", F.lit(0.0)).alias("g_median"),
         F.coalesce("t_median", F.lit(0.0)).alias("g_t_median"),
         scale_ladder(F.col("mad"), F.col("t_high") - F.col("t_low"), F.col("std"), F.col("n")).alias("g_scale"),
     )
 
 
-def peer_references(long: DataFrame, levels: dict[str, tuple[str, ...]] = LEVELS, min_support: int = PEER_MIN_SUPPORT) -> DataFrame:
+def peer_references(long: DataFrame, levels: dict[str, tuple[str, ...]] = LEVELS, min_support: int = PEER_MIN_SUPPORT, part: str | None = None) -> DataFrame:
     """``long`` with ``peer_median, peer_support, peer_level, peer_scale, peer_z, peer_score, peer_quality``.
 
     ``long`` has the columns of all level keys. Rows below every level take the global statistics of their feature, with
-    support 0.
+    support 0; those are of the rows with the same ``part``, where that column is named. Parts have no month in common.
     """
-    order = list(levels)
-    every = staged(_group_statistics(long, {**levels, GLOBAL: ()}, min_support), "peer-statistics")
+    order, parts = list(levels), (part,) if part else ()
+    every = staged(_group_statistics(long, {**levels, GLOBAL: parts}, min_support), "peer-statistics")
     stats = every.where(F.col("level") != GLOBAL).drop("t_low", "t_high")
     finest = _group_key(order[0], levels[order[0]])
     cells = long.select("feature", *dict.fromkeys(k for keys in levels.values() for k in keys)).distinct()
@@ -139,7 +140,7 @@ def peer_references(long: DataFrame, levels: dict[str, tuple[str, ...]] = LEVELS
         .groupBy("feature", "cell")
         .agg(F.min_by(F.struct("level", "support", "median", "t_median", "mad"), "rank").alias("peer"))
     )
-    rows = long.withColumn("cell", finest).join(chosen, ["feature", "cell"], "left").join(F.broadcast(_global_statistics(long, every)), "feature", "left")  # the latter a row a feature
+    rows = long.withColumn("cell", finest).join(chosen, ["feature", "cell"], "left").join(F.broadcast(_global_statistics(long, every, parts)), ["feature", *parts], "left")  # the latter a row a feature and part
     own = F.col("peer.mad") * 1.4826
     rows = rows.select(
         *long.columns,

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +13,6 @@ from cohortloom.sources.staging import staged
 
 # Fixed values of the band policy.
 BANDS = (("sari", 0.95, 90.0), ("turuncu", 0.98, 95.0), ("kirmizi", 0.99, 97.5))
-MAX_CALIBRATION_ROWS = 300_000
 
 
 @dataclass(frozen=True)
@@ -62,38 +59,28 @@ def fit_preprocessor(train: DataFrame, names: list[str]) -> Preprocessor:
     return Preprocessor(fill, low, high, center, scale)
 
 
-def percentile_against(reference: np.ndarray, values: Column) -> Column:
-    """Share of the reference that is not greater, in percent; the reference is a sorted sample of at most MAX_CALIBRATION_ROWS."""
-    if len(reference) > MAX_CALIBRATION_ROWS:
-        raise ValueError("the reference is larger than the calibration limit")
-    ordered = np.sort(np.asarray(reference, np.float64))
-
-    @F.pandas_udf("double")
-    def ranked(x: pd.Series) -> pd.Series:
-        if not len(ordered):
-            return pd.Series(np.zeros(len(x)))
-        return pd.Series(np.searchsorted(ordered, x.to_numpy(np.float64), side="right") / len(ordered) * 100.0)
-
-    return ranked(values)
-
-
 def percentiles(scored: DataFrame, reference: DataFrame, columns: dict[str, str]) -> DataFrame:
     """``scored`` with the share, in percent, of all reference rows that are not greater: ``columns`` are value columns of both frames and what to call their percentiles.
 
-    Rows are counted per distinct value, values are range-partitioned, and running sums within partitions are moved up by
+    All columns at once: rows are counted per distinct value, values are range-partitioned, and running sums within partitions are moved up by
     the sums of those before; only a row a partition is in one place. Missing values are above all others; without a
     reference all percentiles are 0. ``scored`` should be cheap to read twice.
     """
-    for column, name in columns.items():
-        value = F.coalesce(F.col(column).cast("double"), F.lit(float("nan")))
-        counts = reference.select(value.alias("value"), F.lit(1).alias("n")).unionByName(scored.select(value.alias("value"), F.lit(0).alias("n"))).groupBy("value").agg(F.sum("n").alias("n"))
-        counts = staged(counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "counts")
-        sums = counts.groupBy("part").agg(F.sum("n").alias("sum"))
-        before = sums.select("part", (F.sum("sum").over(Window.orderBy("part")) - F.col("sum")).alias("before"), F.sum("sum").over(Window.partitionBy()).alias("total"))  # a row a partition
-        running = counts.withColumn("n", F.sum("n").over(Window.partitionBy("part").orderBy("value"))).join(F.broadcast(before), "part")
-        share = F.coalesce(F.try_divide((F.col("before") + F.col("n")).cast("double"), F.col("total")) * 100.0, F.lit(0.0))
-        ranks = running.select(F.col("value").alias("__value"), share.alias(name))
-        scored = scored.withColumn("__value", value).join(ranks, "__value").drop("__value")
+    value = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(float("nan")))
+
+    def long(df: DataFrame, n: int) -> DataFrame:
+        return df.select(F.lit(n).alias("n"), F.inline(F.array(*(F.struct(F.lit(i).alias("column"), value(c).alias("value")) for i, c in enumerate(columns)))))
+
+    counts = long(reference, 1).unionByName(long(scored, 0)).groupBy("column", "value").agg(F.sum("n").alias("n"))
+    counts = staged(counts.repartitionByRange("column", "value").withColumn("part", F.spark_partition_id()), "counts")
+    sums = counts.groupBy("column", "part").agg(F.sum("n").alias("sum"))
+    of_column = Window.partitionBy("column")
+    before = sums.select("column", "part", (F.sum("sum").over(of_column.orderBy("part")) - F.col("sum")).alias("before"), F.sum("sum").over(of_column).alias("total"))  # a row a column and partition
+    running = counts.withColumn("n", F.sum("n").over(Window.partitionBy("column", "part").orderBy("value"))).join(F.broadcast(before), ["column", "part"])
+    share = F.coalesce(F.try_divide((F.col("before") + F.col("n")).cast("double"), F.col("total")) * 100.0, F.lit(0.0))
+    for i, (column, name) in enumerate(columns.items()):
+        ranks = running.where(F.col("column") == i).select(F.col("value").alias("__value"), share.alias(name))
+        scored = scored.withColumn("__value", value(column)).join(ranks, "__value").drop("__value")
     return scored
 
 

@@ -5,25 +5,29 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.formula import compile_formulas
 from cohortloom.functions.numeric import confidence, coverage, data_gap, ensemble, missing_count, top_mean
 from cohortloom.functions.text import alert_type, review_queue, term_column
-from cohortloom.operators.models import bounded_sample, fit_autoencoder, fit_isolation_forest, model_score
+from cohortloom.operators.models import PASSES, TREES, fit_autoencoder, fit_isolation_forest, forest_of, model_score
 from cohortloom.operators.panel import ID, TIME, intake, latest_before, month_profile, scoring_month, split
-from cohortloom.operators.peers import PeerColumns, long_form, peer_diagnostics, peer_matrix, peer_references, with_peer_context
+from cohortloom.operators.peers import PeerColumns, long_form, peer_diagnostics, peer_matrix, peer_references, size_base, with_peer_context
+from cohortloom.operators.quantiles import grouped_quantiles, interpolated
 from cohortloom.operators.reasons import build_reasons
-from cohortloom.operators.scoring import MAX_CALIBRATION_ROWS, band, band_thresholds, fit_preprocessor, percentiles
+from cohortloom.operators.scoring import band, band_thresholds, fit_preprocessor, percentiles
 from cohortloom.operators.selection import DERIVED_PREFIXES, model_features
 from cohortloom.sources import sinks
 from cohortloom.sources.config import Dictionary
 from cohortloom.sources.staging import staged
 
 DIRECT_FEATURES = ("rating_group",)
+#: 0 for rows of the earlier months, 1 for those of the scored one.
+PART = "__part"
 #: Columns of a raw panel that stay text.
 TEXT_COLUMNS = (ID, TIME, "musteri_segment", "cst_sector", "cst_nace_code", "cst_nace_code_id", "financial_term_l1y", "financial_term_q", "ref_donem_id", "yukleme_zmn", "data_time", "created_at")
 
@@ -66,6 +70,7 @@ class ModelInputs:
     names: list[str]  # columns of x_train and x_score
     x_train: DataFrame
     x_score: DataFrame
+    train_long: DataFrame  # feature and value of the earlier months
 
 
 def model_inputs(panel: DataFrame, formulas: dict[str, str], month: str | None = None, dictionary: Dictionary = Dictionary(), peer_columns: PeerColumns = PeerColumns()) -> ModelInputs:
@@ -77,18 +82,24 @@ def model_inputs(panel: DataFrame, formulas: dict[str, str], month: str | None =
     if not features:
         raise ValueError("no usable feature is left after coverage and variance checks")
     keys = [ID, TIME]
-    context = ["peer_segment", "peer_sector", "peer_size"]
-
-    def peers_of(df: DataFrame) -> DataFrame:
-        return staged(peer_references(staged(long_form(with_peer_context(df, peer_columns), features, [*keys, *context]), "long")), "peers")
-
-    peers = peers_of(score)
+    # one pass over both parts: all levels are within a month, so a part's groups are its own
+    both = reduce(DataFrame.unionByName, (df.withColumns({PART: F.lit(i), "__base": size_base_or_null(df, peer_columns)}) for i, df in enumerate((train, score))))
+    context = with_peer_context(both, peer_columns, base=F.col("__base"))
+    long = staged(long_form(context, features, [*keys, PART, "peer_segment", "peer_sector", "peer_size"]), "long")
+    every = staged(peer_references(long, part=PART), "peers")
     names = [f"{f}__peer_z" for f in features]
-    train_matrix = staged(peer_matrix(peers_of(train), features, keys), "matrix")
+    matrix = staged(peer_matrix(every, features, [*keys, PART]), "matrix")
+    train_matrix, score_matrix = (matrix.where(F.col(PART) == i).drop(PART) for i in (0, 1))
     prepared = fit_preprocessor(train_matrix, names)
     x_train = train_matrix.select(*keys, *prepared.expressions())
-    x_score = peer_matrix(peers, features, keys).select(*keys, *prepared.expressions())
-    return ModelInputs(at, panel, formulas, train, score, features, peers, names, x_train, x_score)
+    x_score = score_matrix.select(*keys, *prepared.expressions())
+    train_long = long.where(F.col(PART) == 0).select("feature", "value")
+    return ModelInputs(at, panel, formulas, train, score, features, every.where(F.col(PART) == 1).drop(PART), names, x_train, x_score, train_long)
+
+
+def size_base_or_null(df: DataFrame, columns: PeerColumns) -> Column:
+    base = size_base(df, columns)
+    return F.lit(None).cast("double") if base is None else base.cast("double")
 
 
 def residual_scores(inputs: ModelInputs) -> DataFrame:
@@ -98,6 +109,23 @@ def residual_scores(inputs: ModelInputs) -> DataFrame:
     return percentiles(staged(inputs.x_score.select(*keys, residual), "residual"), inputs.x_train.select(residual), {"residual": "residual_score"})
 
 
+def ensemble_scores(inputs: ModelInputs, trees: int = TREES, passes: int = PASSES, seed: int = 42) -> DataFrame:
+    """Rows of the scored month with their prepared deviations, the percentiles of the three models' scores among all
+    earlier rows, and ``ensemble_score``. Both models are fitted on all earlier rows."""
+    names, keys = inputs.names, (ID, TIME)
+    x_train = staged(inputs.x_train, "train")
+    if not x_train.take(1):
+        raise ValueError("there are no rows before the scoring month")
+    forest = forest_of(*fit_isolation_forest(x_train, names, keys, trees, seed=seed))
+    coder = fit_autoencoder(x_train, names, keys, passes, seed=seed)
+    absolute = F.array(*(F.abs(F.col(f"`{n}`")) for n in names))
+    scores = {"if_score": model_score(forest, names), "residual_score": top_mean(absolute), "autoencoder_score": model_score(coder, names)}
+    reference = staged(x_train.select(*(c.alias(f"__{k}") for k, c in scores.items())), "reference")
+    raw = inputs.x_score.select(*keys, *(F.col(f"`{n}`") for n in names), *(c.alias(f"__{k}") for k, c in scores.items()))
+    scored = percentiles(staged(raw, "raw"), reference, {f"__{k}": k for k in scores}).drop(*(f"__{k}" for k in scores))
+    return staged(scored.withColumn("ensemble_score", ensemble({c: F.col(c) for c in scores})), "scores")
+
+
 def run_anomaly(
     panel: DataFrame,
     formulas: dict[str, str] | None = None,
@@ -107,27 +135,16 @@ def run_anomaly(
     peer_columns: PeerColumns = PeerColumns(),
     top_reasons: int = 3,
     seed: int = 42,
-    max_calibration_rows: int = MAX_CALIBRATION_ROWS,
-    trees: int = 150,
+    trees: int = TREES,
 ) -> AnomalyRun:
-    """Score the rows of ``month`` (default: the latest) against all earlier rows.
+    """Score the rows of ``month`` (default: the latest) against all earlier rows, on which the models are fitted too.
 
-    Models are fitted on a hash sample of about ``max_calibration_rows`` earlier rows at most, everything else on all rows. ``ids``
-    limits the result, not what it is measured against. The panel should be a table that is cheap to read several times.
+    ``ids`` limits the result, not what it is measured against. The panel should be a table that is cheap to read several times.
     """
     inputs = model_inputs(panel, dictionary.formulas() if formulas is None else formulas, month, dictionary, peer_columns)
-    at, panel, train, score, features, peers, names = inputs.month, inputs.panel, inputs.train, inputs.score, inputs.features, inputs.peers, inputs.names
-    formulas, x_train, x_score, keys = inputs.formulas, inputs.x_train, inputs.x_score, [ID, TIME]
-    sample = bounded_sample(x_train, names, max_calibration_rows, seed, (ID, TIME))
-    if not len(sample):
-        raise ValueError("there are no rows before the scoring month")
-    forest, coder = fit_isolation_forest(sample, trees=trees, seed=seed), fit_autoencoder(sample, seed=seed)
-    absolute = F.array(*(F.abs(F.col(f"`{n}`")) for n in names))
-    scores = {"if_score": model_score(forest, names), "residual_score": top_mean(absolute), "autoencoder_score": model_score(coder, names)}
-    reference = staged(x_train.select(*(c.alias(f"__{k}") for k, c in scores.items())), "reference")
-    raw = x_score.select(*keys, *(F.col(f"`{n}`") for n in names), *(c.alias(f"__{k}") for k, c in scores.items()))
-    scored = percentiles(staged(raw, "raw"), reference, {f"__{k}": k for k in scores})
-    scored = staged(scored.withColumn("ensemble_score", ensemble({c: F.col(c) for c in ("if_score", "residual_score", "autoencoder_score")})), "scores")
+    at, panel, score, features, peers, names = inputs.month, inputs.panel, inputs.score, inputs.features, inputs.peers, inputs.names
+    formulas, keys = inputs.formulas, [ID, TIME]
+    scored = ensemble_scores(inputs, trees, seed=seed)
     thresholds = band_thresholds(scored, "ensemble_score")
     shown = scored if ids is None else scored.join(ids.select(F.col(ID).cast("string")).distinct(), ID, "left_semi")
     if ids is not None and shown.limit(1).count() == 0:
@@ -139,7 +156,7 @@ def run_anomaly(
     about = values.select(*keys, covered.alias("coverage_ratio"), gap.alias("data_gap_score"), missing_count(*features).alias("missing_feature_count"))
     earlier = staged(with_features(latest_before(panel, at), formulas), "earlier")
     previous = long_form(earlier, features, [ID]).withColumnRenamed("value", "previous")
-    medians = long_form(train.agg(*(F.median(f).alias(f) for f in features)), features, []).withColumnRenamed("value", "train_reference")
+    medians = grouped_quantiles(inputs.train_long, ["feature"], F.col("value"), {"m": 0.5}).select("feature", interpolated(F.col("m")).alias("train_reference"))
     severity = long_form(shown.select(*keys, *(F.abs(F.col(f"`{n}`")).alias(f) for n, f in zip(names, features, strict=True))), features, keys).withColumnRenamed("value", "severity")
     rows = severity.join(peers, [*keys, "feature"]).join(previous, [ID, "feature"], "left").join(F.broadcast(medians), "feature", "left")  # a row a feature
     if directions := dictionary.directions():
@@ -152,7 +169,7 @@ def run_anomaly(
         rows = rows.withColumns({"term_column": F.coalesce(*(F.when(F.col("feature") == f, F.lit(t)) for f, t in terms.items())), "term": pick("now"), "previous_term": pick("then")})
     reasons = staged(build_reasons(staged(rows, "reason-rows"), keys, top_reasons, dictionary.labels() or None), "reasons")
 
-    out = shown.drop(*names, *(f"__{k}" for k in scores)).join(about, keys).join(reasons, keys, "left")
+    out = shown.drop(*names).join(about, keys).join(reasons, keys, "left")
     out = out.withColumns({"alert_band": band(F.col("ensemble_score"), thresholds), "reasons": F.coalesce("reasons", F.array().cast(reasons.schema["reasons"].dataType)), "anomaly_score": F.col("ensemble_score")})
     out = out.withColumn("confidence", confidence(F.col("coverage_ratio"), F.col("if_score"), F.col("residual_score"), F.col("autoencoder_score")))
     out = out.withColumn("alert_type", alert_type(F.col("alert_band"), F.col("data_gap_score"), F.col("coverage_ratio"), F.transform("reasons", lambda r: r["feature"])))

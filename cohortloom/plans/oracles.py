@@ -202,7 +202,88 @@ s AS (SELECT {', '.join(f'median({c}) AS {c}_c, CASE WHEN quantile_cont({c}, 0.7
 r AS (SELECT mono_id, cohort_dt, round(list_sum(list_reverse_sort([{', '.join(f'abs(({c} - {c}_c) / {c}_s)' for c in _FEATURES)}])[1:3]) / 3, 12) AS residual FROM x, s),
 rp AS (SELECT residual FROM r WHERE cohort_dt < {AT})"""
 
+# The models in SQL: the same keyed choices, trees level by level, the autoencoder pass by pass.
+_PRIME, _TREES, _SIZE, _DEPTH, _PASSES = 2_147_483_647, 150, 256, 8, 40
+_hex = lambda text, at=1: f"(('0x' || substr(md5({text}), {at}, 8))::BIGINT % {_PRIME})"
+_D, _H = len(_FEATURES), len(_FEATURES) // 2
+_W = 2 * _D * _H + _H + _D
+MODEL_ROWS = f"""{RESIDUAL},
+fx AS MATERIALIZED (SELECT mono_id, cohort_dt, mono_id || '|' || cohort_dt::VARCHAR AS k, [{', '.join(f'({c} - {c}_c) / {c}_s' for c in _FEATURES)}] AS v FROM x, s),
+ft AS MATERIALIZED (SELECT k, v, {_hex('k')} AS h1, {_hex('k', 9)} AS h2 FROM fx WHERE cohort_dt < {AT})"""
+
+
+def _forest() -> str:
+    key = lambda what: _hex(f"'42:' || tree || ':' || node || ':{what}'")
+    out = f"""{MODEL_ROWS},
+seeds AS (SELECT tree, {_hex("'42:' || tree || ':a'")} AS a, {_hex("'42:' || tree || ':b'")} AS b FROM range({_TREES}) r(tree)),
+d0 AS MATERIALIZED (SELECT tree, 1::BIGINT AS node, v FROM (SELECT tree, v, row_number() OVER (PARTITION BY tree ORDER BY (h1 * a + h2 + b) % {_PRIME}, k) AS place FROM ft, seeds) WHERE place <= {_SIZE})"""
+    for i in range(_DEPTH + 1):
+        split = f"n > 1 AND len(o) > 0 AND {i} < {_DEPTH}"
+        out += f""",
+n{i} AS MATERIALIZED (SELECT tree, node, n, CASE WHEN {split} THEN o[{key('feature')} % greatest(len(o), 1) + 1] END AS f, low, high FROM
+    (SELECT *, list_filter(range(1, {_D + 1}), lambda j: high[j] > low[j]) AS o FROM (SELECT tree, node, count(*) AS n, [{', '.join(f'min(v[{j}])' for j in range(1, _D + 1))}] AS low, [{', '.join(f'max(v[{j}])' for j in range(1, _D + 1))}] AS high FROM d{i} GROUP BY ALL))),
+t{i} AS MATERIALIZED (SELECT tree, node, f, low[f] + {key('cut')} / {_PRIME}::DOUBLE * (high[f] - low[f]) AS cut,
+    CASE WHEN f IS NULL THEN round(({i} + CASE WHEN n > 2 THEN 2 * (ln(n - 1) + 0.5772156649015329::DOUBLE) - 2 * (n - 1) / n WHEN n = 2 THEN 1 ELSE 0 END) / 1e-9::DOUBLE)::BIGINT ELSE 0 END AS length FROM n{i})"""
+        if i < _DEPTH:
+            out += f""",
+d{i + 1} AS MATERIALIZED (SELECT tree, 2 * node + CASE WHEN v[f] >= cut THEN 1 ELSE 0 END AS node, v FROM d{i} JOIN t{i} USING (tree, node) WHERE f IS NOT NULL)"""
+    return out + ",\nnodes AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM t{i}" for i in range(_DEPTH + 1)) + ")"
+
+
+def _walk() -> str:
+    """Every row down every tree."""
+    out = ",\nw0 AS (SELECT k, v, tree, 1::BIGINT AS node, 0::BIGINT AS length FROM fx, seeds)"
+    for i in range(_DEPTH + 1):
+        out += f""",
+w{i + 1} AS (SELECT k, v, w.tree, CASE WHEN f IS NULL THEN 0 WHEN v[f] >= cut THEN 2 * node + 1 ELSE 2 * node END AS node, w.length + coalesce(t.length, 0) AS length FROM w{i} w LEFT JOIN t{i} t USING (tree, node))"""
+    return out + f",\niso AS MATERIALIZED (SELECT k, sum(length)::BIGINT AS total FROM w{_DEPTH + 1} GROUP BY 1)"
+
+
+def _coder() -> str:
+    """Each pass over the rows that aren't held out gives the next weights; w has those into the layer, its biases, those out of it and their biases."""
+    w1, b1 = lambda j, k: f"w[{j * _H + k + 1}]", lambda k: f"w[{_D * _H + k + 1}]"
+    w2, b2 = lambda k, j: f"w[{_D * _H + _H + k * _D + j + 1}]", lambda j: f"w[{2 * _D * _H + _H + j + 1}]"
+    raw = "[" + ", ".join(" + ".join(f"v[{j + 1}] * {w1(j, k)}" for j in range(_D)) + f" + {b1(k)}" for k in range(_H)) + "]"
+    off = "[" + ", ".join(" + ".join(f"greatest(raw[{k + 1}], 0) * {w2(k, j)}" for k in range(_H)) + f" + {b2(j)} - v[{j + 1}]" for j in range(_D)) + "]"
+    back = "[" + ", ".join("CASE WHEN raw[{0}] > 0 THEN 2 * ({1}) ELSE 0 END".format(k + 1, " + ".join(f"e[{j + 1}] * {w2(k, j)}" for j in range(_D))) for k in range(_H)) + "]"
+    sums = [f"v[{j + 1}] * back[{k + 1}]" for j in range(_D) for k in range(_H)] + [f"back[{k + 1}]" for k in range(_H)]
+    sums += [f"2 * greatest(raw[{k + 1}], 0) * e[{j + 1}]" for k in range(_H) for j in range(_D)] + [f"2 * e[{j + 1}]" for j in range(_D)]
+    square = "list_sum(list_transform(e, lambda y: y * y))"
+    bound = f"sqrt(6 / {_D + _H}::DOUBLE)"
+    key = _hex("'42:' || i || ':weight'")
+    out = f""",
+rows_ AS MATERIALIZED (SELECT v, h2 % 10 = 0 AND (SELECT count(*) FROM ft) >= 50 AS held FROM ft), sizes AS (SELECT count(*) FILTER (NOT held) AS n, count(*) FILTER (held) AS n_held FROM rows_),
+aw0 AS MATERIALIZED (SELECT w, list_transform(w, lambda y: 0.1::DOUBLE) AS step, list_transform(w, lambda y: 0::DOUBLE) AS before, w AS best, 'inf'::DOUBLE AS best_loss, 0 AS waited, FALSE AS done
+    FROM (SELECT list((2 * {key} / {_PRIME}::DOUBLE - 1) * {bound} ORDER BY i) AS w FROM range({_W}) r(i)))"""
+    for p in range(_PASSES):
+        out += f""",
+ag{p} AS MATERIALIZED (SELECT [{', '.join(f'coalesce(sum({x}) FILTER (NOT held), 0)' for x in sums)}] AS g, coalesce(sum({square}) FILTER (held), 0) AS held_sum FROM
+    (SELECT v, held, raw, e, {back} AS back FROM (SELECT v, held, w, raw, {off} AS e FROM (SELECT v, held, w, {raw} AS raw FROM rows_, aw{p})))),
+au{p} AS MATERIALIZED (SELECT a.*, list_transform(g, lambda y: y / (n * {_D})) AS g, held_sum / (n_held * {_D}) AS loss, held_sum / (n_held * {_D}) < best_loss - 1e-4 AS gain FROM aw{p} a, ag{p}, sizes),
+av{p} AS MATERIALIZED (SELECT *, done OR (NOT gain AND waited + 1 >= 8) AS stop, list_transform(range(1, {_W + 1}), lambda i: sign(g[i] * before[i])) AS turned FROM au{p}),
+ax{p} AS MATERIALIZED (SELECT *, list_transform(range(1, {_W + 1}), lambda i: CASE turned[i] WHEN 1 THEN least(step[i] * 1.2::DOUBLE, 1.0::DOUBLE) WHEN -1 THEN step[i] * 0.5::DOUBLE ELSE step[i] END) AS next_step,
+    list_transform(range(1, {_W + 1}), lambda i: CASE WHEN turned[i] < 0 THEN 0.0::DOUBLE ELSE g[i] END) AS next_before FROM av{p}),
+aw{p + 1} AS MATERIALIZED (SELECT CASE WHEN stop THEN w ELSE list_transform(range(1, {_W + 1}), lambda i: w[i] - sign(next_before[i]) * next_step[i]) END AS w, next_step AS step, next_before AS before,
+    CASE WHEN gain AND NOT done THEN w ELSE best END AS best, CASE WHEN gain AND NOT done THEN loss ELSE best_loss END AS best_loss, CASE WHEN gain THEN 0 ELSE waited + 1 END AS waited, stop AS done FROM ax{p})"""
+    return out + f""",
+final AS (SELECT CASE WHEN n_held > 0 THEN best ELSE w END AS w FROM aw{_PASSES}, sizes),
+err AS MATERIALIZED (SELECT k, {square} / {_D} AS err FROM (SELECT k, {off} AS e FROM (SELECT k, v, w, {raw} AS raw FROM fx, final)))"""
+
+
+ENSEMBLE = f"""{_forest()}{_walk()}{_coder()},
+res AS (SELECT mono_id || '|' || cohort_dt::VARCHAR AS k, residual FROM r), every AS MATERIALIZED (SELECT mono_id, cohort_dt, total, residual, err FROM fx JOIN iso USING (k) JOIN err USING (k) JOIN res USING (k)),
+past AS (SELECT * FROM every WHERE cohort_dt < {AT}), size_ AS (SELECT count(*)::DOUBLE AS n FROM past),
+pct AS MATERIALIZED (SELECT mono_id, (SELECT count(*) FROM past p WHERE p.total >= e.total) / n * 100 AS if_score, (SELECT count(*) FROM past p WHERE p.residual <= e.residual) / n * 100 AS residual_score,
+    (SELECT count(*) FROM past p WHERE p.err <= e.err) / n * 100 AS autoencoder_score FROM every e, size_ WHERE cohort_dt = {AT}),
+ens AS (SELECT *, greatest(0, least(100, if_score * 0.4::DOUBLE + residual_score * 0.35::DOUBLE + autoencoder_score * 0.25::DOUBLE)) AS ensemble_score FROM pct),
+lim AS (SELECT greatest(quantile_cont(ensemble_score, 0.95), 90.0) AS sari, quantile_cont(ensemble_score, 0.98) AS q2, quantile_cont(ensemble_score, 0.99) AS q3 FROM ens),
+lim2 AS (SELECT sari, greatest(q2, 95.0, sari) AS turuncu, greatest(q3, 97.5, q2, 95.0, sari) AS kirmizi FROM lim)"""
+
 ORACLES: dict[str, str] = {
+    "isolation_forest_nodes": f"WITH {_forest()} SELECT tree::INT AS tree, node::INT AS node, coalesce(f - 1, -1)::INT AS feature, round(coalesce(cut, 0), 6) AS threshold, (length // 1000)::BIGINT AS length FROM nodes",
+    "ensemble_scores": f"""WITH {ENSEMBLE} SELECT mono_id, round(if_score, 4) AS if_score, round(residual_score, 4) AS residual_score, round(autoencoder_score, 4) AS autoencoder_score, round(ensemble_score, 4) AS ensemble_score,
+        round(greatest(0, least(100, (0.65::DOUBLE + (1 - (greatest(if_score, residual_score, autoencoder_score) - least(if_score, residual_score, autoencoder_score)) / 100) * 0.35::DOUBLE) * 100)), 4) AS agreement,
+        CASE WHEN ensemble_score >= kirmizi THEN 'KIRMIZI' WHEN ensemble_score >= turuncu THEN 'TURUNCU' WHEN ensemble_score >= sari THEN 'SARI' ELSE 'NORMAL' END AS alert_band FROM ens, lim2""",
     "reason_references": f"""WITH {FACTS} SELECT mono_id, {_reference('label', 'actual', 'previous', 'peer', 'train', 'peer_z', 'peer_pct', '50.0')} AS label,
         round({_reference('value', 'actual', 'previous', 'peer', 'train', 'peer_z', 'peer_pct', '50.0')}, 4) AS value FROM facts""",
     "reason_comments": f"""WITH {FACTS}, c AS (SELECT *, {_comment('direction', 'actual', "'peer medyan'", 'peer')} AS comment FROM facts)

@@ -14,6 +14,7 @@ from cohortloom.functions.formula import compile_formulas
 from cohortloom.functions.jsontext import repair_json
 from cohortloom.operators import evidence, panel, peers, reasons, scoring, selection
 from cohortloom.operators.decisions import companion_scores, prompt_text
+from cohortloom.operators.models import fit_isolation_forest
 from cohortloom.operators.reasons import severity_shares
 from cohortloom.plans import anomaly, evidence_flow
 from cohortloom.plans.panels import FORMULAS, MEASURES, customer_months, customer_years, table, user_days
@@ -24,6 +25,7 @@ YEAR, MONTH = date(2000, 12, 31), date(2001, 6, 30)
 PEER_FEATURES = ["bank_total_risk", "memzuc_total_limit", "returned_amount"]
 CONTEXT = ["peer_segment", "peer_sector", "peer_size"]
 KEYS = ["mono_id", "cohort_dt"]
+SCORES = ("if_score", "residual_score", "autoencoder_score")
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -513,13 +515,35 @@ def decision_feature_rows(spark, sf_dir):
     return out.select("run_id", "mono_id", _day(), "feature", "feature_rank", _r("value", "value", 4), "period_count", "peer_level", "peer_support", "trend_break", "missing_flag")
 
 
+def _inputs(spark, sf_dir):
+    return anomaly.model_inputs(staged(customer_years(spark, sf_dir), "panel"), FORMULAS, "2000-12-31")
+
+
 @query
 def residual_scores(spark, sf_dir):
     """The part of the ensemble that needs no fitted model: deviations from peers, and their percentile among all earlier rows."""
-    out = anomaly.residual_scores(anomaly.model_inputs(staged(customer_years(spark, sf_dir), "panel"), FORMULAS, "2000-12-31"))
+    out = anomaly.residual_scores(_inputs(spark, sf_dir))
     return out.select("mono_id", _r("residual", "residual", 5), _r("residual_score", "residual_score", 2))
 
 
+@query
+def isolation_forest_nodes(spark, sf_dir):
+    """The forest that is fitted on all earlier rows, as a table."""
+    inputs = _inputs(spark, sf_dir)
+    nodes, _ = fit_isolation_forest(staged(inputs.x_train, "train"), inputs.names, tuple(KEYS))
+    return nodes.select("tree", "node", "feature", _r("threshold", "threshold"), (F.col("length") / 1000).cast("long").alias("length"))
+
+
+@query
+def ensemble_scores(spark, sf_dir):
+    """Percentiles of forest, deviations and autoencoder among all earlier rows, their ensemble and its band."""
+    inputs = _inputs(spark, sf_dir)
+    scored = anomaly.ensemble_scores(inputs)
+    limits = scoring.band_thresholds(scored, "ensemble_score")
+    confidence = num.confidence(F.lit(1.0), *(F.col(c) for c in SCORES))
+    return scored.select("mono_id", *(_r(c, c, 4) for c in (*SCORES, "ensemble_score")), _r(confidence, "agreement", 4), scoring.band(F.col("ensemble_score"), limits).alias("alert_band"))
+
+
 @query
 def ensemble_flagship(spark, sf_dir):
     run = anomaly.run_anomaly(staged(customer_years(spark, sf_dir), "panel"), FORMULAS, month="2000-12-31")

@@ -10,7 +10,7 @@ from pathlib import Path
 from typing import Any
 
 # Built-in defaults under any configuration file.
-DEFAULTS: dict[str, Any] = {"pipeline": {"write_mode": "replace", "max_calibration_rows": 300_000, "top_reasons": 3}, "tables": {"results": "anomaly_results", "details": "anomaly_reason_details"}, "logging": {"level": "INFO"}}
+DEFAULTS: dict[str, Any] = {"pipeline": {"write_mode": "replace", "top_reasons": 3}, "tables": {"results": "anomaly_results", "details": "anomaly_reason_details"}, "logging": {"level": "INFO"}}
 CONFIG_VARIABLE, CONFIG_NAME = "COHORTLOOM_CONFIG", "config/pipeline_config.yaml"
 
 

@@ -189,7 +189,7 @@ def test_configuration(tmp_path, monkeypatch):
     monkeypatch.setenv(config.CONFIG_VARIABLE, str(bad))
     assert config.config_path(folders=[tmp_path]) is None
     monkeypatch.setenv(config.CONFIG_VARIABLE, str(good))
-    assert config.config_path(folders=[tmp_path]) == good and config.load_config()["pipeline"] == {"write_mode": "replace", "max_calibration_rows": 300_000, "top_reasons": 2}
+    assert config.config_path(folders=[tmp_path]) == good and config.load_config()["pipeline"] == {"write_mode": "replace", "top_reasons": 2}
     assert [config.optional_limit(x) for x in ("all", "-", "None", "0", "", "7")] == [None] * 5 + [7]
     (tmp_path / "list.yaml").write_text("- 1\n")
     with pytest.raises(ValueError):
@@ -309,7 +309,7 @@ def test_all_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES) and set(QUERIES) - set(ORACLES) == {"ensemble_flagship", "evidence_packages", "prompt_dry_run"}
 
 
-@pytest.mark.parametrize("name", ["peer_hierarchy_z", "peer_diagnostics", "trend_slope_break", "preprocessor_stats", "band_assign", "seasonal_peer_median", "formula_nested"])
+@pytest.mark.parametrize("name", ["peer_hierarchy_z", "peer_diagnostics", "trend_slope_break", "preprocessor_stats", "band_assign", "seasonal_peer_median", "formula_nested", "isolation_forest_nodes", "ensemble_scores"])
 def test_queries_agree_with_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     sf = Path("/root/testdata/sf0.001")
@@ -318,8 +318,9 @@ def test_queries_agree_with_sql(spark, name):
     con = duckdb.connect()
     for f in sf.glob("*.parquet"):
         con.execute(f"CREATE VIEW {f.stem} AS SELECT * FROM '{f}'")
-    got = [tuple(r) for r in QUERIES[name](spark, str(sf)).collect()]
-    rel = con.execute(f"SELECT {', '.join(QUERIES[name](spark, str(sf)).columns)} FROM ({ORACLES[name]})").fetchall()
+    result = QUERIES[name](spark, str(sf))
+    got = [tuple(r) for r in result.collect()]
+    rel = con.execute(f"SELECT {', '.join(result.columns)} FROM ({ORACLES[name]})").fetchall()
     assert sorted(got, key=repr) == sorted(rel, key=repr)
 
 
@@ -347,13 +348,9 @@ def test_evidence_from_results(run):
     assert decisions.prompt_text(e).count() == 12
 
 
-def test_scores_do_not_depend_on_the_calibration_limit(spark, panel, monkeypatch):
-    folder = "/root/testdata/sf0.001"
-    want = sorted(map(tuple, QUERIES["empirical_percentile"](spark, folder).collect()))
-    monkeypatch.setattr("cohortloom.operators.scoring.MAX_CALIBRATION_ROWS", 5)
-    assert sorted(map(tuple, QUERIES["empirical_percentile"](spark, folder).collect())) == want
-    scores = [r.residual_score for r in anomaly.run_anomaly(panel, FORMULAS, max_calibration_rows=10, trees=5).results.collect()]
-    assert len(scores) == 12 and all(abs(s - round(s * 24 / 100) * 100 / 24) < 0.051 for s in scores)  # shares of all 24 earlier rows
+def test_scores_are_shares_of_all_earlier_rows(panel):
+    scores = [r.residual_score for r in anomaly.run_anomaly(panel, FORMULAS, trees=5).results.collect()]
+    assert len(scores) == 12 and all(abs(s - round(s * 24 / 100) * 100 / 24) < 0.051 for s in scores)
 
 
 def test_evidence_keeps_features_beyond_the_prompt(spark, panel):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import random
 
 import numpy as np
@@ -92,8 +93,8 @@ def test_bands(spark):
 
 def test_percentile_and_preprocessor(spark):
     df = spark.createDataFrame([(float(i), None if i % 10 == 0 else float(i * i)) for i in range(100)], "a double, b double")
-    got = [r[0] for r in df.select(scoring.percentile_against(np.arange(50.0), F.col("a"))).collect()]
-    assert got[0] == 2 and got[49] == 100 and got[99] == 100 and all(0 <= x <= 100 for x in got)
+    got = {r.a: (r.p, r.q) for r in scoring.percentiles(df, df.where("a < 50"), {"a": "p", "b": "q"}).collect()}
+    assert got[0][0] == 2 and got[49][0] == 100 and got[99][0] == 100 and got[0][1] == 100 and got[1][1] == pytest.approx(2)
     p = scoring.fit_preprocessor(df, ["a", "b"])
     x = df.select(*p.expressions()).toPandas()
     assert x.notna().all().all() and abs(x["a"].median()) < 1e-6
@@ -103,19 +104,91 @@ def test_percentile_and_preprocessor(spark):
     assert np.allclose(sorted(x["a"]), want)
 
 
-def test_isolation_forest_and_autoencoder(spark):
-    rnd = np.random.default_rng(0)
-    x = rnd.normal(size=(500, 4))
+NAMES = list("abcd")
+
+
+@pytest.fixture(scope="module")
+def vectors():
+    x = np.random.default_rng(0).normal(size=(500, 4))
     x[:, 1] = x[:, 0] * 2
-    odd = np.array([[8.0, -8.0, 8.0, -8.0]])
-    forest, coder = models.fit_isolation_forest(x), models.fit_autoencoder(x)
-    assert forest.scores(odd)[0] > np.quantile(forest.scores(x), 0.99) and coder.errors(odd)[0] > np.quantile(coder.errors(x), 0.99)
-    assert (models.fit_isolation_forest(x).scores(x) == forest.scores(x)).all() and (models.fit_autoencoder(x).errors(x) == coder.errors(x)).all()
-    df = spark.createDataFrame(x[:50].tolist(), "a double, b double, c double, d double")
-    got = [r[0] for r in df.select(models.model_score(forest, list("abcd"))).collect()]
-    assert np.allclose(sorted(got), sorted(forest.scores(x[:50])))
-    same = models.bounded_sample(df, list("abcd"), 20, 1, ("a",))
-    assert 5 < len(same) < 40 and (models.bounded_sample(df.repartition(7), list("abcd"), 20, 1, ("a",)) == same).all()
+    return x
+
+
+def vector_table(spark, x):
+    return spark.createDataFrame([(f"k{i}", *map(float, r)) for i, r in enumerate(x)], "k string, a double, b double, c double, d double")
+
+
+def test_isolation_forest_and_autoencoder(spark, vectors):
+    df, odd = vector_table(spark, vectors), np.array([[8.0, -8.0, 8.0, -8.0]])
+    forest = models.forest_of(*models.fit_isolation_forest(df, NAMES, ("k",)))
+    coder = models.fit_autoencoder(df, NAMES, ("k",))
+    assert forest.scores(odd)[0] > np.quantile(forest.scores(vectors), 0.99) and coder.errors(odd)[0] > np.quantile(coder.errors(vectors), 0.99)
+    got = [r[0] for r in df.select(models.model_score(forest, NAMES)).collect()]
+    assert np.allclose(sorted(got), sorted(forest.scores(vectors)))
+
+
+def draws_by_hand(tree, seed, n):
+    """The order of all rows in a tree's draw."""
+    def draw(i):
+        digest = hashlib.md5(f"k{i}".encode()).hexdigest()
+        one, two = (int(digest[at : at + 8], 16) % models.PRIME for at in (0, 8))
+        return (one * models.keyed(seed, tree, "a") + two + models.keyed(seed, tree, "b")) % models.PRIME, f"k{i}"
+
+    return sorted(range(n), key=draw)
+
+
+def test_trees_draw_among_all_rows_however_they_lie(spark, vectors):
+    """Each tree is grown of the smallest draws of the whole table, whatever the partitioning; so no cap on rows can change it."""
+    df = vector_table(spark, vectors)
+    for size in (64, 256, 1000):
+        table, n = models.fit_isolation_forest(df.repartition(7, "a"), NAMES, ("k",), trees=5, subsample=size, seed=3)
+        assert n == min(size, 500)
+        want = [node for tree in range(5) for node in models.grow_tree(vectors[draws_by_hand(tree, 3, 500)[:n]], tree, 3)]
+        assert sorted(map(tuple, table.collect())) == sorted(want)
+    drawn, _ = models.tree_draws(df, NAMES, ("k",), trees=20, size=16)
+    assert drawn.count() < 20 * 120  # what leaves the tasks is bounded by trees and size
+
+
+def test_draws_are_repeated_when_the_bound_was_too_low(spark, vectors, monkeypatch):
+    monkeypatch.setattr(models.math, "sqrt", lambda _: -2.6)  # a bound for fewer rows than are wanted
+    drawn, size = models.tree_draws(vector_table(spark, vectors), NAMES, ("k",), trees=4, size=64)
+    assert size == 64 and min(r["count"] for r in drawn.groupBy("tree").count().collect()) >= 64
+
+
+def test_forest_of_few_and_of_equal_rows(spark):
+    one = vector_table(spark, np.ones((1, 4)))
+    same = vector_table(spark, np.ones((30, 4)))
+    for df in (one, same):
+        forest = models.forest_of(*models.fit_isolation_forest(df, NAMES, ("k",), trees=3))
+        assert len(set(forest.scores(np.ones((3, 4))))) == 1
+
+
+def test_autoencoder_is_the_same_as_on_the_driver(spark, vectors):
+    """Partial gradients of any partitioning add up to those of one matrix."""
+    held = np.array([int(hashlib.md5(f"k{i}".encode()).hexdigest()[8:16], 16) % models.PRIME % 10 == 0 for i in range(len(vectors))])
+
+    def sums(model):
+        return np.concatenate([model.gradient(vectors[~held]), [model.errors(vectors[held]).sum() * 4]])
+
+    want = models.descend(models.autoencoder_start(4), sums, (~held).sum(), held.sum(), 15, models.PATIENCE)
+    for parts in (1, 6):
+        got = models.fit_autoencoder(vector_table(spark, vectors).repartition(parts), NAMES, ("k",), passes=15)
+        assert np.abs(got.weights - want.weights).max() < 1e-6
+    few = models.fit_autoencoder(vector_table(spark, vectors[:20]), NAMES, ("k",), passes=5)  # too few to hold any out
+    assert few.errors(vectors[:20]).mean() < models.autoencoder_start(4).errors(vectors[:20]).mean()
+
+
+def test_gradient_is_that_of_the_loss(vectors):
+    start, x = models.autoencoder_start(4), vectors[:40]
+    found = start.gradient(x)
+    assert found[-1] == pytest.approx(start.errors(x).sum() * 4)
+    for i in range(len(start.weights)):
+        ends = []
+        for step in (1e-6, -1e-6):
+            moved = start.weights.copy()
+            moved[i] += step
+            ends.append(models.Autoencoder(moved, 4, start.hidden).errors(x).sum() * 4)
+        assert found[i] == pytest.approx((ends[0] - ends[1]) / 2e-6, abs=1e-3)
 
 
 def test_balanced_selection(spark):
