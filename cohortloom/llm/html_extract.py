@@ -1,9 +1,9 @@
 """Main text of web pages: flat text blocks, described by themselves and their neighbours, and a decision tree.
 
 A page is read once from left to right, by the rules of HTML for tags and attributes, into blocks of text between
-block-level tags. Each block has its words, its link density and what its surroundings are named: with the words and link
-densities of the blocks before and after, a decision tree says which blocks are content. The tree is grown from the small
-labelled table below.
+block-level tags. Each block has its words, its link density, what its surroundings are named and whether it speaks of
+rights: with the words and link densities of the blocks before and after, a decision tree says which blocks are content.
+The tree is grown from the small labelled table below.
 """
 
 from __future__ import annotations
@@ -26,25 +26,34 @@ _BLOCK = set(
 )
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
 _RAW = set("script style textarea title xmp noembed noframes iframe".split())  # text up to their end tag, or to the end of the page
-_SKIPPED = set("head noscript template svg math object canvas select button audio video map".split())  # left out if they end
+_SKIPPED = set("head noscript template svg object canvas select button audio video map annotation annotation-xml".split())  # left out if they end
 _OUTSIDE = set("nav footer aside dialog menu search header".split())
 _HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 _ENDS_BEFORE = {"li": "li", "dd": "dd dt", "dt": "dd dt", "td": "td th", "th": "td th", "tr": "td th tr", "option": "option"}
 _MARKS = set(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert "
     "warning sidebar aside menu nav navbar navigation navi breadcrumb breadcrumbs footer foot header masthead topbar comment comments commentlist reply replies "
-    "respond discussion disqus share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay copyright disclaimer "
+    "respond responses discussion disqus share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay copyright disclaimer "
     "widget toolbar pagination pager hidden search form complementary contentinfo skip".split()
 )
 _AD_MARKS = set("ad ads adv advert adverts advertisement advertising adsense".split())
-_COMMENT_MARKS = set("comment comments commentlist reply replies respond discussion disqus".split())
+_COMMENT_MARKS = set("comment comments commentlist reply replies respond responses disqus".split())
 _HEADER_MARKS = set("header banner masthead".split())
 _CONTENT_MARKS = set("article post entry story content main body text".split())
 #: Words that leave a name's meaning as it is (``post-comments``), and words of names that speak of a page's layout.
 _NEUTRAL = _CONTENT_MARKS | set(
     "posts page site blog global local primary secondary wrapper wrap container box block area bar list item items section inner outer top bottom left right center "
-    "col column module region panel slot unit zone title link links policy button buttons icon icons group row the and id".split()
+    "col column module region panel slot unit zone title link links policy button buttons icon icons group row the and id cc".split()
 )
+#: Marks that are names of an article's own sections as well.
+_SECTIONS = set("discussion warning notice notices alert social sharing menu search form promotion related".split())
+#: Beginnings of the names that services for reader comments and for consent give their containers.
+_COMMENT_SERVICES = re.compile(r"(?:disqus|livefyre|hyvor|commento|giscus|utterances|isso-thread|fb-comments)", re.IGNORECASE)
+_CONSENT_SERVICES = re.compile(r"(?:onetrust|cookiebot|cookieconsent|usercentrics|didomi|cmpbox|cmpwrapper|cc-window|cc_banner)", re.IGNORECASE)
+#: How lines at the foot of a page speak of rights.
+_RIGHTS = re.compile(r"(?:©|\(c\)|copyright\b)\s*(?:©|\(c\))?\s*(?:\d{4}|by\b)|\ball rights reserved\b", re.IGNORECASE)
+#: Words without a link that a section of an article has at least, and the share of its words in links that it hasn't.
+SECTION_WORDS, SECTION_LINKS = 8, 0.25
 _LAYOUT = set("no with without has layout template theme enabled disabled open closed grid".split())
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|=?+[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>]*+))?+|=)*+)(?:>|\Z)")
 _ATTRIBUTES = re.compile(r"(=?+[^\s/>=]++)(?:\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>]*+)))?+")
@@ -61,10 +70,16 @@ class Block(NamedTuple):
     enclosed: bool  # within an article or the main element
     heading: bool
 
+    @property
+    def rights(self) -> bool:
+        """Whether it is a short line about rights."""
+        return self.words <= 40 and bool(_RIGHTS.search(self.text))
+
 
 class _Mark(NamedTuple):
     level: int
     firm: bool  # whatever share of the page it holds
+    section: bool = False  # by a name that sections of an article have too
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -78,6 +93,8 @@ def _attributes(source: str) -> dict[str, str]:
 @lru_cache(maxsize=1 << 14)
 def _name_mark(name: str, enclosed: bool) -> _Mark | None:
     """What one class, id or role says. Names of marks and neutral words alone are strong, others that have a mark weak."""
+    if _COMMENT_SERVICES.match(name) or _CONSENT_SERVICES.match(name):
+        return _Mark(STRONG, True)
     parts = [w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if w]
     found = _MARKS.intersection(parts)
     if not found or _LAYOUT.intersection(parts) or (found <= _HEADER_MARKS and (enclosed or _CONTENT_MARKS.intersection(parts))):
@@ -95,10 +112,16 @@ def _mark_of(tag: str, given: dict[str, str], enclosed: bool) -> _Mark | None:
         return _Mark(STRONG, True)
     found = [_Mark(STRONG, False)] if tag == "form" else []
     if given and tag not in ("main", "body", "html") and tag not in _HEADINGS:
-        names = [*given.get("class", "").split(), given.get("id", ""), given.get("role", "")]
+        classes = given.get("class", "").split()
+        names = [*classes, given.get("id", ""), given.get("role", "")]
         if tag not in _BLOCK:  # parts of a sentence
             names = [n for n in names if n.lower() in _AD_MARKS]
-        found += [m for n in names if n and (m := _name_mark(n, enclosed or tag == "article"))]
+        named = [(n, m) for n in names if n and (m := _name_mark(n, enclosed or tag == "article"))]
+        found += [m for _, m in named]
+        # an element that is named for linking to it, by its id or as a section, and by no other mark
+        structural = tag == "section" or not any(n in classes for n, _ in named)
+        if enclosed and tag != "form" and named and structural and all(n.lower() in _SECTIONS for n, _ in named):
+            return _Mark(STRONG, False, True)
     return max(found, default=None)
 
 
@@ -230,7 +253,7 @@ def _read(page: str) -> _Reader:
             closing, tag, source = found.groups()
             at, tag = found.end(), tag.lower()
             if tag in _RAW or tag in _SKIPPED:
-                if not closing and not (source.endswith("/") and tag in ("svg", "math")):
+                if not closing and not (source.endswith("/") and tag in ("svg", "annotation", "annotation-xml")):
                     past = past_end(tag, at)
                     at = past if past is not None else len(page) if tag in ("script", "style", "textarea", "title") else at
                 r.add(" ")
@@ -252,9 +275,33 @@ def _read(page: str) -> _Reader:
     return r
 
 
+def _sections(r: _Reader) -> list[bool]:
+    """Of each mark whether it is a section of the article after all: named as one may be, it begins with a heading, holds
+    text mostly out of links and no reader comments."""
+    n = len(r.marks)
+    first, headed, words, linked = [len(r.found)] * n, [False] * n, [0.0] * n, [0.0] * n
+    comments = [m.firm for m in r.marks]
+    for at, (_, count, density, number, _, heading) in enumerate(r.found):
+        if number >= 0:
+            if at < first[number]:
+                first[number], headed[number] = at, heading
+            words[number] += 0 if heading else count
+            linked[number] += 0 if heading else count * density
+    for i in range(n - 1, -1, -1):  # those inside come later
+        if (up := r.above[i]) >= 0:
+            if first[i] < first[up]:
+                first[up], headed[up] = first[i], headed[i]
+            words[up] += words[i]
+            linked[up] += linked[i]
+            comments[up] = comments[up] or comments[i]
+    return [m.section and headed[i] and not comments[i] and words[i] - linked[i] >= SECTION_WORDS and linked[i] < SECTION_LINKS * words[i] for i, m in enumerate(r.marks)]
+
+
 def _standing(r: _Reader) -> list[int]:
     """The level of each mark with those outside it. A strong mark that isn't firm falls if all that is outside marks, or
-    only in marks around it that have fallen, is less than a tenth of its words and in no article: then its name speaks of the page."""
+    only in marks around it that have fallen, is less than a tenth of its words and in no article: then its name speaks of
+    the page. So do marks that are sections of an article."""
+    sections = _sections(r)
     own = np.zeros((len(r.marks) + 1, 2))  # words by their innermost strong mark, the last of those in none: out of links, and in an article
     strong = [0] * len(r.marks)
     for i, mark in enumerate(r.marks):
@@ -269,7 +316,7 @@ def _standing(r: _Reader) -> list[int]:
         base[i] = base[up] if up >= 0 else own[-1]
         if around == STRONG or mark.level == WEAK:
             out[i] = max(around, mark.level)
-        elif not mark.firm and base[i][1] == 0 and 10 * base[i][0] < r.words[i]:
+        elif sections[i] or (not mark.firm and base[i][1] == 0 and 10 * base[i][0] < r.words[i]):
             out[i], base[i] = around, base[i] + own[i]
         else:
             out[i] = STRONG
@@ -284,9 +331,15 @@ def blocks(page: str) -> list[Block]:
 
 
 #: Features of a block in the order of the labelled table. place: 2 within an article or the main element, 0 outside it on a page that has one, 1 on a page without.
-FEATURES = ("mark", "place", "heading", "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after")
+FEATURES = ("mark", "place", "heading", "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "calmer_side", "rights")
+
+
+def calmer_side(words_before: float, density_before: float, words_after: float, density_after: float) -> float:
+    """The lower link density of the two neighbours; the edge of a page counts as a link."""
+    return min(density_before if words_before else 1.0, density_after if words_after else 1.0)
 
-#: Blocks labelled by hand (features as above; the last column tells whether the block is content).
+
+#: Blocks labelled by hand (features as above up to the neighbours; the last column tells whether the block is content).
 LABELLED = [
     # within the article
     (0, 2, 1, 7, 0.0, 12, 0.0, 40, 0.0, 1),
@@ -302,6 +355,16 @@ LABELLED = [
     (0, 2, 0, 25, 0.0, 9, 0.0, 9, 0.4, 1),
     (0, 2, 0, 1, 0.0, 1, 0.0, 1, 1.0, 1),
     (0, 2, 0, 310, 0.0, 2, 1.0, 0, 0.0, 1),
+    (0, 2, 0, 4, 0.0, 2, 1.0, 3, 1.0, 1),
+    (0, 2, 0, 2, 0.0, 1, 1.0, 0, 0.0, 1),
+    (0, 2, 0, 9, 0.0, 5, 1.0, 1, 1.0, 1),
+    (0, 2, 0, 1, 0.0, 0, 0.0, 2, 1.0, 1),
+    (0, 2, 0, 6, 0.2, 3, 1.0, 2, 1.0, 1),
+    (0, 2, 0, 11, 0.0, 4, 1.0, 0, 0.0, 1),
+    (0, 2, 1, 3, 0.0, 2, 1.0, 2, 1.0, 1),
+    (0, 2, 1, 6, 0.0, 40, 0.0, 3, 1.0, 1),
+    (0, 2, 1, 2, 0.0, 0, 0.0, 1, 1.0, 1),
+    (0, 2, 1, 4, 0.0, 9, 0.0, 5, 1.0, 1),
     (2, 2, 0, 15, 0.0, 80, 0.0, 22, 0.0, 0),
     (2, 2, 0, 160, 0.0, 34, 0.0, 41, 0.0, 0),
     (2, 2, 1, 2, 0.0, 170, 0.0, 18, 0.0, 0),
@@ -356,6 +419,81 @@ LABELLED = [
     (2, 1, 0, 158, 0.0, 25, 0.0, 30, 0.0, 0),
     (2, 1, 1, 4, 0.0, 1, 1.0, 31, 0.0, 0),
     (2, 1, 0, 8, 0.1, 95, 0.0, 0, 0.0, 0),
+    # such pages: paragraphs of any length among others
+    (0, 1, 0, 2, 0.0, 4, 0.0, 3, 0.0, 1),
+    (0, 1, 0, 4, 0.0, 1, 0.0, 88, 0.0, 1),
+    (0, 1, 0, 8, 0.0, 150, 0.0, 2, 0.0, 1),
+    (0, 1, 0, 33, 0.0, 3, 0.0, 1, 0.0, 1),
+    (0, 1, 0, 66, 0.0, 7, 0.0, 6, 0.0, 1),
+    (0, 1, 0, 110, 0.0, 16, 0.0, 4, 0.0, 1),
+    (0, 1, 0, 25, 0.2, 2, 0.0, 10, 0.0, 1),
+    (0, 1, 0, 5, 0.4, 30, 0.0, 61, 0.0, 1),
+    # before a list of links
+    (0, 1, 0, 38, 0.0, 71, 0.0, 2, 1.0, 1),
+    (0, 1, 0, 84, 0.05, 45, 0.0, 3, 1.0, 1),
+    (0, 1, 0, 17, 0.0, 52, 0.0, 1, 1.0, 1),
+    (0, 1, 0, 7, 0.0, 33, 0.0, 2, 1.0, 1),
+    (0, 1, 0, 3, 0.0, 60, 0.0, 2, 1.0, 1),
+    (0, 1, 0, 1, 0.0, 24, 0.1, 4, 1.0, 1),
+    (0, 1, 0, 22, 0.3, 48, 0.0, 3, 1.0, 1),
+    (0, 1, 0, 12, 0.0, 5, 0.0, 2, 1.0, 1),
+    (0, 1, 0, 46, 0.0, 4, 0.0, 1, 1.0, 1),
+    (0, 1, 0, 2, 0.0, 8, 0.0, 1, 1.0, 1),
+    (0, 1, 0, 1, 0.0, 3, 0.0, 5, 1.0, 1),
+    (0, 1, 0, 5, 0.0, 2, 0.0, 3, 1.0, 1),
+    (0, 1, 0, 4, 0.0, 130, 0.0, 6, 0.9, 1),
+    # after one
+    (0, 1, 0, 29, 0.0, 3, 1.0, 47, 0.0, 1),
+    (0, 1, 0, 8, 0.0, 2, 1.0, 62, 0.0, 1),
+    (0, 1, 0, 2, 0.0, 1, 1.0, 35, 0.0, 1),
+    (0, 1, 0, 75, 0.0, 2, 1.0, 4, 0.0, 1),
+    (0, 1, 0, 5, 0.0, 6, 1.0, 3, 0.0, 1),
+    # between two
+    (0, 1, 0, 120, 0.0, 1, 1.0, 1, 1.0, 1),
+    (0, 1, 0, 16, 0.0, 2, 1.0, 3, 1.0, 1),
+    (0, 1, 0, 27, 0.1, 4, 1.0, 2, 1.0, 1),
+    (0, 1, 0, 5, 0.0, 1, 1.0, 2, 1.0, 0),
+    (0, 1, 0, 7, 0.0, 3, 1.0, 1, 1.0, 0),
+    (0, 1, 0, 2, 0.0, 5, 1.0, 4, 1.0, 0),
+    (0, 1, 0, 8, 0.2, 2, 1.0, 2, 1.0, 0),
+    # at the ends of a page
+    (0, 1, 0, 52, 0.0, 2, 1.0, 0, 0.0, 1),
+    (0, 1, 0, 31, 0.0, 0, 0.0, 3, 1.0, 1),
+    (0, 1, 0, 24, 0.0, 1, 1.0, 0, 0.0, 1),
+    (0, 1, 0, 1, 0.0, 90, 0.0, 0, 0.0, 1),
+    (0, 1, 0, 3, 0.0, 4, 0.0, 0, 0.0, 1),
+    (0, 1, 0, 140, 0.0, 6, 0.0, 0, 0.0, 1),
+    (0, 1, 0, 20, 0.0, 0, 0.0, 9, 0.0, 1),
+    (0, 1, 0, 2, 0.0, 0, 0.0, 1, 1.0, 0),
+    (0, 1, 0, 5, 0.0, 0, 0.0, 2, 1.0, 0),
+    (0, 1, 0, 8, 0.0, 0, 0.0, 4, 1.0, 0),
+    (0, 1, 0, 3, 0.0, 2, 1.0, 0, 0.0, 0),
+    (0, 1, 0, 6, 0.0, 1, 1.0, 0, 0.0, 0),
+    (0, 1, 0, 8, 0.0, 3, 1.0, 0, 0.0, 0),
+    # headings
+    (0, 1, 1, 4, 0.0, 3, 1.0, 9, 0.0, 1),
+    (0, 1, 1, 3, 0.0, 2, 1.0, 4, 0.0, 1),
+    (0, 1, 1, 7, 0.0, 12, 0.0, 2, 0.0, 1),
+    (0, 1, 1, 2, 0.0, 1, 1.0, 1, 0.0, 1),
+    (0, 1, 1, 9, 0.0, 5, 1.0, 120, 0.0, 1),
+    (0, 1, 1, 1, 0.0, 70, 0.0, 3, 0.0, 1),
+    (0, 1, 1, 5, 0.0, 3, 0.0, 15, 0.3, 1),
+    (0, 1, 1, 2, 0.0, 0, 0.0, 5, 0.0, 1),
+    (0, 1, 1, 3, 0.0, 64, 0.0, 2, 1.0, 0),
+    (0, 1, 1, 2, 0.0, 9, 0.0, 3, 1.0, 0),
+    (0, 1, 1, 5, 0.0, 40, 0.0, 1, 1.0, 0),
+    (0, 1, 1, 8, 0.0, 2, 0.0, 4, 1.0, 0),
+    (0, 1, 1, 1, 0.0, 130, 0.0, 2, 0.9, 0),
+    (0, 1, 1, 4, 0.0, 3, 1.0, 2, 1.0, 0),
+    (0, 1, 1, 3, 1.0, 12, 0.0, 2, 1.0, 0),
+    # links
+    (0, 1, 0, 1, 1.0, 60, 0.0, 45, 0.0, 0),
+    (0, 1, 0, 3, 1.0, 2, 0.0, 2, 1.0, 0),
+    (0, 1, 0, 2, 1.0, 3, 1.0, 9, 0.0, 0),
+    (0, 1, 0, 6, 1.0, 1, 1.0, 0, 0.0, 0),
+    (0, 1, 0, 4, 0.9, 8, 0.0, 0, 0.0, 0),
+    (0, 1, 0, 12, 0.8, 4, 0.0, 7, 0.0, 0),
+    (0, 1, 0, 26, 0.9, 3, 1.0, 2, 1.0, 0),
     # within names that have other words too
     (1, 1, 0, 64, 0.0, 9, 0.0, 80, 0.0, 1),
     (1, 1, 0, 130, 0.05, 64, 0.0, 22, 0.0, 1),
@@ -372,6 +510,23 @@ LABELLED = [
     (1, 0, 1, 4, 0.0, 90, 0.0, 30, 0.0, 0),
 ]
 
+#: The same of short lines about rights.
+LABELLED_RIGHTS = [
+    (0, 2, 0, 12, 0.0, 40, 0.0, 33, 0.0, 1),
+    (0, 2, 0, 7, 0.0, 80, 0.0, 0, 0.0, 1),
+    (2, 2, 0, 8, 0.1, 51, 0.0, 0, 0.0, 0),
+    (0, 0, 0, 8, 0.0, 60, 0.0, 0, 0.0, 0),
+    (0, 1, 0, 7, 0.0, 44, 0.0, 0, 0.0, 0),
+    (0, 1, 0, 9, 0.1, 2, 1.0, 0, 0.0, 0),
+    (0, 1, 0, 6, 0.0, 2, 1.0, 3, 1.0, 0),
+    (0, 1, 0, 14, 0.2, 30, 0.0, 2, 1.0, 0),
+    (0, 1, 0, 5, 0.0, 91, 0.0, 4, 0.0, 0),
+    (0, 1, 0, 21, 0.0, 17, 0.0, 6, 0.0, 0),
+    (0, 1, 0, 36, 0.0, 2, 1.0, 0, 0.0, 0),
+    (1, 1, 0, 8, 0.0, 70, 0.0, 0, 0.0, 0),
+    (2, 1, 0, 8, 0.1, 95, 0.0, 0, 0.0, 0),
+]
+
 
 class Tree(NamedTuple):
     """A decision tree: ``feature`` below ``limit`` goes to the first branch. A leaf has branches None."""
@@ -383,7 +538,7 @@ class Tree(NamedTuple):
     above: Tree | None = None
 
 
-def grow_tree(x: np.ndarray, y: np.ndarray, depth: int = 8) -> Tree:
+def grow_tree(x: np.ndarray, y: np.ndarray, depth: int = 12) -> Tree:
     """CART by Gini impurity; of equal splits the first feature and the lowest limit win."""
     leaf = Tree(bool(y.mean() >= 0.5))
     if depth == 0 or y.all() or not y.any():
@@ -403,9 +558,15 @@ def grow_tree(x: np.ndarray, y: np.ndarray, depth: int = 8) -> Tree:
     return Tree(leaf.content, k, limit, grow_tree(x[below], y[below], depth - 1), grow_tree(x[~below], y[~below], depth - 1))
 
 
+def labelled_table() -> np.ndarray:
+    """All labelled blocks with all features, and the label."""
+    rows = [(*row[:-1], calmer_side(*row[5:9]), rights, row[-1]) for rights, rows in enumerate((LABELLED, LABELLED_RIGHTS)) for row in rows]
+    return np.array(rows, np.float64)
+
+
 @lru_cache(maxsize=1)
 def content_tree() -> Tree:
-    table = np.array(LABELLED, np.float64)
+    table = labelled_table()
     return grow_tree(table[:, :-1], table[:, -1])
 
 
@@ -424,6 +585,7 @@ def features_of(found: list[Block]) -> list[tuple[float, ...]]:
     article = enclosed > 0 and 10 * enclosed >= sum(b.words * (1 - b.link_density) for b in plain)
     return [
         (b.mark, (2 if b.enclosed else 0) if article else 1, b.heading, b.words, b.link_density, before.words, before.link_density, after.words, after.link_density)
+        + (calmer_side(before.words, before.link_density, after.words, after.link_density), b.rights)
         for before, b, after in zip(around, around[1:], around[2:], strict=False)
     ]
 

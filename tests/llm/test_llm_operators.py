@@ -538,7 +538,7 @@ def test_html_extract(spark):
 
 def test_html_tree_fits_its_table():
     tree = html_extract.content_tree()
-    assert all(html_extract.is_content(tree, row[:-1]) == bool(row[-1]) for row in html_extract.LABELLED)
+    assert all(html_extract.is_content(tree, row[:-1]) == bool(row[-1]) for row in html_extract.labelled_table())
 
 
 ARTICLE = "<h1>Title here</h1><p>" + "some words of an article that goes on " * 20 + "</p><p>Second paragraph it is.</p>"
