@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     dictionary = load_dictionary(args.dictionary)
     if args.verb == "load-panel":
         replace = sinks.write_mode(args.mode) == "replace"
-        print(json.dumps(sinks.load_table(anomaly.intake(panel), args.out or "panel", replace, source=args.source, delete_source=args.delete_source), ensure_ascii=False))
+        print(json.dumps(sinks.load_table(anomaly.intake(panel, undated=True), args.out or "panel", replace, source=args.source, delete_source=args.delete_source, source_rows=panel.count()), ensure_ascii=False))
         return 0
     numeric = [c.strip().lower() for c in panel.columns if c.strip().lower() not in anomaly.TEXT_COLUMNS]
     panel = anomaly.intake(panel, numeric=numeric)
@@ -92,7 +92,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         log.error("%s decisions failed; nothing is written", failed)
         return DECISIONS_FAILED
     try:
-        print(json.dumps(evidence_flow.write_decisions(decisions, evidence, args.run_id, names, args.mode)))
+        print(json.dumps(evidence_flow.write_decisions(decisions, evidence, args.run_id, names, args.mode, "rules", args.source, evidence_flow.entity_quality(panel, run.features, evidence_flow.EvidenceSettings(month=args.month)))))
     except Exception:
         log.exception("writing failed")
         return SINK_FAILED

@@ -38,8 +38,9 @@ def kept_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*(c for c in df.columns if c.strip().lower() in wanted))
 
 
-def intake(df: DataFrame, columns: PanelColumns = PanelColumns(), numeric: list[str] | None = None, locale_text: bool = True) -> DataFrame:
-    """A raw frame as a panel: names normalised, ids as text, days parsed, numbers read, rows without a day dropped.
+def intake(df: DataFrame, columns: PanelColumns = PanelColumns(), numeric: list[str] | None = None, locale_text: bool = True, undated: bool = False) -> DataFrame:
+    """A raw frame as a panel: names normalised, ids as text, days parsed, numbers read, rows without a day dropped unless
+    ``undated`` ones are wanted.
 
     Text numbers are read by locale rules; NaN and infinities become NULL. Ids are text so that keys agree everywhere.
     """
@@ -57,7 +58,8 @@ def intake(df: DataFrame, columns: PanelColumns = PanelColumns(), numeric: list[
             out.append(finite(c).alias(name))
         else:
             out.append(c)
-    return df.select(*out).where(F.col(columns.time).isNotNull())
+    made = df.select(*out)
+    return made if undated else made.where(F.col(columns.time).isNotNull())
 
 
 def month_profile(df: DataFrame, columns: PanelColumns = PanelColumns()) -> DataFrame:

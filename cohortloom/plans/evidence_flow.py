@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
@@ -10,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import coverage
+from cohortloom.functions.text import risk_direction
+from cohortloom.operators.assessments import assessments
 from cohortloom.operators.decisions import Decider, companion_scores, decide, enrich_reasons, prompt_text
 from cohortloom.operators.evidence import evidence_rows, last_values, ranked_evidence
 from cohortloom.operators.panel import CONTEXT, ID, TIME, intake, latest_by_key, scoring_month, split
@@ -50,7 +54,20 @@ def build_evidence(panel: DataFrame, formulas: dict[str, str], ids: DataFrame |
         history = past.join(now.select(ID).distinct(), ID, "left_semi")
     history = staged(history, "history")
     series_peers = staged(_series_peers(now, history, past, settings.series_periods), "series-peers")
-    return ranked_evidence(evidence_rows(now, history, past, at, settings.series_periods, series_peers), None).withColumn("cohort_dt", F.lit(at))
+    ranked = ranked_evidence(evidence_rows(now, history, past, at, settings.series_periods, series_peers), None).withColumn("cohort_dt", F.lit(at))
+    return with_dictionary(ranked, features, formulas, dictionary)
+
+
+def with_dictionary(evidence: DataFrame, features: list[str], formulas: dict[str, str], dictionary: Dictionary) -> DataFrame:
+    """Evidence with ``label, category, formula, source_columns`` (JSON) and ``risk_direction`` of each feature; directions that
+    the dictionary doesn't have are told by the feature's name."""
+    rows = []
+    for name in features:
+        about, formula = dictionary.about(name), formulas.get(name) or dictionary.about(name).get("formula")
+        inputs = about.get("inputs") or (list(dict.fromkeys(re.findall(r"[A-Za-z_]\w*", str(formula).lower()))) if formula else [])
+        rows.append((name, about.get("label"), dictionary.category(name), formula, json.dumps(inputs, ensure_ascii=False), about.get("risk_direction")))
+    known = evidence.sparkSession.createDataFrame(rows, "feature string, label string, category string, formula string, source_columns string, risk_direction string")
+    return evidence.join(F.broadcast(known), "feature", "left").withColumn("risk_direction", risk_direction(F.col("feature"), F.col("risk_direction")))  # a row a feature
 
 
 def _series_peers(now: DataFrame, history: DataFrame, past: DataFrame, periods: int) -> DataFrame:
@@ -83,11 +100,13 @@ def run_decisions(evidence: DataFrame, decider: Callable[[], Decider], template:
     return companion_scores(decisions, scores) if scores is not None else decisions
 
 
-def write_decisions(decisions: DataFrame, evidence: DataFrame, run_id: str, tables: dict[str, str], mode: str = "replace") -> dict[str, Any]:
-    """Reasons and features first, decisions last, so that a decision never stands without them; returns the row counts."""
+def write_decisions(decisions: DataFrame, evidence: DataFrame, run_id: str, tables: dict[str, str], mode: str = "replace", model: str | None = None, source: str | None = None, quality: DataFrame | None = None) -> dict[str, Any]:
+    """Reasons and features first, decisions last, so that a decision never stands without them; returns the row counts.
+
+    ``model`` and ``source`` say who decided on what; ``quality`` (``entity_quality``) is for the caveats."""
     done = decisions.where("error IS NULL")
     sinks.write_table(sinks.decision_feature_rows(evidence, run_id), tables["features"], sinks.DECISION_FEATURES, mode)
     sinks.write_table(sinks.decision_reason_rows(done, run_id), tables["reasons"], sinks.DECISION_REASONS, mode)
-    sinks.write_table(sinks.decision_rows(done, run_id), tables["decisions"], sinks.DECISIONS, mode)
+    sinks.write_table(sinks.decision_rows(done, run_id, model, source, assessments(evidence, quality)), tables["decisions"], sinks.DECISIONS, mode)
     counts = sinks.audit(decisions.sparkSession, list(tables.values()), run_id=run_id)
     return {r["table_name"]: r["run_rows"] for r in counts.collect()}  # a row a table

@@ -279,7 +279,34 @@ ens AS (SELECT *, greatest(0, least(100, if_score * 0.4::DOUBLE + residual_score
 lim AS (SELECT greatest(quantile_cont(ensemble_score, 0.95), 90.0) AS sari, quantile_cont(ensemble_score, 0.98) AS q2, quantile_cont(ensemble_score, 0.99) AS q3 FROM ens),
 lim2 AS (SELECT sari, greatest(q2, 95.0, sari) AS turuncu, greatest(q3, 97.5, q2, 95.0, sari) AS kirmizi FROM lim)"""
 
+# Answers of customers and what the contract makes of them.
+ANSWERS = """k AS (SELECT c_custkey AS k, c_custkey::VARCHAR AS mono_id, c_mktsegment AS seg, c_acctbal AS bal FROM customer),
+a1 AS (SELECT *, k % 19 = 0 AS broken, concat_ws(',', CASE WHEN k % 13 = 0 THEN 'reason_summary' END, CASE WHEN k % 17 = 0 THEN 'reason_1_weight' END, CASE WHEN k % 6 = 0 THEN 'risk_level' END) AS missing FROM k),
+a2 AS (SELECT *, CASE WHEN broken THEN 'no answer could be decoded' WHEN missing <> '' THEN 'missing required fields: ' || missing WHEN k % 11 = 0 THEN 'period_position must be 0: 1' END AS error,
+    k % 3 <> 2 AS is_anomaly, CASE k % 4 WHEN 0 THEN 'NORMAL' WHEN 1 THEN 'PD_RISKI' ELSE 'PEER_UYUMSUZLUGU' END AS anomaly_type, CASE k % 5 WHEN 0 THEN 1.0 WHEN 1 THEN 0.0 ELSE k % 100 / 100::DOUBLE END AS anomaly_score,
+    seg || ' ozet' AS reason_summary, CASE WHEN k % 7 = 0 THEN '' ELSE 'account balance of ' || lower(seg) END AS reason_1, k % 10 / 10::DOUBLE AS w1, CASE WHEN k % 2 <> 0 THEN 'order total: current=1; previous=2; peer_z=3' END AS reason_2,
+    CASE WHEN k % 3 = 0 THEN 'nothing like it' END AS reason_3 FROM a1)"""
+_good = lambda x: f"CASE WHEN error IS NULL THEN {x} END"
+_number = lambda x: f"CASE WHEN {x} = 0 THEN '0' ELSE regexp_replace(regexp_replace(CASE WHEN abs({x}) >= 10 THEN printf('%.4f', {x}::DOUBLE) WHEN abs({x}) >= 1 THEN printf('%.5f', {x}::DOUBLE) ELSE printf('%.6f', {x}::DOUBLE) END, '0+$', ''), '[.]$', '') END"
+_records = lambda n1, n2, n3: f"""CASE WHEN coalesce(reason_1, '') = '' AND coalesce(reason_2, '') = '' AND coalesce(reason_3, '') = '' THEN [{{'feature': 'GENEL_DEGERLENDIRME', 'evidence': '', 'interpretation': reason_summary}}]
+    ELSE list_filter([{', '.join(f"CASE WHEN coalesce(reason_{i}, '') <> '' THEN {{'feature': 'REASON_{i}', 'evidence': concat_ws('; ', printf('weight=%.4f', {w}), {n}), 'interpretation': reason_{i}}} END" for i, w, n in ((1, 'w1', n1), (2, '0.0::DOUBLE', n2), (3, '0.0::DOUBLE', n3)))}], lambda r: r IS NOT NULL) END"""
+_NUMBERS = f"""CASE f WHEN 0 THEN concat_ws('; ', 'feature=Order total', CASE WHEN k % 5 <> 0 THEN 'current=' || k % 50 END, 'history_median=10', CASE WHEN k % 5 <> 0 AND k % 4 > 0 THEN 'history_z=' || {_number('round((k % 50 - 10) / (k % 4)::DOUBLE, 6)')} END, 'risk_direction=HIGHER_IS_RISKY')
+    WHEN 1 THEN concat_ws('; ', 'feature=Account balance', 'current=' || {_number('round(bal / 1000)')}, 'history_median=0', CASE WHEN k % 4 > 0 THEN 'history_z=' || {_number('round(round(bal / 1000) / (k % 4)::DOUBLE, 6)')} END, 'risk_direction=HIGHER_IS_RISKY')
+    WHEN 2 THEN concat_ws('; ', 'feature=Share of the segment', 'current=' || k % 9, 'risk_direction=HIGHER_IS_RISKY') END"""
+# The first reason speaks of the account balance, the second of the order total, the third of nothing: it has the feature at its place.
+REASON_NUMBERS = f"""{ANSWERS},
+m AS (SELECT *, {_NUMBERS.replace('CASE f', "CASE CASE WHEN reason_1 <> '' THEN 1 END")} AS n1, {_NUMBERS.replace('CASE f', 'CASE CASE WHEN reason_2 IS NOT NULL THEN 0 END')} AS n2, {_NUMBERS.replace('CASE f', 'CASE CASE WHEN reason_3 IS NOT NULL THEN 2 END')} AS n3, {_NUMBERS.replace('CASE f', 'CASE 0')} AS n0 FROM a2 WHERE error IS NULL),
+e AS (SELECT mono_id, k, w1, n1, n2, n3, reason_summary || '. Sayisal ozet: ' || coalesce(n1, n0) || '.' AS reason_summary, CASE WHEN reason_1 = '' THEN '' ELSE reason_1 || '. Sayisal kanit: ' || n1 || '.' END AS reason_1, reason_2,
+    reason_3 || '. Sayisal kanit: ' || n3 || '.' AS reason_3 FROM m)"""
+
 ORACLES: dict[str, str] = {
+    "decision_contract": f"""WITH {ANSWERS} SELECT mono_id, {_good('is_anomaly')} AS is_anomaly, {_good('anomaly_type')} AS anomaly_type, {_good("'YUKSEK'")} AS risk_level, {_good('round(anomaly_score, 6)')} AS anomaly_score, {_good('reason_summary')} AS reason_summary,
+        {_good('reason_1')} AS reason_1, {_good('reason_2')} AS reason_2, {_good('round(w1, 6)')} AS reason_1_weight, {_good('0.0::DOUBLE')} AS reason_2_weight, {_good('0.0::DOUBLE')} AS reason_3_weight, {_good("CASE WHEN is_anomaly THEN 'Manuel incele' ELSE 'Izle' END")} AS recommended_action,
+        {_good('len(' + _records('NULL', 'NULL', 'NULL') + ')')}::BIGINT AS n_reasons, {_good('(' + _records('NULL', 'NULL', 'NULL') + ')[1].feature')} AS first_reason, {_good('(' + _records('NULL', 'NULL', 'NULL') + ')[1].evidence')} AS first_evidence, error FROM a2""",
+    "reasons_with_numbers": f"""WITH {REASON_NUMBERS} SELECT mono_id, reason_summary, reason_1, reason_2, reason_3, to_json({_records('n1', 'n2', 'n3')})::VARCHAR AS main_reasons FROM e""",
+    "decision_result_rows": f"""WITH {ANSWERS} SELECT 'run-1' AS run_id, mono_id, '2000-12-31' AS cohort_dt, is_anomaly::INT AS is_anomaly, anomaly_type, 'YUKSEK' AS risk_level, round(anomaly_score, 6) AS anomaly_score, round(anomaly_score, 6) AS llm_confidence,
+        CASE WHEN k % 8 <> 0 THEN round(bal / 100, 2) END AS ml_ensemble_score, CASE WHEN k % 8 <> 0 AND bal <= 5000 THEN 0 ELSE 1 END AS ml_is_anomaly, CASE WHEN k % 8 <> 0 THEN CASE WHEN bal > 5000 THEN 'KIRMIZI' ELSE 'NORMAL' END END AS ml_alert_band, NULL::DOUBLE AS ml_if_score,
+        reason_summary, nullif(reason_1, '') AS reason_1, round(w1, 6) AS reason_1_weight, reason_2, reason_3, CASE WHEN is_anomaly THEN 'Manuel incele' ELSE 'Izle' END AS recommended_action, 'rules' AS llm_model, 'customers' AS evidence_source, NULL::VARCHAR AS caveat FROM a2 WHERE error IS NULL""",
     "isolation_forest_nodes": f"WITH {_forest()} SELECT tree::INT AS tree, node::INT AS node, coalesce(f - 1, -1)::INT AS feature, round(coalesce(cut, 0), 6) AS threshold, (length // 1000)::BIGINT AS length FROM nodes",
     "ensemble_scores": f"""WITH {ENSEMBLE} SELECT mono_id, round(if_score, 4) AS if_score, round(residual_score, 4) AS residual_score, round(autoencoder_score, 4) AS autoencoder_score, round(ensemble_score, 4) AS ensemble_score,
         round(greatest(0, least(100, (0.65::DOUBLE + (1 - (greatest(if_score, residual_score, autoencoder_score) - least(if_score, residual_score, autoencoder_score)) / 100) * 0.35::DOUBLE) * 100)), 4) AS agreement,

@@ -12,7 +12,7 @@ from cohortloom.functions import numeric as num
 from cohortloom.functions import text as txt
 from cohortloom.functions.formula import compile_formulas
 from cohortloom.functions.jsontext import repair_json
-from cohortloom.operators import evidence, panel, peers, reasons, scoring, selection
+from cohortloom.operators import decisions, evidence, panel, peers, reasons, scoring, selection
 from cohortloom.operators.decisions import companion_scores, prompt_text
 from cohortloom.operators.models import fit_isolation_forest
 from cohortloom.operators.reasons import severity_shares
@@ -494,7 +494,68 @@ def decision_reason_rows(spark, sf_dir):
     given = F.slice(F.array(one("a"), one("b"), one("c")), 1, (k % 4).cast("int"))
     rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("mono_id"), F.lit("2000-12-31").alias("cohort_dt"), given.alias("main_reasons"))
     out = sinks.shaped(sinks.decision_reason_rows(rows, "run-1"), sinks.DECISION_REASONS)
-    return out.select("run_id", "mono_id", _day(), "reason_rank", "feature", "evidence", F.length("interpretation").cast("long").alias("n_interpretation"))
+    return out.select("run_id", "mono_id", _day(), "reason_rank", F.col("feature_name").alias("feature"), F.col("evidence_text").alias("evidence"), F.length("interpretation").cast("long").alias("n_interpretation"))
+
+
+def _answers(spark, sf_dir) -> DataFrame:
+    """An answer of each customer as a model might write it: some lack a field, have another position or nothing readable."""
+    k, text = F.col("c_custkey"), lambda x: F.concat(F.lit('"'), x, F.lit('"'))
+    field = lambda name, value, unless=None: F.concat(F.lit(f'"{name}": '), value) if unless is None else F.when(~unless, F.concat(F.lit(f'"{name}": '), value))
+    parts = F.concat_ws(
+        ", ",
+        field("period_position", F.when(k % 11 == 0, "1").otherwise("0")),
+        field("is_anomaly", F.when(k % 3 == 0, "true").when(k % 3 == 1, '"evet"').otherwise("false")),
+        field("anomaly_type", F.when(k % 4 == 0, '" "').when(k % 4 == 1, '"PD_RISKI"').otherwise('"PEER_UYUMSUZLUGU"')),
+        field("anomaly_score", F.when(k % 5 == 0, "7").when(k % 5 == 1, '"x"').otherwise((k % 100 / 100).cast("string"))),
+        field("reason_summary", text(F.concat("c_mktsegment", F.lit(" ozet "))), k % 13 == 0),
+        field("reason_1", F.when(k % 7 == 0, '""').otherwise(text(F.concat(F.lit("account balance of "), F.lower("c_mktsegment"))))),
+        field("reason_1_weight", (k % 10 / 10).cast("string"), k % 17 == 0),
+        field("reason_2", text(F.lit("order total: current=1; previous=2; peer_z=3")), k % 2 == 0),
+        field("reason_3", text(F.lit("nothing like it")), k % 3 != 0),
+        field("reason_3_weight", F.lit("-2"), k % 3 != 0),
+        field("risk_level", F.when(k % 6 == 0, "null").otherwise('"YUKSEK"')),
+    )
+    answer = F.when(k % 19 == 0, "no object").otherwise(F.concat(F.lit("{"), parts, F.lit("}")))
+    return table(spark, sf_dir, "customer").select(k.cast("string").alias("mono_id"), F.lit("2000-12-31").alias("cohort_dt"), answer.alias("raw_response"), answer.alias("answer"), F.lit(None).cast("string").alias("error"))
+
+
+def _customer_features(spark, sf_dir) -> DataFrame:
+    """Three features of each customer as evidence rows."""
+    k, balance = F.col("c_custkey"), F.col("c_acctbal")
+    one = lambda rank, name, label, value, median: F.struct(F.lit(rank).alias("evidence_rank"), F.lit(name).alias("feature"), F.lit(label).alias("label"), value.alias("value"), median.alias("median"), (k % 4).cast("double").alias("robust_scale"), F.lit("HIGHER_IS_RISKY").alias("risk_direction"))
+    rows = F.array(
+        one(1, "order_total", "Order total", F.when(k % 5 != 0, (k % 50).cast("double")), F.lit(10.0)),
+        one(2, "account_balance", "Account balance", F.round(balance / 1000), F.lit(0.0)),
+        one(3, "segment_share", "Share of the segment", (k % 9).cast("double"), F.lit(None).cast("double")),
+    )
+    return table(spark, sf_dir, "customer").select(k.cast("string").alias("mono_id"), F.inline(rows))
+
+
+@query
+def decision_contract(spark, sf_dir):
+    """Answers by the contract: decisions, or what is wrong with them."""
+    out = decisions.validated(_answers(spark, sf_dir))
+    weights = [f"reason_{i}_weight" for i in decisions.REASONS]
+    first = F.col("main_reasons")[0]
+    return out.select("mono_id", "is_anomaly", "anomaly_type", "risk_level", _r("anomaly_score", "anomaly_score"), "reason_summary", "reason_1", "reason_2", *(_r(c, c) for c in weights), "recommended_action",
+                      F.size("main_reasons").cast("long").alias("n_reasons"), first["feature"].alias("first_reason"), first["evidence"].alias("first_evidence"), "error")
+
+
+@query
+def reasons_with_numbers(spark, sf_dir):
+    """The feature that each reason speaks of, and reasons and summary with its numbers."""
+    out = decisions.enrich_reasons(decisions.validated(_answers(spark, sf_dir)).where("error IS NULL"), _customer_features(spark, sf_dir))
+    return out.select("mono_id", "reason_summary", "reason_1", "reason_2", "reason_3", F.to_json("main_reasons").alias("main_reasons"))
+
+
+@query
+def decision_result_rows(spark, sf_dir):
+    """Decisions with the scores beside them in the columns of their table."""
+    made = decisions.validated(_answers(spark, sf_dir)).where("error IS NULL")
+    scores = table(spark, sf_dir, "customer").where("c_custkey % 8 <> 0").select(F.col("c_custkey").cast("string").alias("mono_id"), F.lit("2000-12-31").alias("cohort_dt"), F.round(F.col("c_acctbal") / 100, 2).alias("ensemble_score"), F.when(F.col("c_acctbal") > 5000, "KIRMIZI").otherwise("NORMAL").alias("alert_band"))
+    out = sinks.shaped(sinks.decision_rows(companion_scores(made, scores), "run-1", "rules", "customers"), sinks.DECISIONS)
+    return out.select("run_id", "mono_id", _day(), "is_anomaly", "anomaly_type", "risk_level", _r("anomaly_score", "anomaly_score"), _r("llm_confidence", "llm_confidence"), _r("ml_ensemble_score", "ml_ensemble_score", 2), "ml_is_anomaly", "ml_alert_band",
+                      "ml_if_score", "reason_summary", "reason_1", _r("reason_1_weight", "reason_1_weight"), "reason_2", "reason_3", "recommended_action", "llm_model", "evidence_source", "caveat")
 
 
 def _evidence(spark, sf_dir) -> DataFrame:
@@ -512,7 +573,8 @@ def evidence_ranked(spark, sf_dir):
 def decision_feature_rows(spark, sf_dir):
     """Evidence in the form of the features table."""
     out = sinks.shaped(sinks.decision_feature_rows(staged(_evidence(spark, sf_dir), "evidence"), "run-1"), sinks.DECISION_FEATURES)
-    return out.select("run_id", "mono_id", _day(), "feature", "feature_rank", _r("value", "value", 4), "period_count", "peer_level", "peer_support", "trend_break", "missing_flag")
+    old = {"feature_name": "feature", "history_period_count": "period_count", "peer_definition_level": "peer_level", "trend_break_flag": "trend_break", "data_missing_flag": "missing_flag"}
+    return out.select("run_id", "mono_id", _day(), "feature_rank", _r("current_value", "value", 4), "peer_support", *(F.col(c).alias(name) for c, name in old.items()))
 
 
 def _inputs(spark, sf_dir):

@@ -51,16 +51,26 @@ REASON_DETAILS = _spec(
     {"feature_rank": "bigint", "is_missing_reason": "int", "peer_support": "bigint"},
 )
 DECISIONS = _spec(
-    "run_id cohort_dt mono_id", "anomaly_score confidence ml_ensemble_score ml_if_score ml_residual_score ml_autoencoder_score",
-    "anomaly_type risk_level summary recommended_action ml_alert_band ml_alert_type ml_review_queue raw_payload", {"summary": 4000, "recommended_action": 1000}, {"is_anomaly": "int", "ml_is_anomaly": "int"},
+    "run_id cohort_dt mono_id", "anomaly_score llm_confidence ml_ensemble_score ml_if_score ml_residual_score ml_autoencoder_score reason_1_weight reason_2_weight reason_3_weight",
+    "anomaly_type risk_level seasonality_assessment trend_assessment peer_assessment caveat ml_alert_band reason_summary reason_1 reason_2 reason_3 recommended_action llm_model evidence_source raw_response",
+    {"run_id": 64, "mono_id": 128, "anomaly_type": 64, "risk_level": 32, "seasonality_assessment": 2000, "trend_assessment": 2000, "peer_assessment": 2000, "caveat": 2000, "ml_alert_band": 32, "reason_summary": 4000,
+     "reason_1": 2000, "reason_2": 2000, "reason_3": 2000, "recommended_action": 128, "llm_model": 128, "evidence_source": 64}, {"is_anomaly": "int", "ml_is_anomaly": "int"},
 )
-DECISION_REASONS = _spec("run_id cohort_dt mono_id", "", "feature evidence interpretation", {"feature": 256, "evidence": 2000, "interpretation": 2000}, {"reason_rank": "bigint"})
+DECISION_REASONS = _spec("run_id cohort_dt mono_id", "", "feature_name evidence_text interpretation", {"feature_name": 128, "evidence_text": 2000, "interpretation": 2000}, {"reason_rank": "bigint"})
 DECISION_FEATURES = _spec(
     "run_id cohort_dt mono_id",
-    "value previous_value change_pct median p25 p75 robust_scale history_z rolling_3m_median rolling_6m_median rolling_12m_median slope_6m slope_12m same_month_last_year_value yoy_change_pct "
-    "same_month_customer_median same_month_customer_z seasonal_peer_median seasonal_peer_z peer_median peer_z peer_score evidence_strength",
-    "feature peer_level peer_quality series_json", {"feature": 128}, {"feature_rank": "bigint", "period_count": "bigint", "peer_support": "bigint", "trend_break": "int", "missing_flag": "int"},
+    "current_value previous_value change_pct history_median history_p25 history_p75 history_robust_scale history_z rolling_3m_median rolling_6m_median rolling_12m_median trend_slope_6m trend_slope_12m "
+    "same_month_last_year_value yoy_change_pct same_month_customer_median same_month_customer_z seasonal_peer_median seasonal_peer_z peer_median peer_z",
+    "feature_name feature_label feature_category formula source_columns risk_direction trend_note peer_definition_level peer_quality snapshot_series_json feature_json",
+    {"run_id": 64, "mono_id": 128, "feature_name": 128, "feature_label": 256, "feature_category": 64, "formula": 1000, "source_columns": 1000, "risk_direction": 32, "trend_note": 1000, "peer_definition_level": 64, "peer_quality": 32},
+    {"feature_rank": "bigint", "history_period_count": "bigint", "month_of_year": "bigint", "peer_support": "bigint", "trend_break_flag": "int", "data_missing_flag": "int"},
 )
+#: What columns of evidence are called in the table of features.
+FEATURE_NAMES = {
+    "feature": "feature_name", "label": "feature_label", "category": "feature_category", "value": "current_value", "period_count": "history_period_count", "median": "history_median", "p25": "history_p25", "p75": "history_p75",
+    "robust_scale": "history_robust_scale", "slope_6m": "trend_slope_6m", "slope_12m": "trend_slope_12m", "peer_level": "peer_definition_level", "missing_flag": "data_missing_flag",
+}
+NO_TREND_NOTE, BREAK_NOTE, STEADY_NOTE = "Yeterli tarihsel veri yok.", "Cari deger tarihsel robust banda gore kirilim gosteriyor.", "Belirgin trend kirilimi yok."
 
 
 def write_mode(name: str | None) -> str:
@@ -110,10 +120,11 @@ def write_table(df: DataFrame, name: str, spec: TableSpec, mode: str = "replace"
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
-def load_table(df: DataFrame, name: str, replace: bool = True, partition: str = "cohort_dt", source: str | Path | None = None, delete_source: bool = False) -> dict[str, Any]:
+def load_table(df: DataFrame, name: str, replace: bool = True, partition: str = "cohort_dt", source: str | Path | None = None, delete_source: bool = False, source_rows: int | None = None) -> dict[str, Any]:
     """Write a table by month and count it afterwards; returns ``table, inserted_rows, table_rows, deleted_source``.
 
-    ``source``, one local file, is deleted on request only, and only if the table has gained every row written, and at least one.
+    ``source``, one local file, is deleted on request only, and only if it had ``source_rows``, at least one, and the table
+    has gained just as many: what got lost between the file and ``df`` keeps the file.
     """
     spark = df.sparkSession
     before = 0 if replace or not spark.catalog.tableExists(name) else spark.table(name).count()
@@ -121,7 +132,7 @@ def load_table(df: DataFrame, name: str, replace: bool = True, partition: str =
     df.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite" if replace else "append").partitionBy(partition).format("parquet").saveAsTable(name)
     inserted, total = int(rows.get["n"]), spark.table(name).count()
     local = Path(str(source).removeprefix("file://").removeprefix("file:")) if source else None
-    deleted = bool(delete_source and local and local.is_file() and 0 < inserted <= total - before)
+    deleted = bool(delete_source and local and local.is_file() and source_rows is not None and 0 < source_rows == inserted == total - before)
     if deleted:
         local.unlink()
     return {"table": name, "inserted_rows": inserted, "table_rows": total, "deleted_source": deleted}
@@ -151,19 +162,36 @@ def exploded_reasons(results: DataFrame, keys: tuple[str, ...] = ("cohort_dt", "
     )
 
 
-def decision_rows(decisions: DataFrame, run_id: str) -> DataFrame:
+def decision_rows(decisions: DataFrame, run_id: str, model: str | None = None, source: str | None = None, assessments: DataFrame | None = None) -> DataFrame:
+    """Decisions in the columns of ``DECISIONS``. What an answer doesn't say about season, trend, peers and caveats is what
+    ``assessments`` (by entity and month) say; ``raw_response`` is the decision as JSON, without the message that it came in."""
+    notes = ("seasonality_assessment", "trend_assessment", "peer_assessment", "caveat")
     payload = F.to_json(F.struct(*(c for c in decisions.columns if c not in INTERNAL_KEYS)), {"ignoreNullFields": "false"})
-    return decisions.withColumn("run_id", F.lit(run_id)).withColumn("raw_payload", payload)
+    out = decisions.withColumn("raw_response", payload)
+    if assessments is not None:
+        keys = ["mono_id", "cohort_dt"]
+        said = assessments.select(*(F.col(c).cast("string").alias(c) for c in keys), *(F.col(c).alias(f"__{c}") for c in notes))
+        out = out.withColumn("cohort_dt", F.col("cohort_dt").cast("string")).join(said, keys, "left").withColumns({c: F.coalesce(F.col(c), F.col(f"__{c}")) if c in decisions.columns else F.col(f"__{c}") for c in notes})
+    return out.withColumns({"run_id": F.lit(run_id), "llm_model": F.lit(model).cast("string"), "evidence_source": F.lit(source).cast("string")})
 
 
 def decision_reason_rows(decisions: DataFrame, run_id: str) -> DataFrame:
     rows = decisions.select(F.lit(run_id).alias("run_id"), "cohort_dt", "mono_id", F.posexplode("main_reasons").alias("at", "r"))
-    return rows.select("run_id", "cohort_dt", "mono_id", (F.col("at") + 1).cast("long").alias("reason_rank"), "r.*")
+    return rows.select("run_id", "cohort_dt", "mono_id", (F.col("at") + 1).cast("long").alias("reason_rank"), F.col("r.feature").alias("feature_name"), F.col("r.evidence").alias("evidence_text"), "r.interpretation")
 
 
 def decision_feature_rows(evidence: DataFrame, run_id: str) -> DataFrame:
-    out = evidence.withColumns({"run_id": F.lit(run_id), "feature_rank": F.col("evidence_rank").cast("long"), "trend_break": F.col("trend_break_flag").cast("int")})
-    return out.withColumn("series_json", F.to_json("series", {"ignoreNullFields": "false"})) if "series" in evidence.columns else out
+    """Evidence rows in the columns of ``DECISION_FEATURES``, each with its months and all of itself as JSON."""
+    have = set(evidence.columns)
+    whole = F.to_json(F.struct(*(c for c in evidence.columns)), {"ignoreNullFields": "false"})
+    out = evidence.withColumns({"run_id": F.lit(run_id), "feature_rank": F.col("evidence_rank").cast("long"), "feature_json": whole, "month_of_year": F.month(F.col("cohort_dt").cast("date"))})
+    if {"value", "median", "robust_scale"} <= have:
+        out = out.withColumn("history_z", F.when(F.col("robust_scale") > 0, (F.col("value") - F.col("median")) / F.col("robust_scale")))
+    if "trend_note" not in have and {"trend_break_flag", "period_count"} <= have:
+        note = F.when(F.col("value").isNull() | (F.coalesce("period_count", F.lit(0)) < 3), NO_TREND_NOTE).when(F.col("trend_break_flag"), BREAK_NOTE).otherwise(STEADY_NOTE)
+        out = out.withColumn("trend_note", note)
+    series = F.to_json("series", {"ignoreNullFields": "false"}) if "series" in have else F.lit("{}")
+    return out.withColumn("snapshot_series_json", series).withColumnsRenamed(FEATURE_NAMES)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
+import re
 import shutil
 import subprocess
 import sys
@@ -93,17 +95,18 @@ def test_prompts_hold_no_scores(evidence):
     prompts = decisions.prompt_text(marked, "Karar").collect()
     assert len(prompts) == 2 and all(p.prompt.count("\n- ") == 3 for p in prompts)
     assert not any("98765" in p.prompt or "87654" in p.prompt for p in prompts)
-    assert decisions.without_scores({"a": [{"ml_y": 1, "b": 2}], "alert_band": 3}) == {"a": [{"b": 2}]}
+    assert decisions.without_scores({"a": [{"ml_y": 1, "b": 2, "selection_bucket": 1}], "alert_band": 3, "is_anomaly": 1, "selection_score_column": "x"}) == {"a": [{"b": 2}]}
 
 
 def test_decisions_with_rules_and_replays(spark, evidence, run):
     got = {r.mono_id: r for r in evidence_flow.run_decisions(evidence, decisions.rule_decider, scores=run.results).collect()}
     assert got["C_000"].is_anomaly and got["C_000"].error is None and got["C_000"].ml_ensemble_score > 90
     assert got["C_000"].main_reasons[0].evidence.count("=") >= 3
-    answers = {
-        "C_000": {"content": '```json\n{"is_anomaly": "evet", "risk_level": "YUKSEK", "anomaly_score": 7, "main_reasons": "debt"}\n```'},
-        "C_001": "no answer",
-    }
+    whole = {
+        "period_position": 0, "is_anomaly": "evet", "anomaly_type": "PD_RISKI", "anomaly_score": 7, "reason_summary": " Borc artmis ", "reason_1": "bank risk to assets yuksek", "reason_1_weight": 0.6,
+        "reason_2": "diger", "reason_2_weight": "x", "risk_level": "YUKSEK", "trend_assesment": "artiyor",
+    }
+    answers = {"C_000": {"content": f"```json\n{json.dumps(whole)}\n```"}, "C_001": "no answer"}
 
     def decider():
         def ask(prompt):
@@ -113,8 +116,15 @@ def test_decisions_with_rules_and_replays(spark, evidence, run):
 
     got = {r.mono_id: r for r in decisions.decide(decisions.prompt_text(evidence), decider).collect()}
     a, b = got["C_000"], got["C_001"]
-    assert a.is_anomaly and a.risk_level == "YUKSEK" and a.anomaly_score == 1 and a.confidence == 1 and a.main_reasons[0].evidence == "debt" and a.recommended_action == decisions.DEFAULT_ACTION
-    assert b.error and b.is_anomaly is None and b.raw_response == "no answer"
+    assert (a.is_anomaly, a.anomaly_type, a.risk_level, a.anomaly_score, a.llm_confidence, a.reason_summary) == (True, "PD_RISKI", "YUKSEK", 1, 1, "Borc artmis")
+    assert (a.reason_1_weight, a.reason_2_weight, a.reason_3, a.recommended_action, a.trend_assessment, a.caveat) == (0.6, 0, None, "Manuel incele", "artiyor", None)
+    assert [tuple(r) for r in a.main_reasons] == [("REASON_1", "weight=0.6000", "bank risk to assets yuksek"), ("REASON_2", "weight=0.0000", "diger")]
+    assert b.error and b.is_anomaly is None and b.main_reasons is None and b.raw_response == "no answer"
+    rich = {r.mono_id: r for r in decisions.enrich_reasons(decisions.decide(decisions.prompt_text(evidence), decider), evidence).collect()}
+    first = rich["C_000"].reason_1
+    assert first.startswith("bank risk to assets yuksek. Sayisal kanit: feature=bank_risk_to_assets; current=0.08; previous=0.01; change_pct=700%; ") and first.endswith("risk_direction=HIGHER_IS_RISKY.")
+    assert "Sayisal ozet: feature=bank_risk_to_assets" in rich["C_000"].reason_summary and rich["C_000"].main_reasons[0].evidence.startswith("weight=0.6000; feature=bank_risk_to_assets; current=0.08")
+    assert rich["C_001"].main_reasons is None
 
     def failing():
         def ask(prompt):
@@ -127,10 +137,48 @@ def test_decisions_with_rules_and_replays(spark, evidence, run):
         decisions.decoded('{"results": []}')
 
 
-def test_matching_of_reasons():
-    assert decisions.matched_features(["debt to sales is high", "other"], ["net sales", "debt to sales", "equity"]) == ["debt to sales", "debt to sales"]
-    assert decisions.match_score("the debt to sales ratio", "debt_to_sales") > decisions.match_score("equity", "debt_to_sales")
-    assert decisions.matched_features(["xyz"], ["a1b"]) == ["a1b"] and decisions.matched_features(["xyz", "q"], ["a1b"])[1] is None
+def brute_matches(reasons, names):
+    """The features that reasons speak of, one after another."""
+    words = lambda t: {w for w in re.split("[^0-9a-z]+", t.lower()) if len(w) >= 3}
+    used, out = set(), []
+    for i, reason in enumerate(reasons):
+        if not reason or not names:
+            out.append(None)
+            continue
+        scored = []
+        for k, said in enumerate(names):
+            score = sum(8 * bool(words(n) and " ".join(sorted(words(n))) in " ".join(sorted(words(reason)))) + len(words(n) & words(reason)) for n in said)
+            scored.append((score - 2 * (k in used), -k))
+        best = max(scored)
+        out.append(-best[1] if best[0] > 0 else i if i < len(names) else 0)
+        used.add(out[-1])
+    return out
+
+
+def test_matching_of_reasons(spark):
+    rnd = random.Random(7)
+    pool = "debt sales equity net total ratio bank risk assets order share x1 ab".split()
+    phrase = lambda n: "_".join(rnd.choice(pool) for _ in range(n))
+    cases = [([" ".join(rnd.choice(pool) for _ in range(rnd.randint(0, 4))) for _ in range(3)], [[phrase(rnd.randint(1, 3)) for _ in range(2)] for _ in range(rnd.randint(0, 4))]) for _ in range(200)]
+    cases += [(["debt to sales is high", "other", "debt"], [["net sales"], ["debt_to_sales"], ["equity"]]), (["xyz", "q", "r"], [["a1b"]])]
+    rows = spark.createDataFrame([(i, *reasons, names) for i, (reasons, names) in enumerate(cases)], "i int, reason_1 string, reason_2 string, reason_3 string, names array<array<string>>")
+    rows = rows.withColumn("features", F.transform("names", lambda said: F.struct(F.transform(said, lambda n: F.array_sort(decisions.match_words(n))).alias("said"))))
+    got = {r["i"]: [r[f"__at_{k}"] for k in decisions.REASONS] for r in decisions.matched_features(rows, ["reason_1", "reason_2", "reason_3"], "features").collect()}
+    assert got == {i: brute_matches(*case) for i, case in enumerate(cases)}
+
+
+def test_answers_that_break_the_contract(spark):
+    good = {"period_position": 0, "is_anomaly": False, "anomaly_type": "", "anomaly_score": "0.25", "reason_summary": "", "reason_1": "", "reason_1_weight": 1, "risk_level": " "}
+    answers = [good, good | {"period_position": 1}, good | {"period_position": "0"}, {k: v for k, v in good.items() if k not in ("reason_1", "risk_level")}, good | {"reason_1": None}, good | {"llm_confidence": 0.9, "recommended_action": "Ara"}]
+    rows = [(str(i), "2025-01-31", None, json.dumps(a), None) for i, a in enumerate(answers)] + [("6", "2025-01-31", None, "not json", None), ("7", "2025-01-31", None, None, "ConnectionError: down"), ("8", "2025-01-31", None, None, None)]
+    got = {r.mono_id: r for r in decisions.validated(spark.createDataFrame(rows, "mono_id string, cohort_dt string, raw_response string, answer string, error string")).collect()}
+    assert {k: r.error for k, r in got.items()} == {
+        "0": None, "1": "period_position must be 0: 1", "2": None, "3": "missing required fields: reason_1,risk_level", "4": "missing required fields: reason_1", "5": None, "6": "no answer could be decoded", "7": "ConnectionError: down", "8": "no answer could be decoded",
+    }
+    a = got["0"]
+    assert (a.is_anomaly, a.anomaly_type, a.risk_level, a.anomaly_score, a.recommended_action) == (False, "NORMAL", "DUSUK", 0.25, "Izle")
+    assert [tuple(r) for r in a.main_reasons] == [(decisions.GENERAL_REASON, "", decisions.NO_SUMMARY)]
+    assert got["5"].llm_confidence == 0.9 and got["5"].recommended_action == "Ara" and got["1"].anomaly_type is None and got["1"].main_reasons is None
 
 
 def test_replace_append_and_evolution(spark, run):
@@ -153,15 +201,20 @@ def test_replace_append_and_evolution(spark, run):
     spark.sql("DROP TABLE flow_results")
 
 
-def test_decision_tables(spark, evidence):
+def test_decision_tables(spark, panel, evidence):
     fresh(spark, "t_d", "t_r", "t_f")
     made = evidence_flow.run_decisions(evidence, decisions.rule_decider)
     names = {"features": "t_f", "reasons": "t_r", "decisions": "t_d"}
-    counts = evidence_flow.write_decisions(made, evidence, "r1", names)
+    quality = evidence_flow.entity_quality(anomaly.intake(panel), ["bank_total_risk"])
+    counts = evidence_flow.write_decisions(made, evidence, "r1", names, model="rules", source="panel", quality=quality)
     assert counts["t_d"] == 2 and counts["t_f"] == 6 and counts["t_r"] >= 2
-    row = spark.table("t_f").where("mono_id = 'C_000' AND feature_rank = 1").first()
-    assert row.run_id == "r1" and json.loads(row.series_json)[-1]["is_current_snapshot"] and row.trend_break in (0, 1)
-    assert "prompt" not in json.loads(spark.table("t_d").first().raw_payload)
+    assert len(spark.table("t_f").columns) == 41 and len(spark.table("t_d").columns) == 29 and len(spark.table("t_r").columns) == 7
+    row = spark.table("t_f").where("mono_id = 'C_000' AND feature_name = 'bank_risk_to_assets'").first()
+    assert row.run_id == "r1" and json.loads(row.snapshot_series_json)[-1]["is_current_snapshot"] and row.trend_break_flag in (0, 1) and json.loads(row.feature_json)["feature"] == "bank_risk_to_assets"
+    assert (row.feature_category, row.formula, json.loads(row.source_columns), row.risk_direction, row.month_of_year) == ("UNKNOWN", FORMULAS["bank_risk_to_assets"], ["bank_total_risk", "toplam_varlik_ttr"], "HIGHER_IS_RISKY", 3)
+    row = spark.table("t_d").where("mono_id = 'C_000'").first()
+    assert (row.llm_model, row.evidence_source, row.recommended_action) == ("rules", "panel", "Manuel incele") and row.peer_assessment.startswith("Peer: feature=") and row.caveat.startswith("Caveat: coverage_ratio=1; ")
+    assert "prompt" not in json.loads(row.raw_response) and json.loads(row.raw_response)["reason_1"] == row.reason_1
     for t in names.values():
         spark.sql(f"DROP TABLE {t}")
 
@@ -263,8 +316,24 @@ def test_load_counts_before_it_deletes(spark, panel, tmp_path):
     fresh(spark, "loaded", "loaded_too")
 
 
+def test_rows_without_a_day_are_loaded_and_keep_no_file_from_being_counted(spark, panel, tmp_path):
+    """Undated rows go into the table; a file goes only if the table has gained all its rows."""
+    fresh(spark, "loaded")
+    source = tmp_path / "panel.csv"
+    rows = panel.limit(4).toPandas()
+    rows.loc[1:2, "COHORT_DT" if "COHORT_DT" in rows else "cohort_dt"] = ["no day", None]
+    rows.to_csv(source, index=False)
+    raw = readers.read_input(spark, str(source))
+    dated = sinks.load_table(anomaly.intake(raw), "loaded", source=source, delete_source=True, source_rows=raw.count())
+    assert (dated["inserted_rows"], dated["deleted_source"]) == (2, False) and source.exists()
+    assert not sinks.load_table(anomaly.intake(raw, undated=True), "loaded", source=source, delete_source=True)["deleted_source"]  # nobody has counted it
+    assert main(["load-panel", str(source), "--out", "loaded", "--delete-source"], spark) == 0
+    assert not source.exists() and spark.table("loaded").count() == 4 and spark.table("loaded").where("cohort_dt IS NULL").count() == 2
+    fresh(spark, "loaded")
+
+
 def test_answer_log_and_selection(spark, evidence, run, tmp_path):
-    answers = decisions.decide(decisions.prompt_text(evidence), lambda: lambda prompt: "no JSON" if "C_001" in prompt else {"is_anomaly": False})
+    answers = decisions.decide(decisions.prompt_text(evidence), lambda: lambda prompt: "no JSON" if "C_001" in prompt else {"period_position": 0, "is_anomaly": False, "anomaly_type": "NORMAL", "anomaly_score": 0, "reason_summary": "-", "reason_1": "-", "reason_1_weight": 1, "risk_level": "DUSUK"})
     for run_id in ("r1", "r2"):
         sinks.append_answers(answers, run_id, str(tmp_path / "answers"))
     log = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "answers")).collect()]
@@ -309,7 +378,7 @@ def test_all_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES) and set(QUERIES) - set(ORACLES) == {"ensemble_flagship", "evidence_packages", "prompt_dry_run"}
 
 
-@pytest.mark.parametrize("name", ["peer_hierarchy_z", "peer_diagnostics", "trend_slope_break", "preprocessor_stats", "band_assign", "seasonal_peer_median", "formula_nested", "isolation_forest_nodes", "ensemble_scores"])
+@pytest.mark.parametrize("name", ["peer_hierarchy_z", "peer_diagnostics", "trend_slope_break", "preprocessor_stats", "band_assign", "seasonal_peer_median", "formula_nested", "isolation_forest_nodes", "ensemble_scores", "decision_contract", "reasons_with_numbers", "decision_result_rows"])
 def test_queries_agree_with_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     sf = Path("/root/testdata/sf0.001")
