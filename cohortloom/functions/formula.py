@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import denominator_floor, finite, safe_ratio
+from cohortloom.operators.quantiles import grouped_quantiles, interpolated
 
 _OPERATORS = {ast.Add: lambda a, b: a + b, ast.Sub: lambda a, b: a - b, ast.Mult: lambda a, b: a * b}
 
@@ -89,7 +90,10 @@ def compile_formulas(df: DataFrame, formulas: dict[str, str], on_error: str = "n
     deepest = max(map(depth, trees.values()), default=0)
     for level in range(1, deepest + 1):
         at = [(key, node) for key, (own, node) in divisions.items() if own == level]
-        row = df.agg(*(denominator_floor(built(node.right)).alias(f"f{i}") for i, (_, node) in enumerate(at))).first()
-        floors |= {key: row[i] for i, (key, _) in enumerate(at)}
+        positive = lambda x: F.when(x > 0, x)
+        rows = df.select(F.inline(F.array(*(F.struct(F.lit(i).alias("at"), positive(built(node.right)).alias("value")) for i, (_, node) in enumerate(at)))))
+        found = grouped_quantiles(rows, ["at"], F.col("value"), {"q": 0.5}).select("at", interpolated(F.col("q")))
+        medians = {i: median for i, median in found.collect()}  # a row a division
+        floors |= {key: denominator_floor(medians.get(i)) for i, (key, _) in enumerate(at)}
     out = {name: finite(built(tree)) for name, tree in trees.items()}
     return {name: out.get(name.lower(), F.lit(None).cast("double")) for name in [n.lower() for n in formulas]}

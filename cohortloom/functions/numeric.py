@@ -31,9 +31,9 @@ def signed_log1p(x: Column) -> Column:
     return F.signum(x) * F.log1p(F.abs(x))
 
 
-def denominator_floor(denominator: Column) -> Column:
-    """Aggregate: the least denominator that a frame's ratios accept."""
-    return F.greatest(F.median(F.when(denominator > 0, denominator)) * DENOMINATOR_SHARE, F.lit(DENOMINATOR_FLOOR))
+def denominator_floor(median: float | None) -> float:
+    """The least denominator that a frame's ratios accept, by the median of its positive ones."""
+    return DENOMINATOR_FLOOR if median is None else max(median * DENOMINATOR_SHARE, DENOMINATOR_FLOOR)
 
 
 def safe_ratio(numerator: Column, denominator: Column, floor: Column | float) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions.numeric import evidence_strength, history_scale, pct_change, population_scale, z_against_scale
 from cohortloom.operators.panel import ID, TIME, latest_by_key
 from cohortloom.operators.peers import LEVELS
+from cohortloom.operators.quantiles import grouped_quantiles, interpolated
 from cohortloom.sources.staging import staged
 
 LAST = 12
@@ -85,19 +86,15 @@ def same_month_metrics(history: DataFrame, current: DataFrame, month: date, keys
 
 
 def seasonal_peer_medians(train: DataFrame, month: date, min_support: int = SEASON_SUPPORT, time: str = TIME) -> DataFrame:
-    """``feature, level, peer_segment, peer_sector, peer_size, seasonal_median`` of all earlier rows of the calendar month, by grouping sets.
+    """``feature, level, peer_segment, peer_sector, peer_size, seasonal_median`` of all earlier rows of the calendar month, exact by ranks.
 
     Levels are those of the peers without the month; a group needs enough values, the overall median (level null) none.
     """
     rows = train.where((F.month(time) == month.month) & F.col("value").isNotNull())
     dims = ["peer_segment", "peer_sector", "peer_size"]
-    sets = [["feature", *(k for k in keys if k != time)] for keys in LEVELS.values()]
-    grouped = rows.groupingSets(sets, "feature", *dims).agg(F.median("value").alias("seasonal_median"), F.count("*").alias("n"), F.grouping_id().alias("gid"))
-    level = F.when(F.lit(False), "")
-    for name, keys in LEVELS.items():
-        gid = sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in keys)
-        level = level.when(F.col("gid") == gid, name)
-    return grouped.select("feature", level.alias("level"), *dims, "n", "seasonal_median").where((F.col("n") >= min_support) | (F.col("level") == "AY"))
+    levels = F.array(*(F.struct(F.lit(name).alias("level"), *((F.col(d) if d in keys else F.lit(None).cast("string")).alias(d) for d in dims)) for name, keys in LEVELS.items()))
+    grouped = grouped_quantiles(rows.select("feature", "value", F.inline(levels)), ["feature", "level", *dims], F.col("value"), {"q": 0.5})
+    return grouped.select("feature", "level", *dims, "n", interpolated(F.col("q")).alias("seasonal_median")).where((F.col("n") >= min_support) | (F.col("level") == "AY"))
 
 
 def seasonal_peer_lookup(current: DataFrame, medians: DataFrame, keys: tuple[str, ...] = (ID, "feature")) -> DataFrame:
@@ -112,8 +109,13 @@ def seasonal_peer_lookup(current: DataFrame, medians: DataFrame, keys: tuple[str
 
 
 def reference_scales(train: DataFrame) -> DataFrame:
-    """``feature, reference_scale``: a row a feature."""
-    return _deviation(train, ["feature"]).select("feature", population_scale(F.col("mad"), F.col("std"), F.col("n")).alias("reference_scale"))
+    """``feature, reference_scale``: a row a feature. Medians are exact by ranks: no task holds a feature's values."""
+    rows = train.where("value IS NOT NULL").select("feature", "value")
+    middle = staged(grouped_quantiles(rows, ["feature"], F.col("value"), {"q": 0.5}).select("feature", interpolated(F.col("q")).alias("median")), "reference-medians")
+    apart = rows.join(F.broadcast(middle), "feature")  # a row a feature
+    mad = grouped_quantiles(apart, ["feature"], F.abs(F.col("value") - F.col("median")), {"q": 0.5}).select("feature", interpolated(F.col("q")).alias("mad"))
+    one = rows.groupBy("feature").agg(F.stddev_samp("value").alias("std"), F.count("*").alias("n")).join(mad, "feature")
+    return one.select("feature", population_scale(F.col("mad"), F.col("std"), F.col("n")).alias("reference_scale"))
 
 
 def snapshot_series(history: DataFrame, current: DataFrame, month: date, periods: int = 6, keys: tuple[str, ...] = (ID, "feature"), time: str = TIME, peers: DataFrame | None = None) -> DataFrame:

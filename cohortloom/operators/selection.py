@@ -15,42 +15,48 @@ ML_COVERAGE, EVIDENCE_COVERAGE, MODEL_COVERAGE, MISSING_RATE = 0.20, 0.05, 0.50,
 
 
 def column_statistics(df: DataFrame, names: list[str]) -> DataFrame:
-    """``column, coverage, n_distinct, missing_rate`` of the columns, in one aggregation."""
+    """``column, coverage, n_distinct, missing_rate`` of the columns.
+
+    Values in long form are counted once for each column and value, partly before the shuffle, then counted up for each
+    column: a row of ``df`` is never copied for each column whose values are told apart.
+    """
     if not names:
         return df.sparkSession.createDataFrame([], "column string, coverage double, n_distinct long, missing_rate double")
-    one = df.agg(
-        *(F.avg(F.col(f"`{c}`").isNotNull().cast("double")).alias(f"coverage_{i}") for i, c in enumerate(names)),
-        *(F.count_distinct(F.col(f"`{c}`")).alias(f"distinct_{i}") for i, c in enumerate(names)),
-    )
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.coalesce(F.col(f"coverage_{i}"), F.lit(0.0)).alias("coverage"),
-                F.col(f"distinct_{i}").alias("n_distinct"),
-                (1 - F.coalesce(F.col(f"coverage_{i}"), F.lit(0.0))).alias("missing_rate"),
-            )
-            for i, c in enumerate(names)
-        )
-    )
-    return one.select(F.inline(rows))
+    kinds = dict(df.dtypes)
+    text = lambda c: F.when(F.col(f"`{c}`") == 0, "0").otherwise(F.col(f"`{c}`").cast("string")) if kinds[c] in NUMERIC_TYPES else F.col(f"`{c}`").cast("string")  # noqa: E731  zeros of either sign are equal
+    long = df.select(F.inline(F.array(*(F.struct(F.lit(i).alias("at"), text(c).alias("value")) for i, c in enumerate(names)))))
+    counted = long.groupBy("at", "value").agg(F.count("*").alias("n"))
+    found = counted.groupBy("at").agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("present"), F.count("value").alias("n_distinct"))
+    every = df.sparkSession.createDataFrame(list(enumerate(names)), "at int, column string").join(found, "at", "left")
+    coverage = F.coalesce(F.coalesce("present", F.lit(0)) / F.col("rows"), F.lit(0.0))
+    return every.select("column", coverage.alias("coverage"), F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), (1 - coverage).alias("missing_rate"))
+
+
+def _covered_and_varied(df: DataFrame, names: list[str]) -> dict[str, tuple[float, object, object]]:
+    """Of each column the share of rows with a value, the least and the greatest: one aggregation, without telling values apart."""
+    if not names:
+        return {}
+    row = df.agg(*(f(F.col(f"`{c}`")).alias(f"{kind}_{i}") for i, c in enumerate(names) for kind, f in (("share", lambda x: F.avg(x.isNotNull().cast("double"))), ("low", F.min), ("high", F.max)))).first()
+    return {c: (row[f"share_{i}"] or 0.0, row[f"low_{i}"], row[f"high_{i}"]) for i, c in enumerate(names)}
 
 
 def numeric_columns(df: DataFrame, reserved: tuple[str, ...], least_coverage: float = ML_COVERAGE, least_distinct: int = 2, always: tuple[str, ...] = ()) -> list[str]:
     """Columns with enough numeric values, and those of ``always`` that there are. Text counts where it reads as a number."""
     names = [c for c, kind in df.dtypes if c not in reserved and (kind in NUMERIC_TYPES or kind.startswith("decimal") or kind == "string")]
     read = df.select(*(finite(F.col(f"`{c}`").try_cast("double")).alias(c) for c in names)) if names else df
-    found = [r["column"] for r in column_statistics(read, names).collect() if r["coverage"] >= least_coverage and r["n_distinct"] >= least_distinct]
+    if least_distinct <= 2:
+        found = [c for c, (share, low, high) in _covered_and_varied(read, names).items() if share >= least_coverage and (low is not None) + (low != high) >= least_distinct]
+    else:
+        found = [r["column"] for r in column_statistics(read, names).collect() if r["coverage"] >= least_coverage and r["n_distinct"] >= least_distinct]  # a row a column
     return found + [c for c in always if c in df.columns and c not in found]
 
 
 def model_features(train: DataFrame, score: DataFrame, candidates: list[str], least_coverage: float = MODEL_COVERAGE) -> list[str]:
     """Candidates with enough values in training and more than one value overall."""
     names = [c for c in candidates if c in train.columns and c in score.columns]
-    covered = {r["column"] for r in column_statistics(train, names).collect() if r["coverage"] >= least_coverage}
-    both = train.select(*names).unionByName(score.select(*names)) if names else train
-    varied = {r["column"] for r in column_statistics(both, names).collect() if r["n_distinct"] > 1}
-    return [c for c in names if c in covered and c in varied]
+    past, now = _covered_and_varied(train, names), _covered_and_varied(score, names)
+    values = {c: {v for v in (*past[c][1:], *now[c][1:]) if v is not None} for c in names}
+    return [c for c in names if past[c][0] >= least_coverage and len(values[c]) > 1]
 
 
 def features_with_gaps(train: DataFrame, score: DataFrame, names: list[str], least_rate: float = MISSING_RATE) -> list[str]:

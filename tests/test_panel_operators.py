@@ -273,3 +273,36 @@ def test_percentiles_count_all_rows(spark):
     assert got == {(v, np.searchsorted(np.sort(reference), v, side="right") / 3000 * 100.0) for v in x}
     assert {r.p for r in scoring.percentiles(frame(x), frame([]), {"v": "p"}).collect()} == {0.0}
     assert scoring.percentiles(spark.createDataFrame([(None,)], "v double"), frame(reference), {"v": "p"}).first().p == 100.0
+
+
+def test_column_statistics_count_values_without_copying_rows_by_columns(spark):
+    df = spark.createDataFrame([(1.0, None, "a"), (-0.0, 2, "a"), (0.0, 2, None), (None, 3, "")], "x double, `y.z` int, t string")
+    got = selection.column_statistics(df, ["x", "y.z", "t"])
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {r.column: (r.coverage, r.n_distinct, r.missing_rate) for r in got.collect()} == {"x": (0.75, 2, 0.25), "y.z": (0.75, 2, 0.25), "t": (0.75, 2, 0.25)}
+    empty = selection.column_statistics(df.limit(0), ["x", "t"]).collect()
+    assert {(r.column, r.coverage, r.n_distinct, r.missing_rate) for r in empty} == {("x", 0.0, 0, 1.0), ("t", 0.0, 0, 1.0)}
+    assert selection.numeric_columns(df, ()) == ["x", "y.z"] and selection.numeric_columns(df, (), least_distinct=3) == []
+
+
+def test_medians_of_seasons_and_scales_are_counted_by_ranks(spark):
+    """No plan of theirs keeps all values of a group in one buffer, and they are the exact ones."""
+    rnd = random.Random(4)
+    rows = [(f"m{i}", d(f"20{20 + i % 4}-05-31"), "f", rnd.choice([None, rnd.gauss(0, 9)]), f"s{i % 2}", f"t{i % 3}", f"z{i % 2}") for i in range(900)]
+    train = spark.createDataFrame(rows, "mono_id string, cohort_dt date, feature string, value double, peer_segment string, peer_sector string, peer_size string")
+    medians = evidence.seasonal_peer_medians(train, d("2024-05-31"))
+    scales = evidence.reference_scales(train)
+    for df in (medians, scales):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "percentile" not in plan and "median(" not in plan
+    got = {(r.level, r.peer_segment, r.peer_sector, r.peer_size): (r.n, r.seasonal_median) for r in medians.collect()}
+    want = {}
+    for level, keys in peers.LEVELS.items():
+        groups = {}
+        for *_, v, s, t, z in rows:
+            if v is not None:
+                groups.setdefault((level, *(x if k in keys else None for k, x in (("peer_segment", s), ("peer_sector", t), ("peer_size", z)))), []).append(v)
+        want |= {k: (len(v), pytest.approx(float(np.median(v)))) for k, v in groups.items() if len(v) >= 50 or level == "AY"}
+    assert got == want
+    values = np.array([r[3] for r in rows if r[3] is not None])
+    assert scales.first().reference_scale == pytest.approx(np.median(np.abs(values - np.median(values))) * 1.4826)
