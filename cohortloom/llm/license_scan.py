@@ -106,8 +106,8 @@ def _strings(values: list[str]) -> str:
     return f"split('{joined}', '\\n')" if values else "cast(array() AS array<string>)"
 
 
-def _best_window(k: int, x: Template, t: Fraction, pool: str) -> str:
-    """The heaviest window of the text that reaches the threshold with template ``k``, as SQL text; NULL where there is none."""
+def _windows(k: int, x: Template, t: Fraction, pool: str) -> str:
+    """All windows of the text that reach the threshold with template ``k``, as SQL text; NULL where there can be none."""
     known, need = _strings(x.pairs), _need(len(x.pairs), t)
     if x.step == 1:
         inside = ", ".join(f"'{p}'" for p in x.pairs)
@@ -122,17 +122,30 @@ def _best_window(k: int, x: Template, t: Fraction, pool: str) -> str:
     )
     reached = f"filter({counted}, w -> w.ok AND {2 * t.denominator}L * w.c >= {t.numerator}L * w.total)"
     code = f"(2L * w.c * {_SCALE}L) div w.total"
-    made = f"transform({reached}, w -> named_struct('weight', w.c * ({code}), 'place', -w.i, 'shorter', -w.n, 'last', w.i + w.n + 1, 'code', {code}, 'k', -{k}))"
-    return f"CASE WHEN size({pool}) >= {need} AND size(array_intersect({pool}, {known})) >= {need} THEN array_max({made}) END"
+    made = f"transform({reached}, w -> named_struct('first', w.i, 'weight', w.c * ({code}), 'k', {k}, 'n', w.n, 'last', w.i + w.n + 1, 'code', {code}))"
+    return f"CASE WHEN size({pool}) >= {need} AND size(array_intersect({pool}, {known})) >= {need} THEN {made} END"
+
+
+#: Windows in order of their place: of one and the last that was kept, if they share a word, the heavier stays (ties: the
+#: template that comes first, then the earlier one). ``b`` has them sorted.
+_STANDING = (
+    "aggregate(b, cast(array() AS array<struct<first:int,weight:bigint,k:int,n:int,last:int,code:bigint>>), (kept, x) -> "
+    "CASE WHEN size(kept) = 0 OR x.first >= element_at(kept, -1).last THEN concat(kept, array(x)) "
+    "WHEN x.weight > element_at(kept, -1).weight OR x.weight = element_at(kept, -1).weight AND x.k < element_at(kept, -1).k THEN concat(slice(kept, 1, size(kept) - 1), array(x)) ELSE kept END)"
+)
+#: An SPDX line: what follows its mark up to the end of the line, and what stands between identifiers there.
+SPDX_LINE, SPDX_BETWEEN = r"(?i)SPDX-License-Identifier:[ \t]*([^\r\n]*)", r"(?i)[ \t()*/<>#;,\"'-]*(?:^|[ \t()])(?:OR|AND|WITH)(?:$|[ \t()])[ \t()]*|[ \t()]+"
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: str = "0.8", templates: list[Template] | None = None) -> DataFrame:
     """One row per input row: ``doc_id, n_notices, licenses, license, dice, template``.
 
-    Of each template the heaviest window that reaches the threshold counts (common bigrams times coefficient; ties: the
-    first, then the shortest), and it stands if no overlapping one of another template is heavier (ties: the template
-    that comes first). ``n_notices`` is the number of windows that stand, ``licenses`` their distinct licences in order of
-    the alphabet, joined by commas, and the other columns tell of the heaviest; null without one. Null and empty texts
+    Every window that reaches the threshold counts, with common bigrams times coefficient as its weight. They are taken in
+    order of their place (then the heavier, the template that comes first, the shorter): of one and the last that was
+    kept, if they share a word, the heavier stays. ``n_notices`` is the number of windows that stand, so a notice that
+    comes again counts again. ``licenses`` are their distinct licences and those that the expression of an SPDX line names
+    (``MIT OR Apache-2.0``) among the templates' licences, in order of the alphabet, joined by commas; the other columns
+    tell of the heaviest window (ties: the first template, then the first place); null without one. Null and empty texts
     have no notices; repeated rows give a row each; null ids are kept; other columns are ignored. Rows are independent
     and nothing is shuffled.
     """
@@ -141,31 +154,43 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if not templates:
         raise ValueError("no templates")
     fine = [x for x in templates if x.step == 1]
-    rows = docs.select(docs[id_col].alias("doc_id"), F.split(F.trim(F.regexp_replace(F.lower(text_or_empty(text_col)), "[^a-z0-9]+", " ")), " ").alias("words"))
+    text = text_or_empty(text_col)
+    named = F.array_distinct(F.flatten(F.transform(F.regexp_extract_all(text, F.lit(SPDX_LINE), 1), lambda line: F.split(line, SPDX_BETWEEN))))
+    rows = docs.select(docs[id_col].alias("doc_id"), F.when(F.contains(F.lower(text), F.lit("spdx")), named).alias("named"), F.split(F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ")), " ").alias("words"))
     least = min(_need(len(x.pairs), t) for x in templates)
-    rows = rows.select("doc_id", "words", F.when(F.size("words") > least, F.expr("zip_with(slice(words, 1, size(words) - 1), slice(words, 2, size(words) - 1), (x, y) -> concat(x, ' ', y))")).alias("pairs"))
+    rows = rows.select("doc_id", "named", "words", F.when(F.size("words") > least, F.expr("zip_with(slice(words, 1, size(words) - 1), slice(words, 2, size(words) - 1), (x, y) -> concat(x, ' ', y))")).alias("pairs"))
 
     def pool(some: list[Template]) -> str:
         union = sorted({p for x in some for p in x.pairs})
         return f"array_distinct(filter(pairs, x -> x IN ({', '.join(map(repr, union))})))" if union else "cast(array() AS array<string>)"
 
-    rows = rows.select("doc_id", "words", "pairs", F.expr(pool(fine)).alias("hit"), F.expr(pool([x for x in templates if x.step > 1])).alias("far_hit"))
-    best = ", ".join(_best_window(k, x, t, "hit" if x.step == 1 else "far_hit") for k, x in enumerate(templates))
-    found = rows.select("doc_id", F.expr(f"CASE WHEN greatest(size(hit), size(far_hit)) >= {least} THEN filter(array({best}), x -> x IS NOT NULL) END").alias("best"))
-    heavier = "(y.weight > x.weight OR y.weight = x.weight AND y.k > x.k) AND -y.place < x.last AND -x.place < y.last"
-    found = found.select("doc_id", F.expr(f"filter(best, x -> NOT exists(best, y -> {heavier}))").alias("best"))
-    found = found.select("doc_id", "best", F.expr("array_max(transform(best, x -> named_struct('weight', x.weight, 'k', x.k, 'code', x.code)))").alias("top"))
+    rows = rows.select("doc_id", "named", "words", "pairs", F.expr(pool(fine)).alias("hit"), F.expr(pool([x for x in templates if x.step > 1])).alias("far_hit"))
+    every = ", ".join(_windows(k, x, t, "hit" if x.step == 1 else "far_hit") for k, x in enumerate(templates))
+    in_turn = "(x, y) -> CASE WHEN x.first <> y.first THEN x.first - y.first WHEN x.weight <> y.weight THEN IF(x.weight > y.weight, -1, 1) WHEN x.k <> y.k THEN x.k - y.k ELSE x.n - y.n END"
+    found = rows.select("doc_id", "named", F.expr(f"CASE WHEN greatest(size(hit), size(far_hit)) >= {least} THEN array_sort(flatten(filter(array({every}), x -> x IS NOT NULL)), {in_turn}) END").alias("b"))
+    found = found.select("doc_id", "named", F.expr(f"CASE WHEN size(b) > 0 THEN {_STANDING} END").alias("best"))
+    found = found.select("doc_id", "named", "best", F.expr("array_max(transform(best, x -> named_struct('weight', x.weight, 'k', -x.k, 'place', -x.first, 'code', x.code)))").alias("top"))
     names = F.array(*(F.lit(x.license) for x in templates))
+    by_name = F.create_map(*(F.lit(v) for name in sorted({x.license for x in templates}) for form in spdx_forms(name) for v in (form, name)))
+    spdx = F.filter(F.transform(F.coalesce("named", F.array().cast("array<string>")), lambda x: by_name[F.lower(x)]), lambda x: x.isNotNull())
+    standing = F.transform(F.coalesce("best", F.expr("cast(array() AS array<struct<first:int,weight:bigint,k:int,n:int,last:int,code:bigint>>)")), lambda x: F.element_at(names, x["k"] + 1))
+    told = F.array_sort(F.array_distinct(F.concat(standing, spdx)))
     return found.select(
         "doc_id",
         F.greatest(F.size("best"), F.lit(0)).cast("long").alias("n_notices"),
-        F.when(F.size("best") > 0, F.array_join(F.array_sort(F.array_distinct(F.transform("best", lambda x: F.element_at(names, 1 - x["k"])))), ",")).alias("licenses"),
+        F.when(F.size(told) > 0, F.array_join(told, ",")).alias("licenses"),
         F.when(F.size("best") > 0, F.element_at(names, 1 - F.col("top.k"))).alias("license"),
         F.when(F.size("best") > 0, F.col("top.code") / _SCALE).alias("dice"),
         F.when(F.size("best") > 0, F.element_at(F.array(*(F.lit(x.title) for x in templates)), 1 - F.col("top.k"))).alias("template"),
     )
 
 
+def spdx_forms(license: str) -> list[str]:
+    """Ways to write a licence in an SPDX expression, in lower case."""
+    bare = license.lower()
+    return [bare, f"{bare}+", f"{bare}-only", f"{bare}-or-later"]
+
+
 def license_sql(threshold: str = "0.8", templates: list[Template] | None = None) -> str:
     """The same scan in DuckDB SQL by joins of words: windows of every text that has enough bigrams of a template at all."""
     templates = default_templates() if templates is None else templates
@@ -177,7 +202,8 @@ def license_sql(threshold: str = "0.8", templates: list[Template] | None = None)
 WITH templates(k, license, template, body, required, step, lengths) AS (VALUES {rows}),
 known AS MATERIALIZED (SELECT DISTINCT k, w[i] || ' ' || w[i + 1] AS pair FROM (SELECT k, w, unnest(range(1, len(w))) AS i FROM (SELECT k, {normal("body")} AS w FROM templates))),
 sizes AS MATERIALIZED (SELECT k, count(*) AS b FROM known GROUP BY k),
-rows AS MATERIALIZED (SELECT row_number() OVER () AS row_uid, doc_id, {normal("coalesce(text, '')")} AS w FROM documents),
+numbered AS MATERIALIZED (SELECT row_number() OVER () AS row_uid, doc_id, text FROM documents),
+rows AS MATERIALIZED (SELECT row_uid, doc_id, {normal("coalesce(text, '')")} AS w FROM numbered),
 words AS MATERIALIZED (SELECT row_uid, i AS pos, w[i] AS word, CASE WHEN i < len(w) THEN w[i] || ' ' || w[i + 1] END AS pair FROM (SELECT row_uid, w, unnest(range(1, len(w) + 1)) AS i FROM rows)),
 likely AS MATERIALIZED (
     SELECT row_uid, k FROM words JOIN known USING (pair) JOIN sizes USING (k)
@@ -200,14 +226,17 @@ reached AS (
     SELECT row_uid, k, first, first + n + 1 AS last, n, 2 * c * {_SCALE} // (a + b) AS code, c * (2 * c * {_SCALE} // (a + b)) AS weight
     FROM counted JOIN sizes USING (k) LEFT JOIN (SELECT k, count(*) AS wanted FROM asked GROUP BY k) USING (k) LEFT JOIN present USING (row_uid, k, first, n)
     WHERE 2 * c * {t.denominator} >= {t.numerator} * (a + b) AND coalesce(wanted, 0) = coalesce(present, 0)),
-best AS MATERIALIZED (SELECT * FROM reached QUALIFY row_number() OVER (PARTITION BY row_uid, k ORDER BY weight DESC, first, n) = 1),
-standing AS (
-    SELECT * FROM best x WHERE NOT EXISTS (
-        FROM best y WHERE y.row_uid = x.row_uid AND (y.weight > x.weight OR y.weight = x.weight AND y.k < x.k) AND y.first < x.last AND x.first < y.last)),
+in_turn AS (SELECT row_uid, list([struct_pack(first := first, last := last, weight := weight, k := k, code := code)] ORDER BY first, weight DESC, k, n) AS b FROM reached GROUP BY row_uid),
+swept AS (SELECT row_uid, list_reduce(b, lambda kept, x: CASE WHEN x[1].first >= kept[-1].last THEN list_concat(kept, x)
+    WHEN x[1].weight > kept[-1].weight OR (x[1].weight = kept[-1].weight AND x[1].k < kept[-1].k) THEN list_concat(kept[:-2], x) ELSE kept END) AS kept FROM in_turn),
+standing AS MATERIALIZED (SELECT row_uid, s.first AS first, s.weight AS weight, s.k AS k, s.code AS code FROM (SELECT row_uid, unnest(kept) AS s FROM swept)),
 told AS (
-    SELECT row_uid, count(*) AS n_notices, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
-        min_by(struct_pack(license := license, template := template, dice := code / {float(_SCALE)}), -weight::HUGEINT * 1000 + k) AS top
-    FROM standing JOIN templates USING (k) GROUP BY row_uid)
-SELECT doc_id, coalesce(n_notices, 0) AS n_notices, licenses, top.license AS license, top.dice AS dice, top.template AS template
-FROM rows LEFT JOIN told USING (row_uid)
+    SELECT row_uid, count(*) AS n_notices, list(license) AS found,
+        min_by(struct_pack(license := license, template := template, dice := code / {float(_SCALE)}), struct_pack(w := -weight, k := k, p := first)) AS top
+    FROM standing JOIN templates USING (k) GROUP BY row_uid),
+forms AS (SELECT license, lower(license) || unnest(['', '+', '-only', '-or-later']) AS form FROM (SELECT DISTINCT license FROM templates)),
+lines AS (SELECT row_uid, unnest(regexp_extract_all(coalesce(text, ''), '{SPDX_LINE.replace("'", "''")}', 1)) AS line FROM numbered),
+spdx AS (SELECT row_uid, list(DISTINCT license) AS named FROM (SELECT row_uid, lower(unnest(regexp_split_to_array(line, '{SPDX_BETWEEN.replace("'", "''")}'))) AS form FROM lines) JOIN forms USING (form) GROUP BY row_uid)
+SELECT doc_id, coalesce(n_notices, 0) AS n_notices, nullif(array_to_string(list_sort(list_distinct(list_concat(coalesce(found, []), coalesce(named, [])))), ','), '') AS licenses, top.license AS license, top.dice AS dice, top.template AS template
+FROM rows LEFT JOIN told USING (row_uid) LEFT JOIN spdx USING (row_uid)
 """

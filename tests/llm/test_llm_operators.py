@@ -660,8 +660,13 @@ def brute_licenses(text):
                 c, total = len(window & known), len(window) + len(known)
                 if 10 * c >= 4 * total and set(x.required) <= set(w[i : i + n + 1]):
                     found.append((c * (2 * c * 10**9 // total), -k, -i, -n, i + n + 1, 2 * c * 10**9 // total / 1e9, x.license))
-        best += [max(found)] if found else []
-    standing = [x for x in best if not any(y > x and y[:2] != x[:2] and -y[2] < x[4] and -x[2] < y[4] for y in best)]
+        best += found
+    standing = []
+    for x in sorted(best, key=lambda x: (-x[2], -x[0], -x[1], -x[3])):
+        if not standing or -x[2] >= standing[-1][4]:
+            standing.append(x)
+        elif (x[0], x[1]) > standing[-1][:2]:
+            standing[-1] = x
     top = max(standing, default=None)
     return len(standing), top and top[6], top and top[5]
 
@@ -671,11 +676,15 @@ def test_license_scan(spark, hard):
         (30, "Licensed under CC BY 4.0."), (31, "Licensed under CC-BY-NC 4.0"), (32, "foo. licensed UNDER the apache license version 2.0! bar"), (33, "This work is licensed under the GNU General Public Licence, version 3."),
         (34, "Licensed under CC BY-NC 4.0.\nReleased under the MIT License."), (35, "released under"), (35, "released under"), (36, "// SPDX-License-Identifier: MIT\nint x;"), (37, "SPDX-License-Identifier: Zlib"),
         (38, "This library is licensed under the GNU Lesser General Public License, version 2.1 or later."), (39, "Licensed under the Apache License, Version 1.1."), (40, "# SPDX-License-Identifier: GPL-2.0-only"),
-        (41, " ".join(license_scan.license_texts()[5][2].split()[10:-5]) + " " + hard[0][1]), (42, "Released under the MIT License. " * 300),
+        (41, " ".join(license_scan.license_texts()[5][2].split()[10:-5]) + " " + hard[0][1]), (42, "Released under the MIT License. " * 300), (43, (" ".join(hard[0][1].split()[:100]) + " Licensed under the MIT License. ") * 3),
+        (44, "/* SPDX-License-Identifier: MIT OR Apache-2.0 */"), (45, "spdx-license-identifier: (GPL-2.0-only WITH Classpath-exception-2.0) AND BSD-3-Clause"),
     ]
     got = Counter((r.doc_id, r.n_notices, r.license, r.dice) for r in license_scan.scan_licenses(table(spark, rows)).collect())
     assert got == Counter((i, *brute_licenses(t)) for i, t in rows)
     told = {i: license for i, _, license, _ in got}
+    every = {r.doc_id: (r.n_notices, r.licenses) for r in license_scan.scan_licenses(table(spark, rows)).collect()}
+    assert every[42] == (300, "MIT") and every[43] == (3, "MIT")  # a notice that comes again counts again
+    assert every[44] == (1, "Apache-2.0,MIT") and every[45][1] == "BSD-3-Clause,GPL-2.0" and every[37] == (0, None)
     assert [told[i] for i in (30, 31, 32, 33, 36, 37, 38, 39, 40)] == ["CC-BY-4.0", "CC-BY-NC-4.0", "Apache-2.0", "GPL-3.0", "MIT", None, "LGPL-2.1", None, "GPL-2.0"]
     assert license_scan.scan_licenses(table(spark, [])).count() == 0
 
@@ -683,7 +692,7 @@ def test_license_scan(spark, hard):
 def test_license_sql_agrees(spark, hard):
     import duckdb
 
-    texts = [*(t for _, _, t in license_scan.license_texts()), "Licensed under CC BY 4.0. " + hard[0][1], "a\nReleased under\nthe MIT\nLicense b"]
+    texts = [*(t for _, _, t in license_scan.license_texts()), "Licensed under CC BY 4.0. " + hard[0][1], "Licensed under the MIT License. " * 9 + "x\n// SPDX-License-Identifier: (MIT OR Apache-2.0+) AND Zlib", "a\nReleased under\nthe MIT\nLicense b"]
     rows = hard + [(100 + i, hard[i % 3][1] + "\n" + "\n".join(textwrap.wrap(t, 60))) for i, t in enumerate(texts)]
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
