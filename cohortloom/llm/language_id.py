@@ -147,7 +147,7 @@ def fit_language_model(docs: DataFrame, training: Column, id_col: str = "doc_id"
     )
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(max_labels + 1).collect()}
     if len(sizes) > max_labels:
-        raise ValueError(f"more than {max_labels} languages")
+        raise ValueError(f"more than max_labels={max_labels} languages")
     labels = sorted(sizes)
     df, n = document_frequencies(rows)
     idf = np.log((1 + n) / (1 + df)) + 1
@@ -212,12 +212,14 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
     return map_arrow(rows, task, ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes[:-1]) + ", lang_pred string, score double, has_letters boolean")
 
 
-def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = (), per_label: int = 1000) -> DataFrame:
+def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = (), per_label: int = 1000, max_labels: int = 200) -> DataFrame:
     """Fit on the rows whose crc32(id) modulo 3 is not 1 and predict all; ``held_out`` tells the others.
 
     Null ids count as the empty text (remainder 0, so they are learned from); null languages are not learned from; what
     becomes of null and letterless texts, ties and repeated rows ``predict_language`` says. Empty input gives an empty result.
+    The driver holds a sample of about ``per_label`` rows of each language; a table with more than ``max_labels`` languages
+    is an error, which a higher number avoids at the price of as much more memory.
     """
     held_out = split_remainder(id_col, 3) == 1
-    model = fit_language_model(docs, ~held_out, id_col, text_col, lang_col, per_label)
+    model = fit_language_model(docs, ~held_out, id_col, text_col, lang_col, per_label, max_labels)
     return predict_language(docs, model, id_col, text_col, keep).withColumn("held_out", held_out)

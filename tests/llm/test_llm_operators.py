@@ -501,6 +501,13 @@ def test_language_model_is_the_same_however_the_table_is_split(spark):
     assert len(one.active) < language_id.BUCKETS
 
 
+def test_number_of_languages_is_a_parameter(spark):
+    rows = [(i, f"some words of language number {i % 6} and no other", f"l{i % 6}") for i in range(60)]
+    with pytest.raises(ValueError, match="max_labels=5"):
+        language_id.language_id(table(spark, rows), max_labels=5)
+    assert {r.lang_pred for r in language_id.language_id(table(spark, rows), max_labels=6).collect()} <= {f"l{i}" for i in range(6)}
+
+
 def test_language_ties_and_sparse_weights():
     buckets, values = np.array([3, 9]), np.array([0.6, 0.8])
     model = language_id.LanguageModel(["aa", "bb"], np.ones(language_id.BUCKETS), np.array([9]), np.array([[1.0, -1.0]]), np.array([0.5, 0.5]), 1.0)
