@@ -22,6 +22,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    """``df`` as a table in the shared folder, read back. The table goes when the driver ends: later plans may read it until then."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)

@@ -393,6 +393,19 @@ def test_queries_agree_with_sql(spark, name):
     assert sorted(got, key=repr) == sorted(rel, key=repr)
 
 
+def test_staged_tables_go_when_the_driver_ends(tmp_path):
+    code = f"""
+from pyspark.sql import SparkSession
+from cohortloom.sources.staging import staged
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{tmp_path}").getOrCreate()
+assert staged(spark.range(5), "kept").count() == 5
+import os
+assert [n for n in os.listdir("{tmp_path}") if n.startswith("kept-")]
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith("kept-")]
+
+
 def test_library_stands_without_the_training_data_operators():
     code = "import sys; sys.modules['cohortloom.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; assert len(e.queries()) > 40 and not any(n.startswith('op') for n in e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
