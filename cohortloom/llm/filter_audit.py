@@ -12,6 +12,7 @@ All orders, steps and Shapley sums follow from these.
 
 from __future__ import annotations
 
+import json
 from itertools import permutations
 
 from pyspark.sql import Column, DataFrame
@@ -102,7 +103,8 @@ def filter_audit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     parts = combinations(docs, labels, id_col, text_col, part_col).groupBy("part").agg(
         F.collect_list(F.struct("fails", "n", "good", "toxic")).alias("combos")  # 32 at most
     )
-    orders = F.array(*[F.struct(F.lit(order).alias("filter_order"), F.lit(step).alias("step"), F.lit(bit).alias("bit"), F.lit(before).alias("before")) for order, step, bit, before in _orders()])
+    names = ("filter_order", "step", "bit", "before")
+    orders = F.from_json(F.lit(json.dumps([dict(zip(names, row, strict=True)) for row in _orders()])), "array<struct<filter_order:string,step:int,bit:int,before:int>>")  # one constant, not 600 expressions
     steps = parts.select("part", "combos", F.explode(orders).alias("at")).select("part", "combos", "at.*")
     fails = lambda c: c["fails"].bitwiseAND(F.col("bit")) != 0
     gone = lambda c: c["fails"].bitwiseAND(F.col("before")) != 0
