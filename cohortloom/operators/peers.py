@@ -1,9 +1,10 @@
 """Robust statistics of hierarchical peer groups.
 
 Values are in long form: one row per entity, month and feature. A row belongs to one group of each level, from the
-finest to the whole month; the first level whose group has enough values gives its reference. Groups are aggregated
-with partial aggregation and only those with enough support leave it, so what is joined back to the rows is at most one
-fiftieth of them; a month that holds a third of all rows is still aggregated on all machines.
+finest to the whole month; the first level whose group has enough values gives its reference. Rows are counted once by
+cell (a feature and all keys of all levels) and value; the sizes of cells, rolled up, tell which groups have enough
+values, and only for those are counts passed on, under a number for each group. What is joined back to the rows is an
+entry per cell. A month that holds a third of all rows is still aggregated on all machines.
 """
 
 from __future__ import annotations
@@ -91,22 +92,45 @@ def _group_key(level: str, keys: tuple[str, ...]) -> Column:
     return F.concat_ws("\x1f", F.lit(level), *(F.coalesce(F.col(k).cast("string"), F.lit("\x1e")) for k in keys))
 
 
-def _group_statistics(long: DataFrame, levels: dict[str, tuple[str, ...]], min_support: int) -> DataFrame:
-    """``feature, level, group_key, support, median, t_median, t_low, t_high, mad`` of the groups with enough values, and of all values of a feature."""
-    groups = F.array(*(F.struct(F.lit(level).alias("level"), _group_key(level, keys).alias("group_key")) for level, keys in levels.items()))
-    keys = ["feature", "level", "group_key"]
-    rows = long.where("value IS NOT NULL").select("feature", "value", F.inline(groups))
-    found = grouped_quantiles(rows, keys, F.col("value"), {"a": 0.25, "b": 0.5, "c": 0.75}).where((F.col("n") >= min_support) | (F.col("level") == GLOBAL))
+@dataclass(frozen=True)
+class _Statistics:
+    cells: DataFrame  # feature, cell, rank, gid: the groups with enough values of each cell
+    groups: DataFrame  # gid, feature, level, group_key, support, median, t_median, t_low, t_high, mad
+
+
+def _cell(levels: dict[str, tuple[str, ...]]) -> Column:
+    return _group_key("cell", tuple(dict.fromkeys(k for keys in levels.values() for k in keys)))
+
+
+def _group_statistics(long: DataFrame, levels: dict[str, tuple[str, ...]], min_support: int) -> _Statistics:
+    """Statistics of the groups with enough values, and of all values of a feature."""
+    dims = dict.fromkeys(k for keys in levels.values() for k in keys)
+    counts = staged(long.groupBy("feature", *dims, "value").agg(F.count("*").alias("c")).withColumn("cell", _cell(levels)), "peer-counts")
+    groups = F.array(*(F.struct(F.lit(i).alias("rank"), F.lit(level).alias("level"), _group_key(level, keys).alias("group_key")) for i, (level, keys) in enumerate(levels.items())))
+    sizes = counts.groupBy("feature", "cell", *dims).agg(F.sum(F.when(F.col("value").isNotNull(), F.col("c")).otherwise(0)).alias("size"))
+    members = sizes.select("feature", "cell", "size", F.inline(groups))
+    enough = (F.col("support") >= min_support) | (F.col("level") == GLOBAL) & (F.col("support") > 0)
+    known = members.groupBy("feature", "rank", "level", "group_key").agg(F.sum("size").alias("support")).where(enough)
+    known = staged(known.withColumn("gid", F.monotonically_increasing_id()), "peer-groups")
+    cells = staged(members.join(known, ["feature", "rank", "group_key"]).select("feature", "cell", "rank", "gid"), "peer-cells")
+    values = counts.where("value IS NOT NULL").select("feature", "cell", "value", "c")
+
+    def passed_on(entries: DataFrame, *fields: str) -> DataFrame:
+        """Each count once for each of its cell's groups."""
+        return values.join(entries.groupBy("feature", "cell").agg(F.collect_list(F.struct("gid", *fields)).alias("groups")), ["feature", "cell"]).select("value", "c", F.inline("groups"))
+
+    found = grouped_quantiles(passed_on(cells), ["gid"], F.col("value"), {"a": 0.25, "b": 0.5, "c": 0.75}, F.col("c"))
     t = {"t_low": "a", "t_median": "b", "t_high": "c"}
-    first = staged(found.select(*keys, F.col("n").alias("support"), interpolated(F.col("b")).alias("median"), *(interpolated(F.col(q), signed_log1p).alias(name) for name, q in t.items())), "medians")
-    apart = rows.join(first.select(*keys, "t_median"), keys)
-    spread = grouped_quantiles(apart, keys, F.abs(signed_log1p(F.col("value")) - F.col("t_median")), {"q": 0.5})
-    return first.join(spread.select(*keys, interpolated(F.col("q")).alias("mad")), keys)
+    first = staged(found.select("gid", interpolated(F.col("b")).alias("median"), *(interpolated(F.col(q), signed_log1p).alias(name) for name, q in t.items())), "medians")
+    apart = passed_on(cells.join(first, "gid"), "t_median")
+    spread = grouped_quantiles(apart, ["gid"], F.abs(signed_log1p(F.col("value")) - F.col("t_median")), {"q": 0.5}, F.col("c"))
+    stats = known.drop("rank").join(first, "gid").join(spread.select("gid", interpolated(F.col("q")).alias("mad")), "gid")
+    return _Statistics(cells, stats)
 
 
 def level_statistics(long: DataFrame, levels: dict[str, tuple[str, ...]] = LEVELS, min_support: int = PEER_MIN_SUPPORT) -> DataFrame:
     """``feature, level, group_key, support, median, t_median, mad`` of all groups with enough values."""
-    return _group_statistics(long, levels, min_support).drop("t_low", "t_high")
+    return _group_statistics(long, levels, min_support).groups.drop("gid", "t_low", "t_high")
 
 
 def _global_statistics(long: DataFrame, stats: DataFrame, parts: tuple[str, ...]) -> DataFrame:
@@ -128,19 +152,16 @@ def peer_references(long: DataFrame, levels: dict[str, tuple[str, ...]] = LEVELS
     ``long`` has the columns of all level keys. Rows below every level take the global statistics of their feature, with
     support 0; those are of the rows with the same ``part``, where that column is named. Parts have no month in common.
     """
-    order, parts = list(levels), (part,) if part else ()
-    every = staged(_group_statistics(long, {**levels, GLOBAL: parts}, min_support), "peer-statistics")
-    stats = every.where(F.col("level") != GLOBAL).drop("t_low", "t_high")
-    finest = _group_key(order[0], levels[order[0]])
-    cells = long.select("feature", *dict.fromkeys(k for keys in levels.values() for k in keys)).distinct()
-    keys = F.array(*(F.struct(F.lit(i).alias("rank"), _group_key(level, ks).alias("group_key")) for i, (level, ks) in enumerate(levels.items())))
+    parts = (part,) if part else ()
+    every = {**levels, GLOBAL: parts}
+    found = _group_statistics(long, every, min_support)
+    stats = staged(found.groups, "peer-statistics")
     chosen = (
-        cells.select("feature", finest.alias("cell"), F.inline(keys))
-        .join(stats, ["feature", "group_key"])
+        found.cells.join(stats.where(F.col("level") != GLOBAL), ["feature", "gid"])
         .groupBy("feature", "cell")
         .agg(F.min_by(F.struct("level", "support", "median", "t_median", "mad"), "rank").alias("peer"))
     )
-    rows = long.withColumn("cell", finest).join(chosen, ["feature", "cell"], "left").join(F.broadcast(_global_statistics(long, every, parts)), ["feature", *parts], "left")  # the latter a row a feature and part
+    rows = long.withColumn("cell", _cell(every)).join(chosen, ["feature", "cell"], "left").join(F.broadcast(_global_statistics(long, stats, parts)), ["feature", *parts], "left")  # the latter a row a feature and part
     own = F.col("peer.mad") * 1.4826
     rows = rows.select(
         *long.columns,

@@ -1,9 +1,9 @@
 """Exact quantiles of groups of any size, by ranks over range partitions.
 
 ``percentile`` keeps all distinct values of a group in one task's memory. Here values are counted, the counts are dealt by
-ranges of group and value, and running sums within a range are moved up by the sums of the ranges before, of which there
-is a row for each range and group; only the values at the asked ranks are kept. A group that has a third of all values is
-therefore spread over a third of the ranges.
+ranges of group and value, and the sums of each group in each range tell in which ranges the asked ranks are. Running sums
+are made in those ranges alone, moved up by the sums of the ranges before, and only the values at the asked ranks are
+kept. A group that has a third of all values is therefore spread over a third of the ranges, most of which are not sorted.
 """
 
 from __future__ import annotations
@@ -22,22 +22,25 @@ def interpolated(q: Column, of: Callable[[Column], Column] = lambda x: x) -> Col
     return F.when(q["low"] == q["high"], of(q["low"])).otherwise(q["low_part"] * of(q["low"]) + q["high_part"] * of(q["high"]))
 
 
-def grouped_quantiles(df: DataFrame, keys: list[str], value: Column, quantiles: dict[str, float]) -> DataFrame:
+def grouped_quantiles(df: DataFrame, keys: list[str], value: Column, quantiles: dict[str, float], weight: Column | None = None) -> DataFrame:
     """``keys, n`` and for each quantile a struct that ``interpolated`` reads; groups without a value have no row.
 
-    Missing values are left out, keys may be missing. ``keys`` may be empty: then all rows are one group.
+    Missing values are left out, keys may be missing. ``keys`` may be empty: then all rows are one group. ``weight`` is how
+    many rows a row stands for, where that isn't one.
     """
-    counts = df.select(*keys, value.cast("double").alias("__v")).where("__v IS NOT NULL").groupBy(*keys, "__v").agg(F.count("*").alias("__c"))
+    rows = df.select(*keys, value.cast("double").alias("__v"), (F.lit(1) if weight is None else weight).cast("long").alias("__c"))
+    counts = rows.where("__v IS NOT NULL").groupBy(*keys, "__v").agg(F.sum("__c").alias("__c"))
     dealt = staged(counts.repartitionByRange(*keys, "__v").withColumn("__part", F.spark_partition_id()), "quantiles")
     sums = dealt.groupBy(*keys, "__part").agg(F.sum("__c").alias("__sum"))
     in_turn, whole = Window.partitionBy(*keys).orderBy("__part"), Window.partitionBy(*keys)
-    before = sums.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col("__part").alias("__p"), (F.sum("__sum").over(in_turn) - F.col("__sum")).alias("__before"), F.sum("__sum").over(whole).alias("n"))
-    running = dealt.withColumn("__end", F.sum("__c").over(Window.partitionBy("__part", *keys).orderBy("__v")))
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)), F.col("__part") == F.col("__p"))
-    ranked = running.join(before, same).withColumns({"__end": F.col("__end") + F.col("__before")}).withColumn("__start", F.col("__end") - F.col("__c"))
+    before = sums.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col("__part").alias("__p"), "__sum", (F.sum("__sum").over(in_turn) - F.col("__sum")).alias("__before"), F.sum("__sum").over(whole).alias("n"))
     place = {name: (F.col("n") - 1) * F.lit(q) for name, q in quantiles.items()}
+    any_rank = lambda at: reduce(lambda a, b: a | b, (at(f(p)) for p in place.values() for f in (F.floor, F.ceil)))
+    asked = before.where(any_rank(lambda rank: (F.col("__before") <= rank) & (rank < F.col("__before") + F.col("__sum")))).drop("__sum")
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)), F.col("__part") == F.col("__p"))
+    within = Window.partitionBy("__part", *keys).orderBy("__v")
+    ranked = dealt.join(asked, same).withColumn("__end", F.sum("__c").over(within) + F.col("__before")).withColumn("__start", F.col("__end") - F.col("__c"))
     at = lambda rank: (F.col("__start") <= rank) & (rank < F.col("__end"))
-    wanted = reduce(lambda a, b: a | b, (at(f(p)) for p in place.values() for f in (F.floor, F.ceil)))
-    found = ranked.where(wanted).groupBy(*keys, "n").agg(*(F.max(F.when(at(f(p)), F.col("__v"))).alias(f"__{name}_{end}") for name, p in place.items() for end, f in (("low", F.floor), ("high", F.ceil))))
+    found = ranked.where(any_rank(at)).groupBy(*keys, "n").agg(*(F.max(F.when(at(f(p)), F.col("__v"))).alias(f"__{name}_{end}") for name, p in place.items() for end, f in (("low", F.floor), ("high", F.ceil))))
     made = lambda name, p: F.struct(F.col(f"__{name}_low").alias("low"), F.col(f"__{name}_high").alias("high"), (F.ceil(p) - p).alias("low_part"), (p - F.floor(p)).alias("high_part")).alias(name)
     return found.select(*keys, "n", *(made(name, p) for name, p in place.items()))
