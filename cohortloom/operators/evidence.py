@@ -35,30 +35,33 @@ def _deviation(df: DataFrame, keys: list[str], value: str = "value") -> DataFram
     return one.join(mad, keys).select(*keys, "median", "mad", "std", "n", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p75"))
 
 
-def history_metrics(history: DataFrame, keys: tuple[str, ...] = (ID, "feature"), time: str = TIME) -> DataFrame:
-    """``period_count, median, p25, p75, robust_scale, rolling_3m/6m/12m_median, previous_value`` per key."""
+def history_metrics(history: DataFrame, keys: tuple[str, ...] = (ID, "feature"), time: str = TIME, stats: DataFrame | None = None, tail: DataFrame | None = None) -> DataFrame:
+    """``period_count, median, p25, p75, robust_scale, rolling_3m/6m/12m_median, previous_value`` per key.
+
+    ``stats`` and ``tail``: the deviations and last values of ``history`` where the caller has them."""
     keys_ = list(keys)
-    stats = _deviation(history, keys_).withColumn("robust_scale", history_scale(F.col("mad"), F.col("std"), F.col("n"), 0.0))
-    tail = last_values(history, LAST, time, keys)
+    stats = (_deviation(history, keys_) if stats is None else stats).withColumn("robust_scale", history_scale(F.col("mad"), F.col("std"), F.col("n"), 0.0))
+    tail = last_values(history, LAST, time, keys) if tail is None else tail
     rolling = tail.groupBy(*keys_).agg(
         *(F.median(F.when(F.col("ago") <= k, F.col("value"))).alias(f"rolling_{k}m_median") for k in (3, 6, 12)), F.max(F.when(F.col("ago") == 1, F.col("value"))).alias("previous_value")
     )
     return stats.join(rolling, keys_).select(*keys_, F.col("n").alias("period_count"), "median", "p25", "p75", "robust_scale", "mad", "std", "rolling_3m_median", "rolling_6m_median", "rolling_12m_median", "previous_value")
 
 
-def trend_metrics(history: DataFrame, current: DataFrame, keys: tuple[str, ...] = (ID, "feature"), time: str = TIME) -> DataFrame:
+def trend_metrics(history: DataFrame, current: DataFrame, keys: tuple[str, ...] = (ID, "feature"), time: str = TIME, stats: DataFrame | None = None, tail: DataFrame | None = None) -> DataFrame:
     """``slope_6m, slope_12m, trend_break_flag`` of the ``current`` values after their histories.
 
     Slopes are least squares over the last 6 or 12 values with the current one; a break is a current value three robust
-    deviations from the history's median. Both need a current value and three values of history.
+    deviations from the history's median. Both need a current value and three values of history. ``stats`` and ``tail`` are
+    as in ``history_metrics``.
     """
     keys_ = list(keys)
     now = current.where("value IS NOT NULL").select(*keys_, "value", F.lit(0).alias("ago"))
-    tail = last_values(history, LAST, time, keys).select(*keys_, "value", "ago").unionByName(now)
+    tail = (last_values(history, LAST, time, keys) if tail is None else tail).select(*keys_, "value", "ago").unionByName(now)
     x = -F.col("ago").cast("double")
     slope = lambda k: F.when(F.count_if(F.col("ago") < k) >= 3, F.regr_slope(F.when(F.col("ago") < k, F.col("value")), x))
     slopes = tail.groupBy(*keys_).agg(slope(6).alias("slope_6m"), slope(12).alias("slope_12m"))
-    stats = _deviation(history, keys_)
+    stats = _deviation(history, keys_) if stats is None else stats
     scale = history_scale(F.col("mad"), F.col("std"), F.col("n"), 1.0)
     z = F.abs(F.col("value") - F.col("median")) / scale
     out = current.select(*keys_, "value").join(stats, keys_, "left").join(slopes, keys_, "left")
@@ -143,9 +146,10 @@ def evidence_rows(current: DataFrame, history: DataFrame, train: DataFrame, mont
     """
     keys = [ID, "feature"]
     now = current.select(*keys, "value")
+    stats, tail = staged(_deviation(history, keys), "deviations"), staged(last_values(history).select(*keys, "value", "ago"), "last-values")
     out = (
-        current.join(staged(history_metrics(history), "history"), keys, "left")
-        .join(staged(trend_metrics(history, now), "trend"), keys, "left")
+        current.join(history_metrics(history, stats=stats, tail=tail), keys, "left")
+        .join(trend_metrics(history, now, stats=stats, tail=tail), keys, "left")
         .join(staged(same_month_metrics(history, now, month), "season"), keys, "left")
         .join(staged(snapshot_series(history, now, month, periods, peers=series_peers), "series"), keys, "left")
         .join(F.broadcast(reference_scales(train)), "feature", "left")  # a row a feature

@@ -45,15 +45,18 @@ def build_evidence(panel: DataFrame, formulas: dict[str, str], ids: DataFrame |
     if not features:
         raise ValueError("no usable feature is left")
     keys = [ID, TIME]
-    now = staged(peer_references(staged(long_form(with_peer_context(score, peer_columns), features, [*keys, *_CONTEXT]), "long")), "peers")
+    shown = staged(long_form(with_peer_context(score, peer_columns), features, [*keys, *_CONTEXT]), "long")
     past = staged(long_form(with_peer_context(train, peer_columns), features, [*keys, *_CONTEXT]), "long")
     if ids is not None:
         wanted = ids.select(F.col(ID).cast("string")).distinct()
-        now, history = now.join(wanted, ID, "left_semi"), past.join(wanted, ID, "left_semi")
     else:
-        history = past.join(now.select(ID).distinct(), ID, "left_semi")
-    history = staged(history, "history")
-    series_peers = staged(_series_peers(now, history, past, settings.series_periods), "series-peers")
+        wanted = shown.select(ID).distinct()
+    history = staged(past.join(wanted, ID, "left_semi"), "history")
+    peers = staged(_peers(shown, history, past, settings.series_periods), "peers")
+    now = peers.where(F.col(TIME) == F.lit(at))
+    if ids is not None:
+        now = now.join(wanted, ID, "left_semi")
+    series_peers = _series_peers(peers.join(wanted, ID, "left_semi"))
     ranked = ranked_evidence(evidence_rows(now, history, past, at, settings.series_periods, series_peers), None).withColumn("cohort_dt", F.lit(at))
     return with_dictionary(ranked, features, formulas, dictionary)
 
@@ -70,15 +73,17 @@ def with_dictionary(evidence: DataFrame, features: list[str], formulas: dict[str
     return evidence.join(F.broadcast(known), "feature", "left").withColumn("risk_direction", risk_direction(F.col("feature"), F.col("risk_direction")))  # a row a feature
 
 
-def _series_peers(now: DataFrame, history: DataFrame, past: DataFrame, periods: int) -> DataFrame:
-    """Peers of the months in the series of ``history``'s entities, each month's among all its entities and by itself."""
+def _peers(shown: DataFrame, history: DataFrame, past: DataFrame, periods: int) -> DataFrame:
+    """Peers of the scored month and of the months in the series of ``history``'s entities, in one pass: each month's among all its entities and by itself."""
+    months = last_values(latest_by_key(history.where("value IS NOT NULL"), [ID, "feature", TIME], [F.col("value")]), max(1, periods)).select(TIME).distinct()
+    rows = shown.unionByName(past.join(F.broadcast(months), TIME, "left_semi"))  # months of a panel
+    return peer_references(staged(rows, "series-long"), part=TIME)
+
+
+def _series_peers(peers: DataFrame) -> DataFrame:
+    """One row per entity, feature and month; of a month that repeats the greatest value counts."""
     fields = ["peer_median", "peer_z", "peer_support", "peer_quality", "peer_level"]
-    keys = [ID, "feature", TIME]
-    months = last_values(latest_by_key(history.where("value IS NOT NULL"), keys, [F.col("value")]), max(1, periods)).select(TIME).distinct()
-    rows = past.join(F.broadcast(months), TIME, "left_semi").withColumns({"__feature": F.col("feature"), "feature": F.concat_ws("@", F.col("feature"), F.col(TIME).cast("string"))})
-    found = peer_references(staged(rows, "series-long")).drop("feature").withColumnRenamed("__feature", "feature")
-    found = found.join(history.select(ID, "feature").distinct(), [ID, "feature"], "left_semi")
-    return latest_by_key(found.select(*keys, "value", *fields).unionByName(now.select(*keys, "value", *fields)), keys, [F.col("value")]).drop("value")
+    return latest_by_key(peers.select(ID, "feature", TIME, "value", *fields), [ID, "feature", TIME], [F.col("value")]).drop("value")
 
 
 def entity_quality(panel: DataFrame, features: list[str], settings: EvidenceSettings = EvidenceSettings()) -> DataFrame:

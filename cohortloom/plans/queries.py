@@ -154,7 +154,7 @@ def size_bucket_quartiles(spark, sf_dir):
 
 
 def _long(spark, sf_dir) -> DataFrame:
-    return staged(peers.long_form(peers.with_peer_context(customer_years(spark, sf_dir)), PEER_FEATURES, [*KEYS, *CONTEXT]), "long")
+    return staged(peers.long_form(peers.with_peer_context(staged(customer_years(spark, sf_dir), "panel")), PEER_FEATURES, [*KEYS, *CONTEXT]), "long")
 
 
 @query
