@@ -15,6 +15,21 @@ CREDIT_TOKENS = ("irb", "pd", "rating", "memzuc", "bank", "risk")
 TRUE_WORDS = ("1", "true", "t", "yes", "y", "evet", "e", "on")
 FALSE_WORDS = ("0", "false", "f", "no", "n", "hayir", "h", "off")
 SUFFIXES = ("__peer_z", "__missing_flag")
+# What a variable is about, told by its name: whole names, beginnings, parts; the first line that fits counts.
+CATEGORIES = (
+    ("identity_time", ("mono_id", "cohort_dt"), (), ()),
+    ("technical", ("kkbguncelsorgu_no", "yukleme_zmn", "data_time", "created_at"), (), ()),
+    ("context", ("musteri_segment", "cst_sector", "cst_nace_code", "cst_nace_code_id", "bilanco_flg", "ref_donem_id"), (), ()),
+    ("memzuc", (), (), ("memzuc",)),
+    ("financial", ("equity_l1y", "toplam_varlik_ttr", "financial_term_l1y", "financial_term_q", "annualization_q"), ("fs_", "l1y_", "q_"), ("supheli", "alacak", "receivable")),
+    ("pd_rating", (), ("irb_",), ("pd", "rating")),
+    ("internal_kkb", (), (), ("tkn", "tbe")),
+    ("kkb", (), (), ("kkb",)),
+    ("bank_risk", (), ("bank_",), ()),
+    ("external", (), (), ("external",)),
+)
+DIRECT_SIGNALS, EXCLUDED_VALUES = ("rating_group",), ("irb_rating_pd", "irb_model_pd", "pd_ratio", "pd_to_rating_group")
+CONTEXT_NAMES = ("musteri_segment", "rating_group", "cst_sector", "cst_nace_code", "cst_nace_code_id", "financial_term_l1y", "financial_term_q", "annualization_q", "ref_donem_id", "yukleme_zmn")
 DATE_PATTERNS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy", "dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy", "dd-MM-yyyy", "yyyyMMdd")
 
 
@@ -61,6 +76,31 @@ def risk_direction(feature: Column, configured: Column | None = None, falls_firs
     return F.when(given.isin("HIGHER_IS_RISKY", "LOWER_IS_RISKY"), given).otherwise(by_name)
 
 
+def variable_category(name: Column, configured: Column | None = None) -> Column:
+    """What a variable is about: as configured, else by its name (``CATEGORIES``), else ``other``."""
+    bare, out = F.lower(F.trim(name)), F.lit("other")
+    for label, names, beginnings, parts in reversed(CATEGORIES):
+        fits = bare.isin(*names) if names else F.lit(False)
+        pattern = "|".join([*(f"^{re.escape(b)}" for b in beginnings), *map(re.escape, parts)])
+        out = F.when(fits | bare.rlike(pattern) if pattern else fits, label).otherwise(out)
+    return out if configured is None else F.coalesce(text_or_null(configured), out)
+
+
+def column_role(name: Column, about: Column, direct: tuple[str, ...] = (), excluded: tuple[str, ...] = ()) -> Column:
+    """What a column of a raw table is used for; ``about`` is its category. ``direct`` and ``excluded`` of a dictionary replace the usual names."""
+    bare = F.lower(F.trim(name))
+    return (
+        F.when(bare == "mono_id", "id")
+        .when(bare == "cohort_dt", "time")
+        .when(bare.isin(*(direct or DIRECT_SIGNALS)), "direct_rating_signal_allowed")
+        .when(bare.isin(*(excluded or EXCLUDED_VALUES)), "pd_value_excluded_from_llm_features")
+        .when(about == "pd_rating", "pd_rating_signal")
+        .when(bare.isin(*CONTEXT_NAMES), "context_or_peer")
+        .when(bare.isin(*CATEGORIES[1][1]), "technical_excluded")
+        .otherwise("numeric_source_candidate")
+    )
+
+
 def is_riskier(direction: Column, x: Column, reference: Column) -> Column:
     return F.coalesce(F.when(direction == "HIGHER_IS_RISKY", x > reference).when(direction == "LOWER_IS_RISKY", x < reference), F.lit(False))
 

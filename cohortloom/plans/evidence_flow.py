@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import coverage
-from cohortloom.functions.text import risk_direction
+from cohortloom.functions.text import DIRECT_SIGNALS, column_role, risk_direction, variable_category
 from cohortloom.operators.assessments import assessments
 from cohortloom.operators.decisions import Decider, companion_scores, decide, enrich_reasons, prompt_text
 from cohortloom.operators.evidence import evidence_rows, last_values, ranked_evidence
@@ -58,19 +57,38 @@ def build_evidence(panel: DataFrame, formulas: dict[str, str], ids: DataFrame |
         now = now.join(wanted, ID, "left_semi")
     series_peers = _series_peers(peers.join(wanted, ID, "left_semi"))
     ranked = ranked_evidence(evidence_rows(now, history, past, at, settings.series_periods, series_peers), None).withColumn("cohort_dt", F.lit(at))
-    return with_dictionary(ranked, features, formulas, dictionary)
+    return with_dictionary(ranked, features, formulas, dictionary, panel.columns)
 
 
-def with_dictionary(evidence: DataFrame, features: list[str], formulas: dict[str, str], dictionary: Dictionary) -> DataFrame:
-    """Evidence with ``label, category, formula, source_columns`` (JSON) and ``risk_direction`` of each feature; directions that
-    the dictionary doesn't have are told by the feature's name."""
-    rows = []
+def with_dictionary(evidence: DataFrame, features: list[str], formulas: dict[str, str], dictionary: Dictionary, columns: list[str]) -> DataFrame:
+    """Evidence with ``label, category, formula, source_columns`` (JSON) and ``risk_direction`` of each feature. Without an entry
+    the label is the feature, category and direction are told by its name, and the source columns are the formula's ``columns``."""
+    rows, known = [], {c.lower() for c in columns} | set(features)
     for name in features:
-        about, formula = dictionary.about(name), formulas.get(name) or dictionary.about(name).get("formula")
-        inputs = about.get("inputs") or (list(dict.fromkeys(re.findall(r"[A-Za-z_]\w*", str(formula).lower()))) if formula else [])
-        rows.append((name, about.get("label"), dictionary.category(name), formula, json.dumps(inputs, ensure_ascii=False), about.get("risk_direction")))
-    known = evidence.sparkSession.createDataFrame(rows, "feature string, label string, category string, formula string, source_columns string, risk_direction string")
-    return evidence.join(F.broadcast(known), "feature", "left").withColumn("risk_direction", risk_direction(F.col("feature"), F.col("risk_direction")))  # a row a feature
+        about = dictionary.about(name)
+        formula = formulas.get(name) or about.get("formula")
+        inputs = json.dumps(dictionary.source_columns(name, formula, known), ensure_ascii=False)
+        rows.append((name, about.get("label") or name, dictionary.category(name), formula, inputs, about.get("risk_direction")))
+    named = evidence.sparkSession.createDataFrame(rows, "feature string, label string, category string, formula string, source_columns string, risk_direction string")
+    given = F.coalesce("risk_direction", F.when(F.col("feature").isin(*DIRECT_SIGNALS), "HIGHER_IS_RISKY"))  # a rating gets worse upwards
+    named = named.withColumns({"category": variable_category(F.col("feature"), F.col("category")), "risk_direction": risk_direction(F.col("feature"), given, falls_first=True)})
+    return evidence.join(F.broadcast(named), "feature", "left")  # a row a feature
+
+
+def column_dictionary(panel: DataFrame, dictionary: Dictionary = Dictionary(), used: list[str] | None = None) -> DataFrame:
+    """A row for each column of a raw panel: ``column, position, label, category, definition, source (JSON), source_column, role, used``.
+
+    What the dictionary doesn't say is told by the name but for labels, which are NULL: those columns lack an entry.
+    ``used``: the columns that a run reads (default: all)."""
+    rows = []
+    for i, column in enumerate(panel.columns):
+        about = dictionary.about(column)
+        source = json.dumps(about["source"], ensure_ascii=False) if about.get("source") else None
+        rows.append((column, i, about.get("label"), dictionary.category(column), about.get("definition"), source, about.get("source_column"), used is None or column in used))
+    named = panel.sparkSession.createDataFrame(rows, "column string, position int, label string, category string, definition string, source string, source_column string, used boolean")
+    about = variable_category(F.col("column"), F.col("category"))
+    role = column_role(F.col("column"), about, dictionary.direct, dictionary.exclude)
+    return named.select("column", "position", "label", about.alias("category"), "definition", "source", "source_column", role.alias("role"), "used")
 
 
 def _peers(shown: DataFrame, history: DataFrame, past: DataFrame, periods: int) -> DataFrame:

@@ -48,8 +48,9 @@ _keep = "mono_id, cohort_dt, peer_segment, peer_sector, peer_size"
 LONG = f"{YEARS}, {_sized('panel', 'toplam_varlik_ttr', 'ctx')}, long AS (SELECT *, {LOG.format('value')} AS t FROM ({_unpivot(PEER_FEATURES, _keep, 'ctx')}))"
 
 
-def _peers(long: str) -> str:
-    """Peer references by windows over each level's keys."""
+def _peers(long: str, part: str = "") -> str:
+    """Peer references by windows over each level's keys; without enough values in any, those of the feature (and ``part``)."""
+    by = f"feature, {part}" if part else "feature"
     first = ", ".join(f"median(value) OVER w{i} AS m{i}, median(t) OVER w{i} AS tm{i}, count(value) OVER w{i} AS n{i}" for i in range(5))
     windows = ", ".join(f"w{i} AS (PARTITION BY feature, {keys})" for i, keys in enumerate(_LEVELS.values()))
     second = ", ".join(f"median(abs(t - tm{i})) OVER w{i} AS d{i}" for i in range(5))
@@ -58,13 +59,13 @@ def _peers(long: str) -> str:
     score = "CASE peer_level WHEN 'AY_SEGMENT_SEKTOR_SIZE' THEN 1.0 WHEN 'AY_SEGMENT_SEKTOR' THEN 0.84 WHEN 'AY_SEGMENT_SIZE' THEN 0.78 WHEN 'AY_SEGMENT' THEN 0.68 WHEN 'AY' THEN 0.48 ELSE 0.25 END"
     support = "CASE WHEN peer_support >= 500 THEN 1.0 WHEN peer_support >= 200 THEN 0.9 WHEN peer_support >= 100 THEN 0.75 WHEN peer_support >= 50 THEN 0.6 ELSE 0.2 END"
     return f"""
-g1 AS (SELECT feature, median(value) AS gm, median(t) AS gt, quantile_cont(t, 0.75) - quantile_cont(t, 0.25) AS iqr, stddev_samp(t) AS sd, count(value) AS gn FROM {long} GROUP BY 1),
-g2 AS (SELECT feature, any_value(gm) AS gm, any_value(gt) AS gt, any_value(iqr) AS iqr, any_value(sd) AS sd, any_value(gn) AS gn, median(abs(t - gt)) AS mad FROM {long} JOIN g1 USING (feature) GROUP BY 1),
-overall AS (SELECT feature, gm, gt, CASE WHEN gn = 0 THEN 1.0 WHEN mad > 1e-9 THEN greatest(mad * 1.4826, 1e-6) WHEN iqr > 1e-9 THEN greatest(iqr / 1.349, 1e-6) WHEN gn < 2 THEN NULL ELSE greatest(sd, 1.0) END AS gs FROM g2),
+g1 AS (SELECT {by}, median(value) AS gm, median(t) AS gt, quantile_cont(t, 0.75) - quantile_cont(t, 0.25) AS iqr, stddev_samp(t) AS sd, count(value) AS gn FROM {long} GROUP BY ALL),
+g2 AS (SELECT {by}, any_value(gm) AS gm, any_value(gt) AS gt, any_value(iqr) AS iqr, any_value(sd) AS sd, any_value(gn) AS gn, median(abs(t - gt)) AS mad FROM {long} JOIN g1 USING ({by}) GROUP BY ALL),
+overall AS (SELECT {by}, gm, gt, CASE WHEN gn = 0 THEN 1.0 WHEN mad > 1e-9 THEN greatest(mad * 1.4826, 1e-6) WHEN iqr > 1e-9 THEN greatest(iqr / 1.349, 1e-6) WHEN gn < 2 THEN NULL ELSE greatest(sd, 1.0) END AS gs FROM g2),
 p1 AS (SELECT *, {first} FROM {long} WINDOW {windows}),
 p2 AS (SELECT *, {second} FROM p1 WINDOW {windows}),
 p3 AS (SELECT p2.*, {pick(lambda i, _: f'm{i}', 'gm')} AS peer_median, {pick(lambda i, _: f'tm{i}', 'gt')} AS center, {pick(lambda i, _: f'n{i}', '0')} AS peer_support,
-    {pick(lambda i, name: f"'{name}'", "'GLOBAL_FEATURE'")} AS peer_level, coalesce({own}, gs) AS scale FROM p2 JOIN overall USING (feature)),
+    {pick(lambda i, name: f"'{name}'", "'GLOBAL_FEATURE'")} AS peer_level, coalesce({own}, gs) AS scale FROM p2 JOIN overall USING ({by})),
 p4 AS (SELECT *, CASE WHEN t IS NOT NULL AND scale <> 0 THEN greatest(-10.0, least(10.0, (t - center) / scale)) END AS peer_z, round_even((({score}) * 0.65 + ({support}) * 0.35) * 100, 1) AS peer_score FROM p3),
 peers AS (SELECT *, CASE WHEN peer_support >= 100 AND peer_score >= 80 AND peer_level NOT IN ('AY', 'GLOBAL_FEATURE', 'AY_SEGMENT') THEN 'GUCLU' WHEN peer_support < 50 OR peer_score < 60 OR peer_level IN ('AY', 'GLOBAL_FEATURE') THEN 'ZAYIF' ELSE 'KABUL_EDILEBILIR' END AS peer_quality FROM p4)"""
 
@@ -193,6 +194,15 @@ e AS (SELECT *, greatest(coalesce(abs(peer_z), 0), coalesce(abs(history_z), 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY mono_id ORDER BY strength DESC, feature) AS rank FROM e)"""
 
 _PEER_CTES = "g1 g2 overall p1 p2 p3 p4 peers"
+_four = lambda x: f"coalesce(printf('%.4f', round({x}, 4) + 0.0), '')"
+# the last months of each series with what the peers of the month say, as text
+PACKAGES = f"""{EVIDENCE}, {_renamed(_peers('past_long', 'cohort_dt'), _PEER_CTES, '_past')},
+seen AS (SELECT *, FALSE AS now FROM peers_past WHERE value IS NOT NULL AND (mono_id, feature) IN (SELECT (mono_id, feature) FROM peers) UNION ALL BY NAME SELECT *, TRUE AS now FROM peers),
+back AS (SELECT *, row_number() OVER (PARTITION BY mono_id, feature ORDER BY cohort_dt DESC) AS place FROM seen),
+told AS (SELECT mono_id, feature, string_agg(strftime(cohort_dt, '%Y-%m-%d') || ':' || {_four('value')} || ':' || now::VARCHAR || ':' || (peer_median IS NOT NULL)::VARCHAR || ':' || {_four('peer_median')} || ':' || {_four('peer_z')} || ':'
+    || peer_support::BIGINT::VARCHAR || ':' || peer_quality || ':' || peer_level, ' | ' ORDER BY cohort_dt) AS series FROM back WHERE place <= 6 GROUP BY ALL),
+known AS (SELECT unnest([{', '.join(f"'{f}'" for f in _FEATURES)}]) AS feature, unnest(['bank_risk', 'memzuc', 'financial', 'other', 'memzuc', 'pd_rating']) AS category,
+    unnest([{', '.join(f"'{n} / {d}'" for n, d in RATIOS.values())}, NULL]) AS formula, unnest([{', '.join(f"""'["{n}", "{d}"]'""" for n, d in RATIOS.values())}, '[]']) AS source_columns)"""
 _wide = lambda source, out: f"{out} AS (SELECT mono_id, cohort_dt, {', '.join(f"max(CASE WHEN feature = '{f}' THEN peer_z END) AS {f}" for f in _FEATURES)} FROM {source} GROUP BY ALL)"
 RESIDUAL = f"""{SPLIT}, {_renamed(_peers('past_long'), _PEER_CTES, '_past')}, {_wide('peers', 'wn')}, {_wide('peers_past', 'wp')},
 f AS (SELECT {', '.join(f'coalesce(median({c}), 0) AS {c}' for c in _FEATURES)} FROM wp),
@@ -423,6 +433,16 @@ ORACLES: dict[str, str] = {
         SELECT mono_id, musteri_segment, round(({' + '.join(f'({c} IS NOT NULL)::INT' for c in MEASURES)}) / {len(MEASURES)}, 6) AS coverage_ratio, CAST({' + '.join(f'({c} IS NULL)::INT' for c in MEASURES)} AS BIGINT) AS missing_feature_count,
         coalesce(k, 0) AS customer_history_periods, coalesce(k, 0) < 3 AS insufficient_history_flag FROM panel LEFT JOIN p USING (mono_id) WHERE cohort_dt = {AT}""",
     "category_normalize": "SELECT c_custkey, CASE WHEN c_custkey % 4 = 2 THEN c_mktsegment ELSE 'SEG_NA' END AS segment FROM customer",
+    "evidence_packages": f"""WITH {PACKAGES} SELECT mono_id, '2000-12-31' AS cohort_dt, feature, round(value, 4) + 0.0 AS value, round(peer_z, 4) + 0.0 AS peer_z, round(history_z, 4) + 0.0 AS history_z, round(slope_6m, 4) + 0.0 AS slope_6m,
+        round(season_z, 4) + 0.0 AS seasonal_peer_z, round(strength, 4) + 0.0 AS evidence_strength, broken AS trend_break_flag, rank AS evidence_rank, feature AS label, category, formula, source_columns,
+        CASE WHEN feature = 'rating_group' OR regexp_matches(feature, 'risk|pd|utilization|debt') THEN 'HIGHER_IS_RISKY' ELSE 'UNKNOWN' END AS risk_direction, series FROM ranked LEFT JOIN told USING (mono_id, feature) LEFT JOIN known USING (feature)""",
+    "variable_names": """WITH n AS (SELECT p_partkey, p_partkey % 16 AS i, replace(p_name, ' ', '_') AS tail FROM part),
+        v AS (SELECT p_partkey, i, CASE WHEN i IN (0, 1, 2, 12, 13, 14) THEN ['mono_id', 'data_time', 'cst_sector', '', '', '', '', '', '', '', '', '', 'rating_group', 'irb_model_pd', 'yukleme_zmn'][i + 1]
+            ELSE ['', '', '', 'memzuc_', 'fs_', 'irb_', 'x_tkn_', 'kkb_', 'bank_', 'my_external_', 'x_rating_', 'alacak_', '', '', '', ''][i + 1] || tail END AS name FROM n),
+        c AS (SELECT *, CASE WHEN p_partkey % 10 = 0 THEN 'made' WHEN i < 15 THEN ['identity_time', 'technical', 'context', 'memzuc', 'financial', 'pd_rating', 'internal_kkb', 'kkb', 'bank_risk', 'external', 'pd_rating', 'financial', 'pd_rating', 'pd_rating', 'technical'][i + 1]
+            WHEN regexp_matches(name, '^(fs_|l1y_|q_)') THEN 'financial' ELSE 'other' END AS category FROM v)
+        SELECT p_partkey, name, category, CASE WHEN i = 0 THEN 'id' WHEN i = 12 THEN 'direct_rating_signal_allowed' WHEN i = 13 THEN 'pd_value_excluded_from_llm_features' WHEN category = 'pd_rating' THEN 'pd_rating_signal'
+            WHEN i IN (2, 14) THEN 'context_or_peer' WHEN i = 1 THEN 'technical_excluded' ELSE 'numeric_source_candidate' END AS role FROM c""",
     "risk_directions": "SELECT p_partkey, ['LOWER_IS_RISKY', 'HIGHER_IS_RISKY', 'HIGHER_IS_RISKY', 'UNKNOWN'][p_partkey % 4 + 1] AS ml, ['LOWER_IS_RISKY', 'HIGHER_IS_RISKY', 'LOWER_IS_RISKY', 'UNKNOWN'][p_partkey % 4 + 1] AS evidence FROM part",
     "text_token_match": "SELECT c_custkey, array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(c_name || '-' || c_mktsegment || '-of it'), '[^0-9a-zçğıöşü]+'), lambda w: length(w) >= 3))), ' ') AS tokens FROM customer",
     "json_extract_repair": "SELECT event_id, CASE WHEN event_id % 3 < 2 THEN CAST(json_extract(props, '$.k') AS DOUBLE) END AS k FROM events",

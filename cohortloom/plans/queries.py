@@ -614,11 +614,28 @@ def ensemble_flagship(spark, sf_dir):
 
 @query
 def evidence_packages(spark, sf_dir):
-    e = evidence_flow.build_evidence(staged(customer_years(spark, sf_dir), "panel"), FORMULAS, settings=evidence_flow.EvidenceSettings(month="2000-12-31"))
-    return e.select("mono_id", _day(), "feature", "value", "peer_z", "history_z", "slope_6m", "trend_break_flag", "seasonal_peer_z", "evidence_strength", "evidence_rank", F.to_json("series").alias("series"))
+    """Everything that is known of each customer and feature of the scored year, with the series of its last months beside their peers."""
+    e = staged(_evidence(spark, sf_dir), "evidence")
+    four = lambda c: F.coalesce(F.format_string("%.4f", F.round(c, 4) + 0.0), F.lit(""))
+    month = lambda x: F.concat_ws(":", x["cohort_dt"], F.when(x["value"].isNull(), "").otherwise(four(x["value"])), x["is_current_snapshot"].cast("string"), x["peer_available"].cast("string"),
+                                  *(F.when(x[c].isNull(), "").otherwise(four(x[c])) for c in ("peer_median", "peer_z")), *(F.coalesce(x[c].cast("string"), F.lit("")) for c in ("peer_support", "peer_quality", "peer_level")))
+    return e.select("mono_id", _day(), "feature", *((_r(c, digits=4) + 0.0).alias(c) for c in ("value", "peer_z", "history_z", "slope_6m", "seasonal_peer_z", "evidence_strength")), "trend_break_flag", F.col("evidence_rank").cast("long").alias("evidence_rank"),
+                    "label", "category", "formula", "source_columns", "risk_direction", F.array_join(F.transform("series", month), " | ").alias("series"))
+
+
+@query
+def variable_names(spark, sf_dir):
+    """What variables of many names are about and what they are used for."""
+    k = F.col("p_partkey")
+    heads = ("mono_id", "data_time", "cst_sector", "memzuc_", "fs_", "irb_", "x_tkn_", "kkb_", "bank_", "my_external_", "x_rating_", "alacak_", "rating_group", "irb_model_pd", "yukleme_zmn", "")
+    head = F.element_at(F.array(*map(F.lit, heads)), (k % len(heads) + 1).cast("int"))
+    whole = (k % len(heads)).isin(*(i for i, h in enumerate(heads) if h and not h.endswith("_")))
+    name = F.when(whole, head).otherwise(F.concat(head, F.replace("p_name", F.lit(" "), F.lit("_"))))
+    about = txt.variable_category(name, F.when(k % 10 == 0, " made ").when(k % 10 == 1, "nan"))
+    return table(spark, sf_dir, "part").select("p_partkey", name.alias("name"), about.alias("category"), txt.column_role(name, about).alias("role"))
 
 
 @query
 def prompt_dry_run(spark, sf_dir):
-    e = evidence_flow.build_evidence(staged(customer_years(spark, sf_dir), "panel"), FORMULAS, settings=evidence_flow.EvidenceSettings(month="2000-12-31"))
+    e = _evidence(spark, sf_dir)
     return prompt_text(e, "Karar ver.").select("mono_id", _day(), "prompt")

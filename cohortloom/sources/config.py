@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -95,8 +96,16 @@ class Dictionary:
     def directions(self) -> dict[str, str]:
         return {n: str(m["risk_direction"]).strip().upper() for n, m in (self.raw | self.generated).items() if m.get("risk_direction")}
 
-    def category(self, name: str) -> str:
-        return str(self.about(name).get("category") or "UNKNOWN")
+    def category(self, name: str) -> str | None:
+        """The configured category; by the name's parts there is one in ``functions.text.variable_category``."""
+        return self.about(name).get("category")
+
+    def source_columns(self, name: str, formula: str | None, known: set[str]) -> list[str]:
+        """The inputs that are configured, else the formula's names among the known columns and the dictionary's."""
+        if inputs := self.about(name).get("inputs"):
+            return [str(x) for x in inputs]
+        names = known | set(self.raw) | set(self.generated)
+        return [x for x in dict.fromkeys(re.findall(r"[a-z_]\w*", str(formula or "").lower())) if x in names]
 
 
 @lru_cache(maxsize=8)

@@ -212,7 +212,7 @@ def test_decision_tables(spark, panel, evidence):
     assert len(spark.table("t_f").columns) == 41 and len(spark.table("t_d").columns) == 29 and len(spark.table("t_r").columns) == 7
     row = spark.table("t_f").where("mono_id = 'C_000' AND feature_name = 'bank_risk_to_assets'").first()
     assert row.run_id == "r1" and json.loads(row.snapshot_series_json)[-1]["is_current_snapshot"] and row.trend_break_flag in (0, 1) and json.loads(row.feature_json)["feature"] == "bank_risk_to_assets"
-    assert (row.feature_category, row.formula, json.loads(row.source_columns), row.risk_direction, row.month_of_year) == ("UNKNOWN", FORMULAS["bank_risk_to_assets"], ["bank_total_risk", "toplam_varlik_ttr"], "HIGHER_IS_RISKY", 3)
+    assert (row.feature_category, row.formula, json.loads(row.source_columns), row.risk_direction, row.month_of_year) == ("bank_risk", FORMULAS["bank_risk_to_assets"], ["bank_total_risk", "toplam_varlik_ttr"], "HIGHER_IS_RISKY", 3)
     row = spark.table("t_d").where("mono_id = 'C_000'").first()
     assert (row.llm_model, row.evidence_source, row.recommended_action) == ("rules", "panel", "Manuel incele") and row.peer_assessment.startswith("Peer: feature=") and row.caveat.startswith("Caveat: coverage_ratio=1; ")
     assert "prompt" not in json.loads(row.raw_response) and json.loads(row.raw_response)["reason_1"] == row.reason_1
@@ -375,11 +375,38 @@ def test_streams(spark, tmp_path):
     spark.sql("DROP TABLE streamed")
 
 
+def test_column_dictionary_tells_what_a_panel_has(spark, panel):
+    known = config.Dictionary(raw={"bank_total_risk": {"label": "Bank risk", "category": "loans", "source": {"table_key": "input"}, "source_column": "TOTAL"}}, direct=("toplam_varlik_ttr",), exclude=("rating_group",))
+    rows = {r.column: r for r in evidence_flow.column_dictionary(panel, known, used=["BANK_TOTAL_RISK"]).collect()}
+    assert list(rows) == panel.columns and [rows[c].position for c in panel.columns] == list(range(len(panel.columns)))
+    assert (rows["BANK_TOTAL_RISK"].label, rows["BANK_TOTAL_RISK"].category, json.loads(rows["BANK_TOTAL_RISK"].source), rows["BANK_TOTAL_RISK"].source_column) == ("Bank risk", "loans", {"table_key": "input"}, "TOTAL")
+    assert {c: r.role for c, r in rows.items()} == {
+        "COHORT_DT": "time", "MONO_ID": "id", "MUSTERI_SEGMENT": "context_or_peer", "CST_NACE_CODE_ID": "context_or_peer", "CST_SECTOR": "context_or_peer", "BANK_TOTAL_RISK": "numeric_source_candidate",
+        "MEMZUC_TOTAL_RISK": "numeric_source_candidate", "MEMZUC_TOTAL_LIMIT": "numeric_source_candidate", "TOPLAM_VARLIK_TTR": "direct_rating_signal_allowed", "FS_NET_SALES_CUMULATIVE_L1Y": "numeric_source_candidate",
+        "RATING_GROUP": "pd_value_excluded_from_llm_features", "FINANCIAL_TERM_L1Y": "context_or_peer",
+    }
+    assert [c for c, r in rows.items() if r.label is None] == [c for c in panel.columns if c != "BANK_TOTAL_RISK"] and [c for c, r in rows.items() if r.used] == ["BANK_TOTAL_RISK"]
+    plain = {r.column: (r.category, r.role, r.used) for r in evidence_flow.column_dictionary(panel).collect()}
+    assert plain["RATING_GROUP"] == ("pd_rating", "direct_rating_signal_allowed", True) and plain["MEMZUC_TOTAL_RISK"][0] == "memzuc" and plain["FS_NET_SALES_CUMULATIVE_L1Y"][0] == "financial"
+
+
+def test_features_without_an_entry_are_told_by_their_names(spark):
+    features = ["rating_group", "equity_risk", "x", "max_share", "known"]
+    about = config.Dictionary(generated={"known": {"label": "Known one", "inputs": ["A", "b"], "formula": "a / c", "risk_direction": "lower_is_risky", "category": "own"}})
+    made = evidence_flow.with_dictionary(spark.createDataFrame([(f,) for f in [*features, "other"]], "feature string"), features, {"max_share": "MAX(bank_x, y) / bank_x", "x": "1"}, about, ["Bank_X", "z"])
+    got = {r.feature: (r.label, r.category, r.formula, r.source_columns, r.risk_direction) for r in made.collect()}
+    assert got["known"] == ("Known one", "own", "a / c", '["A", "b"]', "LOWER_IS_RISKY")
+    assert got["max_share"] == ("max_share", "other", "MAX(bank_x, y) / bank_x", '["bank_x"]', "UNKNOWN")  # neither the function nor what no table has
+    assert got["rating_group"][1:] == ("pd_rating", None, "[]", "HIGHER_IS_RISKY") and got["x"][1:4] == ("other", "1", "[]")
+    assert got["equity_risk"][4] == "LOWER_IS_RISKY"  # in evidence what falls with risk comes first
+    assert got["other"] == (None, None, None, None, None)
+
+
 def test_all_oracles_belong_to_queries():
-    assert set(ORACLES) <= set(QUERIES) and set(QUERIES) - set(ORACLES) == {"ensemble_flagship", "evidence_packages", "prompt_dry_run"}
+    assert set(ORACLES) <= set(QUERIES) and set(QUERIES) - set(ORACLES) == {"ensemble_flagship", "prompt_dry_run"}
 
 
-@pytest.mark.parametrize("name", ["peer_hierarchy_z", "peer_diagnostics", "trend_slope_break", "preprocessor_stats", "band_assign", "seasonal_peer_median", "formula_nested", "isolation_forest_nodes", "ensemble_scores", "decision_contract", "reasons_with_numbers", "decision_result_rows"])
+@pytest.mark.parametrize("name", ["peer_hierarchy_z", "peer_diagnostics", "trend_slope_break", "preprocessor_stats", "band_assign", "seasonal_peer_median", "formula_nested", "isolation_forest_nodes", "ensemble_scores", "decision_contract", "reasons_with_numbers", "decision_result_rows", "variable_names", "evidence_packages"])
 def test_queries_agree_with_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     sf = Path("/root/testdata/sf0.001")
