@@ -289,6 +289,30 @@ ens AS (SELECT *, greatest(0, least(100, if_score * 0.4::DOUBLE + residual_score
 lim AS (SELECT greatest(quantile_cont(ensemble_score, 0.95), 90.0) AS sari, quantile_cont(ensemble_score, 0.98) AS q2, quantile_cont(ensemble_score, 0.99) AS q3 FROM ens),
 lim2 AS (SELECT sari, greatest(q2, 95.0, sari) AS turuncu, greatest(q3, 97.5, q2, 95.0, sari) AS kirmizi FROM lim)"""
 
+# the reasons of the run: severities, what each value is compared with, and the order in which a review reads them
+_plain = lambda x: f"""CASE WHEN {x} IS NULL THEN 'NA' WHEN {x} = 0 THEN '0' WHEN abs({x}) >= 1000 THEN printf('%.0f', round_even({x}, 0)) {' '.join(f"WHEN abs({x}) >= {low} THEN regexp_replace(printf('%.{d}f', round({x}::DECIMAL(30, 6), {d})::DOUBLE), '[.]?0+$', '')" for low, d in ((10, 2), (1, 3), (0.01, 4), (0.0001, 6)))} ELSE printf('%.2e', {x}) END"""
+FLAGSHIP = f"""{ENSEMBLE},
+latest AS (SELECT * FROM tr QUALIFY row_number() OVER (PARTITION BY mono_id ORDER BY cohort_dt DESC) = 1), before AS (SELECT mono_id, feature, value AS previous FROM ({_sides('latest')})),
+usual AS (SELECT feature, median(value) AS train FROM past_long GROUP BY 1),
+grave AS (SELECT mono_id, feature, abs(z) AS severity FROM (SELECT mono_id, unnest(v) AS z, unnest([{', '.join(f"'{f}'" for f in _FEATURES)}]) AS feature FROM fx WHERE cohort_dt = {AT})),
+why AS (SELECT g.*, severity / CASE WHEN total = 0 THEN 1.0 ELSE total END * 100 AS share, p.value, peer_median AS peer, peer_z, peer_support, peer_level, peer_quality, previous, train,
+    CASE WHEN regexp_matches(feature, 'risk|pd|utilization|debt') THEN 'HIGHER_IS_RISKY' ELSE 'UNKNOWN' END AS direction, row_number() OVER (PARTITION BY mono_id ORDER BY severity DESC, feature) AS grade
+    FROM (SELECT *, sum(severity) OVER (PARTITION BY mono_id) AS total FROM grave) g JOIN peers p USING (mono_id, feature) LEFT JOIN before USING (mono_id, feature) JOIN usual USING (feature) WHERE severity > 0),
+why2 AS (SELECT *, {_reference('label', 'value', 'previous', 'peer', 'train', 'peer_z', 'share', '0.0')} AS label, {_reference('value', 'value', 'previous', 'peer', 'train', 'peer_z', 'share', '0.0')} AS reference FROM why),
+why3 AS (SELECT *, {_comment('direction', 'value', 'label', 'reference')} AS comment, {_said('value', 'previous', 'peer', 'direction', 'FALSE')} AS said, round_even(share, 2) AS pct, replace(feature, '_', ' ') AS named,
+    round(value, 6) AS v6, round(previous, 6) AS prev6, round(peer, 6) AS peer6, round(peer_z, 4) AS z4 FROM why2),
+why4 AS (SELECT *, row_number() OVER (PARTITION BY mono_id ORDER BY {_bucket('value IS NULL', 'comment')}, share DESC, grade) AS place, printf('%.1f', round(pct::DECIMAL(30, 2), 1)::DOUBLE) AS pct1,
+    concat_ws(':', feature, (value IS NULL)::VARCHAR, {', '.join(_four(f'{c}::DECIMAL(30, 6)') for c in ('v6', 'prev6', 'peer6', 'z4', 'train'))}, pct1, peer_support::BIGINT::VARCHAR, peer_level, peer_quality, coalesce(label, ''), comment, coalesce(said, ''), '') AS part FROM why3),
+why5 AS (SELECT *, CASE WHEN value IS NULL THEN named || ': deger missing; katki %' || pct1 || '; referans=' || coalesce(label, 'NA')
+    WHEN label = 'peer medyan' THEN concat_ws('; ', named || ': peer''e gore sapma yuksek', 'gerceklesen=' || {_plain('v6')}, 'peer=' || {_plain('peer6')}, 'peer_z=' || {_plain('z4')}, 'peer_support=' || peer_support::BIGINT, 'peer_temsil=' || peer_quality, 'katki=%' || pct1, comment, said)
+    ELSE named || ': gerceklesen=' || {_plain('v6')} || ', onceki=' || {_plain('prev6')} || ', peer=' || {_plain('peer6')} || ', katki=%' || pct1 || '; ' || comment END AS told FROM why4 WHERE place <= 3),
+whys AS (SELECT mono_id, {', '.join(f'max(told) FILTER (place = {i}) AS reason_{i}' for i in (1, 2, 3))}, string_agg(part, ' | ' ORDER BY place) AS reason_details, bool_or(regexp_matches(feature, 'irb|pd|rating|memzuc|bank|risk')) AS credit FROM why5 GROUP BY 1),
+full_ AS (SELECT mono_id, count(value) / {len(_FEATURES)}::DOUBLE AS covered FROM peers GROUP BY 1),
+run1 AS (SELECT ens.*, covered, (1 - covered) * 100 AS gap, w.* EXCLUDE (mono_id), CASE WHEN ensemble_score >= kirmizi THEN 'KIRMIZI' WHEN ensemble_score >= turuncu THEN 'TURUNCU' WHEN ensemble_score >= sari THEN 'SARI' ELSE 'NORMAL' END AS alert_band,
+    greatest(0, least(100, (covered * 0.65::DOUBLE + (1 - (greatest(if_score, residual_score, autoencoder_score) - least(if_score, residual_score, autoencoder_score)) / 100) * 0.35::DOUBLE) * 100)) AS confidence
+    FROM ens JOIN full_ USING (mono_id) LEFT JOIN whys w ON w.mono_id = ens.mono_id CROSS JOIN lim2),
+run2 AS (SELECT *, CASE WHEN alert_band = 'NORMAL' AND (gap >= 30 OR covered < 0.7) THEN 'DATA_GAP' WHEN credit IS NULL THEN 'UNKNOWN' WHEN credit THEN 'CREDIT_RISK' ELSE 'FINANCIAL_SIGNAL' END AS alert_type FROM run1)"""
+
 # Answers of customers and what the contract makes of them.
 ANSWERS = """k AS (SELECT c_custkey AS k, c_custkey::VARCHAR AS mono_id, c_mktsegment AS seg, c_acctbal AS bal FROM customer),
 a1 AS (SELECT *, k % 19 = 0 AS broken, concat_ws(',', CASE WHEN k % 13 = 0 THEN 'reason_summary' END, CASE WHEN k % 17 = 0 THEN 'reason_1_weight' END, CASE WHEN k % 6 = 0 THEN 'risk_level' END) AS missing FROM k),
@@ -433,6 +457,9 @@ ORACLES: dict[str, str] = {
         SELECT mono_id, musteri_segment, round(({' + '.join(f'({c} IS NOT NULL)::INT' for c in MEASURES)}) / {len(MEASURES)}, 6) AS coverage_ratio, CAST({' + '.join(f'({c} IS NULL)::INT' for c in MEASURES)} AS BIGINT) AS missing_feature_count,
         coalesce(k, 0) AS customer_history_periods, coalesce(k, 0) < 3 AS insufficient_history_flag FROM panel LEFT JOIN p USING (mono_id) WHERE cohort_dt = {AT}""",
     "category_normalize": "SELECT c_custkey, CASE WHEN c_custkey % 4 = 2 THEN c_mktsegment ELSE 'SEG_NA' END AS segment FROM customer",
+    "ensemble_flagship": f"""WITH {FLAGSHIP} SELECT mono_id, '2000-12-31' AS cohort_dt, round(ensemble_score, 4) AS ensemble_score, {', '.join(f'round_even({c}, 1) AS {c}' for c in ('if_score', 'residual_score', 'autoencoder_score', 'confidence'))},
+        round_even(covered, 4) AS coverage_ratio, alert_band, alert_type, CASE WHEN alert_band = 'NORMAL' THEN CASE WHEN alert_type = 'DATA_GAP' OR gap >= 30 THEN 'DATA_QUALITY_REVIEW' ELSE 'NO_ACTION' END WHEN alert_band = 'KIRMIZI' THEN 'URGENT_FINANCIAL_REVIEW'
+        WHEN alert_band = 'TURUNCU' THEN 'FINANCIAL_REVIEW' ELSE 'WATCHLIST' END AS review_queue, reason_1, reason_2, reason_3, coalesce(reason_details, '') AS reason_details FROM run2""",
     "evidence_packages": f"""WITH {PACKAGES} SELECT mono_id, '2000-12-31' AS cohort_dt, feature, round(value, 4) + 0.0 AS value, round(peer_z, 4) + 0.0 AS peer_z, round(history_z, 4) + 0.0 AS history_z, round(slope_6m, 4) + 0.0 AS slope_6m,
         round(season_z, 4) + 0.0 AS seasonal_peer_z, round(strength, 4) + 0.0 AS evidence_strength, broken AS trend_break_flag, rank AS evidence_rank, feature AS label, category, formula, source_columns,
         CASE WHEN feature = 'rating_group' OR regexp_matches(feature, 'risk|pd|utilization|debt') THEN 'HIGHER_IS_RISKY' ELSE 'UNKNOWN' END AS risk_direction, series FROM ranked LEFT JOIN told USING (mono_id, feature) LEFT JOIN known USING (feature)""",

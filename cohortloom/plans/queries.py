@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions import numeric as num
 from cohortloom.functions import text as txt
 from cohortloom.functions.formula import compile_formulas
-from cohortloom.functions.jsontext import repair_json
+from cohortloom.functions.jsontext import reason_list, repair_json
 from cohortloom.operators import decisions, evidence, panel, peers, reasons, scoring, selection
 from cohortloom.operators.decisions import companion_scores, prompt_text
 from cohortloom.operators.models import fit_isolation_forest
@@ -608,8 +608,14 @@ def ensemble_scores(spark, sf_dir):
 
 @query
 def ensemble_flagship(spark, sf_dir):
+    """The whole run of a month: scores, bands, alerts and queues, and the reasons as texts and, read back from their JSON, by their parts."""
     run = anomaly.run_anomaly(staged(customer_years(spark, sf_dir), "panel"), FORMULAS, month="2000-12-31")
-    return run.results.select("mono_id", _day(), "ensemble_score", "if_score", "residual_score", "autoencoder_score", "confidence", "coverage_ratio", "alert_band", "alert_type", "review_queue", "reason_1", "reason_2", "reason_3", "reason_details")
+    four = lambda c: F.when(c.isNull(), "").otherwise(F.format_string("%.4f", F.round(c, 4) + 0.0))
+    numbers = ("actual", "customer_previous_reference", "peer_reference", "peer_z", "train_reference")
+    texts = ("peer_support", "peer_level", "peer_quality", "reference_used", "direction_comment", "previous_comment", "financial_term_detail")
+    part = lambda x: F.concat_ws(":", x["feature"], x["is_missing_reason"].cast("string"), *(four(x[c]) for c in numbers), F.format_string("%.1f", F.round(x["contribution_pct"], 1)), *(F.coalesce(x[c].cast("string"), F.lit("")) for c in texts))
+    details = F.array_join(F.transform(reason_list(F.col("reason_details"), reasons.REASON_SCHEMA), part), " | ").alias("reason_details")
+    return run.results.select("mono_id", _day(), *(_r(c, c, 4) for c in ("ensemble_score", *SCORES, "confidence", "coverage_ratio")), "alert_band", "alert_type", "review_queue", "reason_1", "reason_2", "reason_3", details)
 
 
 @query

@@ -403,10 +403,10 @@ def test_features_without_an_entry_are_told_by_their_names(spark):
 
 
 def test_all_oracles_belong_to_queries():
-    assert set(ORACLES) <= set(QUERIES) and set(QUERIES) - set(ORACLES) == {"ensemble_flagship", "prompt_dry_run"}
+    assert set(ORACLES) <= set(QUERIES) and set(QUERIES) - set(ORACLES) == {"prompt_dry_run"}
 
 
-@pytest.mark.parametrize("name", ["peer_hierarchy_z", "peer_diagnostics", "trend_slope_break", "preprocessor_stats", "band_assign", "seasonal_peer_median", "formula_nested", "isolation_forest_nodes", "ensemble_scores", "decision_contract", "reasons_with_numbers", "decision_result_rows", "variable_names", "evidence_packages"])
+@pytest.mark.parametrize("name", ["peer_hierarchy_z", "peer_diagnostics", "trend_slope_break", "preprocessor_stats", "band_assign", "seasonal_peer_median", "formula_nested", "isolation_forest_nodes", "ensemble_scores", "decision_contract", "reasons_with_numbers", "decision_result_rows", "variable_names", "evidence_packages", "ensemble_flagship"])
 def test_queries_agree_with_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     sf = Path("/root/testdata/sf0.001")
