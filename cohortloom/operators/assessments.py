@@ -25,6 +25,11 @@ def six_digits(x: Column) -> Column:
     return F.when(x == 0, "0").when(x.isNotNull(), F.when(F.contains(fixed, F.lit(".")), F.regexp_replace(fixed, r"\.?0+$", "")).otherwise(fixed))
 
 
+def six_decimals(x: Column) -> Column:
+    """At most six decimals, without trailing zeros; NULL for a missing number."""
+    return F.when(x.isNotNull(), F.regexp_replace(F.format_string("%.6f", F.round(x, 6) + 0.0), r"\.?0+$", ""))
+
+
 def _strongest(*values: Column) -> Column:
     sizes = F.filter(F.array(*(F.abs(v.cast("double")) for v in values)), lambda v: v.isNotNull())
     return F.array_max(sizes)

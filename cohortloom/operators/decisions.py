@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions.jsontext import json_like, message_candidates
 from cohortloom.functions.numeric import finite, unit_float
 from cohortloom.functions.text import truth
-from cohortloom.operators.assessments import six_digits
+from cohortloom.operators.assessments import six_decimals, six_digits
 
 # Fixed values of the decision contract: names of types, levels and fields, default texts, and the most that a text may have.
 TYPES = ("ANI_RISK_ARTISI", "FINANSAL_BOZULMA", "PD_RISKI", "KKB_RISKI", "PEER_UYUMSUZLUGU", "DATA_GAP", "TREND_KIRILMASI", "SEZON_DISI_SAPMA", "NORMAL")
@@ -61,10 +61,11 @@ def drop_score_columns(df: DataFrame) -> DataFrame:
     return df.drop(*(c for c in df.columns if denied(c)))
 
 
-def feature_line(f: Column, have: list[str]) -> Column:
-    """One feature's evidence as a line of key=value parts; missing ones are left out."""
+def feature_line(f: Column, types: dict[str, str]) -> Column:
+    """One feature's evidence as a line of key=value parts, numbers with six decimals; missing ones are left out. ``types``: of the fields of ``f``."""
     keys = ("value", "previous_value", "change_pct", "median", "p25", "p75", "history_z", "slope_6m", "slope_12m", "trend_break_flag", "yoy_change_pct", "same_month_customer_z", "seasonal_peer_median", "seasonal_peer_z", "peer_median", "peer_z", "peer_support", "peer_level", "peer_quality")
-    parts = [F.concat(F.lit(f"{k}="), F.substring(f[k].cast("string"), 1, 24)) for k in keys if k in have]
+    text = lambda k: six_decimals(f[k]) if types[k] in ("double", "float") else F.substring(f[k].cast("string"), 1, 24)
+    parts = [F.concat(F.lit(f"{k}="), text(k)) for k in keys if k in types]
     return F.concat_ws(" | ", F.concat(F.lit("- "), f["feature"]), *parts)
 
 
@@ -73,8 +74,9 @@ def prompt_text(evidence: DataFrame, template: str = "", keys: tuple[str, ...] =
     rows = drop_score_columns(evidence if top_features is None else evidence.where(F.col("evidence_rank") <= top_features))
     every = F.struct(*(F.col(c) for c in rows.columns if c not in keys and c != "series"))
     lines = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("evidence_rank", every.alias("f")))).alias("features"))  # at most the ranked features of an entity
+    types = dict(rows.dtypes)
     head = F.concat(F.lit(template), F.lit("\nmusteri="), F.col(keys[0]), F.lit(" donem="), F.col(keys[1]).cast("string"), F.lit("\n"))
-    return lines.select(*keys, F.concat(head, F.array_join(F.transform("features", lambda x: feature_line(x["f"], rows.columns)), "\n")).alias("prompt"))
+    return lines.select(*keys, F.concat(head, F.array_join(F.transform("features", lambda x: feature_line(x["f"], types)), "\n")).alias("prompt"))
 
 
 def decoded(message: Any) -> dict[str, Any] | None:

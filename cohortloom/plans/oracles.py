@@ -195,6 +195,16 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY mono_id ORDER BY strength D
 
 _PEER_CTES = "g1 g2 overall p1 p2 p3 p4 peers"
 _four = lambda x: f"coalesce(printf('%.4f', round({x}, 4) + 0.0), '')"
+_six = lambda x: f"regexp_replace(printf('%.6f', round({x}, 6) + 0.0), '[.]?0+$', '')"
+_pct = "CASE WHEN abs(previous) >= 1e-9 THEN (value - previous) / abs(previous) * 100 END"  # in a panel of years the same month of the last year is the one before
+_SAID = {
+    "value": "value", "previous_value": "previous", "change_pct": _pct, "median": "median", "p25": "p25", "p75": "p75", "history_z": "history_z", "slope_6m": "slope_6m", "slope_12m": "CASE WHEN enough THEN slope12 END", "trend_break_flag": "",
+    "yoy_change_pct": _pct, "same_month_customer_z": "month_z", "seasonal_peer_median": "season", "seasonal_peer_z": "season_z", "peer_median": "peer_median", "peer_z": "peer_z",
+}
+PROMPTS = f"""{EVIDENCE}, spread AS (SELECT mono_id, feature, quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.75) AS p75 FROM h GROUP BY ALL),
+sl12 AS (SELECT mono_id, feature, regr_slope(value, -ago) AS slope12 FROM (SELECT mono_id, feature, value, ago FROM tail WHERE ago < 12 UNION ALL SELECT mono_id, feature, value, 0 FROM now_long WHERE value IS NOT NULL) GROUP BY ALL),
+said AS (SELECT mono_id, rank, concat_ws(' | ', '- ' || feature, {', '.join(f"'{k}=' || {_six(x) if x else 'broken::VARCHAR'}" for k, x in _SAID.items())}, 'peer_support=' || peer_support::BIGINT, 'peer_level=' || peer_level, 'peer_quality=' || peer_quality) AS line
+    FROM ranked LEFT JOIN spread USING (mono_id, feature) LEFT JOIN sl12 USING (mono_id, feature) LEFT JOIN (SELECT mono_id, feature, peer_median, peer_quality FROM peers) USING (mono_id, feature))"""
 # the last months of each series with what the peers of the month say, as text
 PACKAGES = f"""{EVIDENCE}, {_renamed(_peers('past_long', 'cohort_dt'), _PEER_CTES, '_past')},
 seen AS (SELECT *, FALSE AS now FROM peers_past WHERE value IS NOT NULL AND (mono_id, feature) IN (SELECT (mono_id, feature) FROM peers) UNION ALL BY NAME SELECT *, TRUE AS now FROM peers),
@@ -460,6 +470,7 @@ ORACLES: dict[str, str] = {
     "ensemble_flagship": f"""WITH {FLAGSHIP} SELECT mono_id, '2000-12-31' AS cohort_dt, round(ensemble_score, 4) AS ensemble_score, {', '.join(f'round_even({c}, 1) AS {c}' for c in ('if_score', 'residual_score', 'autoencoder_score', 'confidence'))},
         round_even(covered, 4) AS coverage_ratio, alert_band, alert_type, CASE WHEN alert_band = 'NORMAL' THEN CASE WHEN alert_type = 'DATA_GAP' OR gap >= 30 THEN 'DATA_QUALITY_REVIEW' ELSE 'NO_ACTION' END WHEN alert_band = 'KIRMIZI' THEN 'URGENT_FINANCIAL_REVIEW'
         WHEN alert_band = 'TURUNCU' THEN 'FINANCIAL_REVIEW' ELSE 'WATCHLIST' END AS review_queue, reason_1, reason_2, reason_3, coalesce(reason_details, '') AS reason_details FROM run2""",
+    "prompt_dry_run": f"""WITH {PROMPTS} SELECT mono_id, '2000-12-31' AS cohort_dt, 'Karar ver.' || chr(10) || 'musteri=' || mono_id || ' donem=2000-12-31' || chr(10) || string_agg(line, chr(10) ORDER BY rank) AS prompt FROM said WHERE rank <= 12 GROUP BY 1""",
     "evidence_packages": f"""WITH {PACKAGES} SELECT mono_id, '2000-12-31' AS cohort_dt, feature, round(value, 4) + 0.0 AS value, round(peer_z, 4) + 0.0 AS peer_z, round(history_z, 4) + 0.0 AS history_z, round(slope_6m, 4) + 0.0 AS slope_6m,
         round(season_z, 4) + 0.0 AS seasonal_peer_z, round(strength, 4) + 0.0 AS evidence_strength, broken AS trend_break_flag, rank AS evidence_rank, feature AS label, category, formula, source_columns,
         CASE WHEN feature = 'rating_group' OR regexp_matches(feature, 'risk|pd|utilization|debt') THEN 'HIGHER_IS_RISKY' ELSE 'UNKNOWN' END AS risk_direction, series FROM ranked LEFT JOIN told USING (mono_id, feature) LEFT JOIN known USING (feature)""",
