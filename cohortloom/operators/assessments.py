@@ -20,8 +20,8 @@ _BREAK_WEIGHT = 10.0
 
 def six_digits(x: Column) -> Column:
     """Six significant digits, without trailing zeros; NULL for a missing number."""
-    digits = F.greatest(F.lit(0), 5 - F.floor(F.log10(F.abs(x)))).cast("int")
-    fixed = F.element_at(F.array(*(F.format_string(f"%.{k}f", x) for k in range(16))), F.least(digits, F.lit(15)) + 1)
+    digits = F.least(F.greatest(F.lit(0), 5 - F.floor(F.log10(F.abs(x)))), F.lit(15)).cast("int")
+    fixed = F.call_function("format_string", F.concat(F.lit("%."), digits.cast("string"), F.lit("f")), x)
     return F.when(x == 0, "0").when(x.isNotNull(), F.when(F.contains(fixed, F.lit(".")), F.regexp_replace(fixed, r"\.?0+$", "")).otherwise(fixed))
 
 

@@ -205,6 +205,28 @@ PROMPTS = f"""{EVIDENCE}, spread AS (SELECT mono_id, feature, quantile_cont(valu
 sl12 AS (SELECT mono_id, feature, regr_slope(value, -ago) AS slope12 FROM (SELECT mono_id, feature, value, ago FROM tail WHERE ago < 12 UNION ALL SELECT mono_id, feature, value, 0 FROM now_long WHERE value IS NOT NULL) GROUP BY ALL),
 said AS (SELECT mono_id, rank, concat_ws(' | ', '- ' || feature, {', '.join(f"'{k}=' || {_six(x) if x else 'broken::VARCHAR'}" for k, x in _SAID.items())}, 'peer_support=' || peer_support::BIGINT, 'peer_level=' || peer_level, 'peer_quality=' || peer_quality) AS line
     FROM ranked LEFT JOIN spread USING (mono_id, feature) LEFT JOIN sl12 USING (mono_id, feature) LEFT JOIN (SELECT mono_id, feature, peer_median, peer_quality FROM peers) USING (mono_id, feature))"""
+
+
+def _sig(x: str) -> str:
+    """Six significant digits without trailing zeros."""
+    every = ", ".join(f"printf('%.{k}f', ({x})::DOUBLE)" for k in range(16))
+    fixed = f"[{every}][(least(15, greatest(0, 5 - floor(log10(abs({x}))))) + 1)::INT]"
+    return f"CASE WHEN {x} = 0 THEN '0' WHEN contains({fixed}, '.') THEN regexp_replace({fixed}, '[.]?0+$', '') ELSE {fixed} END"
+
+
+_first_by = lambda metric: f"row_number() OVER (PARTITION BY mono_id ORDER BY {metric} DESC NULLS LAST, feature)"
+_line = lambda head, numbers, *others: f"concat_ws('; ', '{head}: feature=' || feature, {', '.join([f"'{k}=' || {_sig(x)}" for k, x in numbers.items()] + list(others))})"
+ASSESSED = f"""{PROMPTS},
+as1 AS (SELECT mono_id, feature, previous, {_pct} AS yoy, month_z, season, season_z, slope_6m, CASE WHEN enough THEN slope12 END AS slope_12m, broken, peer_z, peer_support, peer_level, peer_median, peer_quality
+    FROM ranked LEFT JOIN sl12 USING (mono_id, feature) LEFT JOIN (SELECT mono_id, feature, peer_median, peer_quality FROM peers) USING (mono_id, feature)),
+as2 AS (SELECT *, greatest(abs(month_z), abs(season_z), abs(yoy / 100)) AS ms, greatest(abs(slope_6m), abs(slope_12m), CASE WHEN broken THEN 10.0::DOUBLE END) AS mt, abs(peer_z) AS mp FROM as1),
+as3 AS (SELECT *, {_first_by('ms')} AS rs_, {_first_by('mt')} AS rt_, {_first_by('mp')} AS rp_ FROM as2),
+as4 AS (SELECT mono_id, count(*) FILTER (peer_quality = 'ZAYIF') AS weak,
+    max({_line('Sezon', {'same_month_last_year': 'previous', 'yoy_change_pct': 'yoy', 'same_month_z': 'month_z', 'seasonal_peer_median': 'season', 'seasonal_peer_z': 'season_z'})}) FILTER (rs_ = 1 AND ms IS NOT NULL) AS season_line,
+    max({_line('Trend', {'slope_6m': 'slope_6m', 'slope_12m': 'slope_12m'}, "'trend_break=' || broken::INT")}) FILTER (rt_ = 1 AND mt IS NOT NULL) AS trend_line,
+    max({_line('Peer', {'peer_median': 'peer_median', 'peer_z': 'peer_z'}, "'peer_support=' || peer_support::BIGINT", "'peer_quality=' || peer_quality", "'peer_level=' || peer_level")}) FILTER (rp_ = 1 AND mp IS NOT NULL) AS peer_line FROM as3 GROUP BY 1),
+as5 AS (SELECT p.mono_id, ({' + '.join(f'({c} IS NOT NULL)::INT' for c in MEASURES)}) / {len(MEASURES)}::DOUBLE AS covered, {' + '.join(f'({c} IS NULL)::INT' for c in MEASURES)} AS lacking, coalesce(k, 0) AS periods
+    FROM panel p LEFT JOIN (SELECT mono_id, count(DISTINCT cohort_dt) AS k FROM panel WHERE cohort_dt < {AT} GROUP BY 1) USING (mono_id) WHERE cohort_dt = {AT})"""
 # the last months of each series with what the peers of the month say, as text
 PACKAGES = f"""{EVIDENCE}, {_renamed(_peers('past_long', 'cohort_dt'), _PEER_CTES, '_past')},
 seen AS (SELECT *, FALSE AS now FROM peers_past WHERE value IS NOT NULL AND (mono_id, feature) IN (SELECT (mono_id, feature) FROM peers) UNION ALL BY NAME SELECT *, TRUE AS now FROM peers),
@@ -474,6 +496,10 @@ ORACLES: dict[str, str] = {
     "evidence_packages": f"""WITH {PACKAGES} SELECT mono_id, '2000-12-31' AS cohort_dt, feature, round(value, 4) + 0.0 AS value, round(peer_z, 4) + 0.0 AS peer_z, round(history_z, 4) + 0.0 AS history_z, round(slope_6m, 4) + 0.0 AS slope_6m,
         round(season_z, 4) + 0.0 AS seasonal_peer_z, round(strength, 4) + 0.0 AS evidence_strength, broken AS trend_break_flag, rank AS evidence_rank, feature AS label, category, formula, source_columns,
         CASE WHEN feature = 'rating_group' OR regexp_matches(feature, 'risk|pd|utilization|debt') THEN 'HIGHER_IS_RISKY' ELSE 'UNKNOWN' END AS risk_direction, series FROM ranked LEFT JOIN told USING (mono_id, feature) LEFT JOIN known USING (feature)""",
+    "entity_assessments": f"""WITH {ASSESSED} SELECT mono_id, '2000-12-31' AS cohort_dt, coalesce(season_line, 'Sezon: yeterli sezon metrigi yok; karar sezon kanitina dayanmiyor.') AS seasonality_assessment,
+        coalesce(trend_line, 'Trend: yeterli trend metrigi yok; karar trend kanitina dayanmiyor.') AS trend_assessment, coalesce(peer_line, 'Peer: yeterli peer metrigi yok; karar peer kanitina dayanmiyor.') AS peer_assessment,
+        'Caveat: ' || concat_ws('; ', 'coverage_ratio=' || {_sig('covered')}, 'missing_feature_count=' || lacking, 'customer_history_periods=' || periods, CASE WHEN weak > 0 THEN 'weak_peer_features=' || weak END) AS caveat
+        FROM as4 JOIN as5 USING (mono_id)""",
     "variable_names": """WITH n AS (SELECT p_partkey, p_partkey % 16 AS i, replace(p_name, ' ', '_') AS tail FROM part),
         v AS (SELECT p_partkey, i, CASE WHEN i IN (0, 1, 2, 12, 13, 14) THEN ['mono_id', 'data_time', 'cst_sector', '', '', '', '', '', '', '', '', '', 'rating_group', 'irb_model_pd', 'yukleme_zmn'][i + 1]
             ELSE ['', '', '', 'memzuc_', 'fs_', 'irb_', 'x_tkn_', 'kkb_', 'bank_', 'my_external_', 'x_rating_', 'alacak_', '', '', '', ''][i + 1] || tail END AS name FROM n),

@@ -13,6 +13,7 @@ from cohortloom.functions import text as txt
 from cohortloom.functions.formula import compile_formulas
 from cohortloom.functions.jsontext import reason_list, repair_json
 from cohortloom.operators import decisions, evidence, panel, peers, reasons, scoring, selection
+from cohortloom.operators.assessments import assessments
 from cohortloom.operators.decisions import companion_scores, prompt_text
 from cohortloom.operators.models import fit_isolation_forest
 from cohortloom.operators.reasons import severity_shares
@@ -629,6 +630,16 @@ def evidence_packages(spark, sf_dir):
                     "label", "category", "formula", "source_columns", "risk_direction", F.array_join(F.transform("series", month), " | ").alias("series"))
 
 
+@query
+def entity_assessments(spark, sf_dir):
+    """What the evidence of each customer of the scored year says of season, trend and peers in a line, and what limits it."""
+    years = staged(customer_years(spark, sf_dir), "panel")
+    settings = evidence_flow.EvidenceSettings(month="2000-12-31")
+    found = staged(evidence_flow.build_evidence(years, FORMULAS, settings=settings), "evidence")
+    out = assessments(found, evidence_flow.entity_quality(years, list(MEASURES), settings))
+    return out.select("mono_id", _day(), "seasonality_assessment", "trend_assessment", "peer_assessment", "caveat")
+
+
 @query
 def variable_names(spark, sf_dir):
     """What variables of many names are about and what they are used for."""

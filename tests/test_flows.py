@@ -414,7 +414,7 @@ def test_all_oracles_belong_to_queries():
     assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", ["peer_hierarchy_z", "peer_diagnostics", "trend_slope_break", "preprocessor_stats", "band_assign", "seasonal_peer_median", "formula_nested", "isolation_forest_nodes", "ensemble_scores", "decision_contract", "reasons_with_numbers", "decision_result_rows", "variable_names", "evidence_packages", "ensemble_flagship", "prompt_dry_run"])
+@pytest.mark.parametrize("name", ["peer_hierarchy_z", "peer_diagnostics", "trend_slope_break", "preprocessor_stats", "band_assign", "seasonal_peer_median", "formula_nested", "isolation_forest_nodes", "ensemble_scores", "decision_contract", "reasons_with_numbers", "decision_result_rows", "variable_names", "evidence_packages", "ensemble_flagship", "prompt_dry_run", "entity_assessments"])
 def test_queries_agree_with_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     sf = Path("/root/testdata/sf0.001")
