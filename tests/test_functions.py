@@ -157,3 +157,8 @@ def test_repair_json(spark, given, want):
 def test_reason_list(spark):
     schema = "struct<feature:string,x:double>"
     assert [len(one(spark, jsontext.reason_list(F.lit(t), schema))) for t in ('[{"feature":"a","x":1}]', "[]", "no", '{"feature":"a"}')][:3] == [1, 0, 0]
+
+
+def test_signed_logarithm_rounds_as_the_sql_does(spark):
+    rows = spark.range(2000).select((F.col("id") / 397 - 2).alias("x"))
+    assert rows.where(numeric.signed_log1p(F.col("x")) != F.expr("sign(x) * ln(1 + abs(x))")).count() == 0
