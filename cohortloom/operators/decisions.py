@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.jsontext import json_like, message_candidates
-from cohortloom.functions.numeric import finite, unit_float
+from cohortloom.functions.numeric import finite, rounded, unit_float
 from cohortloom.functions.text import truth
 from cohortloom.operators.assessments import six_decimals, six_digits
 
@@ -210,7 +210,7 @@ def match_words(x: Column) -> Column:
 def numeric_evidence(have: list[str]) -> Column:
     """A feature's numbers as ``key=value`` parts; missing ones are left out."""
     scale = F.col("robust_scale") if "robust_scale" in have else F.lit(None).cast("double")
-    z = F.round(F.when(scale > 0, (F.col("value") - F.col("median")) / scale), 6) if {"value", "median", "robust_scale"} <= set(have) else F.col("history_z") if "history_z" in have else None
+    z = rounded(F.when(scale > 0, (F.col("value") - F.col("median")) / scale), 6) if {"value", "median", "robust_scale"} <= set(have) else F.col("history_z") if "history_z" in have else None
     numbers = {"current": "value", "previous": "previous_value", "change_pct": "change_pct", "history_median": "median", "history_z": None, "peer_median": "peer_median", "peer_z": "peer_z", "slope_6m": "slope_6m", "slope_12m": "slope_12m", "yoy_change_pct": "yoy_change_pct", "same_month_z": "same_month_customer_z"}
     name = F.coalesce(F.nullif(F.col("label"), F.lit("")), F.col("feature")) if "label" in have else F.col("feature")
     parts = [F.concat(F.lit("feature="), F.coalesce(name, F.lit("degisken")))]
