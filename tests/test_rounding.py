@@ -6,6 +6,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import half_even, rounded
+from cohortloom.operators import reasons
 
 TIES = [4.739949999999999, 1.005, 65.85, 2.675, 0.285, 33.445, 123.455, 0.5, 1.5, 4.73995, -65.85, 57.65, 0.15]
 
@@ -17,3 +18,13 @@ def test_rounding_is_that_of_sql(spark):
         want = duckdb.sql(f"SELECT x, round(x, {d}), round_even(x, {d}) FROM (SELECT unnest([{', '.join(f'{x!r}::DOUBLE' for x in TIES)}]) AS x)").fetchall()
         assert sorted(map(tuple, got)) == sorted(want)
     assert df.select(rounded(F.lit(1.005), 2), half_even(F.lit(65.85), 1)).first() == (1.0, 65.8)
+
+
+def test_contributions_of_reason_rows_are_rounded_twice_as_in_sql(spark):
+    share = 33.345  # half to even gives 33.34 and then 33.3
+    columns = "mono_id string, feature string, severity double, value double, previous double, train_reference double, peer_median double, peer_z double, peer_support long, peer_level string, peer_score double, peer_quality string"
+    other = ("UNKNOWN", 70.0, "ZAYIF")
+    rows = spark.createDataFrame([("1", "bank_risk", share, 2.0, None, None, 1.0, 3.0, 9, *other), ("1", "other", 100 - share, 2.0, None, None, 1.0, 3.0, 9, *other)], columns)
+    got = {r["feature"]: r["pct"] for r in reasons.build_reasons(rows, ["mono_id"], 2, share_rounding=rounded).select(F.inline("reasons")).select("feature", rounded(F.col("contribution_pct"), 1).alias("pct")).collect()}
+    want = duckdb.sql(f"SELECT round(round({share}::DOUBLE / 100 * 100, 2), 1)").fetchall()[0][0]
+    assert got["bank_risk"] == want == 33.4
