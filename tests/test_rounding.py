@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import half_even, rounded
 from cohortloom.operators import reasons
+from cohortloom.operators.assessments import six_digits
+from cohortloom.plans import oracles
 
 TIES = [4.739949999999999, 1.005, 65.85, 2.675, 0.285, 33.445, 123.455, 0.5, 1.5, 4.73995, -65.85, 57.65, 0.15]
 
@@ -28,3 +30,10 @@ def test_contributions_of_reason_rows_are_rounded_twice_as_in_sql(spark):
     got = {r["feature"]: r["pct"] for r in reasons.build_reasons(rows, ["mono_id"], 2, share_rounding=rounded).select(F.inline("reasons")).select("feature", rounded(F.col("contribution_pct"), 1).alias("pct")).collect()}
     want = duckdb.sql(f"SELECT round(round({share}::DOUBLE / 100 * 100, 2), 1)").fetchall()[0][0]
     assert got["bank_risk"] == want == 33.4
+
+
+def test_six_digits_are_those_of_printf(spark):
+    values = [123456.5, 123457.5, 1.000005, 123.4565, 12.34565, 0.1234565, 2.000015, 1234567.0, -3.14159265, 0.000123456789, 0.0, 100.5, 31250.25]
+    got = [tuple(r) for r in spark.createDataFrame([(x,) for x in values], "x double").select("x", six_digits(F.col("x"))).collect()]
+    want = duckdb.sql(f"SELECT x, {oracles._sig('x')} FROM (SELECT unnest([{', '.join(f'{x!r}::DOUBLE' for x in values)}]) AS x)").fetchall()
+    assert sorted(got) == sorted(want)
