@@ -244,20 +244,20 @@ def matched_features(rows: DataFrame, reasons: list[str], features: str) -> Data
     found so far are what the fold carries from one to the next. An empty reason has none.
     """
     for i, reason in enumerate(reasons):
-        words = match_words(F.col(reason))
-        text = F.array_join(F.array_sort(words), " ")
         earlier = [F.col(f"__at_{k + 1}") for k in range(i)]
 
-        def score(f: Column, at: Column, words: Column = words, text: Column = text, earlier: list[Column] = earlier) -> Column:
+        def score(f: Column, at: Column, reason: Column, earlier: list[Column] = earlier) -> Column:
             likeness = F.aggregate(
                 f["said"], F.lit(0),
-                lambda sum_, said: sum_ + F.when((F.size(said) > 0) & F.contains(text, F.array_join(said, " ")), CONTAINED).otherwise(0) + F.size(F.array_intersect(said, words)),
+                lambda sum_, said: sum_ + F.when((F.size(said) > 0) & F.contains(reason["text"], F.array_join(said, " ")), CONTAINED).otherwise(0) + F.size(F.array_intersect(said, reason["words"])),
             )
             had = [F.coalesce(e == at, F.lit(False)) for e in earlier]
             return likeness - F.when(F.array_contains(F.array(F.lit(False), *had), True), USED).otherwise(0)
 
-        best = F.array_max(F.transform(features, lambda f, at: F.struct(score(f, at).alias("score"), (-at).alias("at"))))
-        found = F.when(best["score"] > 0, -best["at"]).when(F.size(features) > i, i).otherwise(0)
+        # a reason's words and its best feature are elements of arrays of one, so that each is worked out once a row, not wherever it is named
+        spoken = F.transform(F.array(match_words(F.col(reason))), lambda w: F.struct(w.alias("words"), F.array_join(F.array_sort(w), " ").alias("text")))
+        best = F.transform(spoken, lambda s: F.array_max(F.transform(features, lambda f, at: F.struct(score(f, at, s).alias("score"), (-at).alias("at")))))  # noqa: B023
+        found = F.get(F.transform(best, lambda b: F.when(b["score"] > 0, -b["at"]).when(F.size(features) > i, i).otherwise(0)), F.lit(0))  # noqa: B023
         rows = rows.withColumn(f"__at_{i + 1}", F.when((F.coalesce(F.col(reason), F.lit("")) != "") & (F.coalesce(F.size(features), F.lit(0)) > 0), found))
     return rows
 
