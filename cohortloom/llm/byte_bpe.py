@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Callable
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,8 +21,11 @@ from pyspark.sql import DataFrame
 
 from cohortloom.llm.common import map_arrow, text_or_empty
 
-#: Entries a worker remembers between documents; a full memory is emptied, results do not depend on it.
+#: Pre-tokens a worker remembers between documents, twice: those met since the memory was last full, and those met between
+#: that and the time before. Results do not depend on it.
 MEMORY_ENTRIES = 400_000
+#: Characters of text whose new pre-tokens are encoded together.
+STRETCH_CHARS = 1_000_000
 _NEVER = 1 << 62
 
 
@@ -98,18 +101,34 @@ class PrefixEncoder:
         return known
 
     def _last(self, data: bytes, last: list[int], end: int) -> int:
-        rank_of = self.ranks.get
-        for start in range(max(0, end - self.longest), end):
+        """Only one token ends the prefix, so places may be tried in any order: first where the token before it began, lengthened by a byte, then from the shortest on."""
+        rank_of, whole, fits = self.ranks.get, self._whole, self._fits
+        first = end - 1 - len(self.token[last[end - 1]]) if end > 1 else 0
+        token = rank_of(data[first:end])
+        if token is not None and (whole.get(token) or self._built_whole(token)) and (not first or self.fits(last[first], token)):
+            return token
+        for start in range(end - 1, max(0, end - self.longest) - 1, -1):
             token = rank_of(data[start:end])
-            if token is not None and self._built_whole(token) and (start == 0 or self.fits(last[start], token)):
-                return token
+            if token is not None and start != first and (whole.get(token) or self._built_whole(token)):
+                if not start:
+                    return token
+                known = fits.get((last[start], token))
+                if known or known is None and self.fits(last[start], token):
+                    return token
         raise ValueError("a byte has no rank")
 
     def append(self, state: PrefixState, more: bytes) -> PrefixState:
         """Lengthen ``state`` in place; what it held is not looked at again."""
         begin, state.data = len(state.data), state.data + more
-        for end in range(begin + 1, len(state.data) + 1):
-            state.last.append(self._last(state.data, state.last, end))
+        data, last, last_of = state.data, state.last, self._last
+        for end in range(begin + 1, len(data) + 1):
+            last.append(last_of(data, last, end))
+        return state
+
+    def cut(self, state: PrefixState, length: int) -> PrefixState:
+        """Keep only the first bytes of ``state``, in place: last tokens of prefixes stay as they are."""
+        state.data = state.data[:length]
+        del state.last[length + 1 :]
         return state
 
     def replace(self, state: PrefixState, start: int, stop: int, new: bytes) -> int:
@@ -146,6 +165,24 @@ class PrefixEncoder:
         return self.tokens(self.append(PrefixState(), data))
 
 
+    def encode_all(self, pieces: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
+        """Pre-tokens with their encodings, in order of their bytes: of each only what follows the prefix that it has in common with the one before is worked out."""
+        state = PrefixState()
+        for data in sorted(pieces):
+            if not data or data in self.ranks:
+                yield data, self.encode(data)
+                continue
+            common, held = 0, state.data
+            if data.startswith(held):
+                common = len(held)
+            else:
+                for x, y in zip(held, data, strict=False):
+                    if x != y:
+                        break
+                    common += 1
+            yield data, self.tokens(self.append(self.cut(state, common), data[common:]))
+
+
 class ByteTable:
     """Byte strings by number, for joining many of them at once."""
 
@@ -162,22 +199,49 @@ class ByteTable:
         return self.bytes[at].tobytes()
 
 
-@lru_cache(maxsize=4)
-def tokenizer(path: str, pattern: str) -> Callable[[str], np.ndarray]:
-    """text -> ids, with a memory of pre-tokens; one for each worker process."""
-    import regex
-
-    encoder, find, known = PrefixEncoder(load_ranks(path)), regex.compile(pattern).findall, {}
+class Tokenizer:
+    """Texts to ids, with a memory of pre-tokens."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+        import regex
+
+        self.encoder, self.find = PrefixEncoder(ranks), regex.compile(pattern).findall
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _learn(self, pieces: set[str]) -> None:
+        new: dict[bytes, list[str]] = {}
+        for piece in pieces:
+            if (ids := self.older.get(piece)) is not None:
+                self.known[piece] = ids
+            else:
+                new.setdefault(piece.encode("utf-8", "replace"), []).append(piece)
+        for data, ids in self.encoder.encode_all(list(new)):
+            found = np.array(ids, "<u4").tobytes()
+            for piece in new[data]:
+                self.known[piece] = found
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text; the new pre-tokens of a stretch of texts are encoded together."""
+        at = 0
+        while at < len(texts):
+            size, split = 0, []
+            while at < len(texts) and (not split or size + len(texts[at]) <= STRETCH_CHARS):
+                size += len(texts[at])
+                split.append(self.find(texts[at]))
+                at += 1
+            if len(self.known) > MEMORY_ENTRIES:
+                self.known, self.older = {}, self.known
+            self._learn(set().union(*split).difference(self.known))
+            ids_of = self.known.__getitem__
+            for pieces in split:
+                yield np.frombuffer(b"".join(map(ids_of, pieces)), "<u4")
 
-    def encode(text: str) -> np.ndarray:
-        pieces = find(text)
-        if len(known) > MEMORY_ENTRIES:
-            known.clear()
-        for piece in set(pieces).difference(known):
-            known[piece] = np.array(encoder.encode(piece.encode("utf-8", "replace")), "<u4").tobytes()
-        return np.frombuffer(b"".join(map(known.__getitem__, pieces)), "<u4")
 
-    return encode
+@lru_cache(maxsize=4)
+def tokenizer(path: str, pattern: str) -> Tokenizer:
+    """One for each worker process."""
+    return Tokenizer(load_ranks(path), pattern)
 
 
 def encode_bpe(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,10 +251,10 @@ def encode_bpe(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
     """
 
     def task():
-        encode = tokenizer(ranks_path, pattern)
+        encode = tokenizer(ranks_path, pattern).encode
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [encode(text).tobytes() for text in batch.column("text").to_pylist()]
+            ids = [x.tobytes() for x in encode(batch.column("text").to_pylist())]
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
         return step
@@ -203,16 +267,15 @@ def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "d
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: texts encoded, the ids decoded again, and digests of both."""
 
     def task():
-        encode, ranks = tokenizer(ranks_path, pattern), load_ranks(ranks_path)
-        by_rank = {rank: token for token, rank in ranks.items()}
+        known = tokenizer(ranks_path, pattern)
+        encode, by_rank = known.encode, known.encoder.token
         top = max(by_rank, default=-1) + 1
         token_bytes = ByteTable([by_rank.get(i, b"") for i in range(top)])
         decimals = ByteTable([b"%d," % i for i in range(top)])
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             n, ids_sha, decoded_sha = [], [], []
-            for text in batch.column("text").to_pylist():
-                ids = encode(text)
+            for ids in encode(batch.column("text").to_pylist()):
                 n.append(len(ids))
                 ids_sha.append(hashlib.sha256(decimals.joined(ids)[:-1]).hexdigest())
                 decoded_sha.append(hashlib.sha256(token_bytes.joined(ids)).hexdigest())
