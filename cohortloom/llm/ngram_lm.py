@@ -36,12 +36,12 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.array_files import map_arrays, store_arrays
 from cohortloom.llm.common import map_arrow, shared_folder, shuffle_partitions, split_remainder, text_or_empty
-from cohortloom.llm.shingles import mixed, word_hashes
+from cohortloom.llm.shingles import mixed, words_of_texts
 
 #: Hash of the end of a document; words have greater ones.
 END = np.uint64(1)
-#: Characters of text that are counted or scored at once.
-CHUNK_CHARS = 12_000_000
+#: Characters of text that are counted at once, and that are scored at once: fewer, since scoring holds many numbers a token and gains little by more.
+CHUNK_CHARS, SCORED_CHARS = 12_000_000, 3_000_000
 #: Training tokens for each shard of n-grams.
 SHARD_TOKENS = 4_000_000
 #: Of a word: different followers counted once, twice, more often; different words before it; counts of its followers.
@@ -98,6 +98,15 @@ def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[first], *(np.add.reduceat(v[order].astype(np.int64), first) if len(first) else np.empty(0, np.int64) for v in values)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and each key's place among them: only these are sorted."""
+    codes, found = pd.factorize(keys)
+    order = np.argsort(found)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return found[order], place[codes]
+
+
 def _delta(ids: np.ndarray) -> np.ndarray:
     return np.diff(ids, prepend=ids[:1] * 0)
 
@@ -107,18 +116,20 @@ def _shard_of_word(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def _chunks(texts: list[str]):
+def _chunks(texts: list[str], chars: int | None = None):
     """(index of the first document, token hashes with ends, first token of each document) of stretches of documents."""
-    at = 0
+    at, chars = 0, chars or CHUNK_CHARS
     while at < len(texts):
         size, stop = 0, at
-        while stop < len(texts) and (stop == at or size + len(texts[stop]) <= CHUNK_CHARS):
+        while stop < len(texts) and (stop == at or size + len(texts[stop]) <= chars):
             size, stop = size + len(texts[stop]), stop + 1
-        parts: list[np.ndarray] = []
-        for text in texts[at:stop]:
-            parts += (np.maximum(word_hashes(text), END + np.uint64(1)), np.array([END]))
-        lengths = np.array([len(p) + 1 for p in parts[::2]], np.int64)
-        yield at, np.concatenate(parts), np.cumsum(lengths) - lengths
+        words, lengths = words_of_texts(texts[at:stop])
+        lengths = lengths + 1
+        ends = np.cumsum(lengths)
+        tokens, word = np.full(int(ends[-1]), END), np.ones(int(ends[-1]), bool)
+        word[ends - 1] = False
+        tokens[word] = np.maximum(words, END + np.uint64(1))
+        yield at, tokens, ends - lengths
         at = stop
 
 
@@ -315,10 +326,10 @@ def _count_triples(texts: DataFrame, folder: str, shards: int, first_id: tuple[i
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = []
             for _, hashes, first in _chunks(batch.column("text").to_pylist()):
-                known, at = np.unique(hashes, return_inverse=True)
+                known, at = _distinct(hashes)
                 right = words.ids(known)[at]
                 left = _previous(right, first, start)
-                pairs, at = np.unique(_key(_previous(left, first, start), left), return_inverse=True)
+                pairs, at = _distinct(_key(_previous(left, first, start), left))
                 triples, n = np.unique(_key(at, right), return_counts=True)
                 at, right = _halves(triples)
                 shard = _shard_of_triple(pairs, shards)[at]
@@ -370,7 +381,7 @@ def _plain_pairs(texts: DataFrame, folder: str, shards: int, first_id: tuple[int
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = []
             for _, hashes, first in _chunks(batch.column("text").to_pylist()):
-                known, at = np.unique(hashes, return_inverse=True)
+                known, at = _distinct(hashes)
                 right = words.ids(known)[at]
                 pairs, n = np.unique(_key(_previous(right, first, start), right), return_counts=True)
                 out.append(_pair_blobs(words, pairs, n, tokens, shards))
@@ -525,7 +536,7 @@ class Scorer:
     def score(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each document: number of known tokens, log10 probability by add-one unigrams, and by the model."""
         m, start = self.m, self.m.first_id[-1]
-        distinct, at = np.unique(hashes, return_inverse=True)
+        distinct, at = _distinct(hashes)
         ids = self.words.ids(distinct)
         order = np.argsort(ids, kind="stable")
         stats = {}
@@ -541,7 +552,7 @@ class Scorer:
         kept = sum(d * np.append(stats[k], self.start[k]) for d, k in zip(m.pair_discounts, ("n1", "n2", "n3"), strict=True))
         ids = np.append(ids, start)
         left = _previous(at, first, len(ids) - 1)
-        pair, where = np.unique(left.astype(np.int64) * len(ids) + at, return_inverse=True)
+        pair, where = _distinct(left.astype(np.int64) * len(ids) + at)
         left, right = np.divmod(pair, len(ids))
         spread_like = np.append(stats["count"], m.train_tokens)
         n = self._pair_counts(ids[left], ids[right], spread_like[left])
@@ -572,7 +583,7 @@ def score_documents(docs: DataFrame, model: NgramModel, id_col: str = "doc_id",
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             n, made = [], []
-            for _, hashes, first in _chunks(batch.column("text").to_pylist()):
+            for _, hashes, first in _chunks(batch.column("text").to_pylist(), SCORED_CHARS):
                 n.append(np.diff(np.append(first, len(hashes))))
                 made.append(scorer.score(hashes, first))
             known, base, score = (np.concatenate(x) for x in zip(*made, strict=True))
